@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing
+from . import exact_dedup, mixing, ngram_join
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_documents(spark, sf_dir))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
@@ -19,5 +23,5 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_exact_dedup, op5_mixing)}
-ORACLE_SQL = {"op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL}
+QUERIES = {f.__name__: f for f in (op2_ngram_join, op4_exact_dedup, op5_mixing)}
+ORACLE_SQL = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL}
