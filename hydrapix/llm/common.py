@@ -142,3 +142,18 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, modulus: int, held: int, rows: int) -> DataFrame:
+    """(doc_id, text as bytes, y): at most about `rows` labelled training rows, the same on each run.
+
+    Rows are taken by a hash of doc_id against a threshold, so documents are filtered in the scan, before the
+    join; of equal texts one is kept. Rows whose id is held out, null or has no label are never read."""
+    known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~split_rule("doc_id", modulus, held))
+    n = known.count()
+    mark = F.pmod(F.xxhash64("doc_id", F.lit(17)), F.lit(1 << 30)) < int((1 << 30) * min(1.0, rows / max(n, 1)))
+    texts = docs.where(mark & F.col("text").isNotNull()).select("doc_id", F.col("text").cast("binary").alias("text"))
+    known = known.where(mark).groupBy("doc_id").agg(F.max(label).cast("int").alias("y"))
+    out = texts.join(known, "doc_id")
+    first = out.groupBy(F.xxhash64("text").alias("h")).agg(F.min("doc_id").alias("doc_id"))
+    return out.join(first.select("doc_id").distinct(), "doc_id", "left_semi")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join
+from . import exact_dedup, mixing, ngram_join, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,5 +23,9 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_join, op4_exact_dedup, op5_mixing)}
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op2_ngram_join, op4_exact_dedup, op5_mixing, op8_toxicity)}
 ORACLE_SQL = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL}
