@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, toxicity
+from . import exact_dedup, mixing, ngram_join, sentencepieces, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.encode(_documents(spark, sf_dir))
+
+
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, sf_dir))
 
@@ -27,5 +31,5 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op2_ngram_join, op4_exact_dedup, op5_mixing, op8_toxicity)}
+QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_ngram_join, op4_exact_dedup, op5_mixing, op8_toxicity)}
 ORACLE_SQL = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL}

@@ -148,6 +148,34 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 12_000, most: int = 2_00
     return model
 
 
+def scored(texts: list, auto, beta: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Scores and hits of some texts."""
+    ws, ns, ks = [], [], []
+    for text in texts:
+        s = folded(text)
+        found = hits(auto, s)
+        ws.append(sum(h[3] for h in found))
+        ks.append(len(found))
+        ns.append(len(s.split()))
+    return 1 / (1 + np.exp(-np.clip(design(ws, ns) @ beta, -30, 30))), ks
+
+
+def clean(docs: DataFrame, model: dict, threshold: float = 0.7) -> DataFrame:
+    """The rows of docs that do not score as toxic, with all their columns."""
+    held = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator) -> Iterator:
+        m = held.value
+        auto = automaton(m["weights"], m["exceptions"])
+        for batch in pieces(batches):
+            texts = [t and t.encode() for t in batch.column(at).to_pylist()]
+            keep = scored(texts, auto, m["beta"])[0] < threshold
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def score(docs: DataFrame, model: dict) -> DataFrame:
     """doc_id, score, n_hits of every document."""
     held = docs.sparkSession.sparkContext.broadcast(model)
@@ -157,14 +185,7 @@ def score(docs: DataFrame, model: dict) -> DataFrame:
         auto = automaton(m["weights"], m["exceptions"])
         for batch in pieces(batches):
             ids, texts = columns_of(batch, "doc_id", "text")
-            ws, ns, ks = [], [], []
-            for text in texts:
-                s = folded(text)
-                found = hits(auto, s)
-                ws.append(sum(h[3] for h in found))
-                ks.append(len(found))
-                ns.append(s.count(" ") + 1)
-            p = 1 / (1 + np.exp(-np.clip(design(ws, ns) @ m["beta"], -30, 30)))
+            p, ks = scored(texts, auto, m["beta"])
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(p, pa.float64()), pa.array(ks, pa.int64())], names=["doc_id", "score", "n_hits"])
 
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
