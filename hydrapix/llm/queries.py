@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, mixing, ngram_join, sentencepieces, toxicity
+from . import exact_dedup, language, mixing, ngram_join, quality, sentencepieces, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -19,6 +19,10 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_components(_documents(spark, sf_dir))
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(_documents(spark, sf_dir))
 
@@ -27,9 +31,16 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(_documents(spark, sf_dir))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_sentencepiece, op2_ngram_join, op4_exact_dedup, op5_mixing, op8_toxicity)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_sentencepiece, op2_ngram_join, op3_quality, op4_exact_dedup, op5_mixing, op7_language, op8_toxicity)
+}
 ORACLE_SQL = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL}
