@@ -47,6 +47,7 @@ def dropped(df: DataFrame) -> None:
         spark = df.sparkSession
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+        spark._jvm.System.gc()  # lets the driver's cleaner remove shuffle files that nothing refers to
 
 
 def fold_ascii(text: Column) -> Column:

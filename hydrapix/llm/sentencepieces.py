@@ -19,14 +19,16 @@ any length are cut at every place that no piece spans, so a very long text witho
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
 import sentencepiece
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -65,26 +67,68 @@ class Pieces:
 
 def cut(unit: str, pairs: frozenset) -> list[str]:
     """A unit cut between all adjacent characters that no piece holds together."""
+    if all(map(pairs.__contains__, map(add, unit, unit[1:]))):
+        return [unit]
     at = [0, *(i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in pairs), len(unit)]
     return [unit[a:b] for a, b in zip(at, at[1:], strict=False)]
 
 
-class Cuts(dict):
-    """Unit to its words, remembered; emptied when full."""
+def units(text: str | None) -> list[str]:
+    """Parts of a text that hold whole pieces only, each without the U+2581 before it; if spaces stand
+    together, whole units with all of theirs (marked by it)."""
+    if not text:
+        return []
+    if "  " in text or text[0] == " " or SPACE in text:
+        return [u[1:] if u[:1] == SPACE and u[1:2] != SPACE else SPACE + u for u in UNITS.findall(SPACE + text.replace(" ", SPACE))]
+    return text.split(" ")
+
+
+def spelled(unit: str) -> str:
+    """A unit of units() as the model sees it."""
+    return unit[1:] if unit[:1] == SPACE else SPACE + unit
+
+
+class Numbers(dict):
+    """Unit to the numbers of its words: their place in the dictionary, or -1 - k for the k-th word that the
+    dictionary lacks (over the task). Remembered; emptied when full."""
+
+    def __init__(self, pairs: frozenset, hot: dict[str, int], most: int = 1 << 18):
+        self.pairs, self.hot, self.most, self.lacks, self.place = pairs, hot, most, [], {}
 
-    def __init__(self, pairs: frozenset, make=None, most: int = 1 << 18):
-        self.pairs, self.make, self.most = pairs, make, most
+    def number(self, word: str) -> int:
+        got = self.hot.get(word)
+        if got is None:
+            got = self.place.get(word)
+            if got is None:
+                got = self.place[word] = -1 - len(self.lacks)
+                self.lacks.append(word)
+        return got
 
-    def __missing__(self, unit: str):
+    def __missing__(self, unit: str) -> tuple[int, ...]:
         if len(self) >= self.most:
             self.clear()
-        out = cut(unit, self.pairs)
-        out = self[unit] = self.make(out) if self.make else out
+        out = self[unit] = tuple(self.number(w) for w in cut(spelled(unit), self.pairs))
         return out
 
+    def of(self, text: str | None) -> np.ndarray:
+        return np.fromiter(chain.from_iterable(map(self.__getitem__, units(text))), np.int32)
 
-def units(text: str | None) -> list[str]:
-    return UNITS.findall(SPACE + text.replace(" ", SPACE)) if text else []
+
+class Dictionary:
+    """Words and their ids, built where it arrives."""
+
+    def __init__(self, words: list[str], ids: list[list[int]]):
+        self.state = (words, np.fromiter(map(len, ids), np.int32, len(ids)), np.fromiter(chain.from_iterable(ids), np.int32))
+        self.__setstate__(self.state)
+
+    def __getstate__(self):
+        return self.state
+
+    def __setstate__(self, state):
+        self.state = state
+        words, size, flat = state
+        self.at = dict(zip(words, range(len(words)), strict=True))
+        self.gather = Gather.of(flat, size.astype(np.int64))
 
 
 def _counts(pairs: frozenset):
@@ -94,7 +138,7 @@ def _counts(pairs: frozenset):
         def flush():
             words: Counter = Counter()
             for u, n in seen.items():
-                for w in cut(u, pairs):
+                for w in cut(spelled(u), pairs):
                     words[w] += n
             seen.clear()
             keys = list(words)
@@ -115,7 +159,8 @@ def _counts(pairs: frozenset):
 def segment(words: DataFrame, table: Pieces) -> DataFrame:
     """Words (word, n) to (word, n, ids) by the lattice and its Viterbi fold."""
     known = F.broadcast(table.table(words.sparkSession))  # as many rows as the model has pieces
-    starts = words.repartition("word").withColumn("len", F.length("word")).withColumn("i", F.expr("explode(sequence(1, len))"))
+    parts = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), words.count() // 20_000)
+    starts = words.repartition(parts, "word").withColumn("len", F.length("word")).withColumn("i", F.expr("explode(sequence(1, len))"))
     spans = starts.withColumn("l", F.expr(f"explode(sequence(1, least({table.longest}, len - i + 1)))"))
     spans = spans.withColumn("piece", F.expr("substring(word, i, l)"))
     edges = spans.join(known, "piece", "left").where("pid is not null or l = 1")
@@ -142,50 +187,40 @@ class Gather:
     def __init__(self, parts: list, dtype):
         self.size = np.fromiter(map(len, parts), np.int64, len(parts))
         self.flat = np.concatenate([np.asarray(p, dtype) for p in parts]) if parts else np.empty(0, dtype)
-        self.start = np.concatenate([[0], np.cumsum(self.size)[:-1]]) if len(parts) else np.empty(0, np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+    @classmethod
+    def of(cls, flat: np.ndarray, size: np.ndarray) -> Gather:
+        out = cls([], flat.dtype)
+        out.flat, out.size, out.start = flat, size, np.cumsum(size) - size
+        return out
 
     def __call__(self, at: np.ndarray) -> np.ndarray:
         size = self.size[at]
         total = int(size.sum())
         if not total:
             return self.flat[:0]
-        begin = np.repeat(self.start[at] - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+        begin = np.repeat(self.start[at] - np.cumsum(size) + size, size)
         return self.flat[begin + np.arange(total)]
 
 
-def _rare(index, pairs: frozenset):
-    """Rows (doc_id, h, word): words of a document that the broadcast dictionary lacks."""
-
-    def run(batches: Iterator) -> Iterator:
-        hot = index.value[0]
-        lacking = Cuts(pairs, lambda words: [w for w in words if w not in hot])
-        for batch in pieces(batches):
-            ids, hs, words = [], [], []
-            for i, h, text in zip(*columns_of(batch, "doc_id", "h", "text"), strict=True):
-                own = {w for u in set(units(text)) for w in lacking[u]}
-                words += own
-                ids += [i] * len(own)
-                hs += [h] * len(own)
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(words, pa.string())], names=["doc_id", "h", "word"])
-
-    return run
-
-
 def _coded(index, pairs: frozenset):
-    """Rows (doc_id, h, code, lacks, check): a text as dictionary numbers, -1 - k for the k-th word it lacks."""
+    """Rows (doc_id, h, code, lacks, check): a text as dictionary numbers, -1 - k for the k-th of the words it
+    lacks there."""
 
     def run(batches: Iterator) -> Iterator:
-        hot = index.value[0]
-        numbers = Cuts(pairs, lambda words: [hot.get(w, w) for w in words])
+        numbers = Numbers(pairs, index.value.at)
+        pack = zstandard.ZstdCompressor(level=1)
         for batch in pieces(batches):
             ids, hs, texts = columns_of(batch, "doc_id", "h", "text")
             codes, lacks, checks = [], [], []
             for text in texts:
-                own: dict[str, int] = {}
-                flat = [x for u in units(text) for x in numbers[u]]
-                at = np.fromiter((x if x.__class__ is int else own.setdefault(x, -1 - len(own)) for x in flat), np.int32, len(flat))
-                codes.append(zlib.compress(at.tobytes(), 1))
-                lacks.append(list(own))
+                at = numbers.of(text)
+                own = np.unique(at[at < 0])
+                if len(own):
+                    at = np.where(at < 0, -1 - np.searchsorted(own, at).astype(np.int32), at)
+                codes.append(pack.compress(at.tobytes()))
+                lacks.append([numbers.lacks[-1 - i] for i in own.tolist()])
                 checks.append(xxhash.xxh3_128_digest((text or "").encode()))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(codes, pa.binary()), pa.array(lacks, pa.list_(pa.string())), pa.array(checks, pa.binary())],
@@ -203,16 +238,15 @@ def decode(ids: np.ndarray, surface: Gather) -> bytes:
 
 def _tokens(index, table):
     def run(batches: Iterator) -> Iterator:
-        _, hot_ids = index.value
+        gather, unpack = index.value.gather, zstandard.ZstdDecompressor()
         known = table.value
         top = max(known.surface) + 1
         surface = Gather([np.frombuffer(known.surface.get(i, b""), np.uint8) for i in range(top)], np.uint8)
-        gather = Gather(hot_ids, np.int32)
         for batch in pieces(batches):
             ids, codes, lacks, checks, found = columns_of(batch, "doc_id", "code", "lacks", "check", "found")
             tokens, same = [], []
             for code, lack, check, got in zip(codes, lacks, checks, found, strict=True):
-                at = np.frombuffer(zlib.decompress(code), np.int32)
+                at = np.frombuffer(unpack.decompress(code), np.int32)
                 if lack:
                     own = {x["word"]: x["ids"] for x in got}
                     extra = Gather([known.expand(own[w]) for w in lack], np.int32)
@@ -249,12 +283,13 @@ def encode(docs: DataFrame, model_file: str = MODEL, hot: int = 1 << 18) -> Data
     words = written(words, "words")
     known = written(segment(words, table), "segmented")
     dropped(words)
-    top = known.orderBy(F.desc("n"), "word").limit(hot).collect()  # at most `hot` words
-    index = spark.sparkContext.broadcast(({r["word"]: i for i, r in enumerate(top)}, [table.expand(r["ids"]) for r in top]))
+    top = known.select("word", "n", "ids").orderBy(F.desc("n"), "word").limit(hot).toArrow()  # at most `hot` words
+    index = spark.sparkContext.broadcast(Dictionary(top["word"].to_pylist(), [table.expand(x) for x in top["ids"].to_pylist()]))
+    del top
     held = spark.sparkContext.broadcast(table)
-    rare = texts.mapInArrow(_rare(index, table.pairs), "doc_id long, h long, word string").join(known.select("word", "ids"), "word")
-    found = rare.groupBy("doc_id", "h").agg(F.collect_list(F.struct("word", "ids")).alias("found"))
     coded = texts.mapInArrow(_coded(index, table.pairs), "doc_id long, h long, code binary, lacks array<string>, check binary")
+    rare = coded.select("doc_id", "h", F.explode("lacks").alias("word")).join(known.select("word", "ids"), "word")
+    found = rare.groupBy("doc_id", "h").agg(F.collect_list(F.struct("word", "ids")).alias("found"))
     both = coded.join(found.withColumnRenamed("doc_id", "d").withColumnRenamed("h", "g"), F.expr("doc_id <=> d and h = g"), "left")
     return both.select("doc_id", "code", "lacks", "check", "found").mapInArrow(
         _tokens(index, held), "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean"
