@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, mixing, ngram_join, pivot_index, quality, sentencepieces, toxicity
+from . import exact_dedup, language, mixing, ngram_join, pivot_index, quality, sentencepieces, suffix_dedup, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,8 +43,12 @@ def op9_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivot_index.near_duplicates(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.repeated_passages(_documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op2_ngram_join, op3_quality, op4_exact_dedup, op5_mixing, op7_language, op8_toxicity, op9_embedding_near_dedup)
+    for f in (op1_sentencepiece, op2_ngram_join, op3_quality, op4_exact_dedup, op5_mixing, op7_language, op8_toxicity, op9_embedding_near_dedup, op10_suffix_dedup)
 }
 ORACLE_SQL = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL, "op9_embedding_near_dedup": pivot_index.ORACLE_SQL}
