@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, mixing, ngram_join, pivot_index, quality, sentencepieces, suffix_dedup, toxicity
+from . import exact_dedup, language, mixing, ngram_join, pii, pivot_index, quality, sentencepieces, suffix_dedup, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,6 +31,10 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_documents(spark, sf_dir))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(_documents(spark, sf_dir))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(_documents(spark, sf_dir))
 
@@ -49,6 +53,6 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op2_ngram_join, op3_quality, op4_exact_dedup, op5_mixing, op7_language, op8_toxicity, op9_embedding_near_dedup, op10_suffix_dedup)
+    for f in (op1_sentencepiece, op2_ngram_join, op3_quality, op4_exact_dedup, op5_mixing, op6_pii, op7_language, op8_toxicity, op9_embedding_near_dedup, op10_suffix_dedup)
 }
 ORACLE_SQL = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL, "op9_embedding_near_dedup": pivot_index.ORACLE_SQL}
