@@ -1,7 +1,706 @@
-"""Named queries and their SQL counterparts."""
+"""Named queries over the pixel views, and an independent SQL form of each."""
 
 from __future__ import annotations
 
+import math
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions import columns as C
+from ..operators import interpolate as I
+from ..operators import masks as M
+from ..operators import resample as R
+from ..operators import scenes as S
+from ..operators import switching as W
+from . import fixtures as V
+from .fixtures import sql
+
 QUERIES: dict = {}
 ORACLE_SQL: dict = {}
 FLAGSHIP = "scene_statistics"
+
+
+def query(oracle: str | None = None):
+    def take(f):
+        QUERIES[f.__name__] = f
+        if oracle:
+            ORACLE_SQL[f.__name__] = oracle
+        return f
+
+    return take
+
+
+def rounded(df: DataFrame, *names: str, digits: int = 6) -> DataFrame:
+    return df.withColumns({n: F.round(F.col(n), digits) + F.lit(0.0) for n in names})
+
+
+# --- classification, flags, statistics ------------------------------------------------------------------------
+
+PI = repr(math.pi)
+BIT = "(pcf & {0}) <> 0"
+CLASS = f""", st AS (SELECT * FROM px JOIN ac USING (pid)),
+v AS (SELECT *, b11 * CAST(1e-4 AS DOUBLE) + CAST(-0.1 AS DOUBLE) AS swir, (a0 + a1 + a2 + a3) / 4 AS vmean, greatest(a0, a1, a2, a3) AS vmax FROM st),
+c0 AS (SELECT *, CASE
+  WHEN pcf & 24 <> 0 THEN 8 WHEN pcf & 262176 <> 0 THEN 6
+  WHEN a0 > 0.025::DOUBLE * {PI}::DOUBLE AND a8 > 0.015::DOUBLE * {PI}::DOUBLE AND a0 > a8 AND swir < 0.12 THEN 4
+  WHEN vmean > 0.04::DOUBLE * {PI}::DOUBLE AND vmax > 0.05::DOUBLE * {PI}::DOUBLE AND swir < 0.12 THEN 4
+  WHEN pcf & 64 <> 0 THEN 4 WHEN pcf & 12 = 4 THEN 7 WHEN pcf & 6144 <> 0 THEN 5
+  WHEN (s2wmask = 64 OR s2wmask BETWEEN 65 AND 96) AND pcf & 131072 <> 0 THEN 1
+  WHEN (s2wmask = 159 OR s2wmask > 160) AND pcf & 131072 = 0 THEN 3 WHEN s2wmask = 160 AND pcf & 131072 = 0 THEN 2
+  WHEN s2wmask = 128 THEN 6 WHEN s2wmask BETWEEN 65 AND 96 THEN 3 WHEN s2wmask = 64 THEN 2 WHEN s2wmask >= 159 THEN 1 ELSE 0 END AS first_class FROM v),
+cl AS (SELECT * EXCLUDE (first_class, vmean, vmax, swir), CASE WHEN q & 15 <> 0 OR pcf & 1 <> 0 THEN 0
+  WHEN first_class = 2 AND c2f & 8 <> 0 AND (CAST(b2 - b4 AS DOUBLE) / nullif(b2 + b4, 0) > 0.2 OR swir > 0.04 OR pcf & 4096 <> 0) THEN 8
+  ELSE first_class END AS pixel_class FROM c0)"""
+
+
+@query(sql(CLASS + " SELECT pid, pixel_class FROM cl", "px", "ac"))
+def pixel_class(spark: SparkSession, d: str) -> DataFrame:
+    return V.stack(spark, d).transform(W.classify).select("pid", "pixel_class")
+
+
+@query(sql(CLASS + " SELECT pixel_class, count(*) AS n FROM cl GROUP BY 1", "px", "ac"))
+def pixel_class_hist(spark, d):
+    return V.stack(spark, d).transform(W.classify).groupBy("pixel_class").agg(F.count("*").alias("n"))
+
+
+STATS = ", ".join(
+    f"count(*) FILTER ({cond}) AS {name}"
+    for name, cond in {
+        "stat_clear_ocean_count": "pixel_class = 2", "stat_clear_inland_water_count": "pixel_class = 3", "stat_clear_land_count": "pixel_class = 1",
+        "stat_snow_ice_ocean_count": "pixel_class = 4 AND s2wmask IN (64, 128)", "stat_snow_ice_inland_water_count": "pixel_class = 4 AND s2wmask > 64 AND s2wmask <= 96", "stat_snow_ice_land_count": "pixel_class = 4 AND s2wmask >= 159",
+        "stat_cloud_ocean_count": "pixel_class >= 5 AND s2wmask IN (64, 128)", "stat_cloud_inland_water_count": "pixel_class >= 5 AND s2wmask > 64 AND s2wmask <= 96", "stat_cloud_land_count": "pixel_class >= 5 AND s2wmask >= 159",
+        "stat_valid_ocean_count": "pixel_class = 2 OR pixel_class >= 4 AND s2wmask IN (64, 128)", "stat_valid_inland_water_count": "pixel_class = 3 OR pixel_class >= 4 AND s2wmask > 64 AND s2wmask <= 96", "stat_valid_land_count": "pixel_class = 1 OR pixel_class >= 4 AND s2wmask >= 159",
+        "stat_valid_count": "pixel_class > 0",
+    }.items()
+)
+
+
+@query(sql(CLASS + f" SELECT {STATS} FROM cl", "px", "ac"))
+def scene_statistics(spark, d):
+    return V.stack(spark, d).transform(W.classify).transform(W.scene_statistics)
+
+
+@query(sql("SELECT pid, (q & 15) <> 0 AS tecqua FROM px", "px"))
+def tecqua_mask(spark, d):
+    return V.px(spark, d).select("pid", W.tecqua([F.col("q")]).alias("tecqua"))
+
+
+LAYERS = [f"pid % {m} = 0" for m in (2, 3, 5, 7, 11, 13, 17, 19)]
+
+
+@query(sql("SELECT pid, " + " + ".join(f"CASE WHEN {c} THEN {1 << i} ELSE 0 END" for i, c in enumerate(LAYERS)) + " AS quality, " + " + ".join(f"CASE WHEN {c} THEN {1 << i} ELSE 0 END" for i, c in enumerate(LAYERS[:3])) + " AS cloud_ice FROM px", "px"))
+def flag_pack(spark, d):
+    layers = [F.expr(c) for c in LAYERS]
+    return V.px(spark, d).select("pid", C.pack_flags(*layers).alias("quality"), C.pack_flags(*layers[:3]).alias("cloud_ice"))
+
+
+NAMED = {"detector_5": "pid % 12 + 1 = 5", "quality_msi_lost": "q & 2 <> 0", "quality_saturated": "q & 128 <> 0", "opaque_clouds": "c2f & 1 <> 0", "cirrus_clouds": "c2f & 4 <> 0", "snow_and_ice": "c2f & 8 <> 0"}
+
+
+@query(sql("SELECT pid, " + ", ".join(f"({e}) AS {n}" for n, e in NAMED.items()) + " FROM px", "px"))
+def named_masks(spark, d):
+    return V.px(spark, d).select("pid", *[F.expr(e).alias(n) for n, e in NAMED.items()])
+
+
+@query(sql("SELECT pid, CASE WHEN (pcf & 138367) <> 0 THEN 1 ELSE 0 END AS mask FROM px", "px"))
+def polymer_input_mask(spark, d):
+    m = C.bits("INVALID", "CLOUD", "CLOUD_AMBIGUOUS", "CLOUD_SURE", "CLOUD_BUFFER", "CLOUD_SHADOW", "SNOW_ICE", "LAND", "CIRRUS_SURE", "CIRRUS_AMBIGUOUS", "VEG_RISK")
+    return V.px(spark, d).select("pid", C.has_bits(F.col("pcf"), m).cast("int").alias("mask"))
+
+
+ALL_A = [f"a{i}" for i in range(11)]
+NEG = "(" + " OR ".join(f"{a} < 0" for a in ALL_A) + ")"
+GOOD = "(" + " AND ".join(f"{a} >= 0" for a in ALL_A) + ")"
+BAD = "bm & 6392 <> 0"
+
+
+@query(sql(f""", st AS (SELECT * FROM px JOIN ac USING (pid)) SELECT pid, CASE WHEN pcf & 1 = 1 THEN 1 WHEN c2f & 3 <> 0 AND {NEG} AND {BAD} THEN 9
+  WHEN pcf & 6144 <> 0 THEN 5 WHEN pcf & 12 = 4 THEN 7 WHEN pcf & 26 <> 0 THEN 8 WHEN pcf & 262176 <> 0 THEN 6 WHEN pcf & 64 <> 0 THEN 4
+  WHEN pcf & 139264 <> 0 THEN 1 WHEN pcf & 16384 <> 0 AND watermask = 2 THEN 2 WHEN pcf & 16384 <> 0 THEN 3 ELSE 99 END AS pixel_class FROM st""", "px", "ac"))
+def legacy_pixel_class(spark, d):
+    s = V.stack(spark, d)
+    return s.select("pid", W.legacy_class(s, ALL_A).alias("pixel_class"))
+
+
+@query(sql(f""", st AS (SELECT * FROM px JOIN ac USING (pid)) SELECT pid, CASE WHEN c2f & 3 <> 0 THEN 1 ELSE 0 END + CASE WHEN {NEG} THEN 2 ELSE 0 END + CASE WHEN {BAD} THEN 4 ELSE 0 END
+  + CASE WHEN pcf & 16348 <> 0 AND watermask & 2 <> 0 AND c2f & 3 = 0 THEN 8 ELSE 0 END + CASE WHEN pcf & 16348 <> 0 AND watermask & 2 <> 0 AND {GOOD} THEN 16 ELSE 0 END
+  + CASE WHEN pcf & 16348 <> 0 AND watermask & 1 <> 0 AND NOT ({BAD}) THEN 32 ELSE 0 END AS masks FROM st""", "px", "ac"))
+def legacy_masks(spark, d):
+    s = V.stack(spark, d)
+    return s.select("pid", W.legacy_masks(s, ALL_A).alias("masks"))
+
+
+@query(sql("SELECT pid FROM ac WHERE " + " AND ".join(f"p{i} IS NOT NULL AND p{i} >= 0" for i in range(13)), "ac"))
+def valid_pixel_filter(spark, d):
+    ok = F.lit(True)
+    for i in range(13):
+        ok = ok & F.col(f"p{i}").isNotNull() & (F.col(f"p{i}") >= 0)
+    return V.ac(spark, d).where(ok).select("pid")
+
+
+@query(sql("SELECT count(*) FILTER (s2wmask >= 128) AS land, count(*) FILTER (s2wmask BETWEEN 65 AND 127) AS inland, count(*) FILTER (s2wmask <= 64) AS ocean FROM px", "px"))
+def mask_zone_counts(spark, d):
+    return V.px(spark, d).transform(W.mask_zone_counts)
+
+
+@query(sql("SELECT pid, round(CASE WHEN b2 <> 1000 THEN b2 * CAST(1e-4 AS DOUBLE) + CAST(-0.1 AS DOUBLE) END, 6) AS value FROM px", "px"))
+def scale_decode(spark, d):
+    return rounded(V.px(spark, d).select("pid", C.decode_scaled(F.col("b2"), 1e-4, -0.1, 1000).alias("value")), "value")
+
+
+@query(sql("SELECT pid, coalesce(CAST(trunc((p0 - CAST(-0.1 AS DOUBLE)) / CAST(7e-4 AS DOUBLE)) AS INT), 0) AS dn FROM ac", "ac"))
+def scale_encode(spark, d):
+    return V.ac(spark, d).select("pid", C.encode_scaled(F.col("p0"), 7e-4, -0.1).alias("dn"))
+
+
+@query(sql("SELECT pid, round((coalesce(p0, 0) + coalesce(p1, 0) + a0 + a1) / (2 + CASE WHEN p0 IS NULL THEN 0 ELSE 2 END), 6) AS mean, greatest(p0, p1, a0, a1) AS most FROM ac", "ac"))
+def vis_stats(spark, d):
+    mean, most = W.visible_stats(*map(F.col, ("p0", "p1", "a0", "a1")))
+    return rounded(V.ac(spark, d).select("pid", mean.alias("mean"), most.alias("most")), "mean")
+
+
+# --- switching between corrections ----------------------------------------------------------------------------
+
+C_AT, A_AT = W.C2RCC_AT, W.ACOLITE_OBSERVED
+
+
+def _branch(one: str, two: str, both: str, none: str = "NULL") -> str:
+    return f"""CASE WHEN pixel_class NOT IN (2, 3) THEN {none} WHEN ratio <= 10 AND ref >= lim THEN {two} WHEN ratio <= 10 AND above THEN {two.replace('3', '4') if two == '3' else two}
+      WHEN ratio > 10 AND ratio < 20 AND ref >= lim AND both8 IS NOT NULL AND {'TRUE' if both == '2' else both + ' IS NOT NULL'} THEN {both} WHEN ratio >= 20 THEN {one} WHEN ref < lim AND below THEN {one} ELSE {none} END"""
+
+
+def _band(i: int) -> tuple[str, str, str]:
+    one = f"(CASE WHEN {C_AT[i]} > 0 THEN {C_AT[i]} END)" if i in C_AT else "CAST(NULL AS DOUBLE)"
+    two = f"(CASE WHEN {A_AT[i]} > 0 THEN {A_AT[i]} END)" if i in A_AT else "CAST(NULL AS DOUBLE)"
+    return one, two, f"({two} * f2 + {one} * f1)"
+
+
+def _rw(i: int) -> str:
+    one, two, both = _band(i)
+    return _branch(one, two, both).replace("both8 IS NOT NULL AND ", "")
+
+
+COAST = (
+    CLASS
+    + f""", r AS (SELECT *, CASE WHEN c_b8a > 0 THEN c_b8a END AS ref, CASE WHEN c_b8a > 0 AND c_b3 / nullif(c_b8a, 0) > 0 THEN c_b3 / nullif(c_b8a, 0) END AS ratio,
+  CASE WHEN c_b3 = 0 THEN c_b4 > 0 ELSE c_b4 / nullif(c_b3, 0) > 1.1 END AS above, CASE WHEN c_b3 = 0 THEN c_b4 < 0 ELSE c_b4 / nullif(c_b3, 0) < 1.1 END AS below,
+  CAST({0.0005 * math.pi!r} AS DOUBLE) AS lim FROM cl),
+  f AS (SELECT *, ln(ratio / 10) / ln(2::DOUBLE) AS f1, ln(20 / ratio) / ln(2::DOUBLE) AS f2 FROM r),
+  b8 AS (SELECT *, {_band(8)[2]} AS both8 FROM f),
+  w AS (SELECT *, {_branch('1', '3', '2', '0')} AS walgo, {', '.join(f'{_rw(i)} AS rw_{i}' for i in range(13))} FROM b8),
+  co AS (SELECT * EXCLUDE (ref, ratio, above, below, lim, f1, f2, both8), CASE WHEN c2f & 32775 <> 0 AND walgo IN (1, 2) THEN 1 ELSE 0 END
+    + CASE WHEN ({' OR '.join(f'a{i} <= 0' for i in range(9))}) AND walgo >= 2 THEN 2 ELSE 0 END + CASE WHEN walgo IN (1, 2) THEN 8 ELSE 0 END + CASE WHEN walgo >= 2 THEN 16 ELSE 0 END AS flags FROM w)"""
+)
+RWS = [f"rw_{i}" for i in range(13)]
+RW_SQL = ", ".join(f"round({r}, 6) AS {r}" for r in RWS)
+
+
+def _coast(spark, d):
+    return V.stack(spark, d).transform(W.classify).transform(W.coastal_switch)
+
+
+@query(sql("SELECT px.pid, px.s2wmask, ac.c_b3, ac.a0, ac.p0, ac.bm FROM px JOIN ac ON px.pid = ac.pid", "px", "ac"))
+def stack_join(spark, d):
+    return V.stack(spark, d).select("pid", "s2wmask", "c_b3", "a0", "p0", "bm")
+
+
+@query(sql("SELECT pid, a0, a1, a2, a3, a4, a5, a6, a7, a8, a9, CAST(NULL AS DOUBLE) AS a10 FROM ac", "ac"))
+def sensor_band_resolve(spark, d):
+    named = V.ac(spark, d).select("pid", *[F.col(f"a{i}").alias(n) for i, n in enumerate(W.SENSOR_BANDS["S2B"][:10])])
+    return W.resolve_sensor_bands(named)
+
+
+@query(sql(COAST + f" SELECT pid, walgo, {RW_SQL} FROM co", "px", "ac"))
+def coastal_switch(spark, d):
+    return rounded(_coast(spark, d).select("pid", "walgo", *RWS), *RWS)
+
+
+@query(sql(COAST + " SELECT pid, flags FROM co", "px", "ac"))
+def coastal_flags(spark, d):
+    return _coast(spark, d).select("pid", "flags")
+
+
+@query(sql(COAST + " SELECT walgo, count(*) AS n FROM co WHERE pixel_class IN (2, 3) GROUP BY 1", "px", "ac"))
+def coastal_walgo_hist(spark, d):
+    return _coast(spark, d).where("pixel_class in (2, 3)").groupBy("walgo").agg(F.count("*").alias("n"))
+
+
+LUT = "((tanh(4::DOUBLE * {d} / 33 - 2) / 2 * tanh(2::DOUBLE) + 0.5) - (32 - {d})::DOUBLE / 32 * (tanh(-2::DOUBLE) / 2 * tanh(2::DOUBLE) + 0.5) + {d}::DOUBLE / 32 * (1 - (tanh(4::DOUBLE * 32 / 33 - 2) / 2 * tanh(2::DOUBLE) + 0.5)))"
+INLAND = (
+    COAST
+    + f""", z AS (SELECT *, pixel_class = 3 AND s2wmask IN (96, 192, 159) AS inl, pixel_class = 3 AND s2wmask > 64 AND s2wmask < 96 OR pixel_class = 3 AND s2wmask > 160 AND s2wmask < 192 AS tra,
+  CASE WHEN s2wmask < 100 THEN s2wmask - 64 ELSE s2wmask - 160 END AS dist FROM co),
+  zz AS (SELECT *, {LUT.format(d='dist')} AS s FROM z),
+  n1 AS (SELECT * EXCLUDE (flags, {', '.join(RWS)}), {', '.join(f'CASE WHEN inl THEN p{i} WHEN tra THEN s * p{i} + (1 - s) * rw_{i} ELSE rw_{i} END AS rw_{i}' for i in range(13))},
+    CASE WHEN inl THEN ((flags | 32) & 228) WHEN tra THEN (flags | 32) ELSE flags END AS fl FROM zz),
+  n2 AS (SELECT *, CASE WHEN fl & 32 <> 0 AND bm & 1023 <> 0 THEN fl | 4 ELSE fl END AS flags FROM n1),
+  fin AS (SELECT * EXCLUDE (pixel_class), CASE WHEN pixel_class > 0 AND flags & 7 <> 0 THEN 9 ELSE pixel_class END AS pixel_class FROM n2)"""
+)
+
+
+@query(sql(INLAND + " SELECT pid, round(rw_0, 6) AS rw_0, round(rw_8, 6) AS rw_8, round(rw_12, 6) AS rw_12 FROM fin WHERE inl", "px", "ac"))
+def inland_replace(spark, d):
+    zone = _coast(spark, d).where("pixel_class = 3 and s2wmask in (96, 192, 159)")
+    return rounded(W.inland_switch(zone).select("pid", "rw_0", "rw_8", "rw_12"), "rw_0", "rw_8", "rw_12")
+
+
+@query(sql(INLAND + " SELECT pid, round(s, 6) AS weight, round(rw_0, 6) AS rw_0, round(rw_8, 6) AS rw_8 FROM fin WHERE tra", "px", "ac"))
+def transition_blend(spark, d):
+    zone = _coast(spark, d).where("pixel_class = 3 and (s2wmask between 65 and 95 or s2wmask between 161 and 191)")
+    weight = C.transition_weight(F.when(F.col("s2wmask") < 100, F.col("s2wmask") - 64).otherwise(F.col("s2wmask") - 160))
+    return rounded(W.inland_switch(zone.withColumn("weight", weight)).select("pid", "weight", "rw_0", "rw_8"), "weight", "rw_0", "rw_8")
+
+
+@query(sql(INLAND + " SELECT pid, pixel_class, flags FROM fin", "px", "ac"))
+def final_flags(spark, d):
+    return _coast(spark, d).transform(W.inland_switch).select("pid", "pixel_class", "flags")
+
+
+@query(sql(INLAND + " SELECT pid, y, x, " + ", ".join(f"round(rw_{i}, 6) AS Rw{w}" for i, w in enumerate(W.WAVELENGTHS)) + ", pixel_class, flags AS sen2water_flags, pcf AS pixel_classif_flags FROM fin", "px", "ac"))
+def l2w_pipeline(spark, d):
+    return rounded(W.l2w(V.stack(spark, d)), *[f"Rw{w}" for w in W.WAVELENGTHS])
+
+
+# --- resampling -----------------------------------------------------------------------------------------------
+
+B6 = "y // 6 AS y, x // 6 AS x"
+
+
+@query(sql("SELECT y // 6 AS y, x // 6 AS x, dn FROM hi WHERE y % 6 = 2 AND x % 6 = 2", "hi"))
+def down_first(spark, d):
+    return R.downsample(V.hi(spark, d), "first", 6, "dn")
+
+
+@query(sql(f"SELECT {B6}, round(avg(dn), 6) AS dn FROM hi GROUP BY 1, 2", "hi"))
+def down_mean(spark, d):
+    return rounded(R.downsample(V.hi(spark, d), "mean", 6, "dn"), "dn")
+
+
+@query(sql(f"SELECT y // 2 AS y, x // 2 AS x, coalesce(CAST(trunc(avg(nullif(dn, 0))) AS INT), 0) AS dn FROM hi GROUP BY 1, 2", "hi"))
+def down_mean_refl(spark, d):
+    return R.downsample(V.hi(spark, d), "mean", 2, "dn", reflectance=True)
+
+
+@query(sql(f"SELECT {B6}, coalesce(CAST(trunc(median(nullif(dn, 0))) AS INT), 0) AS dn FROM hi GROUP BY 1, 2", "hi"))
+def down_median(spark, d):
+    return R.downsample(V.hi(spark, d), "median", 6, "dn", reflectance=True)
+
+
+@query(sql(f"SELECT {B6}, coalesce(min(nullif(dn, 0)), 0) AS dn FROM hi GROUP BY 1, 2", "hi"))
+def down_min(spark, d):
+    return R.downsample(V.hi(spark, d), "min", 6, "dn", reflectance=True)
+
+
+@query(sql(f"SELECT {B6}, max(fl) AS fl FROM hi GROUP BY 1, 2", "hi"))
+def down_max(spark, d):
+    return R.downsample(V.hi(spark, d), "flagor", 6, "fl")
+
+
+TARGET = ", tgt AS (SELECT y // 6 AS ty, x // 6 AS tx, CAST(round_even(avg(det), 0) AS INT) AS tgt FROM hi GROUP BY 1, 2)"
+
+
+def _target(hi: DataFrame) -> DataFrame:
+    return R.downsample(hi, "majority", 6, "det").withColumnRenamed("det", "tgt")
+
+
+@query(sql(TARGET + f" SELECT {B6}, coalesce(CAST(trunc(avg(CASE WHEN det = tgt AND dn <> 0 THEN dn END)) AS INT), 0) AS dn FROM hi JOIN tgt ON y // 6 = ty AND x // 6 = tx GROUP BY 1, 2", "hi"))
+def down_detectormean(spark, d):
+    hi = V.hi(spark, d)
+    return R.downsample_by_detector(hi, 6, "dn", _target(hi))
+
+
+@query(sql(TARGET + " SELECT ty AS y, tx AS x, tgt AS det FROM tgt", "hi"))
+def down_majority(spark, d):
+    return R.downsample(V.hi(spark, d), "majority", 6, "det")
+
+
+@query(sql(TARGET + f" SELECT {B6}, CASE WHEN max(CAST(det = tgt + (ty + tx) % 2 AS INT)) = 1 THEN max(tgt + (ty + tx) % 2) ELSE 0 END AS master FROM hi JOIN tgt ON y // 6 = ty AND x // 6 = tx GROUP BY 1, 2", "hi"))
+def master_detector(spark, d):
+    hi = V.hi(spark, d)
+    other = _target(hi).withColumn("tgt", F.expr("cast(tgt + (y + x) % 2 as int)"))  # another band's detector
+    return R.master_detector(hi, 6, other)
+
+
+@query(sql(", k AS (SELECT y // 6 AS ky, x // 6 AS kx, det, az, y, x FROM hi), f AS (SELECT ky, kx, det, arg_min(az, y * 1000 + x) AS ref FROM k GROUP BY 1, 2, 3) SELECT k.ky AS y, k.kx AS x, k.det, round(((avg((((az - ref + 540) % 360) + 360) % 360 - 180) + max(ref) + 360) % 360 + 360) % 360, 6) AS az FROM k JOIN f ON k.ky = f.ky AND k.kx = f.kx AND k.det = f.det GROUP BY 1, 2, 3", "hi"))
+def circular_detector_mean(spark, d):
+    return rounded(R.circular_mean(V.hi(spark, d), 6, "az"), "az")
+
+
+@query(sql(", o AS (SELECT unnest(range(3)) AS o) SELECT y * 3 + a.o AS y, x * 3 + b.o AS x, dn FROM hi, o a, o b", "hi"))
+def up_nearest(spark, d):
+    return R.upsample_nearest(V.hi(spark, d), 3, "dn")
+
+
+def _bilinear(f: int, kind: str, value: str = "dn") -> str:
+    off = f / 2 + 0.5
+    o = int(off)
+    term = lambda w, v: f"CASE WHEN {v} = 0 THEN 0 ELSE coalesce(({w}) * {v}, 0) END" if kind == "refl" else f"({w}) * {v}"
+    turn = lambda v: f"((({v} - ref + 540) % 360 + 360) % 360 - 180)" if kind == "az" else v
+    total = " + ".join(term(w, turn(v)) for w, v in (("(1 - wy) * (1 - wx)", "p.v"), ("(1 - wy) * wx", "q.v"), ("wy * (1 - wx)", "s.v"), ("wy * wx", "t.v")))
+    if kind == "az":
+        total = f"((({total}) + ref + 540) % 360 + 360) % 360 - 180"
+    return f""", s0 AS (SELECT y, x, CAST({value} AS DOUBLE) AS v FROM hi WHERE y < 12), m AS (SELECT max(y) AS my, max(x) AS mx FROM s0),
+    r AS (SELECT y, x, v FROM s0 UNION ALL SELECT -1, a.x, 2 * a.v - b.v FROM s0 a JOIN s0 b ON a.x = b.x AND a.y = 0 AND b.y = 1
+      UNION ALL SELECT my + 1, a.x, 2 * a.v - b.v FROM m, s0 a JOIN s0 b ON a.x = b.x AND b.y = a.y - 1 WHERE a.y = my),
+    g AS (SELECT y, x, v FROM r UNION ALL SELECT a.y, -1, 2 * a.v - b.v FROM r a JOIN r b ON a.y = b.y AND a.x = 0 AND b.x = 1
+      UNION ALL SELECT a.y, mx + 1, 2 * a.v - b.v FROM m, r a JOIN r b ON a.y = b.y AND b.x = a.x - 1 WHERE a.x = mx),
+    o AS (SELECT y, x, (y + {o}) // {f} AS cy, (x + {o}) // {f} AS cx FROM (SELECT unnest(range((my + 1) * {f})) AS y FROM m), (SELECT unnest(range((mx + 1) * {f})) AS x FROM m)),
+    w AS (SELECT *, (y - cy * {f} + {off}::DOUBLE) / {f} AS wy, (x - cx * {f} + {off}::DOUBLE) / {f} AS wx, (SELECT v FROM s0 WHERE y = 0 AND x = 0) AS ref FROM o)
+    SELECT w.y, w.x, round({total}, 4) AS {value} FROM w JOIN g p ON p.y = cy - 1 AND p.x = cx - 1 JOIN g q ON q.y = cy - 1 AND q.x = cx JOIN g s ON s.y = cy AND s.x = cx - 1 JOIN g t ON t.y = cy AND t.x = cx"""
+
+
+@query(sql(_bilinear(3, "plain"), "hi"))
+def up_bilinear(spark, d):
+    return rounded(R.upsample_bilinear(V.hi(spark, d).where("y < 12"), 3, "dn", 12, 60), "dn", digits=4)
+
+
+@query(sql(_bilinear(2, "refl"), "hi"))
+def up_bilinear_refl(spark, d):
+    return rounded(R.upsample_bilinear(V.hi(spark, d).where("y < 12"), 2, "dn", 12, 60, reflectance=True), "dn", digits=4)
+
+
+@query(sql(_bilinear(6, "az", "az"), "hi"))
+def up_bilinear_azimuth(spark, d):
+    return rounded(R.upsample_bilinear(V.hi(spark, d).where("y < 12"), 6, "az", 12, 60, azimuth=True), "az", digits=4)
+
+
+@query(sql(", a AS (SELECT y, x, unnest(list_distinct([CAST(floor((y - 2) / 20.0) AS BIGINT), y // 20, (y + 2) // 20])) AS ty FROM hi), b AS (SELECT *, unnest(list_distinct([CAST(floor((x - 2) / 20.0) AS BIGINT), x // 20, (x + 2) // 20])) AS tx FROM a) SELECT ty, tx, count(*) AS n, count(*) FILTER (ty = y // 20 AND tx = x // 20) AS own FROM b WHERE ty >= 0 AND tx >= 0 GROUP BY 1, 2", "hi"))
+def halo_neighbors(spark, d):
+    return R.halo_tiles(V.hi(spark, d), 20, 2).groupBy("ty", "tx").agg(F.count("*").alias("n"), F.count_if("own").alias("own"))
+
+
+@query(sql(f"SELECT {B6}, coalesce(CAST(trunc(avg(nullif(dn, 0))) AS INT), 0) AS dn, CAST(round_even(avg(det), 0) AS INT) AS det, max(CASE WHEN y % 6 = 2 AND x % 6 = 2 THEN fl END) AS fl FROM hi GROUP BY 1, 2", "hi"))
+def resample_stack(spark, d):
+    return R.resample_stack(V.hi(spark, d), 6)
+
+
+# --- interpolation --------------------------------------------------------------------------------------------
+
+GRID_SQL = ", px1 AS (SELECT i // 183 AS y, i % 183 AS x FROM range(33489) t(i))"
+CELL = "(y * 600 + 300) // 5000 AS r, (x * 600 + 300) // 5000 AS c, ((y * 600 + 300) % 5000)::DOUBLE / 5000 AS wy, ((x * 600 + 300) % 5000)::DOUBLE / 5000 AS wx"
+MIX = "(1 - wy) * (1 - wx) * {0} + (1 - wy) * wx * {1} + wy * (1 - wx) * {2} + wy * wx * {3}"
+
+
+@query("SELECT i // 100 AS y, i % 100 AS x FROM range(15000) t(i)")
+def grid_generate(spark, d):
+    return I.pixel_grid(spark, 150, 100)
+
+
+@query(sql(GRID_SQL + f", k AS (SELECT y, x, {CELL} FROM px1) SELECT k.y, k.x, round({MIX.format('a.zenith', 'b.zenith', 'e.zenith', 'f.zenith')}, 6) AS zenith FROM k JOIN tp a ON a.r = k.r AND a.c = k.c JOIN tp b ON b.r = k.r AND b.c = k.c + 1 JOIN tp e ON e.r = k.r + 1 AND e.c = k.c JOIN tp f ON f.r = k.r + 1 AND f.c = k.c + 1", "tp"))
+def tp_interpolate(spark, d):
+    return rounded(I.tie_points(I.pixel_grid(spark, 183, 183), V.tp(spark), "zenith", res=600), "zenith")
+
+
+DET = "5 + ((x + y // 8) // 24) % 8"
+
+
+def _by_detector(value: str) -> str:
+    g = ", g AS (SELECT det, r, c, " + ("((va - ref + 540) % 360 + 360) % 360 - 180 AS v, ref FROM tpd JOIN rf USING (det)" if value == "va" else "vz AS v, 0 AS ref FROM tpd") + f" WHERE {value} IS NOT NULL)"
+    rf = ", rf AS (SELECT det, arg_min(va, r * 100 + c) AS ref FROM tpd WHERE va IS NOT NULL GROUP BY 1)" if value == "va" else ""
+    out = MIX.format("a.v", "b.v", "e.v", "f.v")
+    out = f"(({out} + a.ref + 360) % 360 + 360) % 360" if value == "va" else out
+    join = " ".join(f"LEFT JOIN g {n} ON {n}.det = k.det AND {n}.r = k.r + {i} AND {n}.c = k.c + {j}" for n, i, j in (("a", 0, 0), ("b", 0, 1), ("e", 1, 0), ("f", 1, 1)))
+    return sql(f"{GRID_SQL}{rf}{g}, k AS (SELECT y, x, {DET} AS det, {CELL} FROM px1) SELECT k.y, k.x, k.det, round({out}, 6) AS {value} FROM k {join}", "tpd")
+
+
+@query(_by_detector("vz"))
+def angle_by_detector(spark, d):
+    pixels = I.pixel_grid(spark, 183, 183).withColumn("det", F.expr(DET.replace("//", "div")))
+    return rounded(I.angles_by_detector(pixels, V.tpd(spark), "vz", res=600), "vz")
+
+
+@query(_by_detector("va"))
+def azimuth_by_detector(spark, d):
+    pixels = I.pixel_grid(spark, 183, 183).withColumn("det", F.expr(DET.replace("//", "div")))
+    return rounded(I.angles_by_detector(pixels, V.tpd(spark), "va", res=600, azimuth=True), "va")
+
+
+@query(sql(""", k AS (SELECT det, r, c, tan(radians(vz)) * cos(radians(va)) AS u, tan(radians(vz)) * sin(radians(va)) AS v FROM tpd WHERE vz IS NOT NULL),
+  dc AS (SELECT a.det, avg(b.u - a.u) AS du, avg(b.v - a.v) AS dv FROM k a JOIN k b ON a.det = b.det AND a.r = b.r AND b.c = a.c + 1 GROUP BY 1),
+  dr AS (SELECT a.det, avg(b.u - a.u) AS du, avg(b.v - a.v) AS dv FROM k a JOIN k b ON a.det = b.det AND a.c = b.c AND b.r = a.r + 1 GROUP BY 1),
+  pl AS (SELECT k.det, any_value(dc.du) AS uc, any_value(dr.du) AS ur, any_value(dc.dv) AS vc, any_value(dr.dv) AS vr, avg(u - dc.du * c - dr.du * r) AS u0, avg(v - dc.dv * c - dr.dv * r) AS v0 FROM k JOIN dc USING (det) JOIN dr USING (det) GROUP BY 1)
+  SELECT t.det, t.r, t.c, round(CASE WHEN t.vz IS NOT NULL THEN t.vz WHEN n.near THEN degrees(atan(sqrt(pow(uc * t.c + ur * t.r + u0, 2) + pow(vc * t.c + vr * t.r + v0, 2)))) END, 6) AS vz,
+    round(CASE WHEN t.va IS NOT NULL THEN t.va WHEN n.near THEN degrees(atan2(vc * t.c + vr * t.r + v0, uc * t.c + ur * t.r + u0)) END, 6) AS va
+  FROM tpd t JOIN pl USING (det) LEFT JOIN (SELECT DISTINCT t.det, t.r, t.c, TRUE AS near FROM tpd t JOIN k ON k.det = t.det AND abs(k.r - t.r) <= 1 AND abs(k.c - t.c) <= 1) n ON n.det = t.det AND n.r = t.r AND n.c = t.c""", "tpd"))
+def angle_plane_fill(spark, d):
+    return rounded(I.fill_by_plane(V.tpd(spark)), "vz", "va")
+
+
+@query(sql(", f AS (SELECT det, arg_min(va, r * 100 + c) AS ref FROM tpd WHERE va IS NOT NULL GROUP BY 1) SELECT det, r, c, round(((va - ref + 540) % 360 + 360) % 360 - 180, 6) AS rel, round(((((va - ref + 540) % 360 + 360) % 360 - 180 + ref + 360) % 360 + 360) % 360, 6) AS back FROM tpd JOIN f USING (det) WHERE va IS NOT NULL", "tpd"))
+def angle_normalise(spark, d):
+    t = V.tpd(spark).where("va is not null")
+    first = t.groupBy("det").agg(F.min_by("va", F.struct("r", "c")).alias("ref"))
+    out = t.join(F.broadcast(first), "det").withColumn("rel", C.about(F.col("va"), F.col("ref")))  # a row for each of 12 detectors
+    return rounded(out.select("det", "r", "c", "rel", C.around(F.col("rel"), F.col("ref")).alias("back")), "rel", "back")
+
+
+ANGLES = ["az", "(az + det * 3) % 360", "CASE WHEN fl <> 0 THEN (az + 20) % 360 END"]
+
+
+@query(sql(f", t AS (SELECT y, x, {', '.join(f'{a} AS a{i}' for i, a in enumerate(ANGLES))} FROM hi), u AS (SELECT *, greatest(a0, a1, a2) > 270 AS turn FROM t), w AS (SELECT y, x, turn, {', '.join(f'CASE WHEN turn THEN (a{i} + 180) % 360 ELSE a{i} END AS a{i}' for i in range(3))} FROM u), m AS (SELECT y, x, turn, (a0 + a1 + coalesce(a2, 0)) / (CASE WHEN a2 IS NULL THEN 2 ELSE 3 END) AS m FROM w) SELECT y, x, round(CASE WHEN turn THEN (m + 180) % 360 ELSE m END, 6) AS azimuth FROM m", "hi"))
+def mean_angles(spark, d):
+    return rounded(V.hi(spark, d).select("y", "x", I.mean_angle(*map(F.expr, ANGLES), azimuth=True).alias("azimuth")), "azimuth")
+
+
+def _anc_sql(lon0: str, lonp: str, shift: bool) -> str:
+    turn = lambda c: f"((({c} + 360) % 360) + 360) % 360 - 180" if shift else c
+    return sql(f""", g AS (SELECT i, j, lat, {turn(lon0)} AS glon, value FROM anc), p AS (SELECT n // 60 AS y, n % 60 AS x, 54.05::DOUBLE - 0.0153::DOUBLE * (n // 60) AS la, {turn(lonp)} AS lo FROM range(3600) t(n)),
+  e AS (SELECT 54::DOUBLE AS t0, max(CASE WHEN i = 8 THEN lat END) AS t1, max(CASE WHEN j = 0 THEN glon END) AS n0, max(CASE WHEN j = 8 THEN glon END) AS n1 FROM g),
+  q AS (SELECT y, x, (CASE WHEN la > t0 THEN t0 WHEN la <= t1 THEN t1 - 0.0001::DOUBLE * ((t1 - t0) / 8) ELSE la END - t0) / ((t1 - t0) / 8) AS py, (CASE WHEN lo < n0 THEN n0 WHEN lo >= n1 THEN n1 - 0.0001::DOUBLE * ((n1 - n0) / 8) ELSE lo END - n0) / ((n1 - n0) / 8) AS px FROM p, e),
+  k AS (SELECT y, x, CAST(trunc(py) AS INT) AS r, CAST(trunc(px) AS INT) AS c, py - trunc(py) AS wy, px - trunc(px) AS wx FROM q)
+  SELECT k.y, k.x, round({MIX.format('a.value', 'b.value', 'e.value', 'f.value')}, 6) AS value FROM k JOIN anc a ON a.i = k.r AND a.j = k.c JOIN anc b ON b.i = k.r AND b.j = k.c + 1 JOIN anc e ON e.i = k.r + 1 AND e.j = k.c JOIN anc f ON f.i = k.r + 1 AND f.j = k.c + 1""", "anc")
+
+
+def _points(spark, lon: float) -> DataFrame:
+    return I.pixel_grid(spark, 60, 60).select("y", "x", (F.lit(54.05) - F.lit(0.0153) * F.col("y")).alias("lat"), (F.lit(lon) + F.lit(0.0221) * F.col("x")).alias("lon"))
+
+
+@query(_anc_sql("lon", "8.95::DOUBLE + 0.0221::DOUBLE * (n % 60)", False))
+def ancillary_interpolate(spark, d):
+    return rounded(I.ancillary(_points(spark, 8.95), V.anc(spark), "value"), "value")
+
+
+@query(_anc_sql("CASE WHEN lon + 170.5 >= 180 THEN lon + 170.5 - 360 ELSE lon + 170.5 END", "179.45::DOUBLE + 0.0221::DOUBLE * (n % 60)", True))
+def ancillary_antimeridian(spark, d):
+    grid = V.anc(spark).withColumn("lon", F.expr("case when lon + 170.5 >= 180 then lon + 170.5 - 360 else lon + 170.5 end"))
+    return rounded(I.ancillary(_points(spark, 179.45), grid, "value"), "value")
+
+
+@query(sql("SELECT string_agg(printf('%.6f', sqrt(value * value + (value / 2) * (value / 2))), ',' ORDER BY i, j) AS wind, count(*) AS n FROM anc", "anc"))
+def wind_speed_grid(spark, d):
+    one = V.anc(spark).select("i", "j", F.sqrt(F.col("value") ** 2 + (F.col("value") / 2) ** 2).alias("w"))
+    return one.agg(F.array_sort(F.collect_list(F.struct("i", "j", "w"))).alias("a"), F.count("*").alias("n")).select(
+        F.expr("array_join(transform(a, v -> format_string('%.6f', v.w)), ',')").alias("wind"), "n"
+    )
+
+
+@query(sql(", l AS (SELECT DISTINCT j, ((CASE WHEN lon + 170.5 >= 180 THEN lon + 170.5 - 360 ELSE lon + 170.5 END) % 360 + 360) % 360 AS m FROM anc), o AS (SELECT row_number() OVER (ORDER BY m) - 1 AS pos, m FROM l) SELECT pos, round(CASE WHEN m >= 180 THEN m - 360 ELSE m END, 6) AS lon FROM o", "anc"))
+def antimeridian_sort(spark, d):
+    lon = F.expr("case when lon + 170.5 >= 180 then lon + 170.5 - 360 else lon + 170.5 end")
+    one = V.anc(spark).where("i = 0").agg(F.collect_list(lon).alias("lons"))
+    out = one.select(F.posexplode(S.sorted_longitudes(F.col("lons"))).alias("pos", "lon"))
+    return rounded(out.select(F.col("pos").cast("long").alias("pos"), "lon"), "lon")
+
+
+def _series(coefs, a: str, b: str, fa: str, fb: str, sign: str) -> str:
+    return "".join(f" {sign} {c!r}::DOUBLE * {fa}({2 * j}::DOUBLE * {a}) * {fb}({2 * j}::DOUBLE * {b})" for j, c in enumerate(coefs, 1))
+
+
+SCALE = repr(C._K0 * C._RADIUS)
+EXCENTRIC = repr(2 * math.sqrt(C._N) / (1 + C._N))
+
+
+@query(sql(f""", a AS (SELECT pid, CAST(5600000 + y * 60 AS DOUBLE) / {SCALE}::DOUBLE AS xi, (CAST(600000 + x * 60 AS DOUBLE) - 500000) / {SCALE}::DOUBLE AS eta FROM px),
+  b AS (SELECT pid, xi{_series(C.INVERSE, 'xi', 'eta', 'sin', 'cosh', '-')} AS x1, eta{_series(C.INVERSE, 'xi', 'eta', 'cos', 'sinh', '-')} AS e1 FROM a),
+  c AS (SELECT *, asin(sin(x1) / cosh(e1)) AS chi FROM b)
+  SELECT pid, round(degrees(chi{''.join(f' + {k!r}::DOUBLE * sin({2 * j}::DOUBLE * chi)' for j, k in enumerate(C.LATITUDE, 1))}), 6) AS lat, round(9 + degrees(atan2(sinh(e1), cos(x1))), 6) AS lon FROM c""", "px"))
+def utm_to_wgs84(spark, d):
+    lat, lon = C.utm_to_geographic((F.col("x") * 60 + 600000).cast("double"), (F.col("y") * 60 + 5600000).cast("double"), 32)
+    return rounded(V.px(spark, d).select("pid", lat.alias("lat"), lon.alias("lon")), "lat", "lon")
+
+
+# --- static masks ---------------------------------------------------------------------------------------------
+
+N4 = "(abs(g.y - r.y) + abs(g.x - r.x)) = 1"
+N8 = "abs(g.y - r.y) <= 1 AND abs(g.x - r.x) <= 1"
+OFF4 = "(VALUES (0, 1), (0, -1), (1, 0), (-1, 0)) AS o(oy, ox)"
+OFF8 = "(VALUES (0, 1), (0, -1), (1, 0), (-1, 0), (1, 1), (1, -1), (-1, 1), (-1, -1)) AS o(oy, ox)"
+
+
+def _reach(name: str, table: str, source: str, dest: int, steps: int, off: str) -> str:
+    return f", {name} AS (SELECT y, x, 0 AS s FROM {table} WHERE {source} UNION SELECT g.y, g.x, r.s + 1 FROM {name} r, {off}, {table} g WHERE g.y = r.y + oy AND g.x = r.x + ox AND g.code = {dest} AND r.s < {steps})"
+
+
+def _dilated(table: str, source: str, dest: int, insert: int, steps: int, off: str, name: str = "rc") -> str:
+    return _reach(name, table, source, dest, steps, off) + f", {name}_m AS (SELECT g.y, g.x, CASE WHEN g.code = {dest} AND t.y IS NOT NULL THEN {insert} ELSE g.code END AS code FROM {table} g LEFT JOIN (SELECT DISTINCT y, x FROM {name}) t ON t.y = g.y AND t.x = g.x)"
+
+
+@query(sql(_dilated("grid", "code = 64", 192, 160, 1, OFF4) + " SELECT y, x, code FROM rc_m", "grid", recursive=True))
+def dilate_step(spark, d):
+    return M.dilate(V.grid(spark, d), (64, 64), 192, 160, 1)
+
+
+@query(sql(_dilated("grid", "code = 64", 192, 160, 7, OFF4) + " SELECT y, x, code FROM rc_m", "grid", recursive=True))
+def dilate_n(spark, d):
+    return M.dilate(V.grid(spark, d), (64, 64), 192, 160, 7)
+
+
+@query(sql(_dilated("grid", "code BETWEEN 64 AND 96", 192, 161, 1, OFF8) + " SELECT y, x, code FROM rc_m", "grid", recursive=True))
+def dilate_range(spark, d):
+    return M.dilate(V.grid(spark, d), (64, 96), 192, 161, 1, eight=True, insert_grows=False)
+
+
+@query(sql(_dilated("grid", "code IN (64, 160)", 192, 160, 28, OFF8) + " SELECT y, x, code FROM rc_m", "grid", recursive=True))
+def coastal_band(spark, d):
+    return M.dilate(V.grid(spark, d), (64, 64), 192, 160, 28, eight=True)
+
+
+@query(sql(_dilated("grid", "code = 64", 96, 64, 12, OFF4, "fw") + _dilated("fw_m", "code = 96", 64, 96, 12, OFF4, "bw") + " SELECT y, x, code FROM bw_m", "grid", recursive=True))
+def mask_open(spark, d):
+    return M.opened(V.grid(spark, d), 64, 96, 12)
+
+
+@query(sql(f", r AS (SELECT y, x, 0 AS s FROM grid WHERE code = 64 UNION SELECT g.y, g.x, r.s + 1 FROM r, {OFF8}, grid g WHERE g.y = r.y + oy AND g.x = r.x + ox AND g.code = 96 AND r.s < 32 AND (r.s >= 2 OR oy = 0 OR ox = 0)) SELECT g.y, g.x, CASE WHEN g.code = 96 AND t.s IS NOT NULL THEN 64 + t.s ELSE g.code END AS code FROM grid g LEFT JOIN (SELECT y, x, min(s) AS s FROM r GROUP BY 1, 2) t ON t.y = g.y AND t.x = g.x", "grid", recursive=True))
+def distance_label(spark, d):
+    return M.distance_labels(V.grid(spark, d))
+
+
+@query(sql("SELECT y, x, CASE WHEN alt >= 3 THEN 192 WHEN alt = 2 THEN 96 WHEN alt = 0 THEN 64 ELSE 3 END AS code FROM grid", "grid"))
+def mask_combine(spark, d):
+    return V.grid(spark, d).select("y", "x", M.combine(F.col("alt") >= 3, F.col("alt") == 2, F.col("alt") == 0).alias("code"))
+
+
+@query(sql("SELECT y, x, CASE WHEN alt = 0 THEN code WHEN alt = 1 AND (y + x) % 4 = 3 THEN 3 ELSE alt END AS code FROM grid", "grid"))
+def mask_overlay(spark, d):
+    other = F.when(F.col("alt") == 0, F.col("code")).otherwise((F.col("y") + F.col("x")) % 4)
+    return V.grid(spark, d).select("y", "x", M.overlay(F.col("alt"), other).cast("int").alias("code"))
+
+
+@query(sql("SELECT y, x, [0, 192, 64, 160, 128][alt + 1] AS code FROM grid", "grid"))
+def mask_recode(spark, d):
+    return V.grid(spark, d).select("y", "x", M.recode(F.col("alt")).alias("code"))
+
+
+# --- geography ------------------------------------------------------------------------------------------------
+
+TILE_SQL = "CAST(trunc((90 - CAST(trunc(lat) AS INT)) / 3.0) AS INT) AS j, CAST(trunc((180 + CAST(trunc(lon) AS INT)) / 3.0) AS INT) AS i"
+
+
+def _tiles(spark, d):
+    j, i = S.tile_of(F.col("lon"), F.col("lat"))
+    return V.geo(spark, d).withColumns({"j": j, "i": i})
+
+
+@query(sql(f"SELECT event_id, {TILE_SQL} FROM geo", "geo"))
+def tile_index(spark, d):
+    return _tiles(spark, d).select("event_id", "j", "i")
+
+
+@query(sql(f", t AS (SELECT event_id, {TILE_SQL} FROM geo) SELECT j, i, count(*) AS n FROM t WHERE EXISTS (SELECT 1 FROM range(7200) k(n) WHERE n % 7 = 0 AND n // 120 = t.j AND n % 120 = t.i) GROUP BY 1, 2", "geo"))
+def tile_semi_join(spark, d):
+    known = spark.range(7200).where("id % 7 = 0").selectExpr("cast(id div 120 as int) as j", "cast(id % 120 as int) as i")
+    return _tiles(spark, d).join(known, ["j", "i"], "left_semi").groupBy("j", "i").agg(F.count("*").alias("n"))
+
+
+@query(sql(""", a AS (SELECT event_id // 10 AS ring, event_id % 10 AS n, CAST(trunc((90 - lat) / 3) AS INT) AS j, CAST(trunc((180 + lon) / 3) AS INT) AS i FROM geo WHERE event_id < 400),
+  e AS (SELECT p.ring, p.j AS j1, q.j AS j2, p.i AS i1, q.i AS i2 FROM a p JOIN a q ON p.ring = q.ring AND q.n = p.n + 1),
+  r AS (SELECT ring, unnest(range(least(j1, j2), greatest(j1, j2) + 1)) AS j, least(i1, i2) AS lo, greatest(i1, i2) AS hi FROM e)
+  SELECT DISTINCT ring, j, ii % 120 AS i FROM (SELECT ring, j, unnest(CASE WHEN hi - lo <= 60 THEN range(lo, hi + 1) ELSE range(hi, lo + 121) END) AS ii FROM r)""", "geo"))
+def edge_tiles(spark, d):
+    rings = V.geo(spark, d).where("event_id < 400").selectExpr("event_id div 10 as ring", "event_id % 10 as n", "lon", "lat")
+    return S.edge_tiles(rings)
+
+
+@query(sql(", f AS (SELECT arg_min(lon, event_id) AS ref FROM geo WHERE lat BETWEEN 50 AND 60 AND abs(lon) > 170), p AS (SELECT lat, ((lon - ref + 540) % 360 + 360) % 360 - 180 AS d, ref FROM geo, f WHERE lat BETWEEN 50 AND 60 AND abs(lon) > 170) SELECT min(lat) AS lat_min, max(lat) AS lat_max, round(min(d) + min(ref), 6) AS lon_min, round(max(d) + min(ref), 6) AS lon_max FROM p", "geo"))
+def bbox_extent(spark, d):
+    return rounded(S.extent(V.geo(spark, d).where("lat between 50 and 60 and abs(lon) > 170")), "lon_min", "lon_max")
+
+
+@query(sql("SELECT event_id, lon, lat FROM geo WHERE lat BETWEEN 45 AND 60 AND lon BETWEEN -20 AND 30 AND event_id % CAST(trunc(1 / cos(radians(52.5::DOUBLE))) AS INT) = 0", "geo"))
+def bbox_subset(spark, d):
+    step = int(1 / math.cos(math.radians(52.5)))
+    return V.geo(spark, d).where(f"lat between 45 and 60 and lon between -20 and 30 and event_id % {step} = 0").select("event_id", "lon", "lat")
+
+
+@query(sql("SELECT event_id, lon AS x FROM geo WHERE lon >= 175 UNION ALL SELECT event_id, lon + 360 FROM geo WHERE lon < -175", "geo"))
+def antimeridian_union(spark, d):
+    g = V.geo(spark, d)
+    return g.where("lon >= 175").select("event_id", F.col("lon").alias("x")).unionByName(g.where("lon < -175").select("event_id", (F.col("lon") + 360).alias("x")))
+
+
+FULL = "(SELECT CAST(n // 120 AS INT) AS j, CAST(n % 120 AS INT) AS i FROM range(7200) k(n))"
+BINNED = f", t AS (SELECT {TILE_SQL}, cls IS NOT NULL AND cls <> 80 AS land FROM geo), b AS (SELECT j, i, count(*) AS n, count(*) FILTER (land) AS n1 FROM t GROUP BY 1, 2)"
+
+
+def _binned(spark, d):
+    full = spark.range(7200).selectExpr("cast(id div 120 as int) as j", "cast(id % 120 as int) as i")
+    return _tiles(spark, d).withColumn("land", F.expr("cls is not null and cls <> 80")), full
+
+
+@query(sql(BINNED + f" SELECT f.j, f.i, 2 * coalesce(n1, 0) >= coalesce(n, 0) AS land FROM {FULL} f LEFT JOIN b ON b.j = f.j AND b.i = f.i", "geo"))
+def bin_majority(spark, d):
+    return M.majority_land(*_binned(spark, d))
+
+
+@query(sql(BINNED + f" SELECT f.j, f.i, CAST(coalesce((n1 + n // 2) // n, 0) AS INT) AS land FROM {FULL} f LEFT JOIN b ON b.j = f.j AND b.i = f.i", "geo"))
+def bin_majority_tie(spark, d):
+    return M.majority_tie(*_binned(spark, d))
+
+
+NEAR = "CAST(500000 + (event_id * 7919) % 10000 AS DOUBLE) / 10000 AS la, CAST(90000 + (event_id * 104729) % 10000 AS DOUBLE) / 10000 AS lo"
+
+
+@query(sql(f""", p AS (SELECT radians(CAST(500000 + (event_id * 7919) % 10000 AS DOUBLE) / 10000) AS phi, radians(CAST(90000 + (event_id * 104729) % 10000 AS DOUBLE) / 10000 - 9) AS lam FROM geo),
+  s AS (SELECT lam, sinh(atanh(sin(phi)) - {EXCENTRIC}::DOUBLE * atanh({EXCENTRIC}::DOUBLE * sin(phi))) AS t FROM p),
+  x AS (SELECT atan2(t, cos(lam)) AS xi, asinh(sin(lam) / sqrt(t * t + cos(lam) * cos(lam))) AS eta FROM s),
+  u AS (SELECT 500000 + {SCALE}::DOUBLE * (eta{_series(C.FORWARD, 'xi', 'eta', 'cos', 'sinh', '+')}) AS e, {SCALE}::DOUBLE * (xi{_series(C.FORWARD, 'xi', 'eta', 'sin', 'cosh', '+')}) AS n FROM x),
+  c AS (SELECT CAST(trunc((5650000 - n + 30) / 60) AS INT) AS r, CAST(trunc((e - 500000 + 30) / 60) AS INT) AS c FROM u WHERE (5650000 - n + 30) / 60 > -1 AND (e - 500000 + 30) / 60 > -1)
+  SELECT r // 50 AS r, c // 50 AS c, count(*) AS n FROM c WHERE r >= 0 AND r < 1830 AND c >= 0 AND c < 1830 GROUP BY 1, 2""", "geo"))
+def reproject_bin(spark, d):
+    at = V.geo(spark, d).selectExpr("cast(500000 + (event_id * 7919) % 10000 as double) / 10000 as la", "cast(90000 + (event_id * 104729) % 10000 as double) / 10000 as lo")
+    e, n = C.geographic_to_utm(F.col("la"), F.col("lo"), 32)
+    cells = at.select(((F.lit(5650000.0) - n + 30) / 60).alias("fr"), ((e - 500000 + 30) / 60).alias("fc"))
+    cells = cells.select(F.col("fr").cast("int").alias("r"), F.col("fc").cast("int").alias("c")).where("r between 0 and 1829 and c between 0 and 1829")
+    return cells.groupBy(F.expr("r div 50").alias("r"), F.expr("c div 50").alias("c")).agg(F.count("*").alias("n"))
+
+
+@query(sql("SELECT event_id, coalesce(cls <> 80, FALSE) AS land FROM geo", "geo"))
+def landcover_mask(spark, d):
+    return V.geo(spark, d).select("event_id", ((F.col("cls") != 80) & F.col("cls").isNotNull()).alias("land"))
+
+
+# --- names and metadata ---------------------------------------------------------------------------------------
+
+SCENES = ["S2A_MSIL1C_20230611T103631_N0509_R008_T32UME_20230611T142059", "S2B_MSIL1C_20190228T235959_N0207_R135_T01CDQ_20190301T010203", "S2C_MSIL1C_20250101T000001_N0511_R001_T60WWV_20250101T020304"]
+SCENES_SQL = " UNION ALL ".join(f"SELECT '{s}' AS name" for s in SCENES)
+PATTERN = r"S2(.)_MSIL1C_(\d{8}T\d{6})_N(\d{4})_R(\d{3})_(T\w{5})_"
+GROUP = lambda i: f"regexp_extract(name, '{PATTERN}', {i})"
+
+
+def _scenes(spark):
+    paths = spark.createDataFrame([(f"/in/{s}.{x}",) for s, x in zip(SCENES, ("zip", "SAFE", "SAFE"), strict=True)], "path string")
+    return paths.select(S.input_id(F.col("path")).alias("name"))
+
+
+@query(f"WITH s AS ({SCENES_SQL}), t AS (SELECT name, strptime({GROUP(2)}, '%Y%m%dT%H%M%S') AS ts FROM s) SELECT name, 'S2' || {GROUP(1)} AS platform, strftime(ts, '%Y-%m-%d %H:%M:%S') AS start, upper(strftime(ts, '%d-%b-%Y')) AS day, {GROUP(3)} AS version, CAST({GROUP(4)} AS INT) AS orbit, {GROUP(5)} AS granule FROM t")
+def scene_id_parse(spark, d):
+    return _scenes(spark).select("name", *S.parse_scene())
+
+
+@query(f"WITH s AS ({SCENES_SQL}) SELECT name, 'S2' || {GROUP(1)} || '_L2W_' || {GROUP(2)} || '_N' || substr({GROUP(3)}, 1, 2) || '.' || substr({GROUP(3)}, 3, 2) || '_R' || {GROUP(4)} || '_' || {GROUP(5)} AS id FROM s")
+def scene_id_format(spark, d):
+    return _scenes(spark).select("name", S.format_scene().alias("id"))
+
+
+@query("SELECT '60.0,0.0,0.0,-60.0,399960.0,5900040.0' AS i2m")
+def geotransform_i2m(spark, d):
+    return spark.createDataFrame([("399960.0 60.0 0.0 5900040.0 0.0 -60.0",)], "g string").select(S.i2m(F.col("g")).alias("i2m"))
+
+
+NAMES = ["N36E105", "S03W060", "N00E000", "N81W180", "S60E177"]
+
+
+@query("WITH t AS (" + " UNION ALL ".join(f"SELECT '{n}' AS name" for n in NAMES) + ") SELECT name, CAST(trunc((87 - CAST(substr(name, 2, 2) AS INT) * CASE WHEN name[1] = 'N' THEN 1 ELSE -1 END) / 3.0) AS INT) AS j, CAST(trunc((180 + CAST(substr(name, 5, 3) AS INT) * CASE WHEN name[4] = 'E' THEN 1 ELSE -1 END) / 3.0) AS INT) AS i FROM t")
+def tile_name_parse(spark, d):
+    j, i = S.tile_name("name")
+    return spark.createDataFrame([(n,) for n in NAMES], "name string").select("name", j.alias("j"), i.alias("i"))
+
+
+XML = "<g><Sun_Angles_Grid><Zenith><Values_List><VALUES>31.5 31.25 NaN</VALUES><VALUES>30 29.75 29.5</VALUES></Values_List></Zenith></Sun_Angles_Grid></g>"
+
+
+@query("SELECT * FROM (VALUES (0, 0, 31.5::DOUBLE), (0, 1, 31.25::DOUBLE), (0, 2, NULL), (1, 0, 30::DOUBLE), (1, 1, 29.75::DOUBLE), (1, 2, 29.5::DOUBLE)) t(r, c, value)")
+def xml_grid_parse(spark, d):
+    one = spark.createDataFrame([(XML,)], "xml string").select(S.xml_grid(F.col("xml")).alias("g"))
+    out = one.select(F.posexplode("g").alias("r", "row")).select("r", F.posexplode("row").alias("c", "v"))
+    return out.select("r", "c", F.when(~F.isnan("v"), F.col("v").cast("double")).alias("value"))
+
+
+@query("SELECT vec_id, CAST(r AS INT) AS r, CAST(c AS INT) AS c, round((CAST(embedding[16 * r + 2 * c + 1] AS DOUBLE) + embedding[16 * r + 2 * c + 2] + embedding[16 * r + 2 * c + 9] + embedding[16 * r + 2 * c + 10]) / 4, 6) AS v FROM embeddings, range(4) a(r), range(4) b(c)")
+def tile_block_mean(spark, d):
+    """An 8 x 8 tile as an array: block means by array functions, without a shuffle."""
+    e = V.table(spark, d, "embeddings").select("vec_id", F.expr("transform(embedding, x -> double(x))").alias("e"))
+    e = e.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(3)))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    v = F.expr("(e[16 * r + 2 * c] + e[16 * r + 2 * c + 1] + e[16 * r + 2 * c + 8] + e[16 * r + 2 * c + 9]) / 4")
+    return rounded(e.select("vec_id", "r", "c", v.alias("v")), "v")
