@@ -68,7 +68,7 @@ def extent(points: DataFrame) -> DataFrame:
     first = points.agg(F.min_by("lon", "event_id").alias("ref"))
     rel = F.pmod(F.col("lon") - F.col("ref") + 540.0, F.lit(360.0)) - 180.0
     out = points.join(F.broadcast(first)).select(rel.alias("d"), "lat", "ref")  # one row
-    box = out.groupBy("ref").agg(F.min("lat").alias("lat_min"), F.max("lat").alias("lat_max"), F.min("d").alias("a"), F.max("d").alias("b"))
+    box = out.agg(F.first("ref").alias("ref"), F.min("lat").alias("lat_min"), F.max("lat").alias("lat_max"), F.min("d").alias("a"), F.max("d").alias("b"))
     return box.select("lat_min", "lat_max", (F.col("a") + F.col("ref")).alias("lon_min"), (F.col("b") + F.col("ref")).alias("lon_max"))
 
 
