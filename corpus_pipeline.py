@@ -34,8 +34,8 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (not at all, once or twice)."""
-    plan = written(mixing.mix(docs).where("taken > 0").select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("times")), "plan")
-    out = docs.join(plan, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("times"))))
+    plan = written(mixing.mix(docs).where("taken > 0").select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("_times")), "plan")
+    out = docs.join(plan, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return out.select(*docs.columns)
 
 
