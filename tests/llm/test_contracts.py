@@ -50,7 +50,7 @@ def brute_pieces(table, text):
             p = s[e - n : e]
             if p not in best_of and n > 1:
                 continue
-            i, x = best_of.get(p, (-1 - ord(p), table.unknown_score))
+            i, x = best_of[p] if p in best_of else (-1 - ord(p), table.unknown_score)
             if top is None or best[e - n][0] + x > top[0]:
                 top = (best[e - n][0] + x, best[e - n][1] + [i])
         best.append(top)
