@@ -7,7 +7,8 @@ folded by Viterbi with Spark's higher-order aggregate. The segmentation has the
 (ties: the shorter last piece). Characters without a piece become their UTF-8 byte pieces.
 
 Documents then take their words' ids: the `hot` most frequent words by a broadcast dictionary of bounded size,
-all others by a shuffled join on the word, and the ids of a document come together under its id. Decoding turns
+all others by a shuffled join on the word, and these ids come back to their document as one row under its id.
+Texts are cut and looked up a block at a time by word hashes; words whose hashes collide are told apart. Decoding turns
 ids back into the text; the result says whether that gave the same text.
 
 Cases: null and empty texts have no tokens and decode to the empty text; a text that holds U+2581 itself cannot
@@ -19,24 +20,22 @@ any length are cut at every place that no piece spans, so a very long text witho
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from itertools import chain
-from operator import add
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import columns_of, dropped, pieces, written
+from .common import columns_of, dropped, mixed, pieces, written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-UNITS = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
 
 
 class Pieces:
@@ -65,93 +64,107 @@ class Pieces:
         return out
 
 
-def cut(unit: str, pairs: frozenset) -> list[str]:
-    """A unit cut between all adjacent characters that no piece holds together."""
-    if all(map(pairs.__contains__, map(add, unit, unit[1:]))):
-        return [unit]
-    at = [0, *(i for i in range(1, len(unit)) if unit[i - 1 : i + 1] not in pairs), len(unit)]
-    return [unit[a:b] for a, b in zip(at, at[1:], strict=False)]
-
-
-def units(text: str | None) -> list[str]:
-    """Parts of a text that hold whole pieces only, each without the U+2581 before it; if spaces stand
-    together, whole units with all of theirs (marked by it)."""
-    if not text:
-        return []
-    if "  " in text or text[0] == " " or SPACE in text:
-        return [u[1:] if u[:1] == SPACE and u[1:2] != SPACE else SPACE + u for u in UNITS.findall(SPACE + text.replace(" ", SPACE))]
-    return text.split(" ")
-
-
-def spelled(unit: str) -> str:
-    """A unit of units() as the model sees it."""
-    return unit[1:] if unit[:1] == SPACE else SPACE + unit
-
-
-class Numbers(dict):
-    """Unit to the numbers of its words: their place in the dictionary, or -1 - k for the k-th word that the
-    dictionary lacks (over the task). Remembered; emptied when full."""
-
-    def __init__(self, pairs: frozenset, hot: dict[str, int], most: int = 1 << 18):
-        self.pairs, self.hot, self.most, self.lacks, self.place = pairs, hot, most, [], {}
-
-    def number(self, word: str) -> int:
-        got = self.hot.get(word)
-        if got is None:
-            got = self.place.get(word)
-            if got is None:
-                got = self.place[word] = -1 - len(self.lacks)
-                self.lacks.append(word)
-        return got
-
-    def __missing__(self, unit: str) -> tuple[int, ...]:
-        if len(self) >= self.most:
-            self.clear()
-        out = self[unit] = tuple(self.number(w) for w in cut(spelled(unit), self.pairs))
-        return out
-
-    def of(self, text: str | None) -> np.ndarray:
-        return np.fromiter(chain.from_iterable(map(self.__getitem__, units(text))), np.int32)
+class Cutter:
+    """Cuts many texts at once into words: between all adjacent characters that no piece holds together. A word
+    has a 64-bit hash (by place and character) and a check (by character only); the two together tell words apart."""
+
+    def __init__(self, pairs: frozenset):
+        chars = sorted({ord(c) for p in pairs for c in p})
+        self.kind, self.width = np.zeros(0x110000, np.int32), len(chars) + 1
+        self.kind[chars] = np.arange(1, self.width)
+        self.together = np.zeros(self.width * self.width, bool)
+        self.together[[self.kind[ord(p[0])] * self.width + self.kind[ord(p[1])] for p in pairs]] = True
+        self.value, self.power = mixed(np.arange(1, 0x110001, dtype=np.uint64)), np.ones(1, np.uint64)
+
+    def hashes(self, chars: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(start):
+            return np.empty(0, np.uint64), np.empty(0, np.uint64)
+        longest = int(size.max())
+        if longest > len(self.power):
+            factors = np.full(2 * longest, 0xD6E8FEB86659FD93, np.uint64)
+            factors[0] = 1
+            self.power = np.cumprod(factors)
+        value = self.value[chars]
+        check = np.add.reduceat(value, start)
+        value *= self.power[np.arange(len(chars)) - np.repeat(start, size)]
+        return mixed(np.add.reduceat(value, start) + size.astype(np.uint64)), check
+
+    def of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes and checks of words that stand alone (none empty)."""
+        size = np.fromiter(map(len, words), np.int64, len(words))
+        return self.hashes(np.frombuffer("".join(words).encode("utf-32-le"), np.uint32), np.cumsum(size) - size, size)
+
+    def __call__(self, texts: list[str | None]) -> tuple:
+        """The texts as the model sees them in one string, starts and sizes of the words there, their hashes and
+        checks, and the number of words of each text."""
+        seen = [SPACE + t.replace(" ", SPACE) if t else "" for t in texts]
+        whole = "".join(seen)
+        chars = np.frombuffer(whole.encode("utf-32-le"), np.uint32)
+        ends = np.cumsum(np.fromiter(map(len, seen), np.int64, len(seen)))
+        kind = self.kind[chars]
+        first = np.ones(len(chars) + 1, bool)
+        if len(chars):
+            first[1:-1] = ~self.together[kind[:-1] * self.width + kind[1:]]
+            first[ends] = True
+        at = np.flatnonzero(first)
+        start, size = at[:-1], np.diff(at)
+        h, check = self.hashes(chars, start, size)
+        return whole, start, size, h, check, np.diff(np.searchsorted(start, ends), prepend=0)
+
+
+def sliced(whole: str, start: np.ndarray, size: np.ndarray) -> list[str]:
+    return [whole[a:b] for a, b in zip(start.tolist(), (start + size).tolist(), strict=True)]
 
 
 class Dictionary:
-    """Words and their ids, built where it arrives."""
+    """Words and their ids, in order of frequency; looked up by hash and check."""
+
+    def __init__(self, words: list[str], ids: list[list[int]], pairs: frozenset):
+        h, check = Cutter(pairs).of(words)
+        self.h, self.rank = np.unique(h, return_index=True)
+        self.check = check[self.rank]
+        self.size = np.fromiter(map(len, ids), np.int64, len(ids))
+        self.flat = np.fromiter(chain.from_iterable(ids), np.int32)
+        self.pairs = pairs
 
-    def __init__(self, words: list[str], ids: list[list[int]]):
-        self.state = (words, np.fromiter(map(len, ids), np.int32, len(ids)), np.fromiter(chain.from_iterable(ids), np.int32))
-        self.__setstate__(self.state)
+    def number(self, h: np.ndarray, check: np.ndarray) -> np.ndarray:
+        """The words' numbers, -1 for those that the dictionary lacks."""
+        if not len(self.h):
+            return np.full(len(h), -1, np.int64)
+        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        return np.where((self.h[at] == h) & (self.check[at] == check), self.rank[at], -1)
 
-    def __getstate__(self):
-        return self.state
 
-    def __setstate__(self, state):
-        self.state = state
-        words, size, flat = state
-        self.at = dict(zip(words, range(len(words)), strict=True))
-        self.gather = Gather.of(flat, size.astype(np.int64))
+ROWS, WORDS_HELD = 64, 1 << 20
 
 
 def _counts(pairs: frozenset):
     def run(batches: Iterator) -> Iterator:
-        seen: Counter = Counter()
+        cutter, held, size = Cutter(pairs), [], 0
 
         def flush():
-            words: Counter = Counter()
-            for u, n in seen.items():
-                for w in cut(spelled(u), pairs):
-                    words[w] += n
-            seen.clear()
-            keys = list(words)
-            for i in range(0, len(keys), 1 << 16):
-                part = keys[i : i + (1 << 16)]
-                yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([words[w] for w in part], pa.int64())], names=["word", "n"])
-
-        for batch in pieces(batches):
-            for text in columns_of(batch, "text")[0]:
-                seen.update(units(text))
-            if len(seen) > 1 << 20:
+            h, check = (np.concatenate([x[i] for x in held]) for i in (3, 4))
+            _, at, back, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+            odd = np.flatnonzero(check != check[at][back])  # other words with the same hash, counted one by one
+            n -= np.bincount(back[odd], minlength=len(n))
+            at, n = np.concatenate([at, odd]), np.concatenate([n, np.ones(len(odd), np.int64)])
+            order = np.argsort(at)
+            at, n = at[order], n[order]
+            begin = np.cumsum([0, *(len(x[1]) for x in held)])
+            for (whole, start, length, *_), a, b in zip(held, begin, begin[1:], strict=False):
+                part = slice(*np.searchsorted(at, [a, b]))
+                own = at[part] - a
+                yield pa.RecordBatch.from_arrays([pa.array(sliced(whole, start[own], length[own]), pa.string()), pa.array(n[part], pa.int64())], names=["word", "n"])
+            held.clear()
+
+        for batch in pieces(batches, ROWS):
+            held.append(cutter(columns_of(batch, "text")[0]))
+            size += len(held[-1][1])
+            if size > WORDS_HELD:
                 yield from flush()
-        yield from flush()
+                size = 0
+        if size:
+            yield from flush()
 
     return run
 
@@ -204,68 +217,117 @@ class Gather:
         return self.flat[begin + np.arange(total)]
 
 
-def _coded(index, pairs: frozenset):
-    """Rows (doc_id, h, code, lacks, check): a text as dictionary numbers, -1 - k for the k-th of the words it
-    lacks there."""
+def _numbered(batches: Iterator, index: Dictionary) -> Iterator:
+    """Batches with their words' numbers: places in the dictionary, or -1 - k for the k-th of the words that it lacks
+    in the text; then the number of words of each text, and these lacking words of each."""
+    cutter = Cutter(index.pairs)
+    for batch in pieces(batches, ROWS):
+        whole, start, size, h, check, n = cutter(columns_of(batch, "text")[0])
+        at = index.number(h, check)
+        rare = np.flatnonzero(at < 0)
+        ends = np.searchsorted(rare, np.cumsum(n)).tolist()
+        words, lacks, codes = sliced(whole, start[rare], size[rare]), [], []
+        for a, b in zip([0, *ends], ends, strict=False):
+            own: dict[str, int] = {}
+            codes += [-1 - own.setdefault(w, len(own)) for w in words[a:b]]
+            lacks.append(list(own))
+        at[rare] = codes
+        yield batch, at, n, lacks
+
+
+def _lacking(index):
+    """Rows (d, h, pos, word): the words of a text that the dictionary lacks."""
 
     def run(batches: Iterator) -> Iterator:
-        numbers = Numbers(pairs, index.value.at)
-        pack = zstandard.ZstdCompressor(level=1)
-        for batch in pieces(batches):
-            ids, hs, texts = columns_of(batch, "doc_id", "h", "text")
-            codes, lacks, checks = [], [], []
-            for text in texts:
-                at = numbers.of(text)
-                own = np.unique(at[at < 0])
-                if len(own):
-                    at = np.where(at < 0, -1 - np.searchsorted(own, at).astype(np.int32), at)
-                codes.append(pack.compress(at.tobytes()))
-                lacks.append([numbers.lacks[-1 - i] for i in own.tolist()])
-                checks.append(xxhash.xxh3_128_digest((text or "").encode()))
+        for batch, _, _, lacks in _numbered(batches, index.value):
+            size = np.fromiter(map(len, lacks), np.int64, len(lacks))
+            d, h = (np.repeat(batch.column(batch.schema.get_field_index(c)).to_numpy(), size) for c in ("d", "h"))
+            pos = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(hs, pa.int64()), pa.array(codes, pa.binary()), pa.array(lacks, pa.list_(pa.string())), pa.array(checks, pa.binary())],
-                names=["doc_id", "h", "code", "lacks", "check"],
+                [pa.array(d), pa.array(h), pa.array(pos, pa.int32()), pa.array(list(chain.from_iterable(lacks)), pa.string())], names=["d", "h", "pos", "word"]
             )
 
     return run
 
 
-def decode(ids: np.ndarray, surface: Gather) -> bytes:
-    """The text of ids: pieces joined, U+2581 as a space, the space before the text taken off."""
-    out = surface(ids).tobytes()
-    return out[1:] if out[:1] == b" " else out
+def _coded(index):
+    """Rows (doc_id, d, h, code, check): the numbers of a text, byte by byte of their places, packed."""
+
+    def run(batches: Iterator) -> Iterator:
+        pack = zstandard.ZstdCompressor(level=1)
+        for batch, at, n, _ in _numbered(batches, index.value):
+            texts = columns_of(batch, "text")[0]
+            signed = np.where(at < 0, -2 * at - 1, 2 * at).astype("<u4").view(np.uint8).reshape(-1, 4)
+            ends = np.cumsum(n).tolist()
+            codes = [pack.compress(signed[a:b].T.tobytes()) for a, b in zip([0, *ends], ends, strict=False)]
+            checks = [xxhash.xxh3_128_digest((t or "").encode()) for t in texts]
+            known = [batch.column(batch.schema.get_field_index(c)) for c in ("doc_id", "d", "h")]
+            yield pa.RecordBatch.from_arrays([*known, pa.array(codes, pa.binary()), pa.array(checks, pa.binary())], names=["doc_id", "d", "h", "code", "check"])
+
+    return run
+
+
+def sums_of(x: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Sums of runs of n values, also of empty ones."""
+    total = np.concatenate([[0], np.cumsum(x)])
+    ends = np.cumsum(n)
+    return total[ends] - total[ends - n]
+
+
+def expanded(t: np.ndarray, n: np.ndarray, table: Pieces) -> tuple[np.ndarray, np.ndarray]:
+    """Ids t of texts of n ids each, with -1 - c replaced by the byte pieces of character c."""
+    odd = t < 0
+    if not odd.any():
+        return t, n
+    chars, which = np.unique(t[odd], return_inverse=True)
+    as_bytes = Gather([table.expand([c]) for c in chars.tolist()], np.int32)
+    size = np.ones(len(t), np.int64)
+    size[odd] = as_bytes.size[which]
+    out = np.empty(int(size.sum()), np.int32)
+    line = np.repeat(odd, size)
+    out[line], out[~line] = as_bytes(which), t[~odd]
+    return out, sums_of(size, n)
 
 
 def _tokens(index, table):
     def run(batches: Iterator) -> Iterator:
-        gather, unpack = index.value.gather, zstandard.ZstdDecompressor()
+        words, unpack = index.value, zstandard.ZstdDecompressor()
         known = table.value
-        top = max(known.surface) + 1
-        surface = Gather([np.frombuffer(known.surface.get(i, b""), np.uint8) for i in range(top)], np.uint8)
-        for batch in pieces(batches):
-            ids, codes, lacks, checks, found = columns_of(batch, "doc_id", "code", "lacks", "check", "found")
-            tokens, same = [], []
-            for code, lack, check, got in zip(codes, lacks, checks, found, strict=True):
-                at = np.frombuffer(unpack.decompress(code), np.int32)
-                if lack:
-                    own = {x["word"]: x["ids"] for x in got}
-                    extra = Gather([known.expand(own[w]) for w in lack], np.int32)
-                    rare = at < 0
-                    size = np.where(rare, extra.size[np.where(rare, -1 - at, 0)], gather.size[np.where(rare, 0, at)] if len(gather.size) else 0)
-                    line = np.repeat(rare, size)
-                    t = np.empty(int(size.sum()), np.int32)
-                    t[line] = extra(-1 - at[rare])
-                    t[~line] = gather(at[~rare])
-                else:
-                    t = gather(at)
-                tokens.append(t)
-                same.append(xxhash.xxh3_128_digest(decode(t, surface)) == check)
-            size = np.array([0, *map(len, tokens)])
+        gather = Gather.of(words.flat, words.size)
+        surface = Gather([np.frombuffer(known.surface.get(i, b""), np.uint8) for i in range(max(known.surface) + 1)], np.uint8)
+        for batch in pieces(batches, ROWS):
+            codes, checks = columns_of(batch, "code", "check")
+            parts = [np.frombuffer(unpack.decompress(c), np.uint8).reshape(4, -1).T.tobytes() if c else b"" for c in codes]
+            n = np.fromiter(map(len, parts), np.int64, len(parts)) // 4
+            at = np.frombuffer(b"".join(parts), "<u4").astype(np.int64)
+            at = np.where(at & 1, -(at + 1) // 2, at // 2)
+            # the ids of the words that the dictionary lacks, by text and place
+            found = batch.column(batch.schema.get_field_index("found"))
+            held = pc.fill_null(pc.list_value_length(found), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            items = found.flatten()
+            pos, lists = items.field(0).to_numpy(zero_copy_only=False).astype(np.int64), items.field(1)
+            extra = Gather.of(lists.flatten().to_numpy(zero_copy_only=False), pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64))
+            rare = at < 0
+            doc = np.repeat(np.arange(len(n)), n)[rare]
+            base = np.concatenate([[0], np.cumsum(n)])  # a text lacks no more words than it has
+            entry = np.full(base[-1], -1, np.int64)
+            entry[base[np.repeat(np.arange(len(n)), held)] + pos] = np.arange(len(pos))
+            own = entry[base[doc] - 1 - at[rare]]
+            assert (own >= 0).all(), "a word without a lattice"
+            size = np.empty(len(at), np.int64)
+            size[rare], size[~rare] = extra.size[own], gather.size[at[~rare]]
+            t = np.empty(int(size.sum()), np.int32)
+            line = np.repeat(rare, size)
+            t[line], t[~line] = extra(own), gather(at[~rare])
+            t, k = expanded(t, sums_of(size, n), known)
+            raw = surface(t).tobytes()
+            ends = np.cumsum(sums_of(surface.size[t], k)).tolist()
+            same = [xxhash.xxh3_128_digest(decoded(raw[a:b])) == c for a, b, c in zip([0, *ends], ends, checks, strict=False)]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(ids, pa.int64()),
-                    pa.array(size[1:], pa.int64()),
-                    pa.ListArray.from_arrays(pa.array(np.cumsum(size), pa.int32()), pa.array(np.concatenate([*tokens, np.empty(0, np.int32)]))),
+                    batch.column(batch.schema.get_field_index("doc_id")),
+                    pa.array(k, pa.int64()),
+                    pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(k)]), pa.int32()), pa.array(t, pa.int32())),
                     pa.array(same, pa.bool_()),
                 ],
                 names=["doc_id", "n_tokens", "token_ids", "round_trip"],
@@ -274,23 +336,33 @@ def _tokens(index, table):
     return run
 
 
+def decoded(raw: bytes) -> bytes:
+    """The text of joined piece surfaces: the space before the text taken off."""
+    return raw[1:] if raw[:1] == b" " else raw
+
+
+def decode(ids: list[int], table: Pieces) -> str:
+    """The text of ids."""
+    return decoded(b"".join(table.surface.get(i, b"") for i in ids)).decode("utf-8", "replace")
+
+
 def encode(docs: DataFrame, model_file: str = MODEL, hot: int = 1 << 18) -> DataFrame:
     """One row for each document: doc_id, n_tokens, token_ids, round_trip."""
     spark = docs.sparkSession
     table = Pieces(model_file)
-    texts = docs.select("doc_id", F.xxhash64("text").alias("h"), "text")
-    words = texts.mapInArrow(_counts(table.pairs), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
+    doc = F.col("doc_id").cast("long")
+    texts = docs.select(doc.alias("doc_id"), F.coalesce(doc, F.lit(0)).alias("d"), F.xxhash64(doc.isNull(), "text").alias("h"), "text")
+    words = texts.select("text").mapInArrow(_counts(table.pairs), "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
     words = written(words, "words")
     known = written(segment(words, table), "segmented")
     dropped(words)
-    top = known.select("word", "n", "ids").orderBy(F.desc("n"), "word").limit(hot).toArrow()  # at most `hot` words
-    index = spark.sparkContext.broadcast(Dictionary(top["word"].to_pylist(), [table.expand(x) for x in top["ids"].to_pylist()]))
+    top = known.orderBy(F.desc("n"), "word").limit(hot).select("word", "ids").toArrow()  # at most `hot` words
+    index = spark.sparkContext.broadcast(Dictionary(top["word"].to_pylist(), top["ids"].to_pylist(), table.pairs))
     del top
     held = spark.sparkContext.broadcast(table)
-    coded = texts.mapInArrow(_coded(index, table.pairs), "doc_id long, h long, code binary, lacks array<string>, check binary")
-    rare = coded.select("doc_id", "h", F.explode("lacks").alias("word")).join(known.select("word", "ids"), "word")
-    found = rare.groupBy("doc_id", "h").agg(F.collect_list(F.struct("word", "ids")).alias("found"))
-    both = coded.join(found.withColumnRenamed("doc_id", "d").withColumnRenamed("h", "g"), F.expr("doc_id <=> d and h = g"), "left")
-    return both.select("doc_id", "code", "lacks", "check", "found").mapInArrow(
-        _tokens(index, held), "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean"
-    )
+    # both passes cut and number a text alike, so (d, h, pos) names a lacking word; texts and words are never joined
+    rare = texts.select("d", "h", "text").mapInArrow(_lacking(index), "d long, h long, pos int, word string").join(known.select("word", "ids"), "word")
+    found = rare.groupBy("d", "h").agg(F.collect_list(F.struct("pos", "ids")).alias("found"))
+    coded = texts.mapInArrow(_coded(index), "doc_id long, d long, h long, code binary, check binary")
+    both = coded.join(found, ["d", "h"], "left").select("doc_id", "code", "check", "found")
+    return both.mapInArrow(_tokens(index, held), "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean")

@@ -345,3 +345,18 @@ def test_directory_doubles(spark):
     held = entries.withColumn("slot", F.shiftrightunsigned("key", 64 - top)).join(d, "slot").groupBy("bucket").count()
     assert held.agg(F.max("count")).first()[0] <= 100 and held.agg(F.sum("count")).first()[0] == 3000
     assert d.agg(F.max("local_depth")).first()[0] > 3
+
+
+def test_words_with_one_hash_are_told_apart():
+    table = sentencepieces.Pieces()
+    cutter = sentencepieces.Cutter(table.pairs)
+    texts = ["abcdefghij abcdefgihj abcdefghji", None, "", " x  y\nz", "the the the"]
+    whole, start, size, h, check, n = cutter(texts)
+    words = sentencepieces.sliced(whole, start, size)
+    assert "".join(words) == whole and n.tolist()[1:3] == [0, 0] and len(set(h.tolist())) == len(set(words))
+    alone = cutter.of(words)
+    assert (alone[0] == h).all() and (alone[1] == check).all()
+    d = sentencepieces.Dictionary(["▁the"], [[5]], table.pairs)
+    assert [w for w, i in zip(words, d.number(h, check), strict=True) if i == 0] == ["▁the"] * 3
+    d.check = d.check + np.uint64(1)  # another word with this hash
+    assert (d.number(h, check) == -1).all()
