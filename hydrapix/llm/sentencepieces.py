@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import chain
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -356,7 +356,11 @@ def encode(docs: DataFrame, model_file: str = MODEL, hot: int = 1 << 18) -> Data
     words = written(words, "words")
     known = written(segment(words, table), "segmented")
     dropped(words)
-    top = known.orderBy(F.desc("n"), "word").limit(hot).select("word", "ids").toArrow()  # at most `hot` words
+    # the words of the highest classes of frequency that fit into `hot`; found by a small table of class sizes
+    level = F.floor(F.log2("n") * 16)
+    classes = known.groupBy(level.alias("level")).agg(F.count("*").alias("held")).orderBy(F.desc("level")).collect()  # at most 1024 rows
+    fits = [r["level"] for r, total in zip(classes, accumulate(r["held"] for r in classes), strict=True) if total <= hot]
+    top = known.where(level >= (fits[-1] if fits else 1 << 20)).select("n", "word", "ids").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     index = spark.sparkContext.broadcast(Dictionary(top["word"].to_pylist(), top["ids"].to_pylist(), table.pairs))
     del top
     held = spark.sparkContext.broadcast(table)
