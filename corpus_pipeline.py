@@ -1,4 +1,8 @@
-"""The corpus pipeline: five stages over `documents`, each written as Parquet and read again as the next one's input."""
+"""The corpus pipeline: five stages over `documents`, each written as Parquet and read again as the next one's input.
+
+Cases: rows that share a doc_id stay or go together, and are mixed equally often (each at most twice); a null doc_id
+is an id like others and links with nothing; null and empty texts stay until the mix, which takes no empty ones.
+"""
 
 from __future__ import annotations
 
@@ -13,7 +17,8 @@ from hydrapix.llm.common import written
 
 def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The rows of docs whose id is in decided; all columns of docs."""
-    return docs.join(decided.select("doc_id").distinct(), "doc_id", "left_semi").select(*docs.columns)
+    ids = decided.select(F.col("doc_id").alias("_id")).distinct()
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["_id"]), "left_semi").select(*docs.columns)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,13 +34,15 @@ def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest doc_id stays."""
-    return _kept(docs, ngram_join.jaccard_components(docs).where("doc_id = component_id"))
+    return _kept(docs, ngram_join.jaccard_components(docs).where("doc_id <=> component_id"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them (not at all, once or twice)."""
-    plan = written(mixing.mix(docs).where("taken > 0").select("doc_id", (F.col("taken") / F.col("size")).cast("int").alias("_times")), "plan")
-    out = docs.join(plan, "doc_id").withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
+    times = F.max(F.col("taken") / F.col("size")).cast("int")
+    plan = written(mixing.mix(docs).where("taken > 0").groupBy(F.col("doc_id").alias("_id")).agg(times.alias("_times")), "plan")
+    out = docs.join(plan, docs["doc_id"].eqNullSafe(plan["_id"])).where(F.length("text") > 0)
+    out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_times"))))
     return out.select(*docs.columns)
 
 

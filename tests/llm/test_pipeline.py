@@ -43,3 +43,13 @@ def test_stages(spark):
 
 def test_run(spark):
     assert corpus_pipeline.run(spark, SF).where("round_trip").count() > 100
+
+
+def test_repeated_rows_and_null_ids(spark):
+    rows = [(1, "same row here now", "en", "a", 1)] * 2 + [(None, "no id but a text", "en", "a", 1), (2, None, "en", "b", 0), (3, "other words in this one", "en", "a", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("exact_dedup", "ngram_jaccard_join"):
+        assert Counter(r["doc_id"] for r in stages[name](spark, docs, SF).collect()) == {1: 2, None: 1, 2: 1, 3: 1}
+    times = Counter(r["doc_id"] for r in stages["mix_sources"](spark, docs, SF).collect())
+    assert 2 not in times and times[1] <= 4 and max(times[None], times[3]) <= 2
