@@ -1,15 +1,19 @@
 """Embedding near-duplicates by a pivot-permutation index.
 
-Reference points (pivots) are a bounded, hash-chosen sample of the vectors; their number grows with the square
-root of the vectors up to `most_pivots`. Each vector is described by its `nearest` pivots in order and stands in
-the inverted list of each of them. Two vectors that share at least `shared` pivots are candidates; cosine in
-double precision then decides. Lists are split into chunks of at most `chunk` rows and joined chunk by chunk, so
-no list stands in one task; a pair is decided in the list of its smallest shared pivot only. Equal vectors are
-one node with a multiplicity, so groups of copies cost one row. Blocks return counts of links and a spanning
-star for each of their components, never the pairs.
-
-The index is approximate (recall against brute force is measured in the tests); no pair below the threshold is
-linked. Cases: vectors that are null, zero, of another length, or hold null or non-finite components, and rows
+Reference points (pivots) are taken from a bounded, hash-chosen sample of the vectors; their number grows with the
+square root of the vectors up to `most_pivots`. No two pivots are within twice the linking angle, so a group of
+near copies has one or a few of them, whatever its size. Each vector is described by its `nearest` pivots in order
+and stands in the inverted list of each of them. If these hold all pivots that are at most twice the linking angle
+further off than the first one, the first pivot of every vector that it links with is among those (triangle
+inequality): it then stands in just their lists, and all its links are found. Members of dense groups are such
+vectors. Two vectors of one list are candidates; cosine in double precision then decides. Lists are split into
+chunks of at most `chunk` rows and joined chunk by chunk, so no list stands in one task; a pair is decided in the
+list of its smallest shared pivot only. Equal vectors are one node with a multiplicity, so groups of copies cost one
+row. Blocks return counts of links and a spanning star for each of their components, never the pairs; the work of
+a group of near copies grows with the square of its size.
+
+The index is approximate for the other vectors (recall against brute force is measured in the tests); no pair below
+the threshold is linked. Cases: vectors that are null, zero, of another length, or hold null or non-finite components, and rows
 without label or vec_id, link with nothing; a null vec_id has component_id and kept null; rows that repeat a
 vec_id count as other vectors; an empty table gives an empty result; extra columns are not read.
 """
@@ -31,7 +35,33 @@ def unit(x: np.ndarray) -> np.ndarray:
     return x / np.linalg.norm(x, axis=1)[:, None]
 
 
-def _described(pivots, nearest: int):
+def spread(sample: np.ndarray, count: int, threshold: float) -> np.ndarray:
+    """At most count of the unit vectors, first come first, none within twice the linking angle of another."""
+    most, kept = max(2 * threshold**2 - 1, -1.0) if threshold > 0 else -1.0, []
+    open_ = np.ones(len(sample), bool)
+    for i in range(len(sample)):
+        if open_[i]:
+            kept.append(i)
+            if len(kept) == count:
+                break
+            open_ &= sample @ sample[i] < most
+    return sample[kept]
+
+
+def described(x: np.ndarray, pivots: np.ndarray, nearest: int, threshold: float) -> np.ndarray:
+    """The pivots in whose lists each of the unit vectors x stands, nearest first; -1 fills short rows."""
+    near = x @ pivots.T
+    k = min(nearest, near.shape[1])
+    perm = np.argpartition(-near, k - 1, axis=1)[:, :k]
+    perm = np.take_along_axis(perm, np.argsort(-np.take_along_axis(near, perm, 1), axis=1, kind="stable"), 1).astype(np.int32)
+    angle = np.arccos(np.clip(near, -1, 1))
+    within = angle <= angle.min(1)[:, None] + 2 * np.arccos(threshold) + 1e-6
+    all_held = within.sum(1) <= k
+    perm[all_held[:, None] & ~np.take_along_axis(within, perm, 1)] = -1
+    return perm
+
+
+def _described(pivots, nearest: int, threshold: float):
     """Rows (kind, node, m, pivot, perm, vector): a vector in the list of each of its nearest pivots."""
 
     def run(batches: Iterator) -> Iterator:
@@ -44,18 +74,16 @@ def _described(pivots, nearest: int):
                 own = np.flatnonzero(sizes == dim)
                 if dim not in table:
                     continue
-                x = unit(np.array([vectors[i] for i in own], np.float64))
-                near = x @ table[dim].T
-                k = min(nearest, near.shape[1])
-                perm = np.argpartition(-near, k - 1, axis=1)[:, :k]
-                perm = np.take_along_axis(perm, np.argsort(-np.take_along_axis(near, perm, 1), axis=1, kind="stable"), 1).astype(np.int32)
                 raw = np.array([vectors[i] for i in own], np.float64)
+                perm = described(unit(raw), table[dim], nearest, threshold)
                 for i, p, v in zip(own, perm, raw, strict=True):
+                    lists = p[p >= 0].tolist()
+                    k = len(lists)
                     out["label"] += [labels[i]] * k
                     out["dim"] += [int(dim)] * k
                     out["node"] += [nodes[i]] * k
                     out["m"] += [ms[i]] * k
-                    out["pivot"] += p.tolist()
+                    out["pivot"] += lists
                     out["perm"] += [p.tobytes()] * k
                     out["vector"] += [v.tobytes()] * k
             kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
@@ -75,7 +103,7 @@ def _roots(links: np.ndarray) -> np.ndarray:
         at = low
 
 
-def _decided(threshold: float, shared: int):
+def _decided(threshold: float):
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         _, _, pivot, i, j = key
         pdf = pdf.sort_values(["side", "node"], kind="stable")
@@ -87,8 +115,11 @@ def _decided(threshold: float, shared: int):
             links &= left[:, None] != left[None, :]
         np.fill_diagonal(links, False)
         a, b = np.nonzero(np.triu(links))
-        both = (perm[a][:, :, None] == perm[b][:, None, :]).any(2)
-        own = (both.sum(1) >= shared) & (np.where(both, perm[a], np.iinfo(np.int32).max).min(1) == pivot)
+        own = np.empty(len(a), bool)
+        for at in range(0, len(a), 1 << 14):
+            p, q = perm[a[at : at + (1 << 14)]], perm[b[at : at + (1 << 14)]]
+            both = (p[:, :, None] == q[:, None, :]).any(2) & (p >= 0)
+            own[at : at + (1 << 14)] = np.where(both, p, np.iinfo(np.int32).max).min(1) == pivot
         links[:] = False
         links[a[own], b[own]] = links[b[own], a[own]] = True
         counts = links.astype(np.float64) @ m.astype(np.float64)
@@ -100,7 +131,7 @@ def _decided(threshold: float, shared: int):
     return run
 
 
-def near_duplicates(vectors: DataFrame, threshold: float = 0.93, nearest: int = 10, shared: int = 2, most_pivots: int = 2048, chunk: int = 384) -> DataFrame:
+def near_duplicates(vectors: DataFrame, threshold: float = 0.93, nearest: int = 10, most_pivots: int = 2048, chunk: int = 384) -> DataFrame:
     """One row for each vector: vec_id, n_links, component_id, kept."""
     spark = vectors.sparkSession
     base = vectors.select("vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("vector"))
@@ -113,13 +144,13 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, nearest: int =
     if n:
         count = int(min(most_pivots, max(32, 2 ** round(np.log2(max(n, 1)) / 2))))
         for r in nodes.groupBy(F.size("vector").alias("dim")).count().collect():  # a row for each length of vector
-            picked = nodes.where(F.size("vector") == r["dim"]).orderBy(F.xxhash64("vector"), "label").limit(count).select("vector").collect()
-            held[r["dim"]] = unit(np.array([x["vector"] for x in picked], np.float64))
+            picked = nodes.where(F.size("vector") == r["dim"]).orderBy(F.xxhash64("vector"), "label").limit(2 * count).select("vector").collect()
+            held[r["dim"]] = spread(unit(np.array([x["vector"] for x in picked], np.float64)), count, threshold)
     pivots = spark.sparkContext.broadcast(held)
     nodes = nodes.withColumn("id", F.xxhash64("label", "vector"))
     lists = written(
         nodes.select("label", F.col("id").alias("node"), "m", "vector").mapInArrow(
-            _described(pivots, nearest), "label long, dim int, node long, m long, pivot int, perm binary, vector binary"
+            _described(pivots, nearest, threshold), "label long, dim int, node long, m long, pivot int, perm binary, vector binary"
         ),
         "lists",
     )
@@ -128,7 +159,7 @@ def near_duplicates(vectors: DataFrame, threshold: float = 0.93, nearest: int =
     rows = lists.join(sizes, key).withColumn("c", F.pmod(F.xxhash64("node", F.lit(5)), F.col("chunks")).cast("int"))
     rows = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     rows = rows.select(*key, F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"), (F.col("c") > F.col("o")).cast("int").alias("side"), "node", "m", "perm", "vector")
-    found = written(rows.groupBy(*key, "i", "j").applyInPandas(_decided(threshold, shared), "u long, v long, links long"), "found")
+    found = written(rows.groupBy(*key, "i", "j").applyInPandas(_decided(threshold), "u long, v long, links long"), "found")
     counts = found.groupBy("u").agg(F.sum("links").alias("links"))
     labels = components(found.select("u", "v"))
     known = nodes.select("id", "node", "m").join(counts, F.col("id") == F.col("u"), "left").drop("u")

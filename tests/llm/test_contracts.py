@@ -212,6 +212,37 @@ def test_recall_of_the_pivot_index(spark, noise):
     assert sum(got.values()) >= 0.95 * want.sum() > 0
 
 
+def one_dense_group(n, dim=64):
+    """One label; a third of the rows near copies of one vector, a third others, a third pairs with these."""
+    r = np.random.default_rng(1)
+    k = n // 3
+    group = pivot_index.unit(r.normal(size=(1, dim))) + 0.2 / np.sqrt(dim) * r.normal(size=(k, dim))
+    base = pivot_index.unit(r.normal(size=(k, dim)))
+    x = pivot_index.unit(np.concatenate([group, base, base + 0.25 / np.sqrt(dim) * r.normal(size=(k, dim))]))
+    return x[r.permutation(len(x))]
+
+
+def test_recall_in_a_dense_group(spark):
+    x = one_dense_group(9000)  # 128 pivots
+    df = spark.createDataFrame([(i, list(map(float, v)), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {q["vec_id"]: q["n_links"] for q in pivot_index.near_duplicates(df).collect()}
+    want = (x @ x.T >= 0.93).sum(1) - 1
+    assert all(got[i] <= want[i] for i in got)
+    assert sum(got.values()) >= 0.999 * want.sum() > 0
+
+
+def test_recall_at_the_largest_pivot_count():
+    x = one_dense_group(9000)
+    pivots = pivot_index.spread(x[:4096], 2048, 0.93)
+    assert len(pivots) > 1900
+    perm = pivot_index.described(x, pivots, 10, 0.93)
+    lists = np.zeros((len(x), len(pivots)), np.float32)
+    for p in perm.T:
+        lists[np.flatnonzero(p >= 0), p[p >= 0]] = 1
+    links = np.triu(x @ x.T >= 0.93, 1)
+    assert (links & (lists @ lists.T > 0)).sum() >= 0.999 * links.sum() > 0
+
+
 def test_vectors_that_cannot_link(spark):
     v = [1.0, 2.0, 3.0]
     rows = [(1, v, 1, "a"), (2, v, 1, "b"), (3, v, 2, "c"), (4, None, 1, "d"), (5, [0.0, 0.0, 0.0], 1, "e"), (6, [1.0, None, 3.0], 1, "f"), (7, [1.0, float("nan"), 3.0], 1, "g"), (8, v, None, "h"), (9, [2.0, 4.0, 6.1], 1, "i"), (None, v, 1, "j"), (10, [1.0, 2.0], 1, "k")]
