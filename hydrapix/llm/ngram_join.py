@@ -100,7 +100,7 @@ def _columns_needed(sketch):
                 s = shingle_set(words.of(text))
                 n = len(s)
                 least = -(-PERCENT * n // 100)
-                if least == n:  # only an equal set can link
+                if 100 * n < PERCENT * (n + 1):  # only an equal set can link
                     continue
                 node = node_of(s)
                 if node in seen:

@@ -292,6 +292,17 @@ def test_chains_of_near_copies(spark):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got.collect()} == links_of(texts)
 
 
+def test_six_shingles_link_with_seven(spark):
+    """6 of 7 shingles are 85 in 100: nine words and one more at either end, and texts that cycle."""
+    nine = "a b c d e f g h i"
+    texts = [(1, nine), (2, nine + " j"), (3, "k l m n o p q r s"), (4, "z k l m n o p q r s"), (5, "u v w x y t " * 40), (6, "u v w x y t " * 40 + "u v w new")]
+    texts += [(7, "aa ab ac ad ae af ag ah"), (8, "aa ab ac ad ae af ag ah ai")]  # 5 of 6 do not
+    want = links_of(texts)
+    assert [want[i][1] for i in range(1, 9)] == [1, 1, 3, 3, 5, 5, 7, 8]
+    got = ngram_join.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got.collect()} == want
+
+
 LONG = "lorem ipsum dolor sit amet " * 20_000
 ROWS = [(1, "The same text", "en", "s"), (1, "The same text", "en", "s"), (2, "tHE SAME TEXT", None, None), (3, None, "en", None), (4, "", "de", "s"), (None, "no id at all here", "de", "t"), (5, " \n\t ", "en", "t"), (6, LONG, "en", "t"), (7, "1234 5678", None, "t")]
 CLASH = ["n", "key", "node", "word", "h", "size", "n_words", "label", "score", "position", "token", "h_", "lo", "hi", "y", "target"]
