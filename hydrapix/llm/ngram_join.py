@@ -1,6 +1,7 @@
 """N-gram Jaccard self-join of documents: a blocked sparse product of the document by n-gram incidence.
 
-A document is the set of its distinct 4-word shingles (64-bit hashes); documents with equal sets are one node.
+A document is the set of its distinct shingles of `gram` words (64-bit hashes); documents with equal sets are one node.
+The figures below are for 4 words and 85 in 100; all bounds follow from the two arguments.
 Two nodes link when 100 * |A & B| >= 85 * |A | B|. That bounds the overlap from below by the sizes, so only the
 rarest n - ceil(0.85 n) + 2 columns of a row are needed for its product with rows of its size or smaller ones,
 and of these smaller ones only their n - ceil(170 n / 185) + 2 rarest: a linked pair has min(2, bound) of them in
@@ -13,7 +14,7 @@ block's rows with one hub row only, verify these pairs and merge what links; aft
 that still belong to different components are multiplied, all of them. No link between components is lost.
 Every product is a join of two shuffled sides, which Spark splits if a column is hot.
 
-Cases: null or empty texts have n_shingles 0 and are their own component; a text of fewer than 4 words is one
+Cases: null or empty texts have n_shingles 0 and are their own component; a text of fewer than `gram` words is one
 shingle; a null doc_id links with nothing and has component_id null; repeated rows are returned each; an empty
 table gives an empty result; extra columns are not read.
 """
@@ -35,8 +36,8 @@ SKETCH_BITS, BLOCK = 20, 1024
 ROUNDS, SLACK = 1, 3
 
 
-def shingle_set(ids: np.ndarray) -> np.ndarray:
-    return np.unique(gram_hashes(ids, GRAM))
+def shingle_set(ids: np.ndarray, gram: int) -> np.ndarray:
+    return np.unique(gram_hashes(ids, gram))
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -44,36 +45,40 @@ def node_of(shingles: np.ndarray) -> int:
     return xxhash.xxh3_64_intdigest(shingles.tobytes(), seed=len(shingles)) - (1 << 63)
 
 
-def _digests(batches: Iterator) -> Iterator:
+def _digests(gram: int):
     """(doc_id, n, node) of each document, then (block, counts) of the sketch of all shingles of the task."""
-    words, size = WordIds(), 1 << SKETCH_BITS
-    sketch, waiting, held = np.zeros(size, np.int64), [], 0
 
-    def row(doc_ids, ns, nodes, blocks, counts):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(doc_ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(blocks, pa.int32()), pa.array(counts, pa.binary())],
-            names=["doc_id", "n", "node", "block", "counts"],
-        )
+    def run(batches: Iterator) -> Iterator:
+        words, size = WordIds(), 1 << SKETCH_BITS
+        sketch, waiting, held = np.zeros(size, np.int64), [], 0
+
+        def row(doc_ids, ns, nodes, blocks, counts):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(doc_ids, pa.int64()), pa.array(ns, pa.int64()), pa.array(nodes, pa.int64()), pa.array(blocks, pa.int32()), pa.array(counts, pa.binary())],
+                names=["doc_id", "n", "node", "block", "counts"],
+            )
 
-    for batch in pieces(batches):
-        ids, texts = columns_of(batch, "doc_id", "text")
-        ns, nodes = [], []
-        for text in texts:
-            s = shingle_set(words.of(text))
-            ns.append(len(s))
-            nodes.append(node_of(s))
-            waiting.append((s & np.uint64(size - 1)).astype(np.int64))
-            held += len(s)
-        if held > 1 << 20:
+        for batch in pieces(batches):
+            ids, texts = columns_of(batch, "doc_id", "text")
+            ns, nodes = [], []
+            for text in texts:
+                s = shingle_set(words.of(text), gram)
+                ns.append(len(s))
+                nodes.append(node_of(s))
+                waiting.append((s & np.uint64(size - 1)).astype(np.int64))
+                held += len(s)
+            if held > 1 << 20:
+                sketch += np.bincount(np.concatenate(waiting), minlength=size)
+                waiting, held = [], 0
+            yield row(ids, ns, nodes, [None] * len(ids), [None] * len(ids))
+        if held:
             sketch += np.bincount(np.concatenate(waiting), minlength=size)
-            waiting, held = [], 0
-        yield row(ids, ns, nodes, [None] * len(ids), [None] * len(ids))
-    if held:
-        sketch += np.bincount(np.concatenate(waiting), minlength=size)
-    if sketch.any():
-        parts = np.minimum(sketch, 2**31 - 1).astype("<i4").reshape(-1, BLOCK)
-        none = [None] * len(parts)
-        yield row(none, none, none, list(range(len(parts))), [p.tobytes() for p in parts])
+        if sketch.any():
+            parts = np.minimum(sketch, 2**31 - 1).astype("<i4").reshape(-1, BLOCK)
+            none = [None] * len(parts)
+            yield row(none, none, none, list(range(len(parts))), [p.tobytes() for p in parts])
+
+    return run
 
 
 def _summed(batches: Iterator) -> Iterator:
@@ -89,7 +94,7 @@ def _summed(batches: Iterator) -> Iterator:
         )
 
 
-def _columns_needed(sketch):
+def _columns_needed(sketch, gram: int, percent: int):
     """The rarest columns of each document: rows (token, node, n, at) with at the column's place by rarity."""
 
     def run(batches: Iterator) -> Iterator:
@@ -97,10 +102,10 @@ def _columns_needed(sketch):
         for batch in pieces(batches):
             tokens, nodes, ns, places = [], [], [], []
             for text in columns_of(batch, "text")[0]:
-                s = shingle_set(words.of(text))
+                s = shingle_set(words.of(text), gram)
                 n = len(s)
-                least = -(-PERCENT * n // 100)
-                if 100 * n < PERCENT * (n + 1):  # only an equal set can link
+                least = -(-percent * n // 100)
+                if 100 * n < percent * (n + 1):  # only an equal set can link
                     continue
                 node = node_of(s)
                 if node in seen:
@@ -123,14 +128,14 @@ def _columns_needed(sketch):
     return run
 
 
-def _sets(bits):
+def _sets(bits, gram: int):
     """(node, shingles) of the documents whose id has its bit set in a bitmap of fixed size."""
 
     def run(batches: Iterator) -> Iterator:
         words, wanted = WordIds(), bits.value
         for batch in pieces(batches):
             ids, texts = columns_of(batch, "slot", "text")
-            sets = [shingle_set(words.of(t)) for i, t in zip(ids, texts, strict=True) if wanted[i >> 3] >> (i & 7) & 1]
+            sets = [shingle_set(words.of(t), gram) for i, t in zip(ids, texts, strict=True) if wanted[i >> 3] >> (i & 7) & 1]
             if sets:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
@@ -140,32 +145,35 @@ def _sets(bits):
     return run
 
 
-def _linked(batches: Iterator) -> Iterator:
-    for batch in pieces(batches, 1024):
-        us, vs, left, right = columns_of(batch, "u", "v", "a", "b")
-        out = []
-        for u, v, x, y in zip(us, vs, left, right, strict=True):
-            a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            at = np.searchsorted(b, a)
-            at[at == len(b)] = 0
-            both = int((b[at] == a).sum())
-            if 100 * both >= PERCENT * (len(a) + len(b) - both):
-                out.append((u, v))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["u", "v"])
+def _linked(percent: int):
+    def run(batches: Iterator) -> Iterator:
+        for batch in pieces(batches, 1024):
+            us, vs, left, right = columns_of(batch, "u", "v", "a", "b")
+            out = []
+            for u, v, x, y in zip(us, vs, left, right, strict=True):
+                a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                at = np.searchsorted(b, a)
+                at[at == len(b)] = 0
+                both = int((b[at] == a).sum())
+                if 100 * both >= percent * (len(a) + len(b) - both):
+                    out.append((u, v))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], names=["u", "v"])
+
+    return run
 
 
-def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"))
-    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(_linked, "u long, v long")
+    return pairs.join(left, "u").join(right, "v").select("u", "v", "a", "b").mapInArrow(_linked(percent), "u long, v long")
 
 
-def _fits(x: str, y: str) -> str:
-    return f"100 * least({x}, {y}) >= {PERCENT} * greatest({x}, {y})"
+def _fits(x: str, y: str, percent: int) -> str:
+    return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
 
 
-def _shingle_sets(known: DataFrame, digests: DataFrame, pairs: DataFrame, bits: int = 23) -> DataFrame:
+def _shingle_sets(known: DataFrame, digests: DataFrame, pairs: DataFrame, gram: int, bits: int = 23) -> DataFrame:
     """(node, shingles) of the nodes in some pairs, from one document of each. A bitmap of fixed size marks
     these documents, so the others' texts are never shuffled (marks that coincide only cost time)."""
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
@@ -177,15 +185,15 @@ def _shingle_sets(known: DataFrame, digests: DataFrame, pairs: DataFrame, bits:
     for r in rows:
         out[r["k"] << 12 : (r["k"] + 1) << 12] = np.frombuffer(r["m"], np.uint8)
     marked = known.sparkSession.sparkContext.broadcast(out)
-    sets = known.select(h.cast("int").alias("slot"), "text").mapInArrow(_sets(marked), "node long, shingles binary")
+    sets = known.select(h.cast("int").alias("slot"), "text").mapInArrow(_sets(marked, gram), "node long, shingles binary")
     return written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
 
-def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("binary").alias("text"))
-    first = written(texts.mapInArrow(_digests, "doc_id long, n long, node long, block int, counts binary"), "digests")
+    first = written(texts.mapInArrow(_digests(gram), "doc_id long, n long, node long, block int, counts binary"), "digests")
     digests = first.where("block is null").select("doc_id", "n", "node")
     sketch = np.zeros(1 << SKETCH_BITS, np.int32)
     blocks = first.where("block is not null").select("block", "counts").repartition("block")
@@ -193,12 +201,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         sketch[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["counts"], "<i4")
     held = spark.sparkContext.broadcast(sketch)
     known = texts.where("doc_id is not null")
-    cells = written(known.mapInArrow(_columns_needed(held), "token long, node long, n int, at int"), "cells")
+    cells = written(known.mapInArrow(_columns_needed(held, gram, percent), "token long, node long, n int, at int"), "cells")
     shared_tokens = cells.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
     shared = written(cells.join(shared_tokens.select("token"), "token").distinct(), "shared")
     dropped(cells)
     # rows that share most of their columns stand in the middle of their group: the best hubs
-    degree = shared.groupBy("node").agg(F.expr(f"-count(*) / (first(n) - ceil({PERCENT} * first(n) / 100) + {COMMON})").alias("pri"))
+    degree = shared.groupBy("node").agg(F.expr(f"-count(*) / (first(n) - ceil({percent} * first(n) / 100) + {COMMON})").alias("pri"))
     blocks = written(shared.join(degree, "node").select("token", "node", "n", "at", "pri"), "blocks")
     dropped(shared)
     links, labels = None, None
@@ -208,7 +216,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             now = blocks.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
         rank = F.xxhash64("node", F.lit(r)).cast("double") if r else F.col("pri")
         order = F.struct(rank.alias("rank"), F.col("node")).alias("order")
-        short = f"at < n - ceil({2 * PERCENT} * n / {100 + PERCENT}) + {COMMON}"
+        short = f"at < n - ceil({2 * percent} * n / {100 + percent}) + {COMMON}"
         per = now.groupBy("token", "label").agg(F.count("*").alias("m"), F.count_if(F.expr(short)).alias("s"), F.min(F.struct(order, "n", "label")).alias("hub"))
         per = per.groupBy("token").agg(
             F.sum("m").alias("m"), (F.sum("m") * F.sum("s") - F.sum(F.col("m") * F.col("s"))).alias("pairs"), F.min("hub").alias("hub"), F.count("*").alias("k")
@@ -223,17 +231,17 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
             rows = now.join(open_lists.select("token"), "token").select("token", "node", "n", "label", "at")
             other = rows.where(short).select("token", F.col("node").alias("v"), F.col("n").alias("o"), F.col("label").alias("other"), F.col("at").alias("place"))
             # a pair's own sizes bound the columns that it needs on either side more tightly
-            needed = f"ceil({PERCENT} * (n + o) / {100 + PERCENT})"
+            needed = f"ceil({percent} * (n + o) / {100 + percent})"
             within = f"at < n - {needed} + {COMMON} and place < o - {needed} + {COMMON}"
-            pairs = rows.join(other, "token").where(f"label <> other and (o < n or o = n and node < v) and {_fits('n', 'o')} and {within}")
+            pairs = rows.join(other, "token").where(f"label <> other and (o < n or o = n and node < v) and {_fits('n', 'o', percent)} and {within}")
             pairs = pairs.withColumnRenamed("node", "u")
         else:
             one = open_lists.select("token", F.col("hub.order.node").alias("v"), F.col("hub.n").alias("o"), F.col("hub.label").alias("other"))
-            pairs = now.join(one, "token").where(f"label <> other and {_fits('n', 'o')}").withColumnRenamed("node", "u")
+            pairs = now.join(one, "token").where(f"label <> other and {_fits('n', 'o', percent)}").withColumnRenamed("node", "u")
         counted = pairs.groupBy("u", "v", "n", "o").agg(F.count("*").alias("c"))
-        counted = counted.where(f"c >= least({COMMON}, ceil({PERCENT} * (n + o) / {100 + PERCENT}.0))").select("u", "v")
+        counted = counted.where(f"c >= least({COMMON}, ceil({percent} * (n + o) / {100 + percent}.0))").select("u", "v")
         counted = written(counted, "pairs")
-        found = written(_verified(counted, _shingle_sets(known, digests, counted)), "links")
+        found = written(_verified(counted, _shingle_sets(known, digests, counted, gram), percent), "links")
         for x in (open_lists, counted):
             dropped(x)
         links = found if links is None else links.unionByName(found)

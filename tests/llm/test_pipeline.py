@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 from collections import Counter
 
 import corpus_pipeline
@@ -53,3 +54,29 @@ def test_repeated_rows_and_null_ids(spark):
         assert Counter(r["doc_id"] for r in stages[name](spark, docs, SF).collect()) == {1: 2, None: 1, 2: 1, 3: 1}
     times = Counter(r["doc_id"] for r in stages["mix_sources"](spark, docs, SF).collect())
     assert 2 not in times and times[1] <= 4 and max(times[None], times[3]) <= 2
+
+
+def shingles(text, n):
+    w = text.lower().split()
+    return {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))}
+
+
+def test_near_copies_of_five_words_and_80(spark):
+    """Copies with a tail of 15 to 30 % or a changed word in 47; texts of four to eight words."""
+    r = random.Random(7)
+    texts = []
+    for tail in (15, 20, 24, 26, 30):
+        own = [f"w{r.randrange(9000)}" for _ in range(104)]
+        texts += [own, own + [f"t{r.randrange(9000)}" for _ in range(tail)]]
+    own = [f"w{r.randrange(9000)}" for _ in range(47 * 4)]
+    texts += [own, [f"c{i}" if i % 47 == 23 else w for i, w in enumerate(own)]]
+    for n in (4, 5, 6, 7, 8):
+        own = [f"s{n}{i}" for i in range(n)]
+        texts += [own, [*own, "more"]]
+    rows = [(i, " ".join(w), "en", "a", 1) for i, w in enumerate(texts)]
+    sets = [shingles(t, 5) for _, t, *_ in rows]
+    want = [i for i in range(len(rows)) if i % 2 == 0 or 100 * len(sets[i] & sets[i - 1]) < 80 * len(sets[i] | sets[i - 1])]
+    old = [shingles(t, 4) for _, t, *_ in rows]
+    assert any(i not in want and 100 * len(old[i] & old[i - 1]) < 85 * len(old[i] | old[i - 1]) for i in range(1, len(rows), 2))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    assert sorted(x["doc_id"] for x in dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs, SF).collect()) == want
