@@ -332,7 +332,7 @@ def up_nearest(spark, d):
     return R.upsample_nearest(V.hi(spark, d), 3, "dn")
 
 
-def _bilinear(f: int, kind: str, value: str = "dn") -> str:
+def _bilinear(f: int, kind: str, value: str = "dn", where: str = " WHERE y < 12") -> str:
     off = f / 2 + 0.5
     o = int(off)
     term = lambda w, v: f"CASE WHEN {v} = 0 THEN 0 ELSE coalesce(({w}) * {v}, 0) END" if kind == "refl" else f"({w}) * {v}"
@@ -340,7 +340,7 @@ def _bilinear(f: int, kind: str, value: str = "dn") -> str:
     total = " + ".join(term(w, turn(v)) for w, v in (("(1 - wy) * (1 - wx)", "p.v"), ("(1 - wy) * wx", "q.v"), ("wy * (1 - wx)", "s.v"), ("wy * wx", "t.v")))
     if kind == "az":
         total = f"((({total}) + ref + 540) % 360 + 360) % 360 - 180"
-    return f""", s0 AS (SELECT y, x, CAST({value} AS DOUBLE) AS v FROM hi WHERE y < 12), m AS (SELECT max(y) AS my, max(x) AS mx FROM s0),
+    return f""", s0 AS (SELECT y, x, CAST({value} AS DOUBLE) AS v FROM hi{where}), m AS (SELECT max(y) AS my, max(x) AS mx FROM s0),
     r AS (SELECT y, x, v FROM s0 UNION ALL SELECT -1, a.x, 2 * a.v - b.v FROM s0 a JOIN s0 b ON a.x = b.x AND a.y = 0 AND b.y = 1
       UNION ALL SELECT my + 1, a.x, 2 * a.v - b.v FROM m, s0 a JOIN s0 b ON a.x = b.x AND b.y = a.y - 1 WHERE a.y = my),
     g AS (SELECT y, x, v FROM r UNION ALL SELECT a.y, -1, 2 * a.v - b.v FROM r a JOIN r b ON a.y = b.y AND a.x = 0 AND b.x = 1
@@ -365,6 +365,28 @@ def up_bilinear_azimuth(spark, d):
     return rounded(R.upsample_bilinear(V.hi(spark, d).where("y < 12"), 6, "az", 12, 60, azimuth=True), "az", digits=4)
 
 
+def _bilinear_all(spark, d, f: int, value: str, **kind):
+    """The whole image; its rows are counted, not set."""
+    hi = V.hi(spark, d)
+    rows = hi.agg(F.max("y")).first()[0]
+    return rounded(R.upsample_bilinear(hi, f, value, -1 if rows is None else rows + 1, 60, **kind), value, digits=4)
+
+
+@query(sql(_bilinear(3, "plain", where=""), "hi"))
+def up_bilinear_all(spark, d):
+    return _bilinear_all(spark, d, 3, "dn")
+
+
+@query(sql(_bilinear(2, "refl", where=""), "hi"))
+def up_bilinear_refl_all(spark, d):
+    return _bilinear_all(spark, d, 2, "dn", reflectance=True)
+
+
+@query(sql(_bilinear(6, "az", "az", where=""), "hi"))
+def up_bilinear_azimuth_all(spark, d):
+    return _bilinear_all(spark, d, 6, "az", azimuth=True)
+
+
 @query(sql(", a AS (SELECT y, x, unnest(list_distinct([CAST(floor((y - 2) / 20.0) AS BIGINT), y // 20, (y + 2) // 20])) AS ty FROM hi), b AS (SELECT *, unnest(list_distinct([CAST(floor((x - 2) / 20.0) AS BIGINT), x // 20, (x + 2) // 20])) AS tx FROM a) SELECT ty, tx, count(*) AS n, count(*) FILTER (ty = y // 20 AND tx = x // 20) AS own FROM b WHERE ty >= 0 AND tx >= 0 GROUP BY 1, 2", "hi"))
 def halo_neighbors(spark, d):
     return R.halo_tiles(V.hi(spark, d), 20, 2).groupBy("ty", "tx").agg(F.count("*").alias("n"), F.count_if("own").alias("own"))
@@ -583,10 +605,19 @@ def tile_semi_join(spark, d):
     return _tiles(spark, d).join(known, ["j", "i"], "left_semi").groupBy("j", "i").agg(F.count("*").alias("n"))
 
 
-@query(sql(""", a AS (SELECT event_id // 10 AS ring, event_id % 10 AS n, CAST(trunc((90 - lat) / 3) AS INT) AS j, CAST(trunc((180 + lon) / 3) AS INT) AS i FROM geo WHERE event_id < 400),
+def _edges(where: str) -> str:
+    return f""", a AS (SELECT event_id // 10 AS ring, event_id % 10 AS n, CAST(trunc((90 - lat) / 3) AS INT) AS j, CAST(trunc((180 + lon) / 3) AS INT) AS i FROM geo{where}),
   e AS (SELECT p.ring, p.j AS j1, q.j AS j2, p.i AS i1, q.i AS i2 FROM a p JOIN a q ON p.ring = q.ring AND q.n = p.n + 1),
   r AS (SELECT ring, unnest(range(least(j1, j2), greatest(j1, j2) + 1)) AS j, least(i1, i2) AS lo, greatest(i1, i2) AS hi FROM e)
-  SELECT DISTINCT ring, j, ii % 120 AS i FROM (SELECT ring, j, unnest(CASE WHEN hi - lo <= 60 THEN range(lo, hi + 1) ELSE range(hi, lo + 121) END) AS ii FROM r)""", "geo"))
+  SELECT DISTINCT ring, j, ii % 120 AS i FROM (SELECT ring, j, unnest(CASE WHEN hi - lo <= 60 THEN range(lo, hi + 1) ELSE range(hi, lo + 121) END) AS ii FROM r)"""
+
+
+@query(sql(_edges(""), "geo"))
+def edge_tiles_all(spark, d):
+    return S.edge_tiles(V.geo(spark, d).selectExpr("event_id div 10 as ring", "event_id % 10 as n", "lon", "lat"))
+
+
+@query(sql(_edges(" WHERE event_id < 400"), "geo"))
 def edge_tiles(spark, d):
     rings = V.geo(spark, d).where("event_id < 400").selectExpr("event_id div 10 as ring", "event_id % 10 as n", "lon", "lat")
     return S.edge_tiles(rings)
