@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import shutil
 import tempfile
 import uuid
@@ -17,13 +18,17 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
+#: Spark's switch for removing a query's shuffle files as soon as the query ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share. spark.checkpoint.dir names it; where that is
-    unset (tests, one machine), a temporary folder is made once and set."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.conf.get("hydrapix.checkpoint.dir", None)
+    """The folder that the driver and all executors share, named by spark.checkpoint.dir. Where that is unset and
+    all runs in one process (tests), a temporary folder is made once; on a cluster it has to be set."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("hydrapix.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         made = tempfile.mkdtemp(prefix="hydrapix-")
         atexit.register(shutil.rmtree, made, True)
         found = f"file://{made}"
@@ -32,22 +37,28 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df as a table in the shared folder: lineage ends here and a lost executor loses nothing."""
+    """df as a table in the shared folder: lineage ends here and a lost executor loses nothing. The shuffle files
+    of this write are removed when it ends."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/hydrapix/{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.hydrapix_path = path
     return out
 
 
 def dropped(df: DataFrame) -> None:
-    """Removes a table made by written() that nothing reads any more."""
+    """Empties a table made by written() that nothing reads any more."""
     if path := getattr(df, "hydrapix_path", None):
-        spark = df.sparkSession
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-        spark._jvm.System.gc()  # lets the driver's cleaner remove shuffle files that nothing refers to
+        df.sparkSession.createDataFrame([], df.schema).coalesce(1).write.mode("overwrite").parquet(path)
 
 
 def fold_ascii(text: Column) -> Column:
@@ -113,18 +124,19 @@ def pieces(batches: Iterator, rows: int = 256) -> Iterator:
             yield batch.slice(at, rows)
 
 
-def components(edges: DataFrame, most: int = 60) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (u, v) of longs: rows (node, root), root the smallest node id.
 
     Alternating large-star and small-star steps: every node points its neighbours at the smallest one.
     All steps are joins and partial minima on the cluster, so a hub with very many neighbours is split
-    like any skewed join key. Each round is written to the shared folder.
+    like any skewed join key. Each round is written to the shared folder; rounds go on until nothing changes (their
+    number grows with the square of the logarithm of the nodes at most).
     """
     spark = edges.sparkSession
     now = written(
         edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct(), "cc"
     )
-    for _ in range(most):
+    while True:
         # done when every node points at one root and no root points anywhere
         ends = now.select(F.col("u").alias("x"), F.lit(1).alias("out"), F.lit(0).alias("into")).unionByName(
             now.select(F.col("v").alias("x"), F.lit(0).alias("out"), F.lit(1).alias("into"))
@@ -141,8 +153,6 @@ def components(edges: DataFrame, most: int = 60) -> DataFrame:
         after = written(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "cc")
         dropped(now)
         now = after
-    else:
-        raise RuntimeError("components did not settle")
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)
 

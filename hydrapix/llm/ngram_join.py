@@ -5,9 +5,14 @@ The figures below are for 4 words and 85 in 100; all bounds follow from the two
 Two nodes link when 100 * |A & B| >= 85 * |A | B|. That bounds the overlap from below by the sizes, so only the
 rarest n - ceil(0.85 n) + 2 columns of a row are needed for its product with rows of its size or smaller ones,
 and of these smaller ones only their n - ceil(170 n / 185) + 2 rarest: a linked pair has min(2, bound) of them in
-common (of the columns that its two sizes leave), and a pair whose accumulated count stays below is discarded
-without a look at the rest. Columns are ordered by a fixed-size frequency sketch (any fixed order is exact; a good one makes
-blocks small), so passages that very many documents share come last.
+common (of the columns that its two sizes leave). The product over these columns accumulates each pair's overlap and
+how far it has come in either row; what is left of the shorter rest bounds the overlap from above, and a pair that
+stays below its bound is discarded. Of the others, the rest of the columns is multiplied too. Columns are ordered by a
+fixed-size frequency sketch (any fixed order is exact; a good one makes blocks small), so passages that very many
+documents share come last.
+
+Cells are range-partitioned and sorted by column and row, so one shuffle finds the columns of two rows or more, and a
+hot column lies in as many tasks as it needs.
 
 Column blocks of groups of near copies would give all pairs of the group. Instead a few rounds pair each
 block's rows with one hub row only, verify these pairs and merge what links; afterwards only rows of one block
@@ -33,7 +38,7 @@ from .common import WordIds, columns_of, components, dropped, gram_hashes, piece
 
 GRAM, PERCENT, COMMON = 4, 85, 2
 SKETCH_BITS, BLOCK = 20, 1024
-ROUNDS, SLACK = 1, 3
+ROUNDS, SLACK, HELD = 1, 3, 1 << 20
 
 
 def shingle_set(ids: np.ndarray, gram: int) -> np.ndarray:
@@ -128,19 +133,60 @@ def _columns_needed(sketch, gram: int, percent: int):
     return run
 
 
+def _columns_of_two(batches: Iterator) -> Iterator:
+    """Of cells sorted by token and node, those whose token has two nodes or more; each cell once. The task's first
+    and last token stay in any case, as they may go on in the next task."""
+    held, first = None, True
+
+    def kept(part: pa.RecordBatch, last: bool):
+        nonlocal first
+        token, node = (part.column(i).to_numpy() for i in (0, 1))
+        new = np.concatenate([[True], token[1:] != token[:-1]])
+        fresh = new | np.concatenate([[True], node[1:] != node[:-1]])
+        start = np.flatnonzero(new)
+        many = np.add.reduceat(fresh, start) > 1
+        many[0] |= first
+        many[-1] |= last
+        first = False
+        return part.filter(pa.array(fresh & np.repeat(many, np.diff(np.append(start, len(token))))))
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        token = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(token, token[-1]))
+        if cut:
+            yield kept(batch.slice(0, cut), False)
+        held = batch.slice(cut)
+        if held.num_rows > HELD:  # a hot token: all but its last row can go
+            first = True
+            yield kept(held.slice(0, held.num_rows - 1), True)
+            held = held.slice(held.num_rows - 1)
+    if held is not None:
+        yield kept(held, True)
+
+
 def _sets(bits, gram: int):
-    """(node, shingles) of the documents whose id has its bit set in a bitmap of fixed size."""
+    """(node, shingles) of the documents whose id has its bit set in the bitmap; a node once in the task."""
 
     def run(batches: Iterator) -> Iterator:
-        words, wanted = WordIds(), bits.value
+        words, wanted, seen = WordIds(), bits.value, set()
         for batch in pieces(batches):
             ids, texts = columns_of(batch, "slot", "text")
-            sets = [shingle_set(words.of(t), gram) for i, t in zip(ids, texts, strict=True) if wanted[i >> 3] >> (i & 7) & 1]
+            nodes, sets = [], []
+            for i, t in zip(ids, texts, strict=True):
+                if wanted[i >> 3] >> (i & 7) & 1:
+                    s = shingle_set(words.of(t), gram)
+                    if (node := node_of(s)) not in seen:
+                        if len(seen) > 1 << 19:
+                            seen.clear()
+                        seen.add(node)
+                        nodes.append(node)
+                        sets.append(s.tobytes())
             if sets:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([node_of(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["node", "shingles"],
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.binary())], names=["node", "shingles"])
 
     return run
 
@@ -173,20 +219,22 @@ def _fits(x: str, y: str, percent: int) -> str:
     return f"100 * least({x}, {y}) >= {percent} * greatest({x}, {y})"
 
 
-def _shingle_sets(known: DataFrame, digests: DataFrame, pairs: DataFrame, gram: int, bits: int = 23) -> DataFrame:
-    """(node, shingles) of the nodes in some pairs, from one document of each. A bitmap of fixed size marks
-    these documents, so the others' texts are never shuffled (marks that coincide only cost time)."""
+def _shingle_sets(known: DataFrame, digests: DataFrame, pairs: DataFrame, gram: int) -> DataFrame:
+    """(node, shingles) of the nodes in some pairs, from one document of each. A bitmap marks these documents, so the
+    others' texts are never shuffled; it has 16 bits for each of them, 2^28 at most (32 MB; marks that coincide only
+    cost time, the joins with the pairs drop what is not wanted)."""
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    ids = digests.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    ids = written(digests.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "wanted")
+    bits = min(28, max(18, (16 * ids.count()).bit_length()))
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
     marks = ids.select(F.shiftright(h, 15).alias("k"), (h % (1 << 15)).cast("long").alias("bit"))
-    rows = marks.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("m")).collect()
     out = np.zeros(1 << (bits - 3), np.uint8)
-    for r in rows:
+    for r in marks.groupBy("k").agg(F.bitmap_construct_agg("bit").alias("m")).toLocalIterator():
         out[r["k"] << 12 : (r["k"] + 1) << 12] = np.frombuffer(r["m"], np.uint8)
+    dropped(ids)
     marked = known.sparkSession.sparkContext.broadcast(out)
     sets = known.select(h.cast("int").alias("slot"), "text").mapInArrow(_sets(marked, gram), "node long, shingles binary")
-    return written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
+    return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
@@ -202,8 +250,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     held = spark.sparkContext.broadcast(sketch)
     known = texts.where("doc_id is not null")
     cells = written(known.mapInArrow(_columns_needed(held, gram, percent), "token long, node long, n int, at int"), "cells")
-    shared_tokens = cells.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo < hi")
-    shared = written(cells.join(shared_tokens.select("token"), "token").distinct(), "shared")
+    cells_in_order = cells.repartitionByRange("token", "node").sortWithinPartitions("token", "node")
+    shared = written(cells_in_order.mapInArrow(_columns_of_two, "token long, node long, n int, at int"), "shared")
     dropped(cells)
     # rows that share most of their columns stand in the middle of their group: the best hubs
     degree = shared.groupBy("node").agg(F.expr(f"-count(*) / (first(n) - ceil({percent} * first(n) / 100) + {COMMON})").alias("pri"))
@@ -217,7 +265,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         rank = F.xxhash64("node", F.lit(r)).cast("double") if r else F.col("pri")
         order = F.struct(rank.alias("rank"), F.col("node")).alias("order")
         short = f"at < n - ceil({2 * percent} * n / {100 + percent}) + {COMMON}"
-        per = now.groupBy("token", "label").agg(F.count("*").alias("m"), F.count_if(F.expr(short)).alias("s"), F.min(F.struct(order, "n", "label")).alias("hub"))
+        if labels is None:  # every row is a component of its own
+            per = now.withColumns({"m": F.lit(1), "s": F.expr(f"int({short})"), "hub": F.struct(order, "n", "label")})
+        else:
+            per = now.groupBy("token", "label").agg(F.count("*").alias("m"), F.count_if(F.expr(short)).alias("s"), F.min(F.struct(order, "n", "label")).alias("hub"))
         per = per.groupBy("token").agg(
             F.sum("m").alias("m"), (F.sum("m") * F.sum("s") - F.sum(F.col("m") * F.col("s"))).alias("pairs"), F.min("hub").alias("hub"), F.count("*").alias("k")
         )
@@ -238,8 +289,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         else:
             one = open_lists.select("token", F.col("hub.order.node").alias("v"), F.col("hub.n").alias("o"), F.col("hub.label").alias("other"))
             pairs = now.join(one, "token").where(f"label <> other and {_fits('n', 'o', percent)}").withColumnRenamed("node", "u")
-        counted = pairs.groupBy("u", "v", "n", "o").agg(F.count("*").alias("c"))
-        counted = counted.where(f"c >= least({COMMON}, ceil({percent} * (n + o) / {100 + percent}.0))").select("u", "v")
+            pairs = pairs.withColumn("place", F.lit(0))
+        # common columns lie in the same order in both rows, so after the last one counted no more than the shorter rest
+        # can follow (hub rounds see only some of a pair's columns, so there the count alone decides)
+        counted = pairs.groupBy("u", "v", "n", "o").agg(F.count("*").alias("c"), F.max("at").alias("x"), F.max("place").alias("y"))
+        least = f"ceil({percent} * (n + o) / {100 + percent}.0)"
+        rest = f"c + least(n - 1 - x, o - 1 - y) >= {least}" if last else "true"
+        counted = counted.where(f"c >= least({COMMON}, {least}) and {rest}").select("u", "v")
         counted = written(counted, "pairs")
         found = written(_verified(counted, _shingle_sets(known, digests, counted, gram), percent), "links")
         for x in (open_lists, counted):
