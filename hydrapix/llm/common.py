@@ -10,6 +10,8 @@ import uuid
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -117,11 +119,42 @@ def columns_of(batch, *names: str) -> list[list]:
     return [batch.column(batch.schema.get_field_index(n)).to_pylist() for n in names]
 
 
-def pieces(batches: Iterator, rows: int = 256) -> Iterator:
-    """Arrow batches cut small, so that long texts never stand in memory together."""
+def pieces(batches: Iterator, rows: int = 256, size: int = 4 << 20) -> Iterator:
+    """Arrow batches cut small, by rows and by bytes of text, so that long texts never stand in memory together."""
     for batch in batches:
-        for at in range(0, batch.num_rows, rows):
-            yield batch.slice(at, rows)
+        held = np.zeros(batch.num_rows, np.int64)
+        for column in batch.columns:
+            if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+                held += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+        ends, at = np.cumsum(held), 0
+        while at < batch.num_rows:
+            fits = int(np.searchsorted(ends, (ends[at - 1] if at else 0) + size, "right"))
+            stop = min(at + rows, max(at + 1, fits), batch.num_rows)
+            yield batch.slice(at, stop - at)
+            at = stop
+
+
+def run_parts(batches: Iterator, most: int = 1 << 20) -> Iterator:
+    """Of batches sorted by their first column: (part, starts of its runs, whether its first and its last run may have
+    rows elsewhere). Runs that go on in another task, or are longer than `most` rows, come in several parts."""
+    held, open_ = None, True
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+        key = batch.column(0).to_numpy()
+        cut = int(np.searchsorted(key, key[-1]))
+        if cut:
+            own = key[:cut]
+            yield batch.slice(0, cut), np.flatnonzero(np.concatenate([[True], own[1:] != own[:-1]])), open_, False
+            open_ = False
+        held = batch.slice(cut)
+        if held.num_rows > most:
+            yield held, np.zeros(1, np.int64), open_, True
+            held, open_ = None, True
+    if held is not None:
+        yield held, np.zeros(1, np.int64), open_, True
 
 
 def components(edges: DataFrame) -> DataFrame:

@@ -34,11 +34,11 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, columns_of, components, dropped, gram_hashes, pieces, written
+from .common import WordIds, columns_of, components, dropped, gram_hashes, pieces, run_parts, written
 
 GRAM, PERCENT, COMMON = 4, 85, 2
 SKETCH_BITS, BLOCK = 20, 1024
-ROUNDS, SLACK, HELD = 1, 3, 1 << 20
+ROUNDS, SLACK = 1, 3
 
 
 def shingle_set(ids: np.ndarray, gram: int) -> np.ndarray:
@@ -134,38 +134,15 @@ def _columns_needed(sketch, gram: int, percent: int):
 
 
 def _columns_of_two(batches: Iterator) -> Iterator:
-    """Of cells sorted by token and node, those whose token has two nodes or more; each cell once. The task's first
-    and last token stay in any case, as they may go on in the next task."""
-    held, first = None, True
-
-    def kept(part: pa.RecordBatch, last: bool):
-        nonlocal first
+    """Of cells sorted by token and node, those whose token has two nodes or more; each cell once. Runs that may go on
+    in another task stay in any case."""
+    for part, start, before, after in run_parts(batches):
         token, node = (part.column(i).to_numpy() for i in (0, 1))
-        new = np.concatenate([[True], token[1:] != token[:-1]])
-        fresh = new | np.concatenate([[True], node[1:] != node[:-1]])
-        start = np.flatnonzero(new)
+        fresh = np.concatenate([[True], (token[1:] != token[:-1]) | (node[1:] != node[:-1])])
         many = np.add.reduceat(fresh, start) > 1
-        many[0] |= first
-        many[-1] |= last
-        first = False
-        return part.filter(pa.array(fresh & np.repeat(many, np.diff(np.append(start, len(token))))))
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        if held is not None:
-            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
-        token = batch.column(0).to_numpy()
-        cut = int(np.searchsorted(token, token[-1]))
-        if cut:
-            yield kept(batch.slice(0, cut), False)
-        held = batch.slice(cut)
-        if held.num_rows > HELD:  # a hot token: all but its last row can go
-            first = True
-            yield kept(held.slice(0, held.num_rows - 1), True)
-            held = held.slice(held.num_rows - 1)
-    if held is not None:
-        yield kept(held, True)
+        many[0] |= before
+        many[-1] |= after
+        yield part.filter(pa.array(fresh & np.repeat(many, np.diff(np.append(start, len(token))))))
 
 
 def _sets(bits, gram: int):
