@@ -6,15 +6,20 @@ their bounded-length substrings are exploded, equi-joined to the piece table (fi
 folded by Viterbi with Spark's higher-order aggregate. The segmentation has the largest sum of piece scores
 (ties: the shorter last piece). Characters without a piece become their UTF-8 byte pieces.
 
+A word of more than 256 characters (a run of letters without a space) goes in chunks of 128: a chunk has one lattice for
+each place in it where the last piece of the chunk before can end, and each lattice gives the best way to each place
+in the next chunk; these scores are folded from chunk to chunk. That is exact, linear in the word's length, and no
+group holds more than a chunk's edges (ties at a chunk's border: the way that reaches it first).
+
 Documents then take their words' ids: the `hot` most frequent words by a broadcast dictionary of bounded size,
 all others by a shuffled join on the word, and these ids come back to their document as one row under its id.
 Texts are cut and looked up a block at a time by word hashes; words whose hashes collide are told apart. Decoding turns
 ids back into the text; the result says whether that gave the same text.
 
 Cases: null and empty texts have no tokens and decode to the empty text; a text that holds U+2581 itself cannot
-round trip, as in the model; invalid input cannot occur in a string column; repeated rows are returned each; a
-null doc_id is a value like others; an empty table gives an empty result; extra columns are not read. Words of
-any length are cut at every place that no piece spans, so a very long text without spaces stays cheap.
+round trip, as in the model; invalid input cannot occur in a string column; repeated rows are returned each (their
+words are looked up once for each task that has some of them); a null doc_id is a value like others; an empty table
+gives an empty result; extra columns are not read.
 """
 
 from __future__ import annotations
@@ -135,7 +140,7 @@ class Dictionary:
         return np.where((self.h[at] == h) & (self.check[at] == check), self.rank[at], -1)
 
 
-ROWS, WORDS_HELD = 64, 1 << 20
+ROWS, WORDS_HELD = 64, 1 << 19
 
 
 def _counts(pairs: frozenset):
@@ -169,19 +174,24 @@ def _counts(pairs: frozenset):
     return run
 
 
-def segment(words: DataFrame, table: Pieces) -> DataFrame:
-    """Words (word, n) to (word, n, ids) by the lattice and its Viterbi fold."""
-    known = F.broadcast(table.table(words.sparkSession))  # as many rows as the model has pieces
-    parts = max(int(words.sparkSession.conf.get("spark.sql.shuffle.partitions")), words.count() // 20_000)
-    starts = words.repartition(parts, "word").withColumn("len", F.length("word")).withColumn("i", F.expr("explode(sequence(1, len))"))
-    spans = starts.withColumn("l", F.expr(f"explode(sequence(1, least({table.longest}, len - i + 1)))"))
-    spans = spans.withColumn("piece", F.expr("substring(word, i, l)"))
+CUT = 128
+
+
+def lattices(units: DataFrame, table: Pieces) -> DataFrame:
+    """Units (text, body, n) to (text, body, n, exits): the best way from the start of the text to each place from
+    character `body` on, as struct (s, t) of score and ids. Pieces start before `body`; a place that none of them
+    reaches has a score below -1e17."""
+    known = F.broadcast(table.table(units.sparkSession))  # as many rows as the model has pieces
+    parts = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), units.count() // 20_000)
+    starts = units.repartition(parts, "text").withColumn("len", F.length("text")).withColumn("i", F.expr("explode(sequence(1, len))"))
+    spans = starts.withColumn("l", F.expr(f"explode(sequence(1, if(i > body, 1, least({table.longest}, len - i + 1))))"))
+    spans = spans.withColumn("piece", F.expr("substring(text, i, l)"))
     edges = spans.join(known, "piece", "left").where("pid is not null or l = 1")
     edge = F.expr(
         "struct(cast(i + l - 1 as int) as e, cast(l as int) as l, coalesce(pid, -1 - ascii(piece)) as pid, "
-        f"coalesce(score, double({table.unknown_score!r})) as s)"
+        f"if(i > body, -1e18D, coalesce(score, double({table.unknown_score!r}))) as s)"
     )
-    lattice = edges.groupBy("word").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(edge)).alias("es"))
+    lattice = edges.groupBy("text", "body").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(edge)).alias("es"))
     keep = table.longest
     fold = f"""aggregate(es, named_struct('e', 0, 'w', array(named_struct('s', 0D, 't', cast(array() as array<int>)))),
       (a, x) -> named_struct('e', x.e, 'w',
@@ -190,8 +200,52 @@ def segment(words: DataFrame, table: Pieces) -> DataFrame:
            if(a.w[x.l].s + x.s > a.w[0].s,
               concat(array(named_struct('s', a.w[x.l].s + x.s, 't', concat(a.w[x.l].t, array(x.pid)))), slice(a.w, 2, {keep})),
               a.w))),
-      a -> a.w[0].t)"""
-    return lattice.select("word", "n", F.expr(fold).alias("ids"))
+      a -> reverse(slice(a.w, 1, length(text) - body + 1)))"""
+    return lattice.select("text", "body", "n", F.expr(fold).alias("exits"))
+
+
+def chunks(words: DataFrame, longest: int) -> DataFrame:
+    """Words (id, word) to (id, k, i, text, body): chunk k from its character i on, up to where the pieces can end that
+    start in its `body`. The last chunk also has what is left over."""
+    tail = longest - 1
+    parts = words.select("id", F.expr(f"regexp_extract_all(word, '(?s).{{1,{CUT}}}', 0)").alias("p"), F.expr(f"length(word) div {CUT}").alias("m"))
+    each = F.expr(
+        f"posexplode(transform(sequence(1, m), k -> if(k = m, concat(p[k - 1], coalesce(get(p, k), '')), concat(p[k - 1], substring(p[k], 1, {tail})))))"
+    )
+    each = parts.select("id", "m", each.alias("k", "chunk")).withColumn("i", F.expr(f"explode(sequence(0, if(k = 0, 0, {tail})))"))
+    return each.select("id", "k", "i", F.expr("substring(chunk, i + 1)").alias("text"), F.expr(f"cast(if(k = m - 1, length(chunk), {CUT}) - i as int)").alias("body"))
+
+
+def chained(words: DataFrame, parts: DataFrame, ways: DataFrame) -> DataFrame:
+    """Long words (id, word, n), their chunks and these chunks' lattices to (word, n, ids)."""
+    scores = parts.join(ways.select("text", "body", F.expr("transform(exits, x -> x.s)").alias("s")), ["text", "body"])
+    rows = scores.groupBy("id", "k").agg(F.expr("transform(array_sort(collect_list(struct(i, s))), x -> x.s)").alias("m"))
+    rows = rows.groupBy("id").agg(F.expr("transform(array_sort(collect_list(struct(k, m))), x -> x.m)").alias("ms"))
+    via = """aggregate(ms, array(named_struct('s', 0D, 'via', cast(array() as array<int>))),
+      (a, m) -> transform(
+        transform(sequence(0, size(m[0]) - 1), j -> array_max(transform(sequence(0, size(m) - 1), i -> named_struct('s', a[i].s + m[i][j], 'o', -i)))),
+        b -> named_struct('s', b.s, 'via', concat(a[-b.o].via, array(-b.o)))),
+      a -> a[0].via)"""
+    via = rows.select("id", F.expr(via).alias("via"))
+    steps = via.select("id", F.expr("posexplode(transform(via, (x, k) -> struct(x as i, coalesce(get(via, k + 1), 0) as j)))").alias("k", "step"))
+    steps = steps.select("id", "k", "step.i", "step.j").join(parts, ["id", "k", "i"]).join(ways.select("text", "body", "exits"), ["text", "body"])
+    ids = steps.groupBy("id").agg(F.expr("flatten(transform(array_sort(collect_list(struct(k, exits[j].t as t))), x -> x.t))").alias("ids"))
+    return words.join(ids, "id").select("word", "n", "ids")
+
+
+def segment(words: DataFrame, table: Pieces) -> DataFrame:
+    """Words (word, n) to (word, n, ids) by the lattice and its Viterbi fold."""
+    units = words.where(f"length(word) <= {2 * CUT}").select(F.col("word").alias("text"), F.length("word").alias("body"), "n")
+    long = words.where(f"length(word) > {2 * CUT}")
+    first = "exits[0].t"
+    if long.isEmpty():
+        return lattices(units, table).select(F.col("text").alias("word"), "n", F.expr(first).alias("ids"))
+    long = written(long.withColumn("id", F.monotonically_increasing_id()), "long")
+    parts = written(chunks(long, table.longest), "chunks")
+    more = parts.select("text", "body").distinct().withColumn("n", F.lit(None).cast("long"))
+    ways = written(lattices(units.unionByName(more), table), "lattices")
+    short = ways.where("n is not null").select(F.col("text").alias("word"), "n", F.expr(first).alias("ids"))
+    return short.unionByName(chained(long, parts, ways))
 
 
 class Gather:
@@ -236,10 +290,19 @@ def _numbered(batches: Iterator, index: Dictionary) -> Iterator:
 
 
 def _lacking(index):
-    """Rows (d, h, pos, word): the words of a text that the dictionary lacks."""
+    """Rows (d, h, pos, word): the words of a text that the dictionary lacks. Of rows with one d and h, which have one
+    text, the task's first stands for all."""
 
     def run(batches: Iterator) -> Iterator:
+        seen: set = set()
         for batch, _, _, lacks in _numbered(batches, index.value):
+            for at, key in enumerate(zip(*columns_of(batch, "d", "h"), strict=True)):
+                if key in seen:
+                    lacks[at] = []
+                elif lacks[at]:
+                    if len(seen) > 1 << 18:
+                        seen.clear()
+                    seen.add(key)
             size = np.fromiter(map(len, lacks), np.int64, len(lacks))
             d, h = (np.repeat(batch.column(batch.schema.get_field_index(c)).to_numpy(), size) for c in ("d", "h"))
             pos = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
@@ -358,15 +421,17 @@ def encode(docs: DataFrame, model_file: str = MODEL, hot: int = 1 << 18) -> Data
     dropped(words)
     # the words of the highest classes of frequency that fit into `hot`; found by a small table of class sizes
     level = F.floor(F.log2("n") * 16)
-    classes = known.groupBy(level.alias("level")).agg(F.count("*").alias("held")).orderBy(F.desc("level")).collect()  # at most 1024 rows
+    short = known.where(f"length(word) <= {2 * CUT}")
+    classes = short.groupBy(level.alias("level")).agg(F.count("*").alias("held")).orderBy(F.desc("level")).collect()  # at most 1024 rows
     fits = [r["level"] for r, total in zip(classes, accumulate(r["held"] for r in classes), strict=True) if total <= hot]
-    top = known.where(level >= (fits[-1] if fits else 1 << 20)).select("n", "word", "ids").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
+    top = short.where(level >= (fits[-1] if fits else 1 << 20)).select("n", "word", "ids").toArrow().sort_by([("n", "descending"), ("word", "ascending")])
     index = spark.sparkContext.broadcast(Dictionary(top["word"].to_pylist(), top["ids"].to_pylist(), table.pairs))
     del top
     held = spark.sparkContext.broadcast(table)
     # both passes cut and number a text alike, so (d, h, pos) names a lacking word; texts and words are never joined
     rare = texts.select("d", "h", "text").mapInArrow(_lacking(index), "d long, h long, pos int, word string").join(known.select("word", "ids"), "word")
-    found = rare.groupBy("d", "h").agg(F.collect_list(F.struct("pos", "ids")).alias("found"))
+    # a table of its own, so the shuffles behind it are gone before the documents move
+    found = written(rare.groupBy("d", "h").agg(F.collect_set(F.struct("pos", "ids")).alias("found")), "found")
     coded = texts.mapInArrow(_coded(index), "doc_id long, d long, h long, code binary, check binary")
     both = coded.join(found, ["d", "h"], "left").select("doc_id", "code", "check", "found")
     return both.mapInArrow(_tokens(index, held), "doc_id long, n_tokens long, token_ids array<int>, round_trip boolean")
