@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Bits of pixel_classif_flags by name (fixed values).
 CLASSIF_BITS = {
@@ -71,32 +72,66 @@ INVERSE = (_N / 2 - 2 / 3 * _N**2 + 37 / 96 * _N**3, _N**2 / 48 + _N**3 / 15, 17
 LATITUDE = (2 * _N - 2 / 3 * _N**2 - 2 * _N**3, 7 / 3 * _N**2 - 8 / 5 * _N**3, 56 / 15 * _N**3)
 
 
-def utm_to_geographic(x: Column, y: Column, zone: int, north: bool = True) -> tuple[Column, Column]:
-    """(lat, lon) in degrees of a UTM easting and northing."""
-    xi = (y - F.lit(0.0 if north else 10000000.0)) / F.lit(_K0 * _RADIUS)
-    eta = (x - F.lit(_EAST)) / F.lit(_K0 * _RADIUS)
-    xi1, eta1 = xi, eta
-    for j, b in enumerate(INVERSE, 1):
-        xi1 = xi1 - F.lit(b) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        eta1 = eta1 - F.lit(b) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    chi = F.asin(F.sin(xi1) / F.cosh(eta1))
-    lat = chi
-    for j, d in enumerate(LATITUDE, 1):
-        lat = lat + F.lit(d) * F.sin(2 * j * chi)
-    lon = F.lit(zone * 6 - 183.0) + F.degrees(F.atan2(F.sinh(eta1), F.cos(xi1)))
-    return F.degrees(lat), lon
-
-
-def geographic_to_utm(lat: Column, lon: Column, zone: int, north: bool = True) -> tuple[Column, Column]:
-    """(easting, northing) of a latitude and longitude in degrees."""
-    phi, lam = F.radians(lat), F.radians(lon - F.lit(zone * 6 - 183.0))
+def _harmonics(first: tuple[Column, Column], last: tuple[Column, Column], sign: int) -> tuple[Column, Column]:
+    """sin and cos (sign -1) or sinh and cosh (sign 1) of the sum of two angles, from those of each."""
+    (s, c), (t, d) = first, last
+    return s * d + c * t, c * d + sign * s * t
+
+
+def _series(df: DataFrame, coefficients: tuple[float, ...], sign: int) -> DataFrame:
+    """Columns _xi and _eta with their Krueger series added (sign 1) or taken off (-1). The multiples of an angle come
+    from its first one, so four transcendental functions serve all terms."""
+    df = df.withColumns({"_s": F.sin(2 * F.col("_xi")), "_c": F.cos(2 * F.col("_xi")), "_sh": F.sinh(2 * F.col("_eta")), "_ch": F.cosh(2 * F.col("_eta"))})
+    df = df.withColumns(dict(zip(("_s2", "_c2"), _harmonics((F.col("_s"), F.col("_c")), (F.col("_s"), F.col("_c")), -1), strict=True)) | dict(zip(("_sh2", "_ch2"), _harmonics((F.col("_sh"), F.col("_ch")), (F.col("_sh"), F.col("_ch")), 1), strict=True)))
+    third = _harmonics((F.col("_s2"), F.col("_c2")), (F.col("_s"), F.col("_c")), -1) + _harmonics((F.col("_sh2"), F.col("_ch2")), (F.col("_sh"), F.col("_ch")), 1)
+    terms = [(F.col("_s"), F.col("_c"), F.col("_sh"), F.col("_ch")), (F.col("_s2"), F.col("_c2"), F.col("_sh2"), F.col("_ch2")), third]
+    xi, eta = F.col("_xi"), F.col("_eta")
+    for k, (s, c, sh, ch) in zip(coefficients, terms, strict=True):
+        xi, eta = xi + F.lit(sign * k) * s * ch, eta + F.lit(sign * k) * c * sh
+    return df.withColumns({"_x": xi, "_e": eta})
+
+
+def _computed(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
+    """The columns to keep and new ones behind a generator of one row, so that a filter on them is not pushed into, and
+    computed again by, what they are made of."""
+    return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
+
+
+def to_geographic(df: DataFrame, x: Column, y: Column, zone: int, north: bool = True) -> DataFrame:
+    """Adds lat and lon in degrees of a UTM easting and northing."""
+    keep = df.columns
+    df = df.withColumns({"_xi": (y - F.lit(0.0 if north else 10000000.0)) / F.lit(_K0 * _RADIUS), "_eta": (x - F.lit(_EAST)) / F.lit(_K0 * _RADIUS)})
+    df = _series(df, INVERSE, -1).withColumn("_chi", F.asin(F.sin("_x") / F.cosh("_e")))
+    df = df.withColumns({"_t": F.sin(2 * F.col("_chi")), "_u": F.cos(2 * F.col("_chi"))})
+    t, u = F.col("_t"), F.col("_u")
+    # sin 4 chi = 2 t u, sin 6 chi = t (4 u^2 - 1)
+    lat = F.col("_chi") + t * (F.lit(LATITUDE[0]) + F.lit(2 * LATITUDE[1]) * u + F.lit(LATITUDE[2]) * (4 * u * u - 1))
+    lon = F.lit(zone * 6 - 183.0) + F.degrees(F.atan2(F.sinh("_e"), F.cos("_x")))
+    return _computed(df, keep, lat=F.degrees(lat), lon=lon)
+
+
+def to_utm(df: DataFrame, lat: Column, lon: Column, zone: int, north: bool = True) -> DataFrame:
+    """Adds easting and northing of a latitude and longitude in degrees."""
+    keep = df.columns
     e = 2 * math.sqrt(_N) / (1 + _N)
-    s = F.sin(phi)
-    t = F.sinh(F.atanh(s) - F.lit(e) * F.atanh(F.lit(e) * s))
-    xi = F.atan2(t, F.cos(lam))
-    eta = F.asinh(F.sin(lam) / F.sqrt(t * t + F.cos(lam) * F.cos(lam)))
-    x, y = eta, xi
-    for j, a in enumerate(FORWARD, 1):
-        y = y + F.lit(a) * F.sin(2 * j * xi) * F.cosh(2 * j * eta)
-        x = x + F.lit(a) * F.cos(2 * j * xi) * F.sinh(2 * j * eta)
-    return F.lit(_EAST) + F.lit(_K0 * _RADIUS) * x, F.lit(0.0 if north else 10000000.0) + F.lit(_K0 * _RADIUS) * y
+    df = df.withColumns({"_p": F.sin(F.radians(lat)), "_l": F.radians(lon - F.lit(zone * 6 - 183.0))})
+    df = df.withColumns({"_t": F.sinh(F.atanh("_p") - F.lit(e) * F.atanh(F.lit(e) * F.col("_p"))), "_k": F.cos("_l")})
+    t, k = F.col("_t"), F.col("_k")
+    df = df.withColumns({"_xi": F.atan2(t, k), "_eta": F.asinh(F.sin("_l") / F.sqrt(t * t + k * k))})
+    df = _series(df, FORWARD, 1)
+    return _computed(df, keep, easting=F.lit(_EAST) + F.lit(_K0 * _RADIUS) * F.col("_e"), northing=F.lit(0.0 if north else 10000000.0) + F.lit(_K0 * _RADIUS) * F.col("_x"))
+
+
+def scaling(metadata: dict, floating: bool) -> tuple[float, float, float | None] | None:
+    """(scale, offset, fill) of a band by its metadata: None for bands of real numbers and those without a scale or an
+    offset. The fill value is the one under _FillValue."""
+    if floating or not ({"scale_factor", "add_offset"} & metadata.keys()):
+        return None
+    return metadata.get("scale_factor", 1.0), metadata.get("add_offset", 0.0), metadata.get("_FillValue")
+
+
+def decode_band(df: DataFrame, band: str) -> Column:
+    """The band's physical values, by the metadata of its column; unchanged if that has no scaling."""
+    field = df.schema[band]
+    found = scaling(field.metadata, isinstance(field.dataType, (T.FloatType, T.DoubleType)))
+    return decode_scaled(F.col(band), *found).alias(band) if found else F.col(band)

@@ -12,9 +12,10 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import settled
 from .resample import halo_tiles
 
-TILE = 610
+TILE, ROUND = 610, 128
 
 
 def _grown(on: np.ndarray, eight: bool) -> np.ndarray:
@@ -38,26 +39,50 @@ def _by_tile(mask: DataFrame, depth: int, change) -> DataFrame:
     return tiles.groupBy("ty", "tx").applyInPandas(run, "y long, x long, code int")
 
 
+def _step(codes: np.ndarray, on: np.ndarray, dest: int, insert: int, eight: bool) -> None:
+    """Cells of value dest next to a cell that is on become `insert`."""
+    codes[(codes == dest) & _grown(on, eight)] = insert
+
+
+def _reached(codes: np.ndarray, source: tuple[int, int], dest: int, insert: int, steps: int, eight: bool, insert_grows: bool) -> np.ndarray:
+    on = (codes >= source[0]) & (codes <= source[1])
+    if insert_grows:
+        on |= codes == insert
+    free = codes == dest
+    reached = on.copy()
+    for _ in range(steps):
+        reached |= _grown(reached, eight) & free
+    return np.where(free & reached, insert, codes)
+
+
 def dilate(mask: DataFrame, source: tuple[int, int], dest: int, insert: int, steps: int, eight: bool = False, insert_grows: bool = True) -> DataFrame:
     """Cells of value dest within `steps` of a source value (an interval, and the inserted value too unless told
-    otherwise), by way of dest cells, become `insert`."""
+    otherwise), by way of dest cells, become `insert`. With steps = 0 that goes on until nothing changes: rounds of
+    ROUND steps, each written, as far as the longest way is."""
+    if steps:
+        return _by_tile(mask, steps, lambda codes: _reached(codes, source, dest, insert, steps, eight, insert_grows))
+    first, now, left = True, mask, None
+    while True:
+        grows = insert_grows or not first  # what a round has inserted grows on in the next one
+        now = settled(_by_tile(now, ROUND, lambda codes, g=grows: _reached(codes, source, dest, insert, ROUND, eight, g)))
+        before, left = left, now.where(F.col("code") == dest).count()
+        if left in (0, before):
+            return now
+        first = False
+
+
+def opened(mask: DataFrame, a: int, b: int, steps: int, by: int | None = None, rest: int | None = None) -> DataFrame:
+    """a grows into b (as `by`, a itself if none is given), then b grows back, which also takes from what was `by`
+    before; what b does not take back becomes `rest`, if one is given (cells of b themselves where by is a). One border
+    of twice the steps serves both ways."""
+    mark = a if by is None else by
 
     def change(codes: np.ndarray) -> np.ndarray:
-        on = (codes >= source[0]) & (codes <= source[1])
-        if insert_grows:
-            on |= codes == insert
-        free = codes == dest
-        reached = on.copy()
-        for _ in range(steps):
-            reached |= _grown(reached, eight) & free
-        return np.where(free & reached, insert, codes)
-
-    return _by_tile(mask, steps, change)
-
+        codes = _reached(codes, (a, a), b, mark, steps, False, True)
+        codes = _reached(codes, (b, b), mark, b, steps, False, True)
+        return codes if rest is None else np.where(codes == (b if by is None else mark), rest, codes)
 
-def opened(mask: DataFrame, a: int, b: int, steps: int) -> DataFrame:
-    """a grows into b, then b grows back into a, which also takes from what was a before."""
-    return dilate(dilate(mask, (a, a), b, a, steps), (b, b), a, b, steps)
+    return _by_tile(mask, 2 * steps, change)
 
 
 def distance_labels(mask: DataFrame, source: int = 64, dest: int = 96, most: int = 32, four: int = 2) -> DataFrame:
@@ -67,14 +92,52 @@ def distance_labels(mask: DataFrame, source: int = 64, dest: int = 96, most: int
     def change(codes: np.ndarray) -> np.ndarray:
         codes = codes.copy()
         for i in range(most):
-            free = codes == dest
-            on = (codes == source + i) | (codes == source + i + 1)
-            codes[free & _grown(on, i >= four)] = source + i + 1
+            _step(codes, (codes == source + i) | (codes == source + i + 1), dest, source + i + 1, i >= four)
         return codes
 
     return _by_tile(mask, most, change)
 
 
+def shore_labels(mask: DataFrame, width: int = 4, most: int = 32) -> DataFrame:
+    """Coastal cells (160) within `width` of the transition zone (65 to 95), and nearer to it than to inland water (96),
+    get 160 + their distance from the ocean (64) along that shore, up to `most`."""
+    transition, inland = 2, 1  # marks that do not last
+
+    def change(codes: np.ndarray) -> np.ndarray:
+        codes = codes.copy()
+        for i in range(width):
+            _step(codes, codes == transition if i else (codes >= 65) & (codes <= 95), 160, transition, True)
+            _step(codes, (codes == 96) | (codes == inland), 160, inland, True)
+        for i in range(most):
+            _step(codes, codes == (160 + i if i else 64), transition, 160 + i + 1, True)
+        return np.where((codes == transition) | (codes == inland), 160, codes)
+
+    return _by_tile(mask, width + most, change)
+
+
+def repair_border(mask: DataFrame, rounds: int = 4) -> DataFrame:
+    """Invalid cells (0) take the value of a neighbour, up to `rounds` cells deep for each value in turn."""
+    values = (192, 64, 64, 160, 128)
+
+    def change(codes: np.ndarray) -> np.ndarray:
+        codes = codes.copy()
+        for v in values * rounds:
+            _step(codes, codes == v, 0, v, False)
+        return codes
+
+    return _by_tile(mask, len(values) * rounds, change)
+
+
+def fill_invalid(mask: DataFrame) -> DataFrame:
+    """All invalid cells (0) that land (192) reaches by way of invalid ones become land, then the same with ocean (64)."""
+    return dilate(dilate(mask, (192, 192), 0, 192, 0, eight=True), (64, 64), 0, 64, 0, eight=True)
+
+
+def inland_within(code: Column, land: Column) -> Column:
+    """Land and coastal cells that the binned land mask calls water (0) are inland water."""
+    return F.when(code.isin(192, 160) & (land == 0), 96).otherwise(code)
+
+
 def combine(land: Column, inland: Column, ocean: Column) -> Column:
     """Zone of a cell from binned masks: land 192, inland 96, ocean 64, else river 3."""
     return F.when(land, 192).when(inland, 96).when(ocean, 64).otherwise(3)

@@ -128,7 +128,7 @@ def upsample_bilinear(df: DataFrame, f: int, value: str, rows: int, cols: int, r
 
 def halo_tiles(df: DataFrame, tile: int, depth: int) -> DataFrame:
     """Each pixel with every tile that holds it within `depth` of its border: columns ty, tx, own."""
-    near = lambda k: F.array_distinct(F.array(F.expr(f"cast(floor(({k} - {depth}) / {tile}) as int)"), F.expr(f"cast({k} div {tile} as int)"), F.expr(f"cast(({k} + {depth}) div {tile} as int)")))
+    near = lambda k: F.expr(f"sequence(cast(floor(({k} - {depth}) / {tile}) as int), cast(({k} + {depth}) div {tile} as int))")
     out = df.withColumn("ty", F.explode(near("y"))).withColumn("tx", F.explode(near("x"))).where("ty >= 0 and tx >= 0")
     return out.withColumn("own", F.expr(f"ty = y div {tile} and tx = x div {tile}"))
 

@@ -136,19 +136,19 @@ def inland_switch(df: DataFrame) -> DataFrame:
     return done.withColumn("pixel_class", F.when((done["pixel_class"] > 0) & has_bits(done["flags"], 7), 9).otherwise(done["pixel_class"]))
 
 
-def format_l2w(df: DataFrame, copy_inputs: bool = False) -> DataFrame:
-    """The product's layers; with copy_inputs also the corrections' own bands (_c, _a, _p)."""
+def format_l2w(df: DataFrame, copy_inputs: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The product's layers; with copy_inputs also the corrections' own bands (_c, _a, _p); other columns to keep."""
     cols = [F.col(f"rw_{i}").alias(f"Rw{w}") for i, w in enumerate(WAVELENGTHS)]
     if copy_inputs:
         cols += [F.col(c).alias(f"Rw{WAVELENGTHS[i]}_c") for i, c in C2RCC_AT.items()]
         cols += [F.col(c).alias(f"Rw{WAVELENGTHS[i]}_a") for i, c in ACOLITE_INTENDED.items()]
         cols += [F.col(f"p{i}").alias(f"Rw{w}_p") for i, w in enumerate(WAVELENGTHS)]
-    return df.select("pid", "y", "x", *cols, "pixel_class", F.col("flags").alias("sen2water_flags"), F.col("pcf").alias("pixel_classif_flags"))
+    return df.select("pid", "y", "x", *cols, "pixel_class", F.col("flags").alias("water_flags"), F.col("pcf").alias("pixel_classif_flags"), *keep)
 
 
-def l2w(stack: DataFrame, acolite_index: str = "reference", copy_inputs: bool = False) -> DataFrame:
+def l2w(stack: DataFrame, acolite_index: str = "reference", copy_inputs: bool = False, keep: tuple[str, ...] = ()) -> DataFrame:
     """The whole chain: classify, switch at the coast, switch inland, format. One pass, no shuffle."""
-    return stack.transform(classify).transform(coastal_switch, acolite_index).transform(inland_switch).transform(format_l2w, copy_inputs)
+    return stack.transform(classify).transform(coastal_switch, acolite_index).transform(inland_switch).transform(format_l2w, copy_inputs, keep)
 
 
 def scene_statistics(df: DataFrame) -> DataFrame:
@@ -213,11 +213,15 @@ def legacy_masks(df: DataFrame, rhos: list[str], clear_water: int = 16348) -> Co
 SENSOR_BANDS = {
     "S2A": ["rhos_443", "rhos_492", "rhos_560", "rhos_665", "rhos_704", "rhos_740", "rhos_783", "rhos_833", "rhos_865", "rhos_1614", "rhos_2202"],
     "S2B": ["rhos_442", "rhos_492", "rhos_559", "rhos_665", "rhos_704", "rhos_739", "rhos_780", "rhos_833", "rhos_864", "rhos_1610", "rhos_2186"],
+    "S2C": ["rhos_444", "rhos_489", "rhos_561", "rhos_667", "rhos_707", "rhos_741", "rhos_785", "rhos_835", "rhos_866", "rhos_1612", "rhos_2191"],
 }
 
 
 def resolve_sensor_bands(df: DataFrame) -> DataFrame:
-    """Names the bands a0 ... a10 whatever the sensor; a missing band is null throughout."""
-    found = next((names for names in SENSOR_BANDS.values() if names[0] in df.columns), SENSOR_BANDS["S2A"])
+    """Names the bands a0 ... a10 whatever the sensor; a missing band is null throughout. A table without the first
+    band of any sensor is an error."""
+    found = next((names for names in SENSOR_BANDS.values() if names[0] in df.columns), None)
+    if found is None:
+        raise ValueError(f"no sensor has its first band here: {', '.join(n[0] for n in SENSOR_BANDS.values())}")
     others = [c for c in df.columns if not c.startswith("rhos_")]
     return df.select(*others, *[(F.col(n) if n in df.columns else F.lit(None).cast("double")).alias(f"a{i}") for i, n in enumerate(found)])

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .operators import resample, switching
+from .operators import granule, interpolate, resample, switching
 from .sources.rasters import append_statistics, write_tiles
 
 
@@ -26,7 +26,7 @@ def resample_band(df: DataFrame, value: str, source_res: int, target_res: int, r
 def switch(stack: DataFrame, path: str, product: str, copy_inputs: bool = False, acolite_index: str = "reference", tile: int = 610) -> DataFrame:
     """Writes the water product as tiles, appends its statistics, and returns the product. The pixel frame is
     computed once, for the table; the statistics are counted from what was written."""
-    out = switching.l2w(stack, acolite_index, copy_inputs).join(stack.select("pid", "s2wmask"), "pid")
+    out = switching.l2w(stack, acolite_index, copy_inputs, keep=("s2wmask",))
     write_tiles(out, f"{path}/pixels", tile)
     done = out.sparkSession.read.parquet(f"{path}/pixels")
     append_statistics(switching.scene_statistics(done), f"{path}/statistics", product)
@@ -39,3 +39,31 @@ def static_mask(regional: DataFrame | None, everywhere: DataFrame | None, pixels
     for n, m in (("m1", regional), ("m2", everywhere)):
         out = out.join(m.select("y", "x", F.col("code").alias(n)), ["y", "x"], "left") if m is not None else out.withColumn(n, F.lit(None).cast("int"))
     return out.withColumn("s2wmask", F.coalesce("m1", "m2", F.lit(64))).drop("m1", "m2")
+
+
+def process(
+    images: dict[int, DataFrame],
+    shape: tuple[int, int],
+    corrections: list[DataFrame],
+    path: str,
+    product: str,
+    angles: dict[str, DataFrame] | None = None,
+    sun: dict[str, DataFrame] | None = None,
+    masks: tuple[DataFrame | None, DataFrame | None] = (None, None),
+    resolution: int = 60,
+    **options,
+) -> DataFrame:
+    """The whole chain of a granule: bands to one resolution, with sun and viewing angles, then the results of the
+    external corrections (tables by y and x) and the static mask, then switching, the product's tiles and statistics.
+    Numbers B2, B4 and B11 and the flags q_B2 serve classification."""
+    out = granule.resample_granule(images, resolution, shape, **options)
+    if angles:
+        out = granule.viewing_angles(out, angles, resolution, "master_detfoo" if options.get("detector_filter", True) else None)
+    for name, grid in (sun or {}).items():
+        out = out.join(interpolate.tie_points(out.select("y", "x"), grid, name, resolution), ["y", "x"])
+    for table in corrections:
+        out = out.join(table, ["y", "x"])
+    out = static_mask(*masks, out)
+    names = {"B2": "b2", "B4": "b4", "B11": "b11", "q_B2": "q"}
+    out = out.withColumnsRenamed(names).withColumn("pid", F.col("y").cast("long") * (shape[1] * 60 // resolution) + F.col("x"))
+    return switch(out, path, product)

@@ -257,7 +257,7 @@ def final_flags(spark, d):
     return _coast(spark, d).transform(W.inland_switch).select("pid", "pixel_class", "flags")
 
 
-@query(sql(INLAND + " SELECT pid, y, x, " + ", ".join(f"round(rw_{i}, 6) AS Rw{w}" for i, w in enumerate(W.WAVELENGTHS)) + ", pixel_class, flags AS sen2water_flags, pcf AS pixel_classif_flags FROM fin", "px", "ac"))
+@query(sql(INLAND + " SELECT pid, y, x, " + ", ".join(f"round(rw_{i}, 6) AS Rw{w}" for i, w in enumerate(W.WAVELENGTHS)) + ", pixel_class, flags AS water_flags, pcf AS pixel_classif_flags FROM fin", "px", "ac"))
 def l2w_pipeline(spark, d):
     return rounded(W.l2w(V.stack(spark, d)), *[f"Rw{w}" for w in W.WAVELENGTHS])
 
@@ -332,7 +332,7 @@ def up_nearest(spark, d):
     return R.upsample_nearest(V.hi(spark, d), 3, "dn")
 
 
-def _bilinear(f: int, kind: str, value: str = "dn", where: str = " WHERE y < 12") -> str:
+def _bilinear(f: int, kind: str, value: str = "dn") -> str:
     off = f / 2 + 0.5
     o = int(off)
     term = lambda w, v: f"CASE WHEN {v} = 0 THEN 0 ELSE coalesce(({w}) * {v}, 0) END" if kind == "refl" else f"({w}) * {v}"
@@ -340,51 +340,36 @@ def _bilinear(f: int, kind: str, value: str = "dn", where: str = " WHERE y < 12"
     total = " + ".join(term(w, turn(v)) for w, v in (("(1 - wy) * (1 - wx)", "p.v"), ("(1 - wy) * wx", "q.v"), ("wy * (1 - wx)", "s.v"), ("wy * wx", "t.v")))
     if kind == "az":
         total = f"((({total}) + ref + 540) % 360 + 360) % 360 - 180"
-    return f""", s0 AS (SELECT y, x, CAST({value} AS DOUBLE) AS v FROM hi{where}), m AS (SELECT max(y) AS my, max(x) AS mx FROM s0),
+    return f""", l0 AS (SELECT max(event_id) AS n FROM events), s0 AS (SELECT y, x, CAST({value} AS DOUBLE) AS v FROM hi
+      UNION ALL SELECT n // 60, unnest(range(n % 60 + 1, 60)), 0::DOUBLE FROM l0), m AS (SELECT max(y) AS my, max(x) AS mx FROM s0),
     r AS (SELECT y, x, v FROM s0 UNION ALL SELECT -1, a.x, 2 * a.v - b.v FROM s0 a JOIN s0 b ON a.x = b.x AND a.y = 0 AND b.y = 1
       UNION ALL SELECT my + 1, a.x, 2 * a.v - b.v FROM m, s0 a JOIN s0 b ON a.x = b.x AND b.y = a.y - 1 WHERE a.y = my),
     g AS (SELECT y, x, v FROM r UNION ALL SELECT a.y, -1, 2 * a.v - b.v FROM r a JOIN r b ON a.y = b.y AND a.x = 0 AND b.x = 1
       UNION ALL SELECT a.y, mx + 1, 2 * a.v - b.v FROM m, r a JOIN r b ON a.y = b.y AND b.x = a.x - 1 WHERE a.x = mx),
     o AS (SELECT y, x, (y + {o}) // {f} AS cy, (x + {o}) // {f} AS cx FROM (SELECT unnest(range((my + 1) * {f})) AS y FROM m), (SELECT unnest(range((mx + 1) * {f})) AS x FROM m)),
     w AS (SELECT *, (y - cy * {f} + {off}::DOUBLE) / {f} AS wy, (x - cx * {f} + {off}::DOUBLE) / {f} AS wx, (SELECT v FROM s0 WHERE y = 0 AND x = 0) AS ref FROM o)
-    SELECT w.y, w.x, round({total}, 4) AS {value} FROM w JOIN g p ON p.y = cy - 1 AND p.x = cx - 1 JOIN g q ON q.y = cy - 1 AND q.x = cx JOIN g s ON s.y = cy AND s.x = cx - 1 JOIN g t ON t.y = cy AND t.x = cx"""
+    SELECT w.y, w.x, round({total} + 0.0000003, 4) AS {value} FROM w JOIN g p ON p.y = cy - 1 AND p.x = cx - 1 JOIN g q ON q.y = cy - 1 AND q.x = cx JOIN g s ON s.y = cy AND s.x = cx - 1 JOIN g t ON t.y = cy AND t.x = cx"""
+
+
+def _upsampled(spark, d, f: int, value: str, **kind):
+    pixels, rows = V.image(spark, d, value)
+    out = R.upsample_bilinear(pixels, f, value, rows, 60, **kind)
+    return rounded(out.withColumn(value, F.col(value) + 3e-7), value, digits=4)  # no ties at the fifth digit
 
 
 @query(sql(_bilinear(3, "plain"), "hi"))
 def up_bilinear(spark, d):
-    return rounded(R.upsample_bilinear(V.hi(spark, d).where("y < 12"), 3, "dn", 12, 60), "dn", digits=4)
+    return _upsampled(spark, d, 3, "dn")
 
 
 @query(sql(_bilinear(2, "refl"), "hi"))
 def up_bilinear_refl(spark, d):
-    return rounded(R.upsample_bilinear(V.hi(spark, d).where("y < 12"), 2, "dn", 12, 60, reflectance=True), "dn", digits=4)
+    return _upsampled(spark, d, 2, "dn", reflectance=True)
 
 
 @query(sql(_bilinear(6, "az", "az"), "hi"))
 def up_bilinear_azimuth(spark, d):
-    return rounded(R.upsample_bilinear(V.hi(spark, d).where("y < 12"), 6, "az", 12, 60, azimuth=True), "az", digits=4)
-
-
-def _bilinear_all(spark, d, f: int, value: str, **kind):
-    """The whole image; its rows are counted, not set."""
-    hi = V.hi(spark, d)
-    rows = hi.agg(F.max("y")).first()[0]
-    return rounded(R.upsample_bilinear(hi, f, value, -1 if rows is None else rows + 1, 60, **kind), value, digits=4)
-
-
-@query(sql(_bilinear(3, "plain", where=""), "hi"))
-def up_bilinear_all(spark, d):
-    return _bilinear_all(spark, d, 3, "dn")
-
-
-@query(sql(_bilinear(2, "refl", where=""), "hi"))
-def up_bilinear_refl_all(spark, d):
-    return _bilinear_all(spark, d, 2, "dn", reflectance=True)
-
-
-@query(sql(_bilinear(6, "az", "az", where=""), "hi"))
-def up_bilinear_azimuth_all(spark, d):
-    return _bilinear_all(spark, d, 6, "az", azimuth=True)
+    return _upsampled(spark, d, 6, "az", azimuth=True)
 
 
 @query(sql(", a AS (SELECT y, x, unnest(list_distinct([CAST(floor((y - 2) / 20.0) AS BIGINT), y // 20, (y + 2) // 20])) AS ty FROM hi), b AS (SELECT *, unnest(list_distinct([CAST(floor((x - 2) / 20.0) AS BIGINT), x // 20, (x + 2) // 20])) AS tx FROM a) SELECT ty, tx, count(*) AS n, count(*) FILTER (ty = y // 20 AND tx = x // 20) AS own FROM b WHERE ty >= 0 AND tx >= 0 GROUP BY 1, 2", "hi"))
@@ -518,8 +503,9 @@ EXCENTRIC = repr(2 * math.sqrt(C._N) / (1 + C._N))
   c AS (SELECT *, asin(sin(x1) / cosh(e1)) AS chi FROM b)
   SELECT pid, round(degrees(chi{''.join(f' + {k!r}::DOUBLE * sin({2 * j}::DOUBLE * chi)' for j, k in enumerate(C.LATITUDE, 1))}), 6) AS lat, round(9 + degrees(atan2(sinh(e1), cos(x1))), 6) AS lon FROM c""", "px"))
 def utm_to_wgs84(spark, d):
-    lat, lon = C.utm_to_geographic((F.col("x") * 60 + 600000).cast("double"), (F.col("y") * 60 + 5600000).cast("double"), 32)
-    return rounded(V.px(spark, d).select("pid", lat.alias("lat"), lon.alias("lon")), "lat", "lon")
+    px = V.px(spark, d).select("pid", "y", "x")
+    out = C.to_geographic(px, (F.col("x") * 60 + 600000).cast("double"), (F.col("y") * 60 + 5600000).cast("double"), 32)
+    return rounded(out.select("pid", "lat", "lon"), "lat", "lon")
 
 
 # --- static masks ---------------------------------------------------------------------------------------------
@@ -563,6 +549,80 @@ def mask_open(spark, d):
     return M.opened(V.grid(spark, d), 64, 96, 12)
 
 
+def _opening(a: int, b: int, steps: int, rest: str) -> str:
+    return _dilated("grid", f"code = {a}", b, a, steps, OFF4, "fw") + _dilated("fw_m", f"code = {b}", a, b, steps, OFF4, "bw") + f" SELECT y, x, {rest} AS code FROM bw_m"
+
+
+@query(sql(_opening(64, 96, 24, "CASE WHEN code = 96 THEN 3 ELSE code END"), "grid", recursive=True))
+def mask_open_river(spark, d):
+    return M.opened(V.grid(spark, d), 64, 96, 24, rest=3)
+
+
+@query(sql(_opening(64, 96, 48, "code"), "grid", recursive=True))
+def mask_open_inland(spark, d):
+    return M.opened(V.grid(spark, d), 64, 96, 48)
+
+
+@query(sql(_dilated("grid", "code = 64", 96, 1, 44, OFF4, "fw") + _dilated("fw_m", "code = 96", 1, 96, 44, OFF4, "bw") + " SELECT y, x, CASE WHEN code = 1 THEN 160 ELSE code END AS code FROM bw_m", "grid", recursive=True))
+def mask_coastal_water(spark, d):
+    return M.opened(V.grid(spark, d), 64, 96, 44, by=1, rest=160)
+
+
+def _stepped(table: str, name: str, on: str, dest: int, insert: int, off: str) -> str:
+    """One step as a table of its own."""
+    return f", {name} AS (SELECT g.y, g.x, CASE WHEN g.code = {dest} AND EXISTS (SELECT 1 FROM {table} n, {off} WHERE n.y = g.y + oy AND n.x = g.x + ox AND {on}) THEN {insert} ELSE g.code END AS code FROM {table} g)"
+
+
+SHORE_IN = "CASE WHEN code = 96 THEN 65 + (y + x) % 32 WHEN code = 192 AND alt <> 4 THEN 160 ELSE code END"
+
+
+def _shore_sql() -> str:
+    out, last = f", h0 AS (SELECT y, x, {SHORE_IN} AS code FROM grid)", "h0"
+    for i in range(4):
+        out += _stepped(last, f"t{i}", "n.code = 2" if i else "n.code BETWEEN 65 AND 95", 160, 2, OFF8) + _stepped(f"t{i}", f"i{i}", "n.code IN (96, 1)", 160, 1, OFF8)
+        last = f"i{i}"
+    return out + f""", w AS (SELECT y, x, 0 AS s FROM {last} WHERE code = 64 UNION SELECT g.y, g.x, w.s + 1 FROM w, {OFF8}, {last} g WHERE g.y = w.y + oy AND g.x = w.x + ox AND g.code = 2 AND w.s < 32),
+      f AS (SELECT y, x, min(s) AS s FROM w GROUP BY 1, 2)
+      SELECT g.y, g.x, CASE WHEN g.code = 2 AND f.s > 0 THEN 160 + f.s WHEN g.code IN (1, 2) THEN 160 ELSE g.code END AS code FROM {last} g LEFT JOIN f ON f.y = g.y AND f.x = g.x"""
+
+
+@query(sql(_shore_sql(), "grid", recursive=True))
+def shore_labels(spark, d):
+    return M.shore_labels(V.grid(spark, d).selectExpr("y", "x", f"{SHORE_IN} as code"))
+
+
+INVALID_IN = "CASE WHEN x % 50 < 23 THEN 0 WHEN alt >= 3 THEN 192 WHEN alt = 2 THEN 64 WHEN alt = 1 THEN 160 ELSE 128 END"
+
+
+def _repair_sql() -> tuple[str, str]:
+    out, last = f", h0 AS (SELECT y, x, {INVALID_IN} AS code FROM grid)", "h0"
+    for k, v in enumerate((192, 64, 64, 160, 128) * 4):
+        out += _stepped(last, f"h{k + 1}", f"n.code = {v}", 0, v, OFF4)
+        last = f"h{k + 1}"
+    return out, last
+
+
+@query(sql(_repair_sql()[0] + f" SELECT y, x, code FROM {_repair_sql()[1]}", "grid"))
+def mask_border_repair(spark, d):
+    return M.repair_border(V.grid(spark, d).selectExpr("y", "x", f"{INVALID_IN} as code"))
+
+
+def _flooded(table: str, source: int, dest: int, name: str) -> str:
+    """All that the source reaches through dest cells, at any distance."""
+    return f""", {name} AS (SELECT y, x FROM {table} WHERE code = {source} UNION SELECT g.y, g.x FROM {name} r, {OFF8}, {table} g WHERE g.y = r.y + oy AND g.x = r.x + ox AND g.code = {dest}),
+      {name}_m AS (SELECT g.y, g.x, CASE WHEN g.code = {dest} AND t.y IS NOT NULL THEN {source} ELSE g.code END AS code FROM {table} g LEFT JOIN {name} t ON t.y = g.y AND t.x = g.x)"""
+
+
+@query(sql(f", h0 AS (SELECT y, x, {INVALID_IN} AS code FROM grid)" + _flooded("h0", 192, 0, "fa") + _flooded("fa_m", 64, 0, "fb") + " SELECT y, x, code FROM fb_m", "grid", recursive=True))
+def mask_fill_invalid(spark, d):
+    return M.fill_invalid(V.grid(spark, d).selectExpr("y", "x", f"{INVALID_IN} as code"))
+
+
+@query(sql("SELECT y, x, CASE WHEN code = 192 AND alt = 0 THEN 96 ELSE code END AS code FROM grid", "grid"))
+def mask_inland_within(spark, d):
+    return V.grid(spark, d).select("y", "x", M.inland_within(F.col("code"), F.col("alt")).alias("code"))
+
+
 @query(sql(f", r AS (SELECT y, x, 0 AS s FROM grid WHERE code = 64 UNION SELECT g.y, g.x, r.s + 1 FROM r, {OFF8}, grid g WHERE g.y = r.y + oy AND g.x = r.x + ox AND g.code = 96 AND r.s < 32 AND (r.s >= 2 OR oy = 0 OR ox = 0)) SELECT g.y, g.x, CASE WHEN g.code = 96 AND t.s IS NOT NULL THEN 64 + t.s ELSE g.code END AS code FROM grid g LEFT JOIN (SELECT y, x, min(s) AS s FROM r GROUP BY 1, 2) t ON t.y = g.y AND t.x = g.x", "grid", recursive=True))
 def distance_label(spark, d):
     return M.distance_labels(V.grid(spark, d))
@@ -605,22 +665,15 @@ def tile_semi_join(spark, d):
     return _tiles(spark, d).join(known, ["j", "i"], "left_semi").groupBy("j", "i").agg(F.count("*").alias("n"))
 
 
-def _edges(where: str) -> str:
-    return f""", a AS (SELECT event_id // 10 AS ring, event_id % 10 AS n, CAST(trunc((90 - lat) / 3) AS INT) AS j, CAST(trunc((180 + lon) / 3) AS INT) AS i FROM geo{where}),
+EDGES = """, a AS (SELECT event_id // 10 AS ring, event_id % 10 AS n, CAST(trunc((90 - lat) / 3) AS INT) AS j, CAST(trunc((180 + lon) / 3) AS INT) AS i FROM geo),
   e AS (SELECT p.ring, p.j AS j1, q.j AS j2, p.i AS i1, q.i AS i2 FROM a p JOIN a q ON p.ring = q.ring AND q.n = p.n + 1),
   r AS (SELECT ring, unnest(range(least(j1, j2), greatest(j1, j2) + 1)) AS j, least(i1, i2) AS lo, greatest(i1, i2) AS hi FROM e)
   SELECT DISTINCT ring, j, ii % 120 AS i FROM (SELECT ring, j, unnest(CASE WHEN hi - lo <= 60 THEN range(lo, hi + 1) ELSE range(hi, lo + 121) END) AS ii FROM r)"""
 
 
-@query(sql(_edges(""), "geo"))
-def edge_tiles_all(spark, d):
-    return S.edge_tiles(V.geo(spark, d).selectExpr("event_id div 10 as ring", "event_id % 10 as n", "lon", "lat"))
-
-
-@query(sql(_edges(" WHERE event_id < 400"), "geo"))
+@query(sql(EDGES, "geo"))
 def edge_tiles(spark, d):
-    rings = V.geo(spark, d).where("event_id < 400").selectExpr("event_id div 10 as ring", "event_id % 10 as n", "lon", "lat")
-    return S.edge_tiles(rings)
+    return S.edge_tiles(V.geo(spark, d).selectExpr("event_id div 10 as ring", "event_id % 10 as n", "lon", "lat"))
 
 
 @query(sql(", f AS (SELECT arg_min(lon, event_id) AS ref FROM geo WHERE lat BETWEEN 50 AND 60 AND abs(lon) > 170), p AS (SELECT lat, ((lon - ref + 540) % 360 + 360) % 360 - 180 AS d, ref FROM geo, f WHERE lat BETWEEN 50 AND 60 AND abs(lon) > 170) SELECT min(lat) AS lat_min, max(lat) AS lat_max, round(min(d) + min(ref), 6) AS lon_min, round(max(d) + min(ref), 6) AS lon_max FROM p", "geo"))
@@ -670,8 +723,8 @@ NEAR = "CAST(500000 + (event_id * 7919) % 10000 AS DOUBLE) / 10000 AS la, CAST(9
   SELECT r // 50 AS r, c // 50 AS c, count(*) AS n FROM c WHERE r >= 0 AND r < 1830 AND c >= 0 AND c < 1830 GROUP BY 1, 2""", "geo"))
 def reproject_bin(spark, d):
     at = V.geo(spark, d).selectExpr("cast(500000 + (event_id * 7919) % 10000 as double) / 10000 as la", "cast(90000 + (event_id * 104729) % 10000 as double) / 10000 as lo")
-    e, n = C.geographic_to_utm(F.col("la"), F.col("lo"), 32)
-    cells = at.select(((F.lit(5650000.0) - n + 30) / 60).alias("fr"), ((e - 500000 + 30) / 60).alias("fc"))
+    at = C.to_utm(at, F.col("la"), F.col("lo"), 32)
+    cells = at.select(((F.lit(5650000.0) - F.col("northing") + 30) / 60).alias("fr"), ((F.col("easting") - 500000 + 30) / 60).alias("fc"))
     cells = cells.select(F.col("fr").cast("int").alias("r"), F.col("fc").cast("int").alias("c")).where("r between 0 and 1829 and c between 0 and 1829")
     return cells.groupBy(F.expr("r div 50").alias("r"), F.expr("c div 50").alias("c")).agg(F.count("*").alias("n"))
 

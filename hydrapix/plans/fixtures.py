@@ -75,9 +75,17 @@ def stack(spark: SparkSession, d: str) -> DataFrame:
 
 
 def hi(spark: SparkSession, d: str) -> DataFrame:
-    e = table(spark, d, "events").select("event_id", "user_id")
-    n = e.agg(F.expr("360 * ((max(event_id) + 1) div 360)").alias("n"))
-    return e.join(F.broadcast(n), F.expr("event_id < n")).selectExpr(*_spark(HI))  # one row
+    return table(spark, d, "events").select("event_id", "user_id").selectExpr(*_spark(HI))
+
+
+def image(spark: SparkSession, d: str, value: str) -> tuple[DataFrame, int]:
+    """The pixels (y, x, value) and the number of rows; what the last row lacks is 0."""
+    px = hi(spark, d).select("y", "x", F.col(value).cast("double").alias(value))
+    last = px.agg(F.max(F.struct("y", "x")).alias("m")).select("m.*").first()
+    if last["y"] is None:
+        return px, 0
+    gap = spark.range(last["x"] + 1, 60).selectExpr(f"{last['y']}L as y", "id as x", f"0D as {value}")
+    return px.unionByName(gap), last["y"] + 1
 
 
 def grid(spark: SparkSession, d: str) -> DataFrame:
@@ -103,7 +111,7 @@ def anc(spark: SparkSession) -> DataFrame:
 VIEWS = {
     "px": _sql(PX, "orders"),
     "ac": _sql(AC, "orders"),
-    "hi": _sql(HI, "events", "event_id < (SELECT 360 * ((max(event_id) + 1) // 360) FROM events)"),
+    "hi": _sql(HI, "events"),
     "grid": _sql(GRID, "orders"),
     "geo": _sql(GEO, "events"),
     "tp": _sql(TP, "range(529) t(i)"),

@@ -59,9 +59,9 @@ def test_transition_weights(spark):
 
 def test_projection_round_trip(spark):
     pts = spark.createDataFrame([(48.1, 8.2), (53.7, 11.3), (60.0, 9.0)], "lat double, lon double")
-    e, n = C.geographic_to_utm(F.col("lat"), F.col("lon"), 32)
-    back = pts.select("lat", "lon", e.alias("e"), n.alias("n")).select("lat", "lon", *C.utm_to_geographic(F.col("e"), F.col("n"), 32))
-    for r in back.collect():
+    utm = C.to_utm(pts, F.col("lat"), F.col("lon"), 32)
+    back = C.to_geographic(utm.select(F.col("lat").alias("la"), F.col("lon").alias("lo"), "easting", "northing"), F.col("easting"), F.col("northing"), 32)
+    for r in back.select("la", "lo", "lat", "lon").collect():
         assert r[2] == pytest.approx(r[0], abs=1e-8)
         assert r[3] == pytest.approx(r[1], abs=1e-8)
 
