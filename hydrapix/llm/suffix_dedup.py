@@ -2,11 +2,14 @@
 
 Texts are word sequences ([^\\x20\\x09-\\x0D]+, A-Z folded). Suffixes are retained only where a minimiser selects
 them: the smallest hash of 16-word seeds in each window of 50 words, so equal passages of 50 words retain equal
-suffixes whatever surrounds them. The retained suffixes are range-partitioned and sorted by content (ties by text
-and place, so a seed that very many texts share is spread over tasks); runs of neighbours with one seed in
-different texts are matches. Matches are then extended left and right: of every 50-word window that selects a
-matched seed, the content is compared across texts, and a text's repeated windows are merged into spans. The
-result is exact: a word is repeated if and only if some 50-word window around it occurs in another document.
+suffixes whatever surrounds them. The retained suffixes are range-partitioned and sorted by their words (hashes of the
+first 16 and the next 16, ties by text and place, so a seed that very many texts share is spread over tasks).
+Neighbours with one seed in different texts are matches. The texts that have some are fetched once each, and every
+match is extended: to the left and right of its place, as far as 50-word windows reach whose minimiser it is. The
+extensions are sorted by content in the same way, and neighbours that are equal in different texts are repeated;
+a text's repeated windows are merged into spans. Neither step groups by a key, so no seed, line or passage, however
+common, has to be in one task. The result is exact: a word is repeated if and only if some 50-word window around it
+occurs in another document.
 
 Equal texts are one text with a multiplicity; with two or more copies the whole text is repeated. Cases: null and
 empty texts, and texts under 50 words, have no repeated words; null doc_ids and repeated rows are documents like
@@ -23,10 +26,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordIds, columns_of, dropped, mixed, pieces, written
+from .common import WordIds, columns_of, dropped, mixed, pieces, run_parts, written
 
 LEAST, SEED = 50, 16
-BITS = 25
 
 
 def joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -68,8 +70,8 @@ def _texts(batches: Iterator) -> Iterator:
         )
 
 
-def _unseen(batches: Iterator) -> Iterator:
-    """Word sequences of LEAST words or more, each once in the task."""
+def _once(batches: Iterator) -> Iterator:
+    """(key, text, word hashes) of texts of LEAST words or more, each once in the task."""
     words, seen = WordIds(), set()
     for batch in pieces(batches):
         out = []
@@ -79,15 +81,15 @@ def _unseen(batches: Iterator) -> Iterator:
                 if len(seen) > 1 << 19:
                     seen.clear()
                 seen.add(key)
-                out.append((key, ids))
+                out.append((key, text, ids))
         yield out
 
 
 def _suffixes(batches: Iterator) -> Iterator:
     """Rows (seed, tail, key, place) of the retained suffixes."""
-    for part in _unseen(batches):
+    for part in _once(batches):
         seeds, tails, keys, places = [], [], [], []
-        for key, ids in part:
+        for key, _, ids in part:
             runs = spans_of(ids)
             at = np.unique(minimisers(runs[SEED], len(ids) - LEAST + 1))
             after = at + SEED
@@ -102,94 +104,89 @@ def _suffixes(batches: Iterator) -> Iterator:
             )
 
 
-def _neighbours(batches: Iterator) -> Iterator:
-    """Of sorted suffixes, (seed, lo, hi): runs of one seed in different texts, and the runs at the task's ends,
-    which may go on in the next task."""
-
-    def row(seed, lo, hi):
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (seed, lo, hi)], names=["seed", "lo", "hi"])
-
-    held, first = None, True
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        seed, key = (batch.column(i).to_numpy() for i in (0, 1))
-        start = np.flatnonzero(np.concatenate([[True], seed[1:] != seed[:-1]]))
-        lo, hi, seed = np.minimum.reduceat(key, start), np.maximum.reduceat(key, start), seed[start]
-        if held is not None:
-            if held[0] == seed[0]:
-                lo[0], hi[0] = min(lo[0], held[1]), max(hi[0], held[2])
-            elif first or held[1] != held[2]:
-                yield row(*([x] for x in held))
-                first = False
-        held = (seed[-1], lo[-1], hi[-1])
-        lo, hi, seed = lo[:-1], hi[:-1], seed[:-1]
-        if len(seed):
-            keep = lo != hi
-            keep[0] |= first
-            first = False
-            yield row(seed[keep], lo[keep], hi[keep])
-    if held is not None:
-        yield row(*([x] for x in held))
-
-
-def _extended(bits):
-    """Rows (window, key, at): 50-word windows that select a seed whose mark is set."""
-
-    def run(batches: Iterator) -> Iterator:
-        marks = bits.value
-        for part in _unseen(batches):
-            hashes, keys, places = [], [], []
-            for key, ids in part:
-                runs, k = spans_of(ids), len(ids) - LEAST + 1
-                slot = (runs[SEED] & np.uint64((1 << BITS) - 1)).astype(np.int64)
-                hit = (marks[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1
-                if not hit.any():
-                    continue
-                at = np.flatnonzero(hit[minimisers(runs[SEED], k)])
-                if len(at):
-                    hashes.append(windows(runs, len(ids))[at])
-                    keys.append(np.full(len(at), key, np.int64))
-                    places.append(at.astype(np.int32))
-            if hashes:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(places))], names=["window", "key", "at"]
-                )
-
-    return run
+def _matches(batches: Iterator) -> Iterator:
+    """Of sorted suffixes (seed, key, place), rows (key, place) of those whose seed other texts have too. Runs that may
+    go on in another task stay in any case; the extension decides."""
+    for part, start, before, after in run_parts(batches):
+        key = part.column(1).to_numpy()
+        many = np.minimum.reduceat(key, start) != np.maximum.reduceat(key, start)
+        many[0] |= before
+        many[-1] |= after
+        yield part.filter(pa.array(np.repeat(many, np.diff(np.append(start, len(key)))))).select(["key", "place"])
+
+
+def _fetched(batches: Iterator) -> Iterator:
+    """Rows (key, text): each text once in the task."""
+    for part in _once(batches):
+        if part:
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in part], pa.int64()), pa.array([x[1] for x in part], pa.binary())], names=["key", "text"])
+
+
+def _extended(batches: Iterator) -> Iterator:
+    """Of texts and the places of their matches, rows (window, key, at): the windows whose minimiser a match is."""
+    words = WordIds()
+    for batch in pieces(batches):
+        hashes, keys, starts = [], [], []
+        for key, text, places in zip(*columns_of(batch, "key", "text", "places"), strict=True):
+            ids = words.of(text)
+            runs, wanted = spans_of(ids), np.zeros(len(ids), bool)
+            wanted[places] = True
+            at = np.flatnonzero(wanted[minimisers(runs[SEED], len(ids) - LEAST + 1)])
+            hashes.append(windows(runs, len(ids))[at])
+            keys.append(np.full(len(at), key, np.int64))
+            starts.append(at.astype(np.int32))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(hashes).view(np.int64)), pa.array(np.concatenate(keys)), pa.array(np.concatenate(starts))], names=["window", "key", "at"])
+
+
+def _repeated(batches: Iterator) -> Iterator:
+    """Of sorted windows (window, key, at), rows (window, key, at, lo, hi): with lo null those that another text has
+    too; of runs that may go on in another task also one row with their smallest and largest key, and, if that is one
+    key, their rows with lo = hi = key to be settled."""
+    for part, start, before, after in run_parts(batches):
+        key = part.column(1).to_numpy()
+        lo, hi = np.minimum.reduceat(key, start), np.maximum.reduceat(key, start)
+        size = np.diff(np.append(start, len(key)))
+        sure = lo != hi
+        edge = np.zeros(len(start), bool)
+        edge[0] |= before
+        edge[-1] |= after
+        rows = part.filter(pa.array(np.repeat(sure | edge, size)))
+        own = np.repeat(sure, size)[np.repeat(sure | edge, size)]
+        k = rows.column(1).to_numpy()
+        yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(k, pa.int64(), mask=own), pa.array(k, pa.int64(), mask=own)], names=["window", "key", "at", "lo", "hi"])
+        if edge.any():
+            none = pa.nulls(int(edge.sum()), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(part.column(0).to_numpy()[start[edge]]), none, none.cast(pa.int32()), pa.array(lo[edge]), pa.array(hi[edge])], names=["window", "key", "at", "lo", "hi"])
 
 
 def repeated_passages(docs: DataFrame) -> DataFrame:
     """One row for each document: doc_id, n_words, n_repeated, spans ('start:end,...' in words, end exclusive)."""
-    spark = docs.sparkSession
     raw = docs.select("doc_id", F.col("text").cast("binary").alias("text"))
     texts = written(raw.mapInArrow(_texts, "doc_id long, key long, n_words long"), "texts")
     suffixes = written(raw.select("text").mapInArrow(_suffixes, "seed long, tail long, key long, place int"), "suffixes")
     order = ["seed", "tail", "key", "place"]
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    array = suffixes.repartitionByRange(parts, *order).sortWithinPartitions(*order)
-    runs = array.select("seed", "key").mapInArrow(_neighbours, "seed long, lo long, hi long")
-    runs = runs.groupBy("seed").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).where("lo < hi")
-    slot = F.col("seed").bitwiseAND((1 << BITS) - 1)
-    marks = np.zeros(1 << (BITS - 3), np.uint8)
-    shown = runs.select(F.shiftright(slot, 15).alias("k"), (slot % (1 << 15)).alias("bit")).groupBy("k").agg(F.bitmap_construct_agg("bit").alias("m"))
-    for r in shown.collect():  # 4 MB at any size of input
-        marks[r["k"] << 12 : (r["k"] + 1) << 12] = np.frombuffer(r["m"], np.uint8)
+    array = suffixes.repartitionByRange(*order).sortWithinPartitions(*order)
+    matches = written(array.select("seed", "key", "place").mapInArrow(_matches, "key long, place int"), "matches")
     dropped(suffixes)
-    bits = spark.sparkContext.broadcast(marks)
-    found = written(raw.select("text").mapInArrow(_extended(bits), "window long, key long, at int"), "windows")
-    again = found.groupBy("window").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).where("lo < hi").select("window")
-    places = found.join(again, "window").groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("ats"))
+    places = matches.groupBy("key").agg(F.collect_set("place").alias("places"))
+    fetched = raw.select("text").mapInArrow(_fetched, "key long, text binary").join(places, "key")
+    found = written(fetched.mapInArrow(_extended, "window long, key long, at int"), "windows")
+    dropped(matches)
+    order = ["window", "key", "at"]
+    array = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    again = written(array.mapInArrow(_repeated, "window long, key long, at int, lo long, hi long"), "again")
+    dropped(found)
+    # a run in several tasks is repeated if its parts hold two texts; two rows for each task at most, besides long runs
+    both = again.where("key is null").groupBy("window").agg(F.min("lo").alias("l"), F.max("hi").alias("h")).where("l < h")
+    open_ = again.where("key is not null and lo is not null").join(both, "window", "left_semi")
+    places = again.where("key is not null and lo is null").unionByName(open_).groupBy("key").agg(F.sort_array(F.collect_set("at")).alias("ats"))
     per = texts.groupBy("key").agg(F.count("*").alias("copies"))
     known = per.where("copies > 1").join(places, "key", "full").select("key", "copies", "ats")
     out = texts.join(known, "key", "left")
-    # starts of windows in order; a start more than 50 words after the last one begins a new span
-    merged = F.expr(
-        f"""aggregate(ats, cast(array() as array<struct<s:int,e:int>>), (acc, x) ->
-            if(size(acc) > 0 and acc[size(acc) - 1].e >= x,
-               concat(slice(acc, 1, size(acc) - 1), array(named_struct('s', acc[size(acc) - 1].s, 'e', x + {LEAST}))),
-               concat(acc, array(named_struct('s', x, 'e', x + {LEAST})))))"""
-    )
+    # starts of windows in order; one more than 50 words after the last begins a new span
+    begins = "filter(ats, (x, i) -> i = 0 or x - ats[i - 1] > {0})"
+    ends = "filter(ats, (x, i) -> i = size(ats) - 1 or ats[i + 1] - x > {0})"
+    merged = F.expr(f"zip_with({begins}, {ends}, (s, e) -> named_struct('s', s, 'e', e + {{0}}))".format(LEAST))
     whole = F.expr(f"copies > 1 and n_words >= {LEAST}")
     spans = F.when(whole, F.expr("array(named_struct('s', 0, 'e', cast(n_words as int)))")).when(F.col("ats").isNotNull(), merged)
     spans = F.coalesce(spans, F.expr("cast(array() as array<struct<s:int,e:int>>)"))
