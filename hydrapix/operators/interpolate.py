@@ -73,7 +73,7 @@ def fill_by_plane(grid: DataFrame) -> DataFrame:
 
 def mean_angle(*angles: Column, azimuth: bool = False) -> Column:
     """Mean of the angles that are not null; azimuths are turned by 180 degrees first if one exceeds 270."""
-    turn = (F.greatest(*angles) > 270) if azimuth else F.lit(False)
+    turn = ((F.greatest(*angles) if len(angles) > 1 else angles[0]) > 270) if azimuth else F.lit(False)
     half = lambda a: F.pmod(a + 180.0, F.lit(360.0))
     own = [F.when(turn, half(a)).otherwise(a) for a in angles]
     n = sum((a.isNotNull().cast("int") for a in angles), F.lit(0))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -27,6 +29,41 @@ def format_scene(name: str = "name") -> Column:
     return F.concat_ws("_", F.concat(F.lit("S2"), part(1)), F.lit("L2W"), part(2), F.concat(F.lit("N"), version), F.concat(F.lit("R"), part(4)), part(5))
 
 
+def expected_files(name: str = "name") -> Column:
+    """Struct of the file names that the steps of a scene's processing give, and the places of its static mask."""
+    base = F.regexp_replace(F.regexp_replace(F.col(name), r"/$", ""), r"\.SAFE$", "")
+    at = lambda a, n: F.substring(base, a + 1, n)
+    tile = at(39, 5)
+    stamp = F.concat_ws("_", at(11, 4), at(15, 2), at(17, 2), at(20, 2), at(22, 2), at(24, 2))
+    ends = {"resampled": "-resampled.nc", "destriped": "-resampled_TGC.nc", "idepix": "-idepix.nc", "c2rcc": "-c2rcc.nc", "cloudmask": "-mask.nc", "polymer": "-polymer.nc"}
+    mask = lambda kind: F.concat(F.substring(tile, 1, 2), F.lit(f"/{kind}-"), tile, F.lit(".tif"))
+    return F.struct(
+        tile.alias("granule"), stamp.alias("stamp"), *[F.concat(base, F.lit(e)).alias(n) for n, e in ends.items()],
+        F.concat(at(0, 3), F.lit("_MSI_"), stamp, F.lit("_S2R_L2R.nc")).alias("acolite"), mask("mask").alias("mask"), mask("globalmask").alias("global_mask"),
+    )
+
+
+def product_attributes(name: str = "name", version: str = "1.0", title: str = "Water-leaving reflectances in 60 m", copy_inputs: bool = False, **more: str) -> Column:
+    """Map of the product's global attributes, from the scene's name. date_created and tracking_id differ on each run."""
+    part = lambda i: F.regexp_extract(name, SCENE, i)
+    start = F.to_timestamp(part(2), "yyyyMMdd'T'HHmmss")
+    made = F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmss")
+    day = F.concat(F.date_format(start, "yyyy-MMM-dd HH:mm:ss"), F.lit(".000000"))
+    known = {
+        "id": F.concat(F.lit("S2"), part(1), F.lit("_MSIL2W_"), part(2), F.lit("_N"), part(3), F.lit("_R"), part(4), F.lit("_"), part(5), F.lit("_"), made, F.lit(".nc")),
+        "local_id": F.concat(part(5), F.lit("_"), part(2), F.lit("_AQU_60m.nc")), "date_created": F.concat(made, F.lit("Z")), "tracking_id": F.expr("uuid()"),
+        "title": F.lit(title), "source": F.lit("Sentinel-2 MSI L1C"), "input": F.col(name), "parameters": F.lit("--copyinputs" if copy_inputs else ""),
+        "processor_version": F.lit(version), "product_version": F.concat(F.substring(part(3), 1, 2), F.lit("."), F.substring(part(3), 3, 2)),
+        "keywords": F.lit("reflectance, surface water, ocean optics"), "Conventions": F.lit("CF-1.11"), "standard_name_vocabulary": F.lit("NetCDF Climate and Forecast (CF) Metadata Convention"),
+        "cmd_data_type": F.lit("Grid"), "spatial_resolution": F.lit("60m"), "time_coverage_start": F.concat(part(2), F.lit("Z")),
+        "platform": F.concat(F.lit("Sentinel-2"), part(1)), "sensor": F.lit("MSI"), "start_date": day, "stop_date": day, "metadata_profile": F.lit("beam"),
+    }
+    if copy_inputs:
+        known["auto_grouping"] = F.lit("rhow_B*_c:rhos_*_a:Rw*_p:Rw*:B*")
+    known |= {k: F.lit(v) for k, v in more.items()}
+    return F.create_map(*[x for k, v in known.items() for x in (F.lit(k), v)])
+
+
 def i2m(transform: Column) -> Column:
     """'x0 dx rx y0 ry dy' to 'dx,rx,ry,dy,x0,y0'."""
     p = F.split(F.trim(transform), r"\s+")
@@ -72,6 +109,22 @@ def extent(points: DataFrame) -> DataFrame:
     return box.select("lat_min", "lat_max", (F.col("a") + F.col("ref")).alias("lon_min"), (F.col("b") + F.col("ref")).alias("lon_max"))
 
 
+def window_of(lat: tuple[float, float], lon: tuple[float, float], rows: int, cols: int) -> list[tuple[int, int, int, int]]:
+    """Windows (first row, last row, first column, last column; ends exclusive) of a global grid that hold a box: two if
+    it crosses the antimeridian (lon[0] > lon[1])."""
+    y = math.floor((90.0 - lat[1]) / 180.0 * rows), math.ceil((90.0 - lat[0]) / 180.0 * rows)
+    x0, x1 = math.floor((lon[0] + 180.0) / 360.0 * cols), math.ceil((lon[1] + 180.0) / 360.0 * cols)
+    return [(*y, x0, x1)] if lon[0] <= lon[1] else [(*y, x0, cols), (*y, 0, x1)]
+
+
+def subset(pixels: DataFrame, lat: tuple[float, float], lon: tuple[float, float], rows: int, cols: int) -> DataFrame:
+    """Pixels (y, x) of a global grid in the box, columns thinned by 1 / cos of the latitude nearest the equator."""
+    nearest = 0.0 if lat[0] <= 0 <= lat[1] else min(abs(lat[0]), abs(lat[1]))
+    step = max(1, int(1 / math.cos(math.radians(min(nearest, 89.9)))))
+    inside = [f"(y >= {a} and y < {b} and x >= {c} and x < {d} and (x - {c}) % {step} = 0)" for a, b, c, d in window_of(lat, lon, rows, cols)]
+    return pixels.where(" or ".join(inside))
+
+
 def sorted_longitudes(lons: Column) -> Column:
     """Longitudes in the order that has no jump at the antimeridian: sorted by lon mod 360, then to +-180."""
     return F.transform(F.array_sort(F.transform(lons, lambda v: F.pmod(v, F.lit(360.0)))), lambda v: F.when(v >= 180, v - 360.0).otherwise(v))

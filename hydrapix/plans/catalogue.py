@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import granule as G
 from ..operators import interpolate as I
 from ..operators import masks as M
 from ..operators import resample as R
 from ..operators import scenes as S
 from ..operators import switching as W
+from ..sources import rasters as A
 from . import fixtures as V
 from .fixtures import sql
 
@@ -423,10 +425,16 @@ def azimuth_by_detector(spark, d):
     return rounded(I.angles_by_detector(pixels, V.tpd(spark), "va", res=600, azimuth=True), "va")
 
 
-@query(sql(""", k AS (SELECT det, r, c, tan(radians(vz)) * cos(radians(va)) AS u, tan(radians(vz)) * sin(radians(va)) AS v FROM tpd WHERE vz IS NOT NULL),
+PLANE = """, k AS (SELECT det, r, c, tan(radians(vz)) * cos(radians(va)) AS u, tan(radians(vz)) * sin(radians(va)) AS v FROM tpd WHERE vz IS NOT NULL),
   dc AS (SELECT a.det, avg(b.u - a.u) AS du, avg(b.v - a.v) AS dv FROM k a JOIN k b ON a.det = b.det AND a.r = b.r AND b.c = a.c + 1 GROUP BY 1),
   dr AS (SELECT a.det, avg(b.u - a.u) AS du, avg(b.v - a.v) AS dv FROM k a JOIN k b ON a.det = b.det AND a.c = b.c AND b.r = a.r + 1 GROUP BY 1),
-  pl AS (SELECT k.det, any_value(dc.du) AS uc, any_value(dr.du) AS ur, any_value(dc.dv) AS vc, any_value(dr.dv) AS vr, avg(u - dc.du * c - dr.du * r) AS u0, avg(v - dc.dv * c - dr.dv * r) AS v0 FROM k JOIN dc USING (det) JOIN dr USING (det) GROUP BY 1)
+  pl AS (SELECT k.det, any_value(dc.du) AS uc, any_value(dr.du) AS ur, any_value(dc.dv) AS vc, any_value(dr.dv) AS vr, avg(u - dc.du * c - dr.du * r) AS u0, avg(v - dc.dv * c - dr.dv * r) AS v0 FROM k JOIN dc USING (det) JOIN dr USING (det) GROUP BY 1)"""
+FILLED = """  SELECT t.det, t.r, t.c, CASE WHEN t.vz IS NOT NULL THEN t.vz WHEN n.near THEN degrees(atan(sqrt(pow(uc * t.c + ur * t.r + u0, 2) + pow(vc * t.c + vr * t.r + v0, 2)))) END AS vz,
+    CASE WHEN t.va IS NOT NULL THEN t.va WHEN n.near THEN degrees(atan2(vc * t.c + vr * t.r + v0, uc * t.c + ur * t.r + u0)) END AS va
+  FROM tpd t JOIN pl USING (det) LEFT JOIN (SELECT DISTINCT t.det, t.r, t.c, TRUE AS near FROM tpd t JOIN k ON k.det = t.det AND abs(k.r - t.r) <= 1 AND abs(k.c - t.c) <= 1) n ON n.det = t.det AND n.r = t.r AND n.c = t.c"""
+
+
+@query(sql(PLANE + """
   SELECT t.det, t.r, t.c, round(CASE WHEN t.vz IS NOT NULL THEN t.vz WHEN n.near THEN degrees(atan(sqrt(pow(uc * t.c + ur * t.r + u0, 2) + pow(vc * t.c + vr * t.r + v0, 2)))) END, 6) AS vz,
     round(CASE WHEN t.va IS NOT NULL THEN t.va WHEN n.near THEN degrees(atan2(vc * t.c + vr * t.r + v0, uc * t.c + ur * t.r + u0)) END, 6) AS va
   FROM tpd t JOIN pl USING (det) LEFT JOIN (SELECT DISTINCT t.det, t.r, t.c, TRUE AS near FROM tpd t JOIN k ON k.det = t.det AND abs(k.r - t.r) <= 1 AND abs(k.c - t.c) <= 1) n ON n.det = t.det AND n.r = t.r AND n.c = t.c""", "tpd"))
@@ -788,3 +796,112 @@ def tile_block_mean(spark, d):
     e = e.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(3)))).withColumn("c", F.explode(F.sequence(F.lit(0), F.lit(3))))
     v = F.expr("(e[16 * r + 2 * c] + e[16 * r + 2 * c + 1] + e[16 * r + 2 * c + 8] + e[16 * r + 2 * c + 9]) / 4")
     return rounded(e.select("vec_id", "r", "c", v.alias("v")), "v")
+
+
+# --- whole granules -------------------------------------------------------------------------------------------
+
+#: Three images from one: the bands B2 (10 m), B5 (20 m) and B1 (60 m).
+LEVELS = {10: ("B2", 1), 20: ("B5", 2), 60: ("B1", 6)}
+
+
+def _images(spark, d) -> dict[int, DataFrame]:
+    hi = V.hi(spark, d)
+    out = {}
+    for res, (b, f) in LEVELS.items():
+        px = hi.where(f"y % {f} = 0 and x % {f} = 0")
+        out[res] = px.selectExpr(f"y div {f} as y", f"x div {f} as x", f"dn as {b}", f"det as det_{b}", f"fl as q_{b}", *([f"cast(fl % 4 as int) as cloud_ice"] if res == 60 else []))
+    return out
+
+
+def _levels_sql() -> str:
+    """The images m (60 m, with its detector), then each finer one by blocks of it."""
+    out = ", m AS (SELECT y // 6 AS y, x // 6 AS x, dn AS B1, det AS d1, fl AS q1, CAST(fl % 4 AS INT) AS cloud_ice FROM hi WHERE y % 6 = 0 AND x % 6 = 0)"
+    for name, f, k in (("a", 1, 6), ("b", 2, 3)):
+        out += f", {name}0 AS (SELECT y // {f} AS y, x // {f} AS x, dn, det, fl FROM hi WHERE y % {f} = 0 AND x % {f} = 0)"
+        out += f", {name} AS (SELECT p.y // {k} AS y, p.x // {k} AS x, coalesce(CAST(trunc(avg(nullif(dn, 0))) AS INT), 0) AS v, coalesce(CAST(trunc(avg(CASE WHEN det = d1 AND dn <> 0 THEN dn END)) AS INT), 0) AS vd,"
+        out += f" max(CASE WHEN p.y % {k} = {(k - 1) // 2} AND p.x % {k} = {(k - 1) // 2} THEN fl END) AS q, CAST(round_even(avg(det), 0) AS INT) AS d, max(CAST(det = d1 AS INT)) AS seen FROM {name}0 p JOIN m ON m.y = p.y // {k} AND m.x = p.x // {k} GROUP BY 1, 2)"
+    return out
+
+
+MASTER = "CASE WHEN a.seen = 1 AND b.seen = 1 THEN d1 ELSE 0 END"
+MEET = " FROM m JOIN a ON a.y = m.y AND a.x = m.x JOIN b ON b.y = m.y AND b.x = m.x"
+
+
+@query(sql(_levels_sql() + f" SELECT m.y, m.x, B1, q1 AS q_B1, cloud_ice, a.v AS B2, a.q AS q_B2, b.v AS B5, b.q AS q_B5, {MASTER} AS master_detfoo" + MEET, "hi"))
+def granule_stack(spark, d):
+    return G.resample_granule(_images(spark, d), 60, (0, 10))
+
+
+@query(sql(_levels_sql() + f" SELECT m.y, m.x, B1, q1 AS q_B1, cloud_ice, CASE WHEN {MASTER} = 0 THEN 0 ELSE a.vd END AS B2, a.q AS q_B2, CASE WHEN {MASTER} = 0 THEN 0 ELSE b.vd END AS B5, b.q AS q_B5, {MASTER} AS master_detfoo" + MEET, "hi"))
+def granule_stack_detectormean(spark, d):
+    return G.resample_granule(_images(spark, d), 60, (0, 10), downsampling="detectormean")
+
+
+@query(sql(_levels_sql() + " SELECT m.y, m.x, B1, q1 AS q_B1, d1 AS det_B1, cloud_ice, a.v AS B2, a.q AS q_B2, a.d AS det_B2, b.v AS B5, b.q AS q_B5, b.d AS det_B5" + MEET, "hi"))
+def granule_stack_own_detectors(spark, d):
+    return G.resample_granule(_images(spark, d), 60, (0, 10), detector_filter=False)
+
+
+@query(sql(_levels_sql() + """ SELECT a0.y, a0.x, a0.dn AS B2, a0.fl AS q_B2, b0.dn AS B5, b0.fl AS q_B5, m.B1, m.q1 AS q_B1, m.cloud_ice, CASE WHEN b0.det = a0.det AND m.d1 = a0.det THEN a0.det ELSE 0 END AS master_detfoo
+  FROM a0 JOIN b0 ON b0.y = a0.y // 2 AND b0.x = a0.x // 2 JOIN m ON m.y = a0.y // 6 AND m.x = a0.x // 6""", "hi"))
+def granule_stack_fine(spark, d):
+    return G.resample_granule(_images(spark, d), 10, (0, 10))
+
+
+def _masks_sql() -> str:
+    names = [f"CASE WHEN {MASTER} = {k} THEN 1 ELSE 0 END" for k in range(1, 13)]
+    for q in ("q1", "a.q", "b.q"):
+        names += [f"CAST(({q} & {1 << i}) <> 0 AS INT)" for i in range(8)]
+    return " + ".join([*names, *[f"CAST((cloud_ice & {1 << i}) <> 0 AS INT)" for i in range(3)]])
+
+
+@query(sql(_levels_sql() + f" SELECT m.y, m.x, CAST({_masks_sql()} AS INT) AS masks, {MASTER} = 7 AS detector_footprint_7, (b.q & 4) <> 0 AS msi_lost_B5" + MEET, "hi"))
+def granule_masks(spark, d):
+    """All named masks whose bands are there: 12 detectors, 8 flags of 3 bands, 3 of clouds and ice."""
+    out = G.with_masks(granule_stack(spark, d))
+    names = [n for n in G.mask_expressions() if n in out.columns]
+    return out.select("y", "x", sum((F.col(n).cast("int") for n in names), F.lit(0)).alias("masks"), "detector_footprint_7", "msi_lost_B5")
+
+
+VIEWS_SQL = PLANE + f", fl AS ({FILLED}), rf AS (SELECT det, arg_min(va, r * 100 + c) AS ref FROM fl WHERE vz IS NOT NULL AND va IS NOT NULL GROUP BY 1)" + f""",
+  g AS (SELECT fl.det, r, c, vz, ((va - ref + 540) % 360 + 360) % 360 - 180 AS va, ref FROM fl JOIN rf ON rf.det = fl.det WHERE vz IS NOT NULL AND va IS NOT NULL), w AS (SELECT y, x, det, {CELL} FROM hi),
+  o AS (SELECT w.y, w.x, {MIX.format(*(f'{n}.vz' for n in 'abef'))} AS z, (({MIX.format(*(f'{n}.va' for n in 'abef'))} + a.ref + 360) % 360 + 360) % 360 AS q
+    FROM w {" ".join(f"LEFT JOIN g {n} ON {n}.det = w.det AND {n}.r = w.r + {i} AND {n}.c = w.c + {j}" for n, i, j in (("a", 0, 0), ("b", 0, 1), ("e", 1, 0), ("f", 1, 1)))})
+  SELECT y, x, round(z, 6) AS view_zenith_B2, round(q, 6) AS view_azimuth_B2, round(z, 6) AS view_zenith_mean, round(q, 6) AS view_azimuth_mean FROM o"""
+
+
+@query(sql(VIEWS_SQL, "hi", "tpd"))
+def granule_angles(spark, d):
+    """Angles of two bands with one grid, so that their means are the angles themselves."""
+    px = V.hi(spark, d).selectExpr("y", "x", "det as master_detfoo")
+    out = G.viewing_angles(px, {"B2": V.tpd(spark), "B3": V.tpd(spark)}, 600)
+    cols = ["view_zenith_B2", "view_azimuth_B2", "view_zenith_mean", "view_azimuth_mean"]
+    return rounded(out.select("y", "x", *cols), *cols)
+
+
+@query(sql(" SELECT '{\"wind\":[' || string_agg(printf('%.2f', value * 5 / 4), ',' ORDER BY i, j) || '],\"lon\":[' || string_agg(printf('%.2f', lon), ',' ORDER BY i, j) || '],\"lat\":[' || string_agg(printf('%.1f', lat), ',' ORDER BY i, j) || ']}' AS record FROM anc", "anc"))
+def wind_record(spark, d):
+    """The record without aot, its numbers printed to a fixed number of digits."""
+    points = V.anc(spark).selectExpr("i", "j", "lat", "lon", "value as u", "value * 0.75D as v", "0D as aot")
+    out = A.wind_record(points)
+    got = F.from_json(out["record"], "struct<wind:array<double>,lon:array<double>,lat:array<double>,aot:array<double>>")
+    text = lambda n, k: F.concat_ws(",", F.transform(got[n], lambda v: F.format_string(f"%.{k}f", v)))
+    return out.select(F.concat(F.lit('{"wind":['), text("wind", 2), F.lit('],"lon":['), text("lon", 2), F.lit('],"lat":['), text("lat", 1), F.lit("]}")).alias("record"))
+
+
+@query(sql(" SELECT y, x, code FROM grid WHERE y >= 14 AND y < 24 AND ((x >= 142 AND x < 150 AND (x - 142) % 2 = 0) OR (x >= 0 AND x < 8 AND x % 2 = 0))", "grid"))
+def grid_subset(spark, d):
+    """A box across the antimeridian on a grid of 75 x 150."""
+    return S.subset(V.grid(spark, d), (33.0, 56.0), (161.0, -161.0), 75, 150).select("y", "x", "code")
+
+
+@query(f"WITH s AS ({SCENES_SQL}) SELECT name, substr(name, 40, 5) AS granule, name || '-c2rcc.nc' AS c2rcc, substr(name, 1, 3) || '_MSI_' || substr(name, 12, 4) || '_' || substr(name, 16, 2) || '_' || substr(name, 18, 2) || '_' || substr(name, 21, 2) || '_' || substr(name, 23, 2) || '_' || substr(name, 25, 2) || '_S2R_L2R.nc' AS acolite FROM s")
+def scene_files(spark, d):
+    f = S.expected_files()
+    return _scenes(spark).select("name", f["granule"].alias("granule"), f["c2rcc"].alias("c2rcc"), f["acolite"].alias("acolite"))
+
+
+@query(f"WITH s AS ({SCENES_SQL}) SELECT name, 'T' || substr(name, 40, 5) || '_' || substr(name, 12, 15) || '_AQU_60m.nc' AS local_id, 'Sentinel-2' || substr(name, 3, 1) AS platform, substr(name, 29, 2) || '.' || substr(name, 31, 2) AS product_version FROM s")
+def scene_attributes(spark, d):
+    a = S.product_attributes()
+    return _scenes(spark).select("name", *[a[k].alias(k) for k in ("local_id", "platform", "product_version")])

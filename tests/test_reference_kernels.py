@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hydrapix.functions import columns as C
-from hydrapix.operators import interpolate, masks, resample, switching
+from hydrapix.operators import granule, interpolate, masks, resample, switching
 
 
 def image(spark, rows):
@@ -45,6 +45,22 @@ def test_tie_points_lie_on_the_plane(spark):
     assert out[10, 20] == pytest.approx(1 + (10 * 60 + 30) / 5000 + 2 * (20 * 60 + 30) / 5000)
 
 
+#: Corner of detector 5's angle grids (fixed values).
+ZENITH = [[3.27412, 2.97148], [3.17559, 2.87897], [3.0787, 2.78875], [2.98385, None], [2.8911, None]]
+AZIMUTH = [[141.848, 146.264], [143.167, 147.864], [144.567, 149.568], [146.061, None], [147.652, None]]
+
+
+def test_angles_of_a_detector(spark):
+    cells = [(5, r, c, ZENITH[r][c] if c < 2 else None, AZIMUTH[r][c] if c < 2 else None) for r in range(5) for c in range(5)]
+    grid = interpolate.fill_by_plane(spark.createDataFrame(cells, "det int, r int, c int, vz double, va double"))
+    pixels = interpolate.pixel_grid(spark, 24, 24).withColumn("det", F.lit(5))
+    out = values(interpolate.angles_by_detector(pixels, grid, "vz", res=600), "vz")
+    assert out[1, 1] == pytest.approx(3.2021043, abs=0.001)
+    assert values(interpolate.angles_by_detector(pixels, grid, "va", res=600, azimuth=True), "va")[1, 1] == pytest.approx(142.8894, abs=0.001)
+    both = granule.viewing_angles(pixels.withColumnRenamed("det", "master_detfoo"), {"B2": grid}, 600).where("y = 1 and x = 1").first()
+    assert (both["view_zenith_mean"], both["view_azimuth_B2"]) == (pytest.approx(3.2021043, abs=0.001), pytest.approx(142.8894, abs=0.001))
+
+
 def test_azimuths_cross_north(spark):
     row = spark.range(1).select(C.around(C.about(F.lit(1.0), F.lit(359.0)), F.lit(359.0)).alias("a"), interpolate.mean_angle(F.lit(350.0), F.lit(10.0), azimuth=True).alias("m")).first()
     assert row["a"] == pytest.approx(1.0)
@@ -92,6 +108,41 @@ def test_later_class_rules_overrule_earlier_ones(spark):
     assert got == [want for _, want in cases]
 
 
+def test_dilation_until_stable(spark, monkeypatch):
+    """A way longer than one round, over several tiles."""
+    way = [(0, x) for x in range(30)] + [(1, 29), (2, 29)] + [(2, x) for x in range(29)]
+    grid = spark.createDataFrame([(y, x, 64 if (y, x) == (0, 0) else 96 if (y, x) in way else 192) for y in range(4) for x in range(31)], "y long, x long, code int")
+    monkeypatch.setattr(masks, "TILE", 8)
+    monkeypatch.setattr(masks, "ROUND", 5)
+    got = masks.dilate(grid, (64, 64), 96, 160, 0)
+    assert got.where("code = 160").count() == len(way) - 1 and got.where("code = 96").count() == 0
+    none = masks.dilate(grid, (7, 7), 96, 160, 0, insert_grows=False)
+    assert none.where("code = 96").count() == len(way) - 1
+
+
+def test_halo_wider_than_a_tile(spark):
+    one = spark.createDataFrame([(9, 9)], "y int, x int")
+    got = {(r["ty"], r["tx"]) for r in resample.halo_tiles(one, 2, 5).collect()}
+    assert got == {(a, b) for a in range(2, 8) for b in range(2, 8)}
+
+
+@pytest.mark.parametrize("sensor", ["S2A", "S2B", "S2C"])
+def test_bands_of_every_sensor(spark, sensor):
+    names = switching.SENSOR_BANDS[sensor]
+    df = spark.createDataFrame([tuple(float(i) for i in range(11))], ", ".join(f"{n} double" for n in names))
+    assert list(switching.resolve_sensor_bands(df).first()) == [float(i) for i in range(11)]
+
+
+def test_unknown_sensor_is_refused(spark):
+    with pytest.raises(ValueError, match="no sensor"):
+        switching.resolve_sensor_bands(spark.createDataFrame([(1.0,)], "rhos_999 double"))
+
+
+def test_named_masks_are_all_there():
+    assert len(granule.mask_expressions()) == 12 + 13 * 8 + 3 and len(granule.mask_expressions(detector_filter=False)) == 13 * 12 + 13 * 8 + 3
+    assert granule.mask_expressions(merge_flags=False)["msi_lost_B8A"] == "B_msi_lost_B8A <> 0"
+
+
 def test_missing_sensor_band_is_null(spark):
     df = spark.createDataFrame([(1, 0.5)], "pid int, rhos_442 double")
     row = switching.resolve_sensor_bands(df).first()

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from hydrapix import pipeline
+from hydrapix.functions import columns
+from hydrapix.operators import granule, scenes
 from hydrapix.plans import fixtures
 from hydrapix.sources import rasters
 from hydrapix.streaming import tiles
@@ -15,9 +17,9 @@ WANT = [("sun_zenith", None, None, 0, 0, 1.0), ("sun_zenith", None, None, 0, 1,
 
 def test_angle_source(spark, tmp_path):
     spark.dataSource.register(rasters.GranuleSource)
-    got = spark.read.format("granule_angles").option("xml", XML).load().collect()
-    assert [tuple(r) for r in got] == WANT
     (tmp_path / "MTD_TL.xml").write_text(XML)
+    got = spark.read.format("granule_angles").load(f"{tmp_path}/*.xml").drop("path").collect()
+    assert [tuple(r) for r in got] == WANT
     got = rasters.read_angles(spark, str(tmp_path)).drop("path").collect()
     assert [tuple(r) for r in got] == WANT
 
@@ -30,6 +32,59 @@ def test_product_metadata(spark):
         spark.createDataFrame([("<p/>",)], "x string").select(rasters.product_version(F.col("x"))).collect()
 
 
+def test_product_files(spark, tmp_path):
+    xml = """<n1:P xmlns:n1="https://psd-14/x"><PRODUCT_START_TIME>2023-09-29T10:38:21.024Z</PRODUCT_START_TIME><PRODUCT_STOP_TIME>2023-09-29T10:38:22.024Z</PRODUCT_STOP_TIME>
+<SPACECRAFT_NAME>Sentinel-2A</SPACECRAFT_NAME><QUANTIFICATION_VALUE>10000</QUANTIFICATION_VALUE><RADIO_ADD_OFFSET>-1000</RADIO_ADD_OFFSET>
+<Special_Values><SPECIAL_VALUE_TEXT>NODATA</SPECIAL_VALUE_TEXT><SPECIAL_VALUE_INDEX>7</SPECIAL_VALUE_INDEX></Special_Values>
+<Special_Values><SPECIAL_VALUE_TEXT>SATURATED</SPECIAL_VALUE_TEXT><SPECIAL_VALUE_INDEX>65535</SPECIAL_VALUE_INDEX></Special_Values></n1:P>"""
+    (tmp_path / "MTD_MSIL1C.xml").write_text(xml)
+    got = rasters.read_products(spark, str(tmp_path)).select("product.*").first()
+    assert (got["version"], got["fill"], got["spacecraft"], str(got["start"]), str(got["stop"])) == (14, 7, "Sentinel-2A", "2023-09-29 10:38:21", "2023-09-29 10:38:22")
+
+
+def test_scaling_of_a_band(spark):
+    df = spark.createDataFrame([(10, 1.5, 3), (0, 2.5, 4)], "a int, b double, c int")
+    df = df.select(F.col("a").alias("a", metadata={"scale_factor": 0.5, "_FillValue": 0}), F.col("b").alias("b", metadata={"scale_factor": 0.5}), F.col("c").alias("c", metadata={"add_offset": 1.0}))
+    got = [tuple(r) for r in df.select(*[columns.decode_band(df, n) for n in "abc"]).collect()]
+    assert got == [(5.0, 1.5, 4.0), (None, 2.5, 5.0)]
+
+
+def test_ancillary_metadata(spark):
+    df = spark.createDataFrame([(1, 2.0)], "i int, tco3 double").select("i", F.col("tco3").alias("tco3", metadata={"GRIB_x": 1, "_FillValue": 0, "units": "kg"}))
+    got = granule.select_ancillary(df, ["tco3"], 60).schema["tco3"].metadata
+    assert got == {"units": "kg", "coordinates": "tp_lat tp_lon", "offset_y": 0.0, "offset_x": 0.0, "subsampling_y": 228.75, "subsampling_x": 228.75}
+
+
+def test_attributes_and_counts(spark, tmp_path):
+    name = "S2A_MSIL1C_20230929T103821_N0509_R008_T32UME_20230929T141112"
+    a = spark.createDataFrame([(name,)], "name string").select(scenes.product_attributes(copy_inputs=True, contact="me").alias("a")).first()["a"]
+    assert a["id"].startswith("S2A_MSIL2W_20230929T103821_N0509_R008_T32UME_") and len(a["tracking_id"]) == 36 and a["contact"] == "me"
+    assert a["start_date"] == "2023-Sep-29 10:38:21.000000" and a["product_version"] == "05.09" and a["parameters"] == "--copyinputs"
+    counts = spark.createDataFrame([(1, 2, 3)], "land long, inland long, ocean long")
+    for p in ("a", "b"):
+        rasters.append_counts(counts, str(tmp_path / "c"), p)
+    assert sorted(x.value for x in spark.read.text(str(tmp_path / "c")).collect()) == ["a\t3\t2\t1", "b\t3\t2\t1"]
+
+
+def test_window_reads_one_tile(spark):
+    assert scenes.window_of((50.0, 60.0), (170.0, -170.0), 180, 360) == [(30, 40, 350, 360), (30, 40, 0, 10)]
+    assert scenes.window_of((-1.5, 1.5), (0.0, 3.0), 180, 360) == [(88, 92, 180, 183)]
+
+
+def test_whole_chain(spark, tmp_path):
+    """Three images to 60 m, corrections joined, switched and written; the classes are those of the switching alone."""
+    px = spark.range(36 * 36).selectExpr("cast(id div 36 as int) y", "cast(id % 36 as int) x")
+    layers = lambda names: [f"cast(1000 + (y * 37 + x * 11 + {i}) % 900 as int) as {b}" for i, b in enumerate(names)] + [x for b in names for x in (f"5 as det_{b}", f"0 as q_{b}")]
+    images = {10: px.selectExpr("y", "x", *layers(["B2", "B4"])), 20: px.where("y < 18 and x < 18").selectExpr("y", "x", *layers(["B11"])), 60: px.where("y < 6 and x < 6").selectExpr("y", "x", *layers(["B1"]), "0 as cloud_ice")}
+    ac = fixtures.stack(spark, "/root/testdata/sf0.001").limit(36).drop("y", "x", "pid", "s2wmask", "b2", "b4", "b11", "q")
+    rows = [tuple(r) for r in ac.collect()]
+    ac = spark.createDataFrame([(i // 6, i % 6, *r) for i, r in enumerate(rows)], "y int, x int, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in ac.schema))
+    grid = fixtures.tpd(spark)
+    done = pipeline.process(images, (6, 6), [ac], str(tmp_path), "P", angles={"B2": grid, "B11": grid}, sun={"sun_zenith": fixtures.tp(spark).select("r", "c", F.col("zenith").alias("sun_zenith"))}, downsampling="detectormean")
+    assert done.count() == 36 and spark.read.parquet(f"{tmp_path}/statistics").count() == 13
+    assert done.where("s2wmask = 64").count() == 36 and done.select("pixel_class").distinct().count() > 1
+
+
 def test_band_names(spark):
     df = spark.createDataFrame([("a/T32_B01.jp2",), ("a/T32_B8A.jp2",), ("a/x.xml",)], "p string")
     assert [r[0] for r in df.select(rasters.band_of(F.col("p"))).collect()] == ["B1", "B8A", None]
