@@ -84,30 +84,30 @@ def corners(df: DataFrame, value: str, *keys: str) -> DataFrame:
     return out.groupBy(*keys, "r", "c").agg(*[F.max(F.when(F.col("q") == q, F.col(value))).alias(n) for q, n in enumerate(("v00", "v01", "v10", "v11"))])
 
 
-def padded(df: DataFrame, value: str, rows: int, cols: int) -> DataFrame:
-    """The image with a border extrapolated linearly: rows 0 and rows + 1, columns 0 and cols + 1 are new."""
-    v = F.col(value).cast("double")
+def _with_border(k: str, n: int) -> Column:
+    """Places of line k of n in the image with a border of one line (which lines 0 and n + 1 are), with weights: a border
+    line goes on linearly, twice the last line less the one before."""
+    first = F.struct(F.when(F.col(k).isin(0, 1), F.lit(0)).alias("at"), F.when(F.col(k) == 0, 2.0).otherwise(-1.0).alias("w"))
+    last = F.struct(F.when(F.col(k).isin(n - 2, n - 1), F.lit(n + 1)).alias("at"), F.when(F.col(k) == n - 1, 2.0).otherwise(-1.0).alias("w"))
+    own = F.struct((F.col(k) + 1).cast("int").alias("at"), F.lit(1.0).alias("w"))
+    return F.filter(F.array(own, first, last), lambda p: p["at"].isNotNull())
 
-    def border(d: DataFrame, axis: str, n: int) -> DataFrame:
-        # an edge line and the one inside it give the line outside: 2 a - b
-        sides = F.explode(F.array(
-            F.struct(F.col(axis).alias("at"), F.lit(1.0).alias("w")),
-            F.struct(F.when(F.col(axis).isin(1, 2), F.lit(0)).alias("at"), F.when(F.col(axis) == 1, 2.0).otherwise(-1.0).alias("w")),
-            F.struct(F.when(F.col(axis).isin(n - 1, n), F.lit(n + 1)).alias("at"), F.when(F.col(axis) == n, 2.0).otherwise(-1.0).alias("w")),
-        ))
-        other = "c" if axis == "r" else "r"
-        out = d.select(other, value, sides.alias("o")).where("o.at is not null")
-        return out.groupBy(F.col("o.at").alias(axis), other).agg(F.sum(F.col("o.w") * F.col(value)).alias(value))
 
-    base = df.select((F.col("y") + 1).cast("int").alias("r"), (F.col("x") + 1).cast("int").alias("c"), v.alias(value))
-    return border(border(base, "r", rows), "c", cols)
+def bordered_cells(df: DataFrame, value: str, rows: int, cols: int) -> DataFrame:
+    """Cells (r, c, v00, v01, v10, v11) of an image with a border that goes on linearly. Each pixel sends its share to
+    all cells that it is a corner of, so there is one shuffle."""
+    out = df.select("y", "x", F.col(value).cast("double").alias(value)).withColumn("p", F.explode(_with_border("y", rows))).withColumn("q", F.explode(_with_border("x", cols)))
+    corner = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)]))
+    out = out.select((F.col("p.w") * F.col("q.w") * F.col(value)).alias("v"), "p.at", F.col("q.at").alias("to"), corner.alias("k"))
+    out = out.select("v", (F.col("at") - F.col("k.a")).alias("r"), (F.col("to") - F.col("k.b")).alias("c"), (2 * F.col("k.a") + F.col("k.b")).alias("q"))
+    return out.groupBy("r", "c").agg(*[F.sum(F.when(F.col("q") == q, F.col("v"))).alias(n) for q, n in enumerate(("v00", "v01", "v10", "v11"))])
 
 
 def upsample_bilinear(df: DataFrame, f: int, value: str, rows: int, cols: int, reflectance: bool = False, azimuth: bool = False) -> DataFrame:
     """Bilinear interpolation of an image of rows x cols. Reflectances of 0 count as missing and are left out of
     the sum (weights are not renormalised); azimuths are turned about the image's first pixel, to +-180."""
     off = int(f / 2 + 0.5)
-    cells = corners(padded(df, value, rows, cols), value)
+    cells = bordered_cells(df, value, rows, cols)
     if azimuth:
         ref = df.where("y = 0 and x = 0").select(F.col(value).cast("double").alias("ref"))
         cells = cells.join(F.broadcast(ref))  # one row
