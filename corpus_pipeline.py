@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from hydrapix.llm import exact_dedup as exact
 from hydrapix.llm import mixing, ngram_join, sentencepieces
 from hydrapix.llm import toxicity as tox
-from hydrapix.llm.common import written
+from hydrapix.llm.common import dropped, written
 
 
 def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
@@ -66,5 +66,6 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        before, docs = docs, written(stage(spark, docs, sf_dir), f"stage-{name}")
+        dropped(before)  # of a table that a stage has written nothing is read any more
     return STAGES[-1][1](spark, docs, sf_dir)
