@@ -15,7 +15,9 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import ahocorasick
 import numpy as np
@@ -23,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, labelled_sample, pieces, split_rule
+from .common import columns_of, dropped, labelled_sample, pieces, split_rule, written
 
 #: Look-alikes and substitutions (fixed values).
 FOLD = {
@@ -76,8 +78,15 @@ def hits(auto, text: str) -> list[tuple[int, int, str, float]]:
         if (a and text[a - 1].isalpha()) or (b < len(text) and text[b].isalpha()):
             continue
         found.append((a, b, w, x))
-    free = [(a, b) for a, b, _, x in found if x == 0.0]
-    return [h for h in found if h[3] > 0 and not any(a <= h[0] and h[1] <= b for a, b in free)]
+    free = sorted((a, b) for a, b, _, x in found if x == 0.0)
+    starts, reach = [a for a, _ in free], list(accumulate((b for _, b in free), max))
+
+    def inside(a: int, b: int) -> bool:
+        """Whether an exception that starts at a or before reaches b."""
+        k = bisect_right(starts, a)
+        return k > 0 and reach[k - 1] >= b
+
+    return [h for h in found if h[3] > 0 and not inside(h[0], h[1])]
 
 
 def _doc_features(auto):
@@ -120,9 +129,15 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> np.ndarray:
     return b
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = 12_000, most: int = 2_000, surely: float = 0.55, exceptions: tuple[str, ...] = ()) -> dict:
-    """The lexicon (at most `most` words), exceptions and calibration."""
-    train = labelled_sample(docs, labels, "toxic", 3, 1, rows).select("text", "y")
+def fit(docs: DataFrame, labels: DataFrame, rows: int = 12_000, surely: float = 0.55, exceptions: tuple[str, ...] = ()) -> dict:
+    """The lexicon, exceptions and calibration, from a sample of about `rows` labelled rows that is written once."""
+    train = written(labelled_sample(docs, labels, "toxic", 3, 1, rows).select("text", "y"), "train")
+    model = _fitted(train, surely, exceptions)
+    dropped(train)
+    return model
+
+
+def _fitted(train: DataFrame, surely: float, exceptions: tuple[str, ...]) -> dict:
     counts = train.mapInArrow(_word_rows, "word string, y int").groupBy("word").agg(F.count("*").alias("n"), F.sum("y").alias("t"))
     total = train.agg(F.count("*").alias("n"), F.sum("y").alias("t")).first()
     size, toxic = total["n"], total["t"] or 0
@@ -134,13 +149,13 @@ def fit(docs: DataFrame, labels: DataFrame, rows: int = 12_000, most: int = 2_00
     wilson = (share + z * z / (2 * F.col("n")) - z * F.sqrt(share * (1 - share) / F.col("n") + z * z / (4 * F.col("n") * F.col("n")))) / (1 + z * z / F.col("n"))
     # a word makes a lexicon entry if its documents are surely toxic, well beyond the base rate
     chosen = counts.where((F.col("t") >= 4) & (F.length("word") >= 3)).withColumn("sure", wilson).where(F.col("sure") >= max(surely, min(0.9, 2 * toxic / size)))
-    for r in chosen.orderBy(F.desc("sure"), "word").limit(most).collect():
+    for r in chosen.orderBy(F.desc("sure"), "word").collect():
         odds = math.log((r["t"] + 0.5) / (toxic - r["t"] + 0.5)) - math.log((r["n"] - r["t"] + 0.5) / (size - toxic - r["n"] + r["t"] + 0.5))
         if odds > 0:
             model["weights"][r["word"]] = odds
     seen = train.mapInArrow(_doc_features(automaton(model["weights"], model["exceptions"])), "w double, n long, y int, pairs array<string>")
     phrases = seen.select("y", F.explode("pairs").alias("p")).groupBy("p").agg(F.count("*").alias("n"), F.sum("y").alias("t"))
-    for r in phrases.where("n >= 8 and t <= 0.1 * n").orderBy(F.desc("n"), "p").limit(most).collect():
+    for r in phrases.where("n >= 8 and t <= 0.1 * n").orderBy(F.desc("n"), "p").collect():
         model["exceptions"].add(r["p"])
     seen = train.mapInArrow(_doc_features(automaton(model["weights"], model["exceptions"])), "w double, n long, y int, pairs array<string>")
     got = seen.select("w", "n", "y").toPandas()  # as many rows as the bounded sample has
