@@ -3,7 +3,8 @@
 A document is a bag of passages of 64 words, all of them. Each passage is encoded (shares of kinds of
 characters, repetition, hashed words, then a learned layer); gated attention weighs the passages, and the
 weighted representation gives the document's score. Only document labels are used for training, in numpy, on a
-bounded sample of labelled training rows (`rows`, a documented parameter); every whole text is scored.
+bounded sample of labelled training rows (`rows` of them, `most` passages in all, documented parameters); every whole
+text is scored.
 
 Cases: null and empty texts are a bag of one empty passage; documents without a label are scored like others;
 repeated rows are returned each; with no labels, or all alike, every score is that share of good ones (0.5 with
@@ -16,10 +17,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordIds, columns_of, gram_hashes, labelled_sample, pieces, split_rule
+from .common import WordIds, columns_of, gram_hashes, labelled_sample, pieces, split_rule, written
 
 PASSAGE, HASHED = 64, 32
 #: Kinds of bytes that a passage's shares are taken of (fixed values).
@@ -121,9 +122,13 @@ class GatedMil:
         return self
 
 
-def fit(docs: DataFrame, labels: DataFrame, rows: int = 6_000):
-    """A trained model, or a constant share if the labels are all alike."""
-    train = labelled_sample(docs, labels, "quality", 4, 2, rows)
+def fit(docs: DataFrame, labels: DataFrame, rows: int = 6_000, most: int = 200_000):
+    """A trained model, or a constant share if the labels are all alike. The sample's bags are whole documents, in the
+    order of a hash, as many as have `most` passages together (64 MB)."""
+    train = written(labelled_sample(docs, labels, "quality", 4, 2, rows), "train")
+    bags = train.select("doc_id", F.xxhash64("doc_id", F.lit(13)).alias("h"), (F.regexp_count(F.decode("text", "UTF-8"), F.lit(r"[^\x20\x09-\x0D]+")) / PASSAGE + 1).alias("size"))
+    upto = Window.orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # over the bounded sample
+    train = train.join(bags.withColumn("all", F.sum("size").over(upto)).where(F.col("all") <= most).select("doc_id"), "doc_id", "left_semi")
 
     def run(batches: Iterator) -> Iterator:
         words = WordIds()
