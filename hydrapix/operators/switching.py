@@ -29,6 +29,25 @@ def tecqua(quality: list[Column]) -> Column:
     return out
 
 
+def quality_columns(df: DataFrame) -> list[Column]:
+    """The packed quality flags that df has: q, or q_<band> of each band."""
+    return [df[c] for c in df.columns if c == "q" or c.startswith("q_B")]
+
+
+def processed_mask(flags: Column) -> Column:
+    """1 where the correction for all waters is not to be run: invalid, cloud, shadow, snow, land, cirrus, dry risk."""
+    names = ("INVALID", "CLOUD", "CLOUD_AMBIGUOUS", "CLOUD_SURE", "CLOUD_BUFFER", "CLOUD_SHADOW", "SNOW_ICE", "LAND", "CIRRUS_SURE", "CIRRUS_AMBIGUOUS", "VEG_RISK")
+    return has_bits(flags, bits(*names)).cast("int")
+
+
+def all_valid(df: DataFrame, names: list[str]) -> DataFrame:
+    """The rows in which each of the bands has a value of 0 or more."""
+    good = F.lit(True)
+    for n in names:
+        good = good & F.coalesce(df[n] >= 0, F.lit(False))
+    return df.where(good)
+
+
 def visible_stats(*bands: Column) -> tuple[Column, Column]:
     """Mean and largest of the bands that are not null."""
     n = sum((b.isNotNull().cast("int") for b in bands), F.lit(0))
@@ -63,7 +82,7 @@ def pixel_class(df: DataFrame, scale: float = 1e-4, offset: float = -0.1, wrap_u
     index = F.try_divide(difference.cast("double"), (df["b2"] + df["b4"]).cast("double"))
     cloudy = has_bits(df["c2f"], 8) & ((index > 0.2) | (swir > 0.04) | has_bits(f, bits("CIRRUS_AMBIGUOUS")))
     final = F.when((first == 2) & F.coalesce(cloudy, F.lit(False)), 8).otherwise(first)
-    return F.when(tecqua([df["q"]]) | has_bits(f, bits("INVALID")), 0).otherwise(final)
+    return F.when(tecqua(quality_columns(df)) | has_bits(f, bits("INVALID")), 0).otherwise(final)
 
 
 def classify(df: DataFrame, **options) -> DataFrame:

@@ -55,7 +55,7 @@ def process(
 ) -> DataFrame:
     """The whole chain of a granule: bands to one resolution, with sun and viewing angles, then the results of the
     external corrections (tables by y and x) and the static mask, then switching, the product's tiles and statistics.
-    Numbers B2, B4 and B11 and the flags q_B2 serve classification."""
+    Numbers B2, B4 and B11 and the quality flags of all bands serve classification."""
     out = granule.resample_granule(images, resolution, shape, **options)
     if angles:
         out = granule.viewing_angles(out, angles, resolution, "master_detfoo" if options.get("detector_filter", True) else None)
@@ -64,6 +64,5 @@ def process(
     for table in corrections:
         out = out.join(table, ["y", "x"])
     out = static_mask(*masks, out)
-    names = {"B2": "b2", "B4": "b4", "B11": "b11", "q_B2": "q"}
-    out = out.withColumnsRenamed(names).withColumn("pid", F.col("y").cast("long") * (shape[1] * 60 // resolution) + F.col("x"))
+    out = out.withColumnsRenamed({"B2": "b2", "B4": "b4", "B11": "b11"}).withColumn("pid", F.col("y").cast("long") * (shape[1] * 60 // resolution) + F.col("x"))
     return switch(out, path, product)

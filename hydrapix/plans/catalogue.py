@@ -107,8 +107,17 @@ def named_masks(spark, d):
 
 @query(sql("SELECT pid, CASE WHEN (pcf & 138367) <> 0 THEN 1 ELSE 0 END AS mask FROM px", "px"))
 def polymer_input_mask(spark, d):
-    m = C.bits("INVALID", "CLOUD", "CLOUD_AMBIGUOUS", "CLOUD_SURE", "CLOUD_BUFFER", "CLOUD_SHADOW", "SNOW_ICE", "LAND", "CIRRUS_SURE", "CIRRUS_AMBIGUOUS", "VEG_RISK")
-    return V.px(spark, d).select("pid", C.has_bits(F.col("pcf"), m).cast("int").alias("mask"))
+    return V.px(spark, d).select("pid", W.processed_mask(F.col("pcf")).alias("mask"))
+
+
+QUALITY13 = {f"q_{b}": f"(q + pid * {i + 1}) % 256 - (q + pid * {i + 1}) % 256 % {1 if i == 4 else 16}" for i, b in enumerate(G.RESOLUTIONS)}
+
+
+@query(sql(", k AS (SELECT pid, " + ", ".join(f"{e} AS {n}" for n, e in QUALITY13.items()) + " FROM px) SELECT pid, " + " OR ".join(f"({n} & 15) <> 0" for n in QUALITY13) + " AS tecqua FROM k", "px"))
+def tecqua_bands(spark, d):
+    """Over the flags of all thirteen bands."""
+    px = V.px(spark, d).select("pid", *[F.expr(e).cast("int").alias(n) for n, e in QUALITY13.items()])
+    return px.select("pid", W.tecqua(W.quality_columns(px)).alias("tecqua"))
 
 
 ALL_A = [f"a{i}" for i in range(11)]
@@ -135,10 +144,7 @@ def legacy_masks(spark, d):
 
 @query(sql("SELECT pid FROM ac WHERE " + " AND ".join(f"p{i} IS NOT NULL AND p{i} >= 0" for i in range(13)), "ac"))
 def valid_pixel_filter(spark, d):
-    ok = F.lit(True)
-    for i in range(13):
-        ok = ok & F.col(f"p{i}").isNotNull() & (F.col(f"p{i}") >= 0)
-    return V.ac(spark, d).where(ok).select("pid")
+    return W.all_valid(V.ac(spark, d), [f"p{i}" for i in range(13)]).select("pid")
 
 
 @query(sql("SELECT count(*) FILTER (s2wmask >= 128) AS land, count(*) FILTER (s2wmask BETWEEN 65 AND 127) AS inland, count(*) FILTER (s2wmask <= 64) AS ocean FROM px", "px"))
