@@ -2,8 +2,8 @@
 
 Known words score by their log frequency in each language. A word that the table lacks is scored by its longest
 known character n-grams: five letters first, then progressively shorter ones. The model is fitted on a bounded
-sample of labelled training rows (`rows`), its tables hold at most `words` words and `grams` n-grams, so it is
-broadcast at any size of input; every whole text is scored.
+sample of labelled training rows (`rows`); its tables hold all words and n-grams of these, so that bound is the only
+one. Every whole text is scored. A word is a run of letters (Unicode category L).
 
 Cases: null texts and texts without a letter are `und` with score 0; rows whose lang or doc_id is null teach
 nothing and are predicted like others; ties go to the language first by code point; repeated rows are returned
@@ -18,17 +18,25 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import columns_of, pieces, split_rule
+from .common import columns_of, dropped, pieces, split_rule, written
 
 WORDS = re.compile(r"[^\W\d_]+")
+LETTERS = regex.compile(r"\p{L}+")
 LONGEST = 5
 
 
 def words_of(text: str | None) -> list[str]:
-    return WORDS.findall(text.lower()) if text else []
+    """Runs of letters. The fast pattern also takes number signs such as a half or a circled two; where it has found
+    one, the exact pattern is used."""
+    if not text:
+        return []
+    low = text.lower()
+    words = WORDS.findall(low)
+    return words if not words or "".join(words).isalpha() else LETTERS.findall(low)
 
 
 def grams(word: str, n: int) -> list[str]:
@@ -122,7 +130,7 @@ class Rows(dict):
         return out
 
 
-def fit(docs: DataFrame, rows: int = 20_000, words: int = 100_000, grams_kept: int = 60_000) -> Model | None:
+def fit(docs: DataFrame, rows: int = 8_000) -> Model | None:
     train = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~split_rule("doc_id", 3, 1))
     per = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not per:
@@ -132,17 +140,23 @@ def fit(docs: DataFrame, rows: int = 20_000, words: int = 100_000, grams_kept: i
     bound = F.element_at(F.create_map(*[F.lit(v) for x, s in share.items() for v in (x, int(s * (1 << 30)))]), F.col("lang"))
     train = train.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1 << 30)) < bound)
     counts = train.select("lang", "text").mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    counts = written(counts, "counts")
 
-    def top(table: DataFrame, most: int) -> dict[str, dict]:
-        table = table.groupBy("word").agg(F.sum("n").alias("all"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))
-        return {r["word"]: r["by"] for r in table.where("all >= 2").orderBy(F.desc("all"), "word").limit(most).collect()}
+    def table(rows: DataFrame) -> dict[str, dict]:
+        out: dict[str, dict] = {}
+        got = rows.select("word", "lang", "n").toArrow().sort_by([("word", "ascending"), ("lang", "ascending")])  # of the bounded sample
+        for word, lang, n in zip(*(got.column(i).to_pylist() for i in range(3)), strict=True):
+            out.setdefault(word, {})[lang] = n
+        return out
 
-    known = top(counts, words)
+    known = table(counts)
     small = counts.mapInArrow(_grams, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     totals = {r["lang"]: r["n"] for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
     langs = sorted(per)
     prior = np.log(np.array([per[x] for x in langs], float) / sum(per.values()))
-    return Model(langs, known, top(small, grams_kept), totals, prior)
+    model = Model(langs, known, table(small), totals, prior)
+    dropped(counts)
+    return model
 
 
 def identify(docs: DataFrame, **options) -> DataFrame:
