@@ -8,7 +8,8 @@ is the demand for the source's words up to t; inverting it gives each taken copy
 the rows are range-sorted by position.
 
 Prefix sums go in two steps (sums of hash buckets, then windows within a bucket), so no source, however
-large, stands in one task. Cases: a null text has size 0 and is never taken; a null source is a source of its
+large, stands in one task. Rows alike in id, source and size are counted first and laid out one after the other
+later, so an id that very many rows share (null ids too) fills no bucket. Cases: a null text has size 0 and is never taken; a null source is a source of its
 own, last in order; repeated rows count each; an empty table gives an empty result; extra columns are not read.
 """
 
@@ -23,9 +24,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budget: float = 1.5, most: int = 2) -> DataFrame:
-    """(source, source_size, rank, target), one row for each source (the windows run over sources only)."""
+    """Of rows (source, held) (source, source_size, rank, target), one for each source (the windows run over sources only)."""
     order = Window.orderBy(F.col("source").asc_nulls_last())
-    per = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    per = sizes.groupBy("source").agg(F.sum("held").alias("source_size"))
     per = per.withColumn("rank", F.row_number().over(order) - 1)
     per = per.withColumn("w", F.element_at(F.array(*map(F.lit, weights)), (F.col("rank") % len(weights) + 1).cast("int")))
     per = per.withColumn("cap", F.col("source_size") * most).withColumn("fill", F.col("cap").cast("double") / F.col("w"))
@@ -49,18 +50,20 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), budget: float = 1
         "doc_id", "source", F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size")
     )
     sizes = sizes.withColumn("h", F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")))
-    sizes = written(sizes.withColumn("bucket", F.substring("h", 1, buckets_hex)), "sizes")
+    sizes = sizes.withColumn("bucket", F.substring("h", 1, buckets_hex))
+    sizes = written(sizes.groupBy("source", "bucket", "h", "doc_id", "size").agg(F.count("*").alias("rows"), F.sum("size").alias("held")), "sizes")
     targets = source_targets(sizes, weights, budget, most)
-    sums = sizes.groupBy("source", "bucket").agg(F.sum("size").alias("held"))
+    sums = sizes.groupBy("source", "bucket").agg(F.sum("held").alias("held"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("base", F.coalesce(F.sum("held").over(before), F.lit(0))).drop("held")
     known = sums.join(targets, sums.source.eqNullSafe(targets.source)).drop(targets.source)
     within = Window.partitionBy("source", "bucket").orderBy("h", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    placed = sizes.withColumn("inner", F.coalesce(F.sum("size").over(within), F.lit(0)))
+    placed = sizes.withColumn("inner", F.coalesce(F.sum("held").over(within), F.lit(0)))
     # the buckets' table has at most 16^buckets_hex rows for each source; Spark broadcasts it only if small
     placed = placed.join(known, placed.source.eqNullSafe(known.source) & (placed.bucket == known.bucket)).drop(
         known.source, known.bucket
     )
+    placed = placed.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1))).withColumn("inner", F.col("inner") + F.col("row") * F.col("size"))
     twice = 2 * (F.col("base") + F.col("inner")) + F.col("size")  # twice the middle of the first copy
     one = (F.col("size") > 0) & (twice <= 2 * F.col("target"))
     two = (F.col("size") > 0) & (twice + 2 * F.col("source_size") <= 2 * F.col("target"))
