@@ -14,8 +14,9 @@ documents share come last.
 Cells are range-partitioned and sorted by column and row, so one shuffle finds the columns of two rows or more, and a
 hot column lies in as many tasks as it needs.
 
-Column blocks of groups of near copies would give all pairs of the group. Instead a few rounds pair each
-block's rows with one hub row only, verify these pairs and merge what links; afterwards only rows of one block
+Column blocks of groups of near copies would give all pairs of the group. Instead rounds pair each block's rows
+with one hub row only, verify these pairs and merge what links, as long as that halves the pairs that are left (eight
+rounds at most); afterwards only rows of one block
 that still belong to different components are multiplied, all of them. No link between components is lost.
 Every product is a join of two shuffled sides, which Spark splits if a column is hot.
 
@@ -38,7 +39,7 @@ from .common import WordIds, columns_of, components, dropped, gram_hashes, piece
 
 GRAM, PERCENT, COMMON = 4, 85, 2
 SKETCH_BITS, BLOCK = 20, 1024
-ROUNDS, SLACK = 1, 3
+ROUNDS, SLACK = 8, 3
 
 
 def shingle_set(ids: np.ndarray, gram: int) -> np.ndarray:
@@ -211,7 +212,8 @@ def _shingle_sets(known: DataFrame, digests: DataFrame, pairs: DataFrame, gram:
     dropped(ids)
     marked = known.sparkSession.sparkContext.broadcast(out)
     sets = known.select(h.cast("int").alias("slot"), "text").mapInArrow(_sets(marked, gram), "node long, shingles binary")
-    return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    # a table, so that the joins shuffle it directly and Spark can split a hub that very many pairs have
+    return written(sets.groupBy("node").agg(F.first("shingles").alias("shingles")), "sets")
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", gram: int = GRAM, percent: int = PERCENT) -> DataFrame:
@@ -234,7 +236,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     degree = shared.groupBy("node").agg(F.expr(f"-count(*) / (first(n) - ceil({percent} * first(n) / 100) + {COMMON})").alias("pri"))
     blocks = written(shared.join(degree, "node").select("token", "node", "n", "at", "pri"), "blocks")
     dropped(shared)
-    links, labels = None, None
+    links, labels, before = None, None, float("inf")
     for r in range(ROUNDS + 1):
         now = blocks.withColumn("label", F.col("node"))
         if labels is not None:
@@ -254,7 +256,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if not total["m"]:
             dropped(open_lists)
             break
-        last = r == ROUNDS or total["p"] <= SLACK * total["m"]
+        last = r == ROUNDS or total["p"] <= SLACK * total["m"] or total["p"] > before / 2
+        before = total["p"]
         if last:
             rows = now.join(open_lists.select("token"), "token").select("token", "node", "n", "label", "at")
             other = rows.where(short).select("token", F.col("node").alias("v"), F.col("n").alias("o"), F.col("label").alias("other"), F.col("at").alias("place"))
@@ -274,8 +277,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         rest = f"c + least(n - 1 - x, o - 1 - y) >= {least}" if last else "true"
         counted = counted.where(f"c >= least({COMMON}, {least}) and {rest}").select("u", "v")
         counted = written(counted, "pairs")
-        found = written(_verified(counted, _shingle_sets(known, digests, counted, gram), percent), "links")
-        for x in (open_lists, counted):
+        sets = _shingle_sets(known, digests, counted, gram)
+        found = written(_verified(counted, sets, percent), "links")
+        for x in (open_lists, counted, sets):
             dropped(x)
         links = found if links is None else links.unionByName(found)
         labels = components(links)

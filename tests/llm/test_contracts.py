@@ -6,6 +6,7 @@ import glob
 import os
 import random
 import re
+import zlib
 
 import duckdb
 import numpy as np
@@ -307,6 +308,100 @@ def test_toxicity_on_held_out(spark):
     assert out.join(labels, "doc_id").where("predicted = 1 and toxic = 0").count() <= 2
 
 
+def test_letters():
+    assert language.words_of("½ ² ① Ⅷ") == [] and language.words_of("x² ½y Äb 3c _d日本") == ["x", "y", "äb", "c", "d日本"]
+
+
+def test_texts_without_a_letter(spark):
+    rows = [(i, "the cat and the dog" if i % 2 else "der hund und die katze", "en" if i % 2 else "de", "s") for i in range(1, 60)]
+    rows += [(100, "½ ² ① Ⅷ", "en", "s"), (101, "12 34 !", "en", "s"), (102, "die katze ½", None, "s")]
+    got = {r["doc_id"]: r["lang_pred"] for r in language.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert (got[100], got[101], got[102]) == ("und", "und", "de")
+
+
+def naive_language(model, text):
+    """The backoff word by word, from the fitted tables."""
+    words = re.findall(r"[^\W\d_]+", text.lower()) if text else []
+    if not words:
+        return "und", 0.0
+    total = np.array(model.prior, float)
+    for w in words:
+        if w in model.words.at:
+            total += model.words.rows[model.words.at[w]]
+            continue
+        for n in (5, 4, 3, 2, 1):
+            p = f"<{w}>"
+            known = [model.grams[n].rows[model.grams[n].at[p[i : i + n]]] for i in range(len(p) - n + 1) if p[i : i + n] in model.grams[n].at]
+            if known:
+                total += np.sum(known, 0, dtype=float) / n
+                break
+    p = np.exp(total - total.max())
+    return model.langs[int(np.argmax(p))], float(p.max() / p.sum())
+
+
+def test_language_equals_plain_backoff(spark):
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    model = language.fit(docs, rows=60)  # few rows, so that many words are unknown
+    got = {r["doc_id"]: r for r in language.identify(docs, rows=60).collect()}
+    texts = docs.collect()
+    assert sum(w not in model.words.at for r in texts for w in language.words_of(r["text"])) > 500
+    for r in texts:
+        want = naive_language(model, r["text"])
+        assert got[r["doc_id"]]["lang_pred"] == want[0] and got[r["doc_id"]]["score"] == pytest.approx(want[1], abs=1e-4)
+        assert got[r["doc_id"]]["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 3 == 1)
+
+
+def naive_toxicity(model, text):
+    """Whole words by a plain search for each entry, exceptions taken out."""
+    s = toxicity.folded((text or "").encode())
+    def found(entry):
+        return [m.start() for m in re.finditer(f"(?={re.escape(entry)})", s) if not (m.start() and s[m.start() - 1].isalpha()) and not (m.start() + len(entry) < len(s) and s[m.start() + len(entry)].isalpha())]
+
+    free = [(a, a + len(e)) for e in model["exceptions"] for a in found(e)]
+    total = sum(x for w, x in model["weights"].items() for a in found(w) if not any(b <= a and a + len(w) <= c for b, c in free))
+    n = max(len(s.split()), 1)
+    z = model["beta"] @ np.array([1.0, np.log1p(100 * total / n), np.log1p(total)])
+    return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+
+
+def test_toxicity_equals_plain_search(spark):
+    docs, labels = (spark.read.parquet(f"{MORE}/{t}.parquet") for t in ("documents", "labels"))
+    model = toxicity.fit(docs, labels, exceptions=("is the", "of the"))
+    assert model["weights"]
+    got = {r["doc_id"]: r for r in toxicity.score(docs, model).collect()}
+    for r in docs.collect():
+        assert got[r["doc_id"]]["score"] == pytest.approx(naive_toxicity(model, r["text"]), abs=1e-9)
+    assert {r["doc_id"]: r["score"] for r in toxicity.toxicity(docs, labels, exceptions=("is the", "of the")).collect()} == {i: r["score"] for i, r in got.items()}
+
+
+def test_exceptions_that_overlap():
+    auto = toxicity.automaton({"bad": 1.0, "dog": 1.0}, {"bad dog", "not bad", "a bad dog day"})
+    left = lambda s: [h[2] for h in toxicity.hits(auto, s)]
+    assert left("bad dog bad") == ["bad"] and left("not bad dog") == [] and left("a bad dog day dog") == ["dog"] and left("dog bad not bad") == ["dog", "bad"]
+
+
+def naive_quality(model, text):
+    """One passage after the other: encoder, gates, attention, score."""
+    p, rows = model.p, quality.passages((text or "").encode(), common.WordIds())
+    hs, es = [], []
+    for x in rows:
+        h = np.tanh((x - model.mean) / model.std @ p["W"] + p["b"])
+        hs.append(h)
+        es.append(float(np.tanh(h @ p["V"]) * (1 / (1 + np.exp(-(h @ p["U"])))) @ p["w"]))
+    a = np.exp(np.array(es) - max(es))
+    return float(1 / (1 + np.exp(-np.clip((a / a.sum()) @ np.array(hs) @ p["c"] + p["d"][0], -30, 30))))
+
+
+def test_quality_equals_plain_attention(spark):
+    docs, labels = (spark.read.parquet(f"{SMALL}/{t}.parquet") for t in ("documents", "labels"))
+    model = quality.fit(docs, labels)
+    got = {r["doc_id"]: r for r in quality.quality(docs, labels).collect()}
+    for r in docs.collect():
+        mine, want = got[r["doc_id"]], naive_quality(model, r["text"])
+        assert mine["score"] == pytest.approx(want, abs=1e-6) and mine["predicted"] == int(mine["score"] >= 0.7)
+        assert mine["n_passages"] == max(1, -(-len((r["text"] or "").encode().split()) // quality.PASSAGE))
+
+
 def test_toxicity_folds_and_excepts():
     auto = toxicity.automaton({"idiot": 3.0, "trash": 2.0}, {"trash can"})
     found = lambda s: [h[2] for h in toxicity.hits(auto, toxicity.folded(s.encode()))]
@@ -451,6 +546,28 @@ def test_six_shingles_link_with_seven(spark):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got.collect()} == want
 
 
+def test_a_passage_in_very_many_texts(spark):
+    """Texts that share a long passage, in short ones nearly all they have; groups of near copies among them."""
+    r = random.Random(9)
+    word = lambda: f"w{r.randrange(99999)}"
+    passage = [word() for _ in range(60)]
+    texts = [(i, " ".join([word() for _ in range(r.randrange(3, 25))] + passage + [word() for _ in range(r.randrange(0, 25))])) for i in range(250)]
+    for i in range(250, 330):
+        own = passage + [word() for _ in range(r.randrange(0, 9))]
+        texts.append((i, " ".join(own)))
+    got = ngram_join.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string").repartition(8))
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got.collect()} == links_of(texts)
+
+
+def test_components_of_a_long_path(spark):
+    n = 700
+    order = list(range(n))
+    random.Random(2).shuffle(order)
+    edges = spark.createDataFrame(list(zip(order, order[1:], strict=False)) + [(5000, 5001), (5001, 5000), (6000, 6000)], "u long, v long")
+    got = {x["node"]: x["root"] for x in common.components(edges).collect()}
+    assert got == dict.fromkeys(range(n), 0) | {5000: 5000, 5001: 5000}
+
+
 LONG = "lorem ipsum dolor sit amet " * 20_000
 ROWS = [(1, "The same text", "en", "s"), (1, "The same text", "en", "s"), (2, "tHE SAME TEXT", None, None), (3, None, "en", None), (4, "", "de", "s"), (None, "no id at all here", "de", "t"), (5, " \n\t ", "en", "t"), (6, LONG, "en", "t"), (7, "1234 5678", None, "t")]
 CLASH = ["n", "key", "node", "word", "h", "size", "n_words", "label", "score", "position", "token", "h_", "lo", "hi", "y", "target"]
@@ -528,6 +645,18 @@ def test_mix_targets(spark):
     assert all(target[s] <= 2 * sizes[s] + 1e-6 and abs(taken[s] - target[s]) <= 8 for s in sizes)
 
 
+def test_mix_of_rows_alike(spark):
+    """A third of the rows share one id, others have none: each row is placed for itself."""
+    rows = [(7, "a b c", None, "s")] * 300 + [(None, "w " * (1 + i % 5), None, "s") for i in range(300)] + [(i, "x y", None, "t") for i in range(100, 400)]
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()
+    assert len(got) == 900 and all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in got)
+    for size, keys in ((300 * 3 + 60 * 15, (7, None)), (600, None)):
+        own = [r for r in got if (r["doc_id"] in (7, None)) == (keys is not None)]
+        assert {r["source_size"] for r in own} == {size} and abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 5
+    middles = [p for r in got for p in (r["position"], r["position_2"]) if p is not None and r["doc_id"] == 7]
+    assert len(set(middles)) == len(middles)
+
+
 def test_directory_doubles(spark):
     keys = spark.range(3000).select(F.xxhash64("id").alias("key"))
     slots, depth = exact_dedup.directory(keys, capacity=100)
