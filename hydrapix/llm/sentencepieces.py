@@ -187,20 +187,20 @@ def lattices(units: DataFrame, table: Pieces) -> DataFrame:
     spans = starts.withColumn("l", F.expr(f"explode(sequence(1, if(i > body, 1, least({table.longest}, len - i + 1))))"))
     spans = spans.withColumn("piece", F.expr("substring(text, i, l)"))
     edges = spans.join(known, "piece", "left").where("pid is not null or l = 1")
+    # ids travel as text, which grows at less cost than an array
     edge = F.expr(
-        "struct(cast(i + l - 1 as int) as e, cast(l as int) as l, coalesce(pid, -1 - ascii(piece)) as pid, "
+        "struct(cast(i + l - 1 as int) as e, cast(l as int) as l, concat(cast(coalesce(pid, -1 - ascii(piece)) as string), ',') as id, "
         f"if(i > body, -1e18D, coalesce(score, double({table.unknown_score!r}))) as s)"
     )
-    lattice = edges.groupBy("text", "body").agg(F.max("n").alias("n"), F.array_sort(F.collect_list(edge)).alias("es"))
-    keep = table.longest
-    fold = f"""aggregate(es, named_struct('e', 0, 'w', array(named_struct('s', 0D, 't', cast(array() as array<int>)))),
-      (a, x) -> named_struct('e', x.e, 'w',
-        if(x.e > a.e,
-           concat(array(named_struct('s', a.w[x.l - 1].s + x.s, 't', concat(a.w[x.l - 1].t, array(x.pid)))), slice(a.w, 1, {keep})),
-           if(a.w[x.l].s + x.s > a.w[0].s,
-              concat(array(named_struct('s', a.w[x.l].s + x.s, 't', concat(a.w[x.l].t, array(x.pid)))), slice(a.w, 2, {keep})),
-              a.w))),
-      a -> reverse(slice(a.w, 1, length(text) - body + 1)))"""
+    lattice = edges.groupBy("text", "body").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("es"))
+    # w holds the best way to each place so far, the last place first
+    fold = """aggregate(es, named_struct('e', 0, 'w', array(named_struct('s', 0D, 't', ''))),
+      (a, x) -> if(x.e > a.e,
+        named_struct('e', x.e, 'w', array_prepend(a.w, named_struct('s', a.w[x.l - 1].s + x.s, 't', concat(a.w[x.l - 1].t, x.id)))),
+        if(a.w[x.l].s + x.s > a.w[0].s,
+          named_struct('e', a.e, 'w', concat(array(named_struct('s', a.w[x.l].s + x.s, 't', concat(a.w[x.l].t, x.id))), slice(a.w, 2, size(a.w)))),
+          a)),
+      a -> transform(reverse(slice(a.w, 1, length(text) - body + 1)), y -> named_struct('s', y.s, 't', transform(split(substring(y.t, 1, length(y.t) - 1), ','), p -> cast(p as int)))))"""
     return lattice.select("text", "body", "n", F.expr(fold).alias("exits"))
 
 
@@ -219,8 +219,8 @@ def chunks(words: DataFrame, longest: int) -> DataFrame:
 def chained(words: DataFrame, parts: DataFrame, ways: DataFrame) -> DataFrame:
     """Long words (id, word, n), their chunks and these chunks' lattices to (word, n, ids)."""
     scores = parts.join(ways.select("text", "body", F.expr("transform(exits, x -> x.s)").alias("s")), ["text", "body"])
-    rows = scores.groupBy("id", "k").agg(F.expr("transform(array_sort(collect_list(struct(i, s))), x -> x.s)").alias("m"))
-    rows = rows.groupBy("id").agg(F.expr("transform(array_sort(collect_list(struct(k, m))), x -> x.m)").alias("ms"))
+    rows = scores.groupBy("id", "k").agg(F.expr("transform(sort_array(collect_list(struct(i, s))), x -> x.s)").alias("m"))
+    rows = rows.groupBy("id").agg(F.expr("transform(sort_array(collect_list(struct(k, m))), x -> x.m)").alias("ms"))
     via = """aggregate(ms, array(named_struct('s', 0D, 'via', cast(array() as array<int>))),
       (a, m) -> transform(
         transform(sequence(0, size(m[0]) - 1), j -> array_max(transform(sequence(0, size(m) - 1), i -> named_struct('s', a[i].s + m[i][j], 'o', -i)))),
@@ -229,7 +229,7 @@ def chained(words: DataFrame, parts: DataFrame, ways: DataFrame) -> DataFrame:
     via = rows.select("id", F.expr(via).alias("via"))
     steps = via.select("id", F.expr("posexplode(transform(via, (x, k) -> struct(x as i, coalesce(get(via, k + 1), 0) as j)))").alias("k", "step"))
     steps = steps.select("id", "k", "step.i", "step.j").join(parts, ["id", "k", "i"]).join(ways.select("text", "body", "exits"), ["text", "body"])
-    ids = steps.groupBy("id").agg(F.expr("flatten(transform(array_sort(collect_list(struct(k, exits[j].t as t))), x -> x.t))").alias("ids"))
+    ids = steps.groupBy("id").agg(F.expr("flatten(transform(sort_array(collect_list(struct(k, exits[j].t as t))), x -> x.t))").alias("ids"))
     return words.join(ids, "id").select("word", "n", "ids")
 
 
