@@ -286,11 +286,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if last:
             break
     dropped(blocks)
-    out = digests.withColumn("own", F.when(F.col("n") > 0, F.col("node")))
+    # classes by node, by way of tables, so that the joins shuffle both sides directly and Spark can split a class or a node
+    # that very many rows have
+    nodes = digests.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))
     if labels is not None:
-        out = out.join(labels.select(F.col("node").alias("own"), "root"), "own", "left").withColumn("own", F.coalesce("root", "own"))
-    least = out.where("own is not null").groupBy("own").agg(F.min("doc_id").alias("first_id"))
-    out = out.join(least, "own", "left")
+        rooted = written(nodes.join(labels, "node", "left").withColumn("root", F.coalesce("root", "node")), "rooted")
+        least = written(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "least")
+        nodes = rooted.join(least, "root").select("node", F.col("component_id").alias("first_id"))
+    classes = written(nodes.withColumnRenamed("node", "own"), "classes")
+    if labels is not None:
+        for x in (rooted, least):
+            dropped(x)
+    out = digests.withColumn("own", F.when(F.col("n") > 0, F.col("node"))).join(classes, "own", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
