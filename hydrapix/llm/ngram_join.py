@@ -202,7 +202,8 @@ def _shingle_sets(known: DataFrame, digests: DataFrame, pairs: DataFrame, gram:
     others' texts are never shuffled; it has 16 bits for each of them, 2^28 at most (32 MB; marks that coincide only
     cost time, the joins with the pairs drop what is not wanted)."""
     nodes = pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct()
-    ids = written(digests.join(nodes, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id")), "wanted")
+    # one row for each node first (copies combine before the shuffle), then the wanted ones
+    ids = written(digests.groupBy("node").agg(F.min("doc_id").alias("doc_id")).join(nodes, "node", "left_semi"), "wanted")
     bits = min(28, max(18, (16 * ids.count()).bit_length()))
     h = F.pmod(F.xxhash64("doc_id"), F.lit(1 << bits))
     marks = ids.select(F.shiftright(h, 15).alias("k"), (h % (1 << 15)).cast("long").alias("bit"))
