@@ -911,3 +911,8 @@ def scene_files(spark, d):
 def scene_attributes(spark, d):
     a = S.product_attributes()
     return _scenes(spark).select("name", *[a[k].alias(k) for k in ("local_id", "platform", "product_version")])
+
+
+# earlier names of queries over the whole table
+for _name in ("up_bilinear", "up_bilinear_refl", "up_bilinear_azimuth", "edge_tiles"):
+    QUERIES[f"{_name}_all"], ORACLE_SQL[f"{_name}_all"] = QUERIES[_name], ORACLE_SQL[_name]
