@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, language, mixing, ngram_join, pii, pivot_index, quality, secret_scan, sentencepieces, spelling, suffix_dedup, toxicity
+from . import collocations, exact_dedup, language, mixing, ngram_join, pii, pivot_index, quality, secret_scan, sentencepieces, spelling, suffix_dedup, toxicity
 
 
 def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,8 +59,12 @@ def op12_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secrets(_documents(spark, sf_dir))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_sentencepiece, op2_ngram_join, op3_quality, op4_exact_dedup, op5_mixing, op6_pii, op7_language, op8_toxicity, op9_embedding_near_dedup, op10_suffix_dedup, op11_spelling_variants, op12_secret_scan)
+    for f in (op1_sentencepiece, op2_ngram_join, op3_quality, op4_exact_dedup, op5_mixing, op6_pii, op7_language, op8_toxicity, op9_embedding_near_dedup, op10_suffix_dedup, op11_spelling_variants, op12_secret_scan, op13_collocations)
 }
-ORACLE_SQL = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL, "op9_embedding_near_dedup": pivot_index.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL}
+ORACLE_SQL = {"op2_ngram_join": ngram_join.ORACLE_SQL, "op4_exact_dedup": exact_dedup.ORACLE_SQL, "op5_mixing": mixing.ORACLE_SQL, "op9_embedding_near_dedup": pivot_index.ORACLE_SQL, "op11_spelling_variants": spelling.ORACLE_SQL, "op13_collocations": collocations.ORACLE_SQL}

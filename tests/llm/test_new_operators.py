@@ -11,7 +11,7 @@ from collections import Counter
 
 import pytest
 
-from hydrapix.llm import common, queries, secret_scan, spelling
+from hydrapix.llm import collocations, common, queries, secret_scan, spelling
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -170,4 +170,70 @@ def test_no_versions(spark):
 
 
 def test_registered():
-    assert {"op11_spelling_variants", "op12_secret_scan"} <= set(queries.QUERIES)
+    assert {"op11_spelling_variants", "op12_secret_scan", "op13_collocations"} <= set(queries.QUERIES)
+
+
+# --- collocations
+
+
+def brute_collocations(rows, top, least):
+    f, n = {}, Counter()
+    for _, text, lang, *_ in rows:
+        own = f.setdefault(lang or "und", Counter())
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", folded(text or "")):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang or "und"] += len(w)
+            own.update(tuple(w[i : i + k]) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    out = []
+    for lang, own in f.items():
+        candidates = {p: a for p, a in own.items() if len(p) > 1 and a >= least}
+        inside = Counter()
+        for p, a in candidates.items():
+            if len(p) == 3:
+                for q in (p[:2], p[1:]):
+                    inside[q] = max(inside[q], a)
+        scored = []
+        for p, a in candidates.items():
+            if 100 * inside[p] >= 50 * a:
+                continue
+            score, _, le, r = min((1_000_000 * a * a // (own[p[:k]] * own[p[k:]]), k, own[p[:k]], own[p[k:]]) for k in range(1, len(p)))
+            scored.append((-score, -a, " ".join(p).encode(), le, r))
+        for rank, (s, a, p, le, r) in enumerate(sorted(scored)[:top], 1):
+            out.append((lang, rank, p.decode(), -a, le, r, n[lang], -s))
+    return sorted(out)
+
+
+PHRASES = [
+    (60_000, "A a a a A\ta a. a a! \x1cx y\x1c \x85é É ß ß ß ß ß ß ß ß ß ß ß ß" * 3, None), (60_001, "new york city hall. " * 25 + "new  york\ttimes\n" * 20, "en"),
+    (None, "of the of the of the. " * 400, "en"), (60_002, "", "xx"), (60_003, None, "yy"), (60_004, "rare " * 9, "zz"), (60_005, "one two three, " * 12, "und"),
+    *[(60_010 + i % 3, "copied words that stand together in each of the copies of one text", "de") for i in range(30)], (60_020, "w" * 300_000 + " x " + "yy zz " * 30, "fr"),
+]
+
+
+@pytest.mark.parametrize(("top", "least", "options"), [(2000, 10, {}), (5, 10, {"trial": 1}), (20, 2, {"trial": 1, "most": 50}), (3, 3, {"room": 200, "trial": 1})])
+def test_collocations_equal_brute_force(spark, top, least, options):
+    rows, df = documents(spark, PHRASES)
+    if "most" in options or "room" in options:
+        rows = rows[-len(PHRASES) - 20 :]
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string, word string")
+    got = collocations.collocations(df.repartition(5), top, least, **options).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()
+    assert sorted(map(tuple, got)) == brute_collocations(rows, top, least)
+
+
+def test_phrases_whose_cells_coincide(spark):
+    """With a few cells every phrase is a candidate; matches decide."""
+    rows, _ = documents(spark, PHRASES)
+    rows = rows[-len(PHRASES) - 20 :]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, word string")
+    got = collocations.collocations(df, 50, 10, bits=8).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()
+    assert sorted(map(tuple, got)) == brute_collocations(rows, 50, 10)
+
+
+def test_products_beyond_64_bits(spark):
+    df = spark.createDataFrame([(10**13, 3 * 10**13, 10**13 + 1)], "a long, l long, r long")
+    assert df.select(collocations._score("a", "l", "r")).first()[0] == 10**6 * 10**26 // (3 * 10**13 * (10**13 + 1))
+
+
+def test_no_phrases(spark):
+    assert collocations.collocations(spark.createDataFrame([], "doc_id long, text string, lang string")).count() == 0
+    assert collocations.collocations(spark.createDataFrame([(1, None, None), (2, ".,;", "en"), (3, "one two", "en")], "doc_id long, text string, lang string")).count() == 0
