@@ -153,9 +153,9 @@ def _phrases(two, three, bits: int):
                     at = np.flatnonzero(inside & _has(marks, cells))
                     for c, i in zip(cells[at].tolist(), at.tolist(), strict=True):
                         # a cell may hold several phrases
-                        if (key := (c, phrase := b" ".join(words[i : i + k]))) not in before:
+                        if (key := (lang, phrase := b" ".join(words[i : i + k]))) not in before:
                             before.add(key)
-                            out[len(out)] = (c, lang, phrase)
+                            out[len(out)] = (2 * c + k - 2, lang, phrase)
             if len(before) > WORDS_HELD:
                 before.clear()
             if out:
@@ -238,7 +238,8 @@ def collocations(docs: DataFrame, top: int = 2000, least: int = 10, trial: int =
     marks = spark.sparkContext.broadcast(_bitmap(two))
     three = frequent(3, marks)
     found = texts.mapInArrow(_phrases(marks, spark.sparkContext.broadcast(_bitmap(three)), bits), "cell long, lang string, phrase binary").distinct()
-    found = _parts(found.join(two.unionByName(three), "cell"))
+    cells = two.withColumn("cell", 2 * F.col("cell")).unionByName(three.withColumn("cell", 2 * F.col("cell") + 1))  # pairs, triples
+    found = _parts(found.join(cells, "cell"))
     last = F.coalesce("w3", "w2")
     ends = [words.where(F.col("n") >= least).select("lang", F.col("word").alias(k), F.col("n").alias(f"n_{k}")) for k in ("w1", "last")]
     found = found.withColumn("last", last).join(ends[0], ["lang", "w1"]).join(ends[1], ["lang", "last"])
