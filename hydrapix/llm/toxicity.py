@@ -188,7 +188,8 @@ def clean(docs: DataFrame, model: dict, threshold: float = 0.7) -> DataFrame:
             keep = scored(texts, auto, m["beta"])[0] < threshold
             yield batch.filter(pa.array(keep, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    plain = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])  # mapInArrow reads no names with dots
+    return plain.mapInArrow(run, plain.schema).toDF(*docs.columns)
 
 
 def score(docs: DataFrame, model: dict) -> DataFrame:

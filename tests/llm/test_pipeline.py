@@ -50,12 +50,41 @@ def test_repeated_rows_and_null_ids(spark):
     rows = [(1, "same row here now", "en", "a", 1)] * 2 + [(None, "no id but a text", "en", "a", 1), (2, None, "en", "b", 0), (3, "other words in this one", "en", "a", 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     stages = dict(corpus_pipeline.STAGES)
-    for name in ("exact_dedup", "ngram_jaccard_join"):
-        assert Counter(r["doc_id"] for r in stages[name](spark, docs, SF).collect()) == {1: 2, None: 1, 2: 1, 3: 1}
+    assert Counter(r["doc_id"] for r in stages["exact_dedup"](spark, docs, SF).collect()) == {1: 1, None: 1, 2: 1, 3: 1}
+    assert Counter(r["doc_id"] for r in stages["ngram_jaccard_join"](spark, docs, SF).collect()) == {1: 2, None: 1, 2: 1, 3: 1}
     times = Counter(r["doc_id"] for r in stages["mix_sources"](spark, docs, SF).collect())
     assert 2 not in times and times[1] <= 4 and max(times[None], times[3]) <= 2
 
 
+KIND = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def test_one_row_of_equal_texts(spark):
+    """Rows without an id or with one that repeats; a kept row keeps no other row of its id."""
+    rows = [(None, "one text here"), (None, "another text"), (2, "one TEXT here"), (2, "same id"), (2, "one text here"), (None, "another text"), (5, None), (4, "")]
+    docs = spark.createDataFrame([(*r, "en", "a", 1) for r in rows], KIND)
+    got = dict(corpus_pipeline.STAGES)["exact_dedup"](spark, docs, SF).collect()
+    assert sorted((str(r["doc_id"]), (r["text"] or "").lower()) for r in got) == [("2", "one text here"), ("2", "same id"), ("5", ""), ("None", "another text")]
+
+
+def test_columns_of_any_name_and_long_texts(spark):
+    names = ["_id", "_times", "_copy", "kept_id", "times", "copy", "no_id", "digest", "taken", "size", "position", "key", "norm", "node", "a.b", "y"]
+    rows = [(1, "word " * 60_000, "en", "a", 1), (2, "word " * 60_000, "en", "b", 1), (3, "other words in this one", "en", "b", 1), (4, None, "en", None, 1)]
+    docs = spark.createDataFrame([(*r, *range(len(names))) for r in rows], KIND + "".join(f", `{n}` int" for n in names))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        got = stage(spark, docs, SF)
+        assert got.columns == docs.columns
+        assert {tuple(r)[5:] for r in got.collect()} == {tuple(range(len(names)))}, name
+    assert {r["doc_id"] for r in dict(corpus_pipeline.STAGES)["exact_dedup"](spark, docs, SF).collect()} == {2, 3, 4}
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).where("round_trip").count() == 4
+
+
+def test_empty_documents(spark):
+    docs = spark.createDataFrame([], KIND)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, SF).count() == 0
+
+
 def shingles(text, n):
     w = text.lower().split()
     return {tuple(w[k : k + n]) for k in range(max(1, len(w) - n + 1))}
