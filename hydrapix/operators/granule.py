@@ -3,7 +3,7 @@
 Images are tables by resolution, images[res] with y, x and for each band of that resolution its number (B2), detector
 (det_B2) and packed quality flags (q_B2); the 60 m table also has the cloud and ice flags (cloud_ice). All bands of
 a finer resolution are aggregated in one shuffle, those of a coarser one are replicated or interpolated; the tables
-meet on (y, x).
+meet on (y, x), or on (granule, y, x) where they hold several granules in one column granule.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ RESOLUTIONS = {"B1": 60, "B2": 10, "B3": 10, "B4": 10, "B5": 20, "B6": 20, "B7":
 #: Quality flags of a band by bit, cloud and ice flags by bit (fixed values).
 QUALITY = ["ancillary_lost", "ancillary_degraded", "msi_lost", "msi_degraded", "defective", "nodata", "partially_corrected_crosstalk", "saturated_l1a"]
 CLOUD_ICE = ["opaque_clouds", "cirrus_clouds", "snow_and_ice_areas"]
-BLOCK = ["y", "x"]
 
 
 def _named(df: DataFrame, prefix: str) -> list[str]:
@@ -30,9 +29,10 @@ def _named(df: DataFrame, prefix: str) -> list[str]:
 def _finer(df: DataFrame, f: int, downsampling: str, flags: str, target: DataFrame | None) -> DataFrame:
     """All layers of an image finer by f, in one shuffle on the block. With a target (y, x, tgt) detector means count its
     detector's pixels, and seen_<band> says whether a band has some."""
+    key = resample.place(df)
     rows = df.withColumns({"_y": F.col("y") % f, "_x": F.col("x") % f, "y": F.expr(f"cast(y div {f} as int)"), "x": F.expr(f"cast(x div {f} as int)")})
     if target is not None:
-        rows = rows.join(target, BLOCK)
+        rows = rows.join(target, key)
     mid = (F.col("_y") == (f - 1) // 2) & (F.col("_x") == (f - 1) // 2)
 
     def number(band: str) -> Column:
@@ -58,7 +58,7 @@ def _finer(df: DataFrame, f: int, downsampling: str, flags: str, target: DataFra
     out += [F.expr(f"cast(bround(avg(det_{b})) as int)").alias(f"det_{b}") for b in _named(df, "det_")]
     if target is not None:
         out += [F.max((F.col(f"det_{b}") == F.col("tgt")).cast("int")).alias(f"seen_{b}") for b in _named(df, "det_")]
-    return rows.groupBy(*BLOCK).agg(*out)
+    return rows.groupBy(*key).agg(*out)
 
 
 def _coarser(df: DataFrame, f: int, upsampling: str, rows: int, cols: int) -> DataFrame:
@@ -71,30 +71,32 @@ def _coarser(df: DataFrame, f: int, upsampling: str, rows: int, cols: int) -> Da
     if upsampling != "bilinear":
         raise NotImplementedError(f"{upsampling}: choose nearest or bilinear")
     bands = _named(df, "")
-    for b in bands:
-        better = resample.upsample_bilinear(df.select("y", "x", b), f, b, rows, cols, reflectance=True)
-        out = out.drop(b).join(better.withColumn(b, F.col(b).cast("int")), BLOCK)
-    return out
+    if not bands:
+        return out
+    key = resample.place(df)
+    better = resample.upsample_bilinear(df.select(*key, *bands), f, bands, rows, cols, reflectance=True)
+    return out.drop(*bands).join(better.withColumns({b: F.col(b).cast("int") for b in bands}), key)
 
 
 def resample_granule(
     images: dict[int, DataFrame], resolution: int, shape: tuple[int, int], downsampling: str = "mean", flagdownsampling: str = "first", upsampling: str = "nearest", detector_filter: bool = True
 ) -> DataFrame:
-    """(y, x, bands, flags, cloud_ice, detectors) at the resolution; shape is that of the 60 m image. With the detector
+    """(granule, y, x, bands, flags, cloud_ice, detectors) at the resolution, the first if the images have it; shape is that of the 60 m image. With the detector
     filter one column master_detfoo stands for all detectors: that of the first band at home in the resolution
     where each other band has it too, else 0. Without it each band has its own det_<band>."""
     native = images[resolution]
     master = next((b for b in RESOLUTIONS if RESOLUTIONS[b] == resolution and f"det_{b}" in native.columns), None)
     if detector_filter and master is None:
         raise ValueError(f"no band at {resolution} m has detectors")
-    target = native.select("y", "x", F.col(f"det_{master}").alias("tgt")) if detector_filter else None
+    key = resample.place(native)
+    target = native.select(*key, F.col(f"det_{master}").alias("tgt")) if detector_filter else None
     parts = [native]
     for res, df in sorted(images.items()):
         if res < resolution:
             parts.append(_finer(df, resolution // res, downsampling, flagdownsampling, target))
         elif res > resolution:
             parts.append(_coarser(df, res // resolution, upsampling, shape[0] * 60 // res, shape[1] * 60 // res))
-    out = reduce(lambda a, b: a.join(b, BLOCK), [p.withColumns({k: F.col(k).cast("int") for k in BLOCK}) for p in parts])
+    out = reduce(lambda a, b: a.join(b, key), [p.withColumns({k: F.col(k).cast("int") for k in ("y", "x")}) for p in parts])
     if not detector_filter:
         return out
     agree = F.lit(True)
@@ -107,32 +109,39 @@ def resample_granule(
     return out.drop(*[c for c in out.columns if c.startswith(("det_", "seen_"))])
 
 
-def viewing_angles(pixels: DataFrame, grids: dict[str, DataFrame], resolution: int, detector: str | None = "master_detfoo", tp_res: int = 5000) -> DataFrame:
-    """Adds view_zenith_<band> and view_azimuth_<band> of each band's grid (det, r, c, vz, va), extended by a plane, and
-    view_zenith_mean and view_azimuth_mean. The detector is that of the column, or of each band's own det_<band>.
-    Grids are small (12 detectors, 23 x 23) and broadcast: pixels are not shuffled."""
-    at = lambda k: f"(cast({k} as long) * {resolution} + {resolution // 2})"
+#: Places of a band's detectors in an array of cells.
+DETECTORS = 16
+
+
+def viewing_angles(pixels: DataFrame, grids: DataFrame | dict[str, DataFrame], resolution: int, detector: str | None = "master_detfoo", tp_res: int = 5000, bands: list[str] | None = None) -> DataFrame:
+    """Adds view_zenith_<band> and view_azimuth_<band> of each band's grid (band, det, r, c, vz, va), extended by a plane,
+    and view_zenith_mean and view_azimuth_mean. The detector is that of the column, or of each band's own det_<band>.
+    All bands' cells at one place are one array, so there is one lookup of it. Grids of one granule are small (13 bands,
+    12 detectors, 23 x 23) and broadcast: pixels are not shuffled. Grids with a column granule are joined by it."""
+    if isinstance(grids, dict):
+        bands = list(grids)
+        grids = reduce(DataFrame.unionByName, [g.select("det", "r", "c", "vz", "va", F.lit(b).alias("band")) for b, g in grids.items()])
+    bands = bands or list(RESOLUTIONS)
+    by = resample.place(grids)[:-2]
+    at = F.expr(f"array_position(array({', '.join(repr(b) for b in bands)}), band)").cast("int") - 1
+    cells = interpolate.angle_cells(grids.where(F.col("band").isin(bands))).withColumn("k", at * DETECTORS + F.col("det").cast("int"))
+    cells = cells.groupBy(*by, F.col("r").alias("_r"), F.col("c").alias("_c")).agg(F.map_from_entries(F.collect_list(F.struct("k", "corners"))).alias("m"))
+    cells = cells.select(*by, "_r", "_c", F.transform(F.sequence(F.lit(0), F.lit(len(bands) * DETECTORS - 1)), lambda k: F.element_at("m", k)).alias("_cells"))
+    side = lambda k: f"(cast({k} as long) * {resolution} + {resolution // 2})"
     out = pixels.withColumns({
-        "_r": F.expr(f"cast({at('y')} div {tp_res} as int)"), "_c": F.expr(f"cast({at('x')} div {tp_res} as int)"),
-        "_wy": F.expr(f"({at('y')} % {tp_res}) / {tp_res}D"), "_wx": F.expr(f"({at('x')} % {tp_res}) / {tp_res}D"),
+        "_r": F.expr(f"cast({side('y')} div {tp_res} as int)"), "_c": F.expr(f"cast({side('x')} div {tp_res} as int)"),
+        "_wy": F.expr(f"({side('y')} % {tp_res}) / {tp_res}D"), "_wx": F.expr(f"({side('x')} % {tp_res}) / {tp_res}D"),
     })
-    for band, grid in grids.items():
-        out = out.join(F.broadcast(_angle_cells(grid)), (out[detector or f"det_{band}"] == F.col("_det")) & (F.col("_r") == F.col("_gr")) & (F.col("_c") == F.col("_gc")), "left")
-        mix = lambda q: (1 - F.col("_wy")) * ((1 - F.col("_wx")) * F.col(f"{q}00") + F.col("_wx") * F.col(f"{q}01")) + F.col("_wy") * ((1 - F.col("_wx")) * F.col(f"{q}10") + F.col("_wx") * F.col(f"{q}11"))
-        out = out.withColumns({f"view_zenith_{band}": mix("z"), f"view_azimuth_{band}": interpolate.around(mix("a"), F.col("_ref"))})
-        out = out.drop("_det", "_gr", "_gc", "_ref", *[f"{q}{i}{j}" for q in "za" for i in (0, 1) for j in (0, 1)])
-    means = {f"view_{k}_mean": interpolate.mean_angle(*[F.col(f"view_{k}_{b}") for b in grids], azimuth=k == "azimuth") for k in ("zenith", "azimuth")}
-    return out.withColumns(means).drop("_r", "_c", "_wy", "_wx")
-
-
-def _angle_cells(grid: DataFrame) -> DataFrame:
-    """Cells of one band's grid with the four corners of zenith (z..) and azimuth (a.., about the detector's first one)."""
-    full = interpolate.fill_by_plane(grid).where("vz is not null and va is not null")
-    ref = full.groupBy("det").agg(F.min_by("va", F.struct("r", "c")).alias("_ref"))
-    full = full.join(ref, "det").withColumn("va", interpolate.about(F.col("va"), F.col("_ref")))
-    named = lambda d, q: d.select("det", "r", "c", *[F.col(f"v{i}{j}").alias(f"{q}{i}{j}") for i in (0, 1) for j in (0, 1)])
-    cells = named(resample.corners(full, "vz", "det"), "z").join(named(resample.corners(full, "va", "det"), "a"), ["det", "r", "c"])
-    return cells.join(ref, "det").withColumnsRenamed({"det": "_det", "r": "_gr", "c": "_gc"})
+    out = out.join(cells if by else F.broadcast(cells), [*by, "_r", "_c"], "left")
+    found = {}
+    for i, band in enumerate(bands):
+        det = F.col(detector or f"det_{band}").cast("int")
+        found[f"_{band}"] = F.when(det.between(0, DETECTORS - 1), F.get("_cells", F.lit(i * DETECTORS) + det))
+    out = out.withColumns(found).drop("_cells")
+    mix = lambda b, q: (1 - F.col("_wy")) * ((1 - F.col("_wx")) * F.col(f"_{b}.{q}00") + F.col("_wx") * F.col(f"_{b}.{q}01")) + F.col("_wy") * ((1 - F.col("_wx")) * F.col(f"_{b}.{q}10") + F.col("_wx") * F.col(f"_{b}.{q}11"))
+    angles = {f"view_zenith_{b}": mix(b, "z") for b in bands} | {f"view_azimuth_{b}": interpolate.around(mix(b, "a"), F.col(f"_{b}.ref")) for b in bands}
+    out = out.withColumns(angles).drop("_r", "_c", "_wy", "_wx", *found)
+    return out.withColumns({f"view_{k}_mean": interpolate.mean_angle(*[F.col(f"view_{k}_{b}") for b in bands], azimuth=k == "azimuth") for k in ("zenith", "azimuth")})
 
 
 def mask_expressions(merge_flags: bool = True, detector_filter: bool = True) -> dict[str, str]:

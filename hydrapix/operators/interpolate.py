@@ -3,19 +3,21 @@ broadcast as cells with four corners, so pixels are never shuffled."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import about, around
-from .resample import corners
+from .resample import CORNERS, corners, place
 
 
 def pixel_grid(spark, rows: int, cols: int) -> DataFrame:
     return spark.range(rows * cols).selectExpr(f"cast(id div {cols} as int) as y", f"cast(id % {cols} as int) as x")
 
 
-def _mixed(wy: Column, wx: Column) -> Column:
-    v = [F.col(n) for n in ("v00", "v01", "v10", "v11")]
+def _mixed(wy: Column, wx: Column, field: str | None = None) -> Column:
+    v = [F.col(f"{n}.{field}" if field else n) for n in CORNERS]
     return (1 - wy) * (1 - wx) * v[0] + (1 - wy) * wx * v[1] + wy * (1 - wx) * v[2] + wy * wx * v[3]
 
 
@@ -28,9 +30,20 @@ def _placed(pixels: DataFrame, res: int, tp_res: int) -> DataFrame:
 
 
 def tie_points(pixels: DataFrame, grid: DataFrame, value: str, res: int = 60, tp_res: int = 5000) -> DataFrame:
-    """(y, x, value): tie points (r, c, value) interpolated to pixel centres."""
-    cells = F.broadcast(corners(grid, value))  # a tie-point grid has 23 x 23 cells at most
-    return _placed(pixels, res, tp_res).join(cells, ["r", "c"]).select("y", "x", _mixed(F.col("wy"), F.col("wx")).alias(value))
+    """(y, x, value): tie points (r, c, value) interpolated to pixel centres; by granule if grid has several."""
+    return with_tie_points(pixels, grid, [value], res, tp_res).select(*place(pixels), value)
+
+
+def with_tie_points(pixels: DataFrame, grid: DataFrame, values: list[str], res: int = 60, tp_res: int = 5000) -> DataFrame:
+    """Adds values of a tie-point grid (r, c, values) to the pixels, all by one lookup. One grid has 23 x 23 cells at most
+    and is broadcast; grids of many granules are joined as Spark sees fit."""
+    by = place(grid)[:-2]
+    cells = grid.select(*by, F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.struct(*values).alias("v"))
+    cells = corners(cells, "v", *by)
+    cells = cells if by else F.broadcast(cells)
+    mixed = lambda v: _mixed(F.col("wy"), F.col("wx"), v)
+    out = _placed(pixels, res, tp_res).join(cells, [*by, "r", "c"])
+    return out.withColumns({v: mixed(v) for v in values}).drop("r", "c", "wy", "wx", "v00", "v01", "v10", "v11")
 
 
 def angles_by_detector(pixels: DataFrame, grid: DataFrame, value: str, res: int = 60, tp_res: int = 5000, azimuth: bool = False) -> DataFrame:
@@ -46,29 +59,75 @@ def angles_by_detector(pixels: DataFrame, grid: DataFrame, value: str, res: int
     return out.select("y", "x", "det", (around(result, F.col("ref")) if azimuth else result).alias(value))
 
 
+def plane_filled(vz: np.ndarray, va: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Zenith and azimuth of one detector (rows x columns, NaN where it has none), extended by one cell around the valid
+    area, from a plane through the distances at unit altitude."""
+    known = np.isfinite(vz) & np.isfinite(va)
+    if not known.any():
+        return np.full(vz.shape, np.nan), np.full(va.shape, np.nan)
+    rows, cols = np.indices(vz.shape)
+    plane = []
+    for turn in (np.cos, np.sin):
+        q = np.where(known, np.tan(np.radians(vz)) * turn(np.radians(va)), np.nan)
+        steps = [np.diff(q, axis=k) for k in (0, 1)]
+        dr, dc = (np.nanmean(d) if np.isfinite(d).any() else 0.0 for d in steps)
+        plane.append(np.nanmean(q - dc * cols - dr * rows) + dc * cols + dr * rows)
+    u, v = plane
+    wide = np.pad(known, 1)
+    near = np.logical_or.reduce([wide[1 + a : wide.shape[0] - 1 + a, 1 + b : wide.shape[1] - 1 + b] for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    return np.where(known, vz, np.where(near, np.degrees(np.arctan(np.hypot(u, v))), np.nan)), np.where(known, va, np.where(near, np.degrees(np.arctan2(v, u)), np.nan))
+
+
+def _gridded(pdf: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    vz, va = (np.full((pdf["r"].max() + 1, pdf["c"].max() + 1), np.nan) for _ in range(2))
+    vz[pdf["r"], pdf["c"]], va[pdf["r"], pdf["c"]] = pdf["vz"].astype(float), pdf["va"].astype(float)
+    return vz, va
+
+
+def _grid_keys(grid: DataFrame) -> list[str]:
+    return [k for k in ("granule", "band", "det") if k in grid.columns]
+
+
 def fill_by_plane(grid: DataFrame) -> DataFrame:
-    """(det, r, c, vz, va): angle grids extended by one cell around the valid area, from a plane through the
-    distances at unit altitude of each detector."""
-    known = grid.where("vz is not null and va is not null")
-    flat = known.select("det", "r", "c", (F.tan(F.radians("vz")) * F.cos(F.radians("va"))).alias("u"), (F.tan(F.radians("vz")) * F.sin(F.radians("va"))).alias("v"))
-    row, col = Window.partitionBy("det", "r").orderBy("c"), Window.partitionBy("det", "c").orderBy("r")
-    step = flat
-    for name, w, axis in (("c", row, "c"), ("r", col, "r")):
-        for q in ("u", "v"):
-            step = step.withColumn(f"d{q}{name}", F.when(F.lead(axis).over(w) == F.col(axis) + 1, F.lead(q).over(w) - F.col(q)))
-    slopes = step.groupBy("det").agg(*[F.coalesce(F.avg(f"d{q}{k}"), F.lit(0.0)).alias(f"d{q}{k}") for q in "uv" for k in "cr"])
-    means = flat.join(slopes, "det").groupBy("det", "duc", "dur", "dvc", "dvr").agg(
-        *[F.avg(F.col(q) - F.col(f"d{q}c") * F.col("c") - F.col(f"d{q}r") * F.col("r")).alias(f"{q}0") for q in "uv"]
-    )
-    around_cell = F.explode(F.array(*[F.struct((F.col("r") + a).alias("r"), (F.col("c") + b).alias("c")) for a in (-1, 0, 1) for b in (-1, 0, 1)]))
-    near = known.select("det", around_cell.alias("o")).select("det", "o.*").distinct().withColumn("near", F.lit(True))
-    out = grid.join(near, ["det", "r", "c"], "left").join(means, "det", "left")
-    u = F.col("duc") * F.col("c") + F.col("dur") * F.col("r") + F.col("u0")
-    v = F.col("dvc") * F.col("c") + F.col("dvr") * F.col("r") + F.col("v0")
-    ok = F.col("vz").isNotNull() & F.col("va").isNotNull()
-    vz = F.when(ok, F.col("vz")).when(F.col("near"), F.degrees(F.atan(F.sqrt(u * u + v * v))))
-    va = F.when(ok, F.col("va")).when(F.col("near"), F.degrees(F.atan2(v, u)))
-    return out.select("det", "r", "c", vz.alias("vz"), va.alias("va"))
+    """(granule, band, det, r, c, vz, va; the first two where grid has them): angle grids extended by one cell around the
+    valid area of each detector. A detector's grid has a fixed size, and all are filled in one shuffle."""
+    keys = _grid_keys(grid)
+    types = dict(grid.dtypes)
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        vz, va = plane_filled(*_gridded(pdf))
+        own = lambda a: pd.array(a[pdf["r"], pdf["c"]], dtype="Float64")
+        out = pdf[[*keys, "r", "c"]].assign(vz=own(vz), va=own(va))
+        return out.assign(**{k: out[k].mask(np.isnan(out[k].to_numpy(float, na_value=np.nan))) for k in ("vz", "va")})
+
+    schema = ", ".join(f"{k} {types[k]}" for k in (*keys, "r", "c")) + ", vz double, va double"
+    return grid.select(*keys, "r", "c", "vz", "va").groupBy(*keys).applyInPandas(run, schema)
+
+
+def angle_cells(grid: DataFrame) -> DataFrame:
+    """(granule, band, det, r, c, corners): cells of the filled grids with all four corners: zenith z00 to z11, azimuth a00
+    to a11 about the detector's first one, and that as ref. One shuffle for all granules, bands and detectors."""
+    keys = _grid_keys(grid)
+    types = dict(grid.dtypes)
+    names = [f"{q}{a}{b}" for q in "za" for a in (0, 1) for b in (0, 1)]
+
+    def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        vz, va = plane_filled(*_gridded(pdf))
+        known = np.isfinite(vz) & np.isfinite(va)
+        ref = va[known][0] if known.any() else np.nan
+        va = (va - ref + 540.0) % 360.0 - 180.0
+        whole = known[:-1, :-1] & known[:-1, 1:] & known[1:, :-1] & known[1:, 1:]
+        r, c = np.nonzero(whole)
+        out = pd.DataFrame({**{k: [v] * len(r) for k, v in zip(keys, key, strict=True)}, "r": r, "c": c})
+        for q, layer in (("z", vz), ("a", va)):
+            for a in (0, 1):
+                for b in (0, 1):
+                    out[f"{q}{a}{b}"] = layer[r + a, c + b]
+        return out.assign(ref=ref)
+
+    schema = ", ".join(f"{k} {types[k]}" for k in keys) + ", r int, c int, " + ", ".join(f"{n} double" for n in (*names, "ref"))
+    cells = grid.select(*keys, "r", "c", "vz", "va").groupBy(*keys).applyInPandas(run, schema)
+    return cells.select(*keys, "r", "c", F.struct(*names, "ref").alias("corners"))
 
 
 def mean_angle(*angles: Column, azimuth: bool = False) -> Column:

@@ -14,6 +14,11 @@ from ..functions.columns import about, around
 AGGREGATES = ("first", "mean", "median", "min", "flagand", "max", "flagor", "majority")
 
 
+def place(df: DataFrame) -> list[str]:
+    """The key of a pixel: its place, and its granule where df has several."""
+    return [*(["granule"] if "granule" in df.columns else []), "y", "x"]
+
+
 def block(f: int) -> list[Column]:
     return [F.expr(f"y div {f}").alias("y"), F.expr(f"x div {f}").alias("x")]
 
@@ -24,7 +29,7 @@ def downsample(df: DataFrame, mode: str, f: int, value: str, reflectance: bool =
     v = F.col(value)
     if mode == "first":
         keep = df.where(f"y % {f} = {(f - 1) // 2} and x % {f} = {(f - 1) // 2}")
-        return keep.select(*block(f), v.alias(value))
+        return keep.select(*place(df)[:-2], *block(f), v.alias(value))
     if reflectance:
         v = F.when(v != 0, v)
     if mode == "mean":
@@ -41,7 +46,7 @@ def downsample(df: DataFrame, mode: str, f: int, value: str, reflectance: bool =
         raise NotImplementedError(f"{mode}: choose one of {', '.join(AGGREGATES)}")
     if reflectance:
         out = F.coalesce(out.cast("int"), F.lit(0))
-    return df.groupBy(*block(f)).agg(out.alias(value))
+    return df.groupBy(*place(df)[:-2], *block(f)).agg(out.alias(value))
 
 
 def downsample_by_detector(df: DataFrame, f: int, value: str, target: DataFrame, detector: str = "det", reflectance: bool = True) -> DataFrame:
@@ -73,7 +78,7 @@ def circular_mean(df: DataFrame, f: int, angle: str, detector: str = "det") -> D
 def upsample_nearest(df: DataFrame, f: int, value: str) -> DataFrame:
     offsets = F.sequence(F.lit(0), F.lit(f - 1))
     out = df.withColumn("dy", F.explode(offsets)).withColumn("dx", F.explode(offsets))
-    return out.select((F.col("y") * f + F.col("dy")).alias("y"), (F.col("x") * f + F.col("dx")).alias("x"), value)
+    return out.select(*place(df)[:-2], (F.col("y") * f + F.col("dy")).alias("y"), (F.col("x") * f + F.col("dx")).alias("x"), value)
 
 
 def corners(df: DataFrame, value: str, *keys: str) -> DataFrame:
@@ -93,37 +98,47 @@ def _with_border(k: str, n: int) -> Column:
     return F.filter(F.array(own, first, last), lambda p: p["at"].isNotNull())
 
 
-def bordered_cells(df: DataFrame, value: str, rows: int, cols: int) -> DataFrame:
-    """Cells (r, c, v00, v01, v10, v11) of an image with a border that goes on linearly. Each pixel sends its share to
-    all cells that it is a corner of, so there is one shuffle."""
-    out = df.select("y", "x", F.col(value).cast("double").alias(value)).withColumn("p", F.explode(_with_border("y", rows))).withColumn("q", F.explode(_with_border("x", cols)))
+CORNERS = ("v00", "v01", "v10", "v11")
+
+
+def bordered_cells(df: DataFrame, values: list[str], rows: int, cols: int) -> DataFrame:
+    """Cells (r, c) with four corners of each value (a struct v00, v01, v10, v11 by its name) of an image with a border
+    that goes on linearly. Each pixel sends its share to all cells that it is a corner of, all values in one shuffle."""
+    by = place(df)[:-2]
+    out = df.select(*by, "y", "x", *[F.col(v).cast("double").alias(v) for v in values]).withColumn("p", F.explode(_with_border("y", rows))).withColumn("q", F.explode(_with_border("x", cols)))
     corner = F.explode(F.array(*[F.struct(F.lit(a).alias("a"), F.lit(b).alias("b")) for a in (0, 1) for b in (0, 1)]))
-    out = out.select((F.col("p.w") * F.col("q.w") * F.col(value)).alias("v"), "p.at", F.col("q.at").alias("to"), corner.alias("k"))
-    out = out.select("v", (F.col("at") - F.col("k.a")).alias("r"), (F.col("to") - F.col("k.b")).alias("c"), (2 * F.col("k.a") + F.col("k.b")).alias("q"))
-    return out.groupBy("r", "c").agg(*[F.sum(F.when(F.col("q") == q, F.col("v"))).alias(n) for q, n in enumerate(("v00", "v01", "v10", "v11"))])
+    out = out.select(*by, *[(F.col("p.w") * F.col("q.w") * F.col(v)).alias(v) for v in values], "p.at", F.col("q.at").alias("to"), corner.alias("k"))
+    out = out.select(*by, *values, (F.col("at") - F.col("k.a")).alias("r"), (F.col("to") - F.col("k.b")).alias("c"), (2 * F.col("k.a") + F.col("k.b")).alias("q"))
+    four = lambda v: F.struct(*[F.sum(F.when(F.col("q") == q, F.col(v))).alias(n) for q, n in enumerate(CORNERS)])
+    return out.groupBy(*by, "r", "c").agg(*[four(v).alias(v) for v in values])
 
 
-def upsample_bilinear(df: DataFrame, f: int, value: str, rows: int, cols: int, reflectance: bool = False, azimuth: bool = False) -> DataFrame:
-    """Bilinear interpolation of an image of rows x cols. Reflectances of 0 count as missing and are left out of
-    the sum (weights are not renormalised); azimuths are turned about the image's first pixel, to +-180."""
+def upsample_bilinear(df: DataFrame, f: int, value: str | list[str], rows: int, cols: int, reflectance: bool = False, azimuth: bool = False) -> DataFrame:
+    """Bilinear interpolation of images of rows x cols, of one value or several in one shuffle. Reflectances of 0 count as
+    missing and are left out of the sum (weights are not renormalised); azimuths are turned about the image's first
+    pixel, to +-180."""
     off = int(f / 2 + 0.5)
-    cells = bordered_cells(df, value, rows, cols)
+    values, by = [value] if isinstance(value, str) else value, place(df)[:-2]
+    cells = bordered_cells(df, values, rows, cols)
     if azimuth:
-        ref = df.where("y = 0 and x = 0").select(F.col(value).cast("double").alias("ref"))
-        cells = cells.join(F.broadcast(ref))  # one row
-        cells = cells.withColumns({q: about(F.col(q), F.col("ref")) for q in ("v00", "v01", "v10", "v11")})
+        ref = df.where("y = 0 and x = 0").select(*by, *[F.col(v).cast("double").alias(f"ref_{v}") for v in values])
+        cells = cells.join(F.broadcast(ref), by) if by else cells.join(F.broadcast(ref))  # a row for each granule
+        cells = cells.withColumns({v: F.struct(*[about(F.col(f"{v}.{q}"), F.col(f"ref_{v}")).alias(q) for q in CORNERS]) for v in values})
     span = lambda k, n: F.explode(F.sequence(F.greatest(F.lit(0), F.col(k) * f - off), F.least(F.lit(n * f - 1), F.col(k) * f - off + f - 1)))
     inside = cells.where(f"r * {f} - {off} <= {rows * f - 1} and c * {f} - {off} <= {cols * f - 1} and r * {f} - {off} + {f - 1} >= 0 and c * {f} - {off} + {f - 1} >= 0")
     out = inside.withColumn("y", span("r", rows)).withColumn("x", span("c", cols))
     wy = (F.col("y") - F.col("r") * f + (f / 2 + 0.5)) / f
     wx = (F.col("x") - F.col("c") * f + (f / 2 + 0.5)) / f
-    terms = [(1 - wy) * (1 - wx) * F.col("v00"), (1 - wy) * wx * F.col("v01"), wy * (1 - wx) * F.col("v10"), wy * wx * F.col("v11")]
-    if reflectance:
-        terms = [F.when(F.col(q) == 0, 0.0).otherwise(F.coalesce(t, F.lit(0.0))) for q, t in zip(("v00", "v01", "v10", "v11"), terms, strict=True)]
-    result = sum(terms[1:], terms[0])
-    if azimuth:
-        result = F.pmod(result + F.col("ref") + 540.0, F.lit(360.0)) - 180.0
-    return out.select("y", "x", result.alias(value))
+
+    def mixed(v: str) -> Column:
+        at = [F.col(f"{v}.{q}") for q in CORNERS]
+        terms = [(1 - wy) * (1 - wx) * at[0], (1 - wy) * wx * at[1], wy * (1 - wx) * at[2], wy * wx * at[3]]
+        if reflectance:
+            terms = [F.when(q == 0, 0.0).otherwise(F.coalesce(t, F.lit(0.0))) for q, t in zip(at, terms, strict=True)]
+        result = sum(terms[1:], terms[0])
+        return F.pmod(result + F.col(f"ref_{v}") + 540.0, F.lit(360.0)) - 180.0 if azimuth else result
+
+    return out.select(*by, "y", "x", *[mixed(v).alias(v) for v in values])
 
 
 def halo_tiles(df: DataFrame, tile: int, depth: int) -> DataFrame:
