@@ -1,21 +1,19 @@
 """Static masks: geodesic dilation, zones and distance labels on grids (y, x, code).
 
 A dilation of n steps reaches n cells, so each tile needs a border of n cells and no more: pixels go to every tile
-that they are a border of (one shuffle), each tile dilates its own array, and only its own cells come back. A
-tile's group has a fixed size, (tile + 2 n)^2 cells, at any extent of the grid.
+that they are a border of (one shuffle), each tile dilates its own array, and only its own cells come back (blocks.py).
+Grids of several granules have a column granule.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..session import settled
-from .resample import halo_tiles
-
-TILE, ROUND = 610, 128
+from .blocks import TILE, Block, map_blocks
+from .resample import place
 
 
 def _grown(on: np.ndarray, eight: bool) -> np.ndarray:
@@ -25,18 +23,9 @@ def _grown(on: np.ndarray, eight: bool) -> np.ndarray:
 
 
 def _by_tile(mask: DataFrame, depth: int, change) -> DataFrame:
-    """Applies change(codes array) to each tile with a border of `depth` cells."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y0, x0 = pdf["y"].min(), pdf["x"].min()
-        y, x = (pdf["y"] - y0).to_numpy(), (pdf["x"] - x0).to_numpy()
-        codes = np.full((y.max() + 1, x.max() + 1), -1, np.int32)
-        codes[y, x] = pdf["code"]
-        own = pdf["own"].to_numpy()
-        return pd.DataFrame({"y": pdf["y"][own], "x": pdf["x"][own], "code": change(codes)[y[own], x[own]]})
-
-    tiles = halo_tiles(mask.select(F.col("y").cast("long"), F.col("x").cast("long"), F.col("code").cast("int")), TILE, depth)
-    return tiles.groupBy("ty", "tx").applyInPandas(run, "y long, x long, code int")
+    """Applies change(codes array) to each tile with a border of `depth` cells; -1 where the mask has no cell."""
+    codes = mask.withColumn("code", F.col("code").cast("int"))
+    return map_blocks(codes, ["code"], lambda arrays, _: {"code": change(arrays["code"])}, "code int", depth, missing={"code": -1})
 
 
 def _step(codes: np.ndarray, on: np.ndarray, dest: int, insert: int, eight: bool) -> None:
@@ -57,18 +46,115 @@ def _reached(codes: np.ndarray, source: tuple[int, int], dest: int, insert: int,
 
 def dilate(mask: DataFrame, source: tuple[int, int], dest: int, insert: int, steps: int, eight: bool = False, insert_grows: bool = True) -> DataFrame:
     """Cells of value dest within `steps` of a source value (an interval, and the inserted value too unless told
-    otherwise), by way of dest cells, become `insert`. With steps = 0 that goes on until nothing changes: rounds of
-    ROUND steps, each written, as far as the longest way is."""
+    otherwise), by way of dest cells, become `insert`. With steps = 0 that goes on until nothing changes, at any length of
+    the way (see flooded)."""
     if steps:
         return _by_tile(mask, steps, lambda codes: _reached(codes, source, dest, insert, steps, eight, insert_grows))
-    first, now, left = True, mask, None
-    while True:
-        grows = insert_grows or not first  # what a round has inserted grows on in the next one
-        now = settled(_by_tile(now, ROUND, lambda codes, g=grows: _reached(codes, source, dest, insert, ROUND, eight, g)))
-        before, left = left, now.where(F.col("code") == dest).count()
-        if left in (0, before):
-            return now
-        first = False
+    return flooded(mask, source, dest, insert, eight, insert_grows)
+
+
+def areas(on: np.ndarray, eight: bool) -> np.ndarray:
+    """For each cell that is on the flat index of the first cell of its connected area, -1 for others: the ends of all links
+    between neighbours point at the smaller root until none is left, so long ways take few rounds."""
+    label = np.arange(on.size).reshape(on.shape)
+    links = []
+    for dy, dx in ((0, 1), (1, 0), *(((1, 1), (1, -1)) if eight else ())):
+        a = (slice(0, on.shape[0] - dy), slice(max(-dx, 0), on.shape[1] - max(dx, 0)))
+        b = (slice(dy, None), slice(max(dx, 0), on.shape[1] + min(dx, 0)))
+        both = on[a] & on[b]
+        links.append(np.stack([label[a][both], label[b][both]]))
+    u, v = np.concatenate(links, 1)
+    root = label.ravel().copy()
+    while len(u):
+        np.minimum.at(root, np.maximum(u, v), np.minimum(u, v))
+        while (root[root] != root).any():
+            root = root[root]
+        u, v = root[u], root[v]
+        u, v = u[u != v], v[u != v]
+    return np.where(on, root.reshape(on.shape), -1)
+
+
+def _packed(y, x):
+    """A cell as one number, in the order of rows and columns."""
+    return (np.asarray(y, np.int64) << 32) | np.asarray(x, np.int64)
+
+
+def _border_links(eight: bool):
+    """Of a tile with a halo of one cell: the area of each own cell, packed by its first cell, and whether it touches what is
+    on; across its upper and left border the neighbours that are dest too (each pair of tiles is looked at from one side)."""
+    ways = [(-1, 0), (0, -1), *([(-1, -1), (-1, 1), (1, -1)] if eight else [])]
+
+    def change(arrays: dict, block: Block) -> dict:
+        dest, on = arrays["dest"], arrays["on"]
+        mine = np.zeros(dest.shape, bool)
+        mine[block.own] = True
+        label = areas(dest & mine, eight)
+        cell = _packed(block.y + label // dest.shape[1], block.x + label % dest.shape[1])
+        area = np.where(label >= 0, cell, -1)
+        out = {"area": area, "touched": (label >= 0) & _grown(on, eight)}
+        places = _packed(*(k + o for k, o in zip(np.indices(dest.shape), (block.y, block.x), strict=True)))
+        for i in range(5):
+            link = np.full(dest.shape, -1, np.int64)
+            if i < len(ways):
+                dy, dx = ways[i]
+                y, x = np.nonzero(dest & mine)
+                ny, nx = y + dy, x + dx
+                inside = (ny >= 0) & (ny < dest.shape[0]) & (nx >= 0) & (nx < dest.shape[1])
+                y, x, ny, nx = (k[inside] for k in (y, x, ny, nx))
+                across = dest[ny, nx] & ~mine[ny, nx]
+                link[y[across], x[across]] = places[ny[across], nx[across]]
+            out[f"link{i}"] = link
+        return out
+
+    return change
+
+
+def flooded(mask: DataFrame, source: tuple[int, int], dest: int, insert: int, eight: bool = False, insert_grows: bool = True) -> DataFrame:
+    """All cells of value dest that a source value reaches by way of dest cells, at any distance, become `insert`.
+
+    Each tile labels its own connected areas of dest cells once. Areas that meet at a tile's border are links of a graph,
+    which is as small as the borders; whether an area is reached is settled on that graph alone, and comes back to the pixels
+    by one join on the area. So pixels are shuffled a fixed number of times, however long and winding the way is."""
+    by = place(mask)[:-2]
+    code = F.col("code").cast("int")
+    on = code.between(*source) | (code == insert) if insert_grows else code.between(*source)
+    cells = mask.select(*by, "y", "x", code.alias("code"), (code == dest).alias("dest"), (on & (code != dest)).alias("on"))
+    layers = map_blocks(cells, ["code", "dest", "on"], lambda a, b: _border_links(eight)(a, b) | {"code": a["code"]}, "code int, area long, touched boolean, " + ", ".join(f"link{i} long" for i in range(5)), depth=1)
+    layers = settled(layers)
+    one = layers.where("area >= 0")
+    ends = F.array_distinct(F.filter(F.array(*[F.col(f"link{i}") for i in range(5)]), lambda v: v >= 0))
+    links = one.select(*by, "area", F.explode(ends).alias("cell")).distinct()
+    met = one.select(*by, F.expr("(y << 32) | x").alias("cell"), F.col("area").alias("other"))
+    links = links.join(met, [*by, "cell"]).select(*by, "area", "other").distinct()
+    seeds = one.where("touched").select(*by, "area").distinct()
+    reached = connected(links, seeds, by)
+    out = layers.join(reached.withColumn("hit", F.lit(True)), [*by, "area"], "left")
+    return out.select(*by, "y", "x", F.when(F.col("hit"), insert).otherwise(F.col("code")).alias("code"))
+
+
+def connected(links: DataFrame, seeds: DataFrame, by: list[str]) -> DataFrame:
+    """(area) of all areas that links (area, other) join to a seed. Every area points at the smallest neighbour that it knows
+    of, pointers are doubled, and links move to where their ends point, until none is left between different ends: a
+    number of rounds that grows with the logarithm of the graph, each settled."""
+    links = settled(links.where("area <> other"))
+    root = settled(links.select(*by, "area").unionByName(links.select(*by, F.col("other").alias("area"))).distinct().withColumn("root", F.col("area")))
+    rest = links
+    while not rest.isEmpty():
+        low = rest.select(*by, F.greatest("area", "other").alias("u"), F.least("area", "other").alias("v"))
+        hook = settled(low.groupBy(*by, "u").agg(F.min("v").alias("v")))
+        while True:  # u points at v < u; chains of pointers are halved until each ends at what points nowhere
+            jump = hook.select(*by, F.col("u").alias("v"), F.col("v").alias("next"))
+            after = settled(hook.join(jump, [*by, "v"], "left").select(*by, "u", F.coalesce("next", "v").alias("v"), F.col("next").isNotNull().alias("moved")))
+            hook = after.select(*by, "u", "v")
+            if after.where("moved").isEmpty():
+                break
+        to = hook.select(*by, F.col("u").alias("root"), "v")
+        root = settled(root.join(to, [*by, "root"], "left").select(*by, "area", F.coalesce("v", "root").alias("root")))
+        for k in ("area", "other"):
+            rest = rest.join(hook.select(*by, F.col("u").alias(k), F.col("v").alias("to")), [*by, k], "left").withColumn(k, F.coalesce("to", k)).drop("to")
+        rest = settled(rest.where("area <> other").distinct())
+    roots = root.join(seeds, [*by, "area"]).select(*by, "root").distinct()
+    return root.join(roots, [*by, "root"]).select(*by, "area").unionByName(seeds).distinct()
 
 
 def opened(mask: DataFrame, a: int, b: int, steps: int, by: int | None = None, rest: int | None = None) -> DataFrame:
