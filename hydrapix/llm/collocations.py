@@ -12,7 +12,8 @@
 
 An automaton holds at most `most` phrases or `room` characters (or one phrase); more are scanned by several, one after
 the other. The filters of frequent cells that tasks get are bitmaps of 16 bits for each cell, 2^28 at most: marks that
-coincide let more phrases through, which a join with the cells themselves takes out again.
+coincide let more phrases through, which a join with the cells themselves takes out again. A task gives a phrase out once
+for as long as it remembers the phrase's 64-bit number.
 
 Cases: null text is empty, null lang is `und`; texts and words of any length are read whole; repeated rows count each;
 null or repeated ids do not matter; equal phrases have one row; a table without words gives an empty result; extra columns
@@ -37,12 +38,12 @@ from .common import columns_of, dropped, mixed, pieces, written
 
 #: Bytes that end a piece become ".", the tab a space; A-Z are lower-cased. All are ASCII, so UTF-8 stays whole.
 TABLE = bytes(46 if chr(b) in ".,;:!?\n\v\f\r" else 32 if b == 9 else b + 32 if 65 <= b <= 90 else b for b in range(256))
-HELD, WORDS_HELD = 1 << 20, 1 << 19
+HELD, WORDS_HELD, REMEMBERED = 1 << 21, 1 << 19, 22
 
 
 def tokens(text: bytes | None) -> list[bytes]:
     """The words of a text in order, and "." between pieces."""
-    return text.translate(TABLE).replace(b".", b" . ").split(b" ") if text else []
+    return text.translate(TABLE).replace(b".", b" . ").split() if text else []
 
 
 class Ids(dict):
@@ -73,26 +74,33 @@ def _words(batches: Iterator) -> Iterator:
             own = held.setdefault(lang, Counter())
             own.update(tokens(text))
             own.pop(b".", None)
-            own.pop(b"", None)
         if sum(map(len, held.values())) > WORDS_HELD:
             yield from out()
     yield from out()
 
 
-def _cells(ids: np.ndarray, k: int, lang: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
-    """The cell of the k words from each place on, and whether these are words of one piece."""
+def _hashes(ids: np.ndarray, langs: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit number of the k words from each place on, and whether these are words of one piece."""
     n = max(len(ids) - k + 1, 0)
-    acc, inside = np.full(n, np.uint64(lang) ^ np.uint64(k)), np.ones(n, bool)
+    acc, inside = langs[:n] ^ np.uint64(k), np.ones(n, bool)
     for i in range(k):
         own = ids[i : i + n]
         acc = mixed(acc * np.uint64(0xD6E8FEB86659FD93) + own)
         inside &= own != 0
-    return acc & np.uint64((1 << bits) - 1), inside
+    return acc, inside
 
 
-def _numbered(ids: Ids, lang: str, text: bytes | None) -> tuple[list[bytes], np.ndarray, int]:
-    words = [w for w in tokens(text) if w]
-    return words, np.fromiter(map(ids.__getitem__, words), np.uint64, len(words)), xxhash.xxh3_64_intdigest(lang.encode())
+def _numbered(ids: Ids, batch) -> tuple[list[bytes], np.ndarray, np.ndarray, list[str]]:
+    """All words of a batch with "." between texts, their numbers, and the number and name of the language at each place."""
+    words, langs, sizes = [], [], []
+    for lang, text in zip(*columns_of(batch, "lang", "text"), strict=True):
+        own = tokens(text)
+        words += own
+        words.append(b".")
+        langs.append(lang)
+        sizes.append(len(own) + 1)
+    seeds = np.array([xxhash.xxh3_64_intdigest(x.encode()) for x in langs], np.uint64)
+    return words, np.fromiter(map(ids.__getitem__, words), np.uint64, len(words)), np.repeat(seeds, sizes), np.repeat(np.array(langs, object), sizes)
 
 
 def _has(bits: np.ndarray, cells: np.ndarray) -> np.ndarray:
@@ -104,7 +112,7 @@ def _sketch(k: int, bits: int, pairs=None):
     """(cell, n) of the phrases of k words; of triples those whose pairs both may be frequent."""
 
     def run(batches: Iterator) -> Iterator:
-        ids, held, size = Ids(), [], 0
+        ids, held, size, mask = Ids(), [], 0, np.uint64((1 << bits) - 1)
 
         def out():
             cells, n = np.unique(np.concatenate(held), return_counts=True)
@@ -112,14 +120,13 @@ def _sketch(k: int, bits: int, pairs=None):
                 yield pa.RecordBatch.from_arrays([pa.array(cells[at : at + (1 << 16)].astype(np.int64)), pa.array(n[at : at + (1 << 16)])], names=["cell", "n"])
 
         for batch in pieces(batches):
-            for lang, text in zip(*columns_of(batch, "lang", "text"), strict=True):
-                _, own, h = _numbered(ids, lang, text)
-                cells, inside = _cells(own, k, h, bits)
-                if pairs is not None and len(cells):
-                    two = _has(pairs.value, _cells(own, 2, h, bits)[0])
-                    inside &= two[:-1] & two[1:]
-                held.append(cells[inside])
-                size += len(held[-1])
+            _, own, langs, _ = _numbered(ids, batch)
+            cells, inside = _hashes(own, langs, k)
+            if pairs is not None and len(cells):
+                two = _has(pairs.value, _hashes(own, langs, 2)[0] & mask)
+                inside &= two[:-1] & two[1:]
+            held.append((cells & mask)[inside])
+            size += len(held[-1])
             if size > HELD:
                 yield from out()
                 held, size = [], 0
@@ -140,27 +147,26 @@ def _bitmap(cells: DataFrame) -> np.ndarray:
 
 
 def _phrases(two, three, bits: int):
-    """(cell, lang, phrase): phrases that may be frequent, each once in a task as far as it remembers."""
+    """(cell, lang, phrase): phrases that may be frequent, each once in a task as far as it remembers: the last one for each
+    of 2^22 places of their 64-bit numbers."""
 
     def run(batches: Iterator) -> Iterator:
-        ids, before = Ids(), set()
+        ids, mask = Ids(), np.uint64((1 << bits) - 1)
+        before = {k: np.zeros(1 << REMEMBERED, np.uint64) for k in (2, 3)}
         for batch in pieces(batches):
-            out: dict[int, tuple[str, bytes]] = {}
-            for lang, text in zip(*columns_of(batch, "lang", "text"), strict=True):
-                words, own, h = _numbered(ids, lang, text)
-                for k, marks in ((2, two.value), (3, three.value)):
-                    cells, inside = _cells(own, k, h, bits)
-                    at = np.flatnonzero(inside & _has(marks, cells))
-                    for c, i in zip(cells[at].tolist(), at.tolist(), strict=True):
-                        # a cell may hold several phrases
-                        if (key := (lang, phrase := b" ".join(words[i : i + k]))) not in before:
-                            before.add(key)
-                            out[len(out)] = (2 * c + k - 2, lang, phrase)
-            if len(before) > WORDS_HELD:
-                before.clear()
-            if out:
-                c, lang, phrase = zip(*out.values(), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()), pa.array(lang, pa.string()), pa.array(phrase, pa.binary())], names=["cell", "lang", "phrase"])
+            words, own, seeds, langs = _numbered(ids, batch)
+            for k, marks in ((2, two.value), (3, three.value)):
+                h, inside = _hashes(own, seeds, k)
+                at = np.flatnonzero(inside & _has(marks, h & mask))
+                slot = h[at] >> np.uint64(64 - REMEMBERED)
+                new = before[k][slot] != h[at]
+                before[k][slot] = h[at]
+                at = at[new]
+                at = at[np.unique(h[at], return_index=True)[1]]
+                phrases = [b" ".join(words[i : i + k]) for i in at.tolist()]
+                cells = 2 * (h[at] & mask) + np.uint64(k - 2)
+                if phrases:
+                    yield pa.RecordBatch.from_arrays([pa.array(cells.astype(np.int64)), pa.array(langs[at], pa.string()), pa.array(phrases, pa.binary())], names=["cell", "lang", "phrase"])
 
     return run
 
@@ -177,7 +183,7 @@ def _matches(held):
         counts: dict[str, Counter] = {}
         for batch in pieces(batches):
             for lang, text in zip(*columns_of(batch, "lang", "text"), strict=True):
-                line = b" ".join([b"", *filter(None, tokens(text)), b""]).decode("latin-1")
+                line = b" ".join([b"", *tokens(text), b""]).decode("latin-1")
                 counts.setdefault(lang, Counter()).update(map(itemgetter(1), auto.iter(line)))
         for lang, own in counts.items():
             if own:
