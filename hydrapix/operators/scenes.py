@@ -117,14 +117,83 @@ def window_of(lat: tuple[float, float], lon: tuple[float, float], rows: int, col
     return [(*y, x0, x1)] if lon[0] <= lon[1] else [(*y, x0, cols), (*y, 0, x1)]
 
 
+def stride(lat: tuple[float, float]) -> int:
+    """Columns of a global grid for one, by the cosine of the box's mean latitude."""
+    return max(1, int(1.0 / math.cos(math.radians((lat[0] + lat[1]) / 2))))
+
+
 def subset(pixels: DataFrame, lat: tuple[float, float], lon: tuple[float, float], rows: int, cols: int) -> DataFrame:
-    """Pixels (y, x) of a global grid in the box, columns thinned by 1 / cos of the latitude nearest the equator."""
-    nearest = 0.0 if lat[0] <= 0 <= lat[1] else min(abs(lat[0]), abs(lat[1]))
-    step = max(1, int(1 / math.cos(math.radians(min(nearest, 89.9)))))
-    inside = [f"(y >= {a} and y < {b} and x >= {c} and x < {d} and (x - {c}) % {step} = 0)" for a, b, c, d in window_of(lat, lon, rows, cols)]
+    """Pixels (y, x) of a global grid in the box, columns thinned by 1 / cos of its mean latitude. Across the antimeridian
+    the two halves are one window, so columns are counted on through it."""
+    step, base, inside = stride(lat), 0, []
+    for a, b, c, d in window_of(lat, lon, rows, cols):
+        inside.append(f"(y >= {a} and y < {b} and x >= {c} and x < {d} and (x - {c} + {base}) % {step} = 0)")
+        base = d - c
     return pixels.where(" or ".join(inside))
 
 
+def windows(boxes: DataFrame, rows: int, cols: int) -> DataFrame:
+    """(granule, y0, y1, x0, x1, base, step) of boxes (granule, lat_min, lat_max, lon_min, lon_max) on a global grid: rows and
+    columns, ends exclusive. A box across the antimeridian (lon_min > lon_max) has two; base is the number of columns before
+    a window's first one, step the stride over all of them."""
+    place = lambda v, up: f"cast({'ceil' if up else 'floor'}(({v} + 180.0D) / 360 * {cols}) as int)"
+    out = boxes.selectExpr(
+        "granule", f"cast(floor((90.0D - lat_max) / 180 * {rows}) as int) as y0", f"cast(ceil((90.0D - lat_min) / 180 * {rows}) as int) as y1",
+        f"{place('lon_min', False)} as a", f"{place('lon_max', True)} as b", "lon_min > lon_max as crosses", "greatest(1, cast(1 / cos(radians((lat_min + lat_max) / 2)) as int)) as step",
+    )
+    halves = F.expr(f"if(crosses, array(struct(a as x0, {cols} as x1, 0 as base), struct(0 as x0, b as x1, {cols} - a as base)), array(struct(a as x0, b as x1, 0 as base)))")
+    return out.select("granule", "y0", "y1", "step", F.explode(halves).alias("w")).select("granule", "y0", "y1", "w.*", "step")
+
+
+def subsets(mask: DataFrame, boxes: DataFrame, rows: int, cols: int, tile: int = 610) -> DataFrame:
+    """(granule, y, x, and the columns of mask): the windows of many boxes on a mask stored by write_tiles, as subset() takes
+    them. Windows meet the tiles that they cover by the partition columns, so Spark reads no other tiles of the mask."""
+    at = windows(boxes, rows, cols).where("y1 > y0 and x1 > x0")
+    for k in "yx":
+        at = at.withColumn(f"tile_{k}", F.explode(F.expr(f"sequence(cast({k}0 div {tile} as int), cast(({k}1 - 1) div {tile} as int))")))
+    out = mask.join(at, ["tile_y", "tile_x"]).where("y >= y0 and y < y1 and x >= x0 and x < x1 and (x - x0 + base) % step = 0")
+    return out.select("granule", *[c for c in mask.columns if c not in ("tile_y", "tile_x")])
+
+
+def rasterized(rings: DataFrame, tile: int = 610) -> DataFrame:
+    """(y, x) of the cells whose centre lies in some polygon, by the even-odd rule; rings (polygon, ring, n, y, x) in cells of
+    the raster, n in order along each ring, which closes by itself. A centre on an edge counts as right of it.
+
+    Each edge gives its crossings with the centres of rows; a polygon's crossings in a row, sorted, turn into runs of columns
+    by parity; runs are cut at tiles, and those of several polygons in a row of a tile are united before any cell is made. So
+    a group is a polygon's row or a tile's row, and memory does not grow with a polygon's area."""
+    w = Window.partitionBy("polygon", "ring")
+    nxt = lambda c: F.coalesce(F.lead(c).over(w.orderBy("n")), F.first(c).over(w.orderBy("n")))
+    edges = rings.select("polygon", F.col("y").alias("y1"), F.col("x").alias("x1"), nxt("y").alias("y2"), nxt("x").alias("x2")).where("y1 <> y2")
+    low, high = F.least("y1", "y2"), F.greatest("y1", "y2")
+    # rows whose centre row + 0.5 lies in [low, high)
+    spans = edges.withColumn("a", F.greatest(F.ceil(low - 0.5), F.lit(0)).cast("int")).withColumn("b", (F.ceil(high - 0.5) - 1).cast("int")).where("b >= a")
+    at = spans.withColumn("row", F.explode(F.sequence("a", "b"))).select("polygon", "row", F.expr("x1 + (row + 0.5D - y1) / (y2 - y1) * (x2 - x1)").alias("c"))
+    runs = at.groupBy("polygon", "row").agg(F.array_sort(F.collect_list("c")).alias("c"))
+    pairs = F.expr("transform(sequence(0, size(c) div 2 - 1), i -> struct(cast(greatest(ceil(c[2 * i] - 0.5D), 0) as int) as a, cast(ceil(c[2 * i + 1] - 0.5D) - 1 as int) as b))")
+    runs = runs.select("row", F.explode(pairs).alias("r")).select("row", "r.*").where("b >= a")
+    runs = runs.withColumn("tile_x", F.explode(F.expr(f"sequence(cast(a div {tile} as int), cast(b div {tile} as int))")))
+    runs = runs.select("row", "tile_x", F.expr(f"greatest(a, tile_x * {tile})").alias("a"), F.expr(f"least(b, tile_x * {tile} + {tile - 1})").alias("b"))
+    runs = runs.groupBy("row", "tile_x", "a").agg(F.max("b").alias("b"))  # of runs with one start the longest: a tile's width of them at most
+    line = Window.partitionBy("row", "tile_x").orderBy("a")
+    reach = F.coalesce(F.max("b").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1))
+    fresh = runs.select("row", F.greatest("a", reach + 1).alias("a"), "b").where("b >= a")  # what no run before it covers
+    return fresh.select(F.col("row").alias("y"), F.explode(F.sequence("a", "b")).alias("x"))
+
+
+def feature_tiles(rings: DataFrame) -> DataFrame:
+    """(j, i, feature): each feature (feature, ring, n, lon, lat) once for each 3-degree tile that its edges touch."""
+    named = rings.withColumn("ring", F.struct("feature", "ring"))
+    return edge_tiles(named).select("j", "i", F.col("ring.feature").alias("feature")).distinct()
+
+
+def write_feature_tiles(features: DataFrame, tiles: DataFrame, path: str) -> None:
+    """Features (feature, and whatever they carry) as one folder for each tile that they touch, by the table (j, i, feature):
+    a feature goes to many tiles in one shuffle, and a rerun replaces the tiles that it writes. Large tiles are split."""
+    out = tiles.join(features, "feature").hint("rebalance", "j", "i")
+    out.write.mode("overwrite").option("compression", "zstd").option("partitionOverwriteMode", "dynamic").partitionBy("j", "i").parquet(path)
+
+
 def sorted_longitudes(lons: Column) -> Column:
     """Longitudes in the order that has no jump at the antimeridian: sorted by lon mod 360, then to +-180."""
     return F.transform(F.array_sort(F.transform(lons, lambda v: F.pmod(v, F.lit(360.0)))), lambda v: F.when(v >= 180, v - 360.0).otherwise(v))

@@ -14,6 +14,7 @@ from ..operators import masks as M
 from ..operators import resample as R
 from ..operators import scenes as S
 from ..operators import switching as W
+from ..session import shared_path
 from ..sources import rasters as A
 from . import fixtures as V
 from .fixtures import sql
@@ -392,19 +393,22 @@ def resample_stack(spark, d):
 
 # --- interpolation --------------------------------------------------------------------------------------------
 
-GRID_SQL = ", px1 AS (SELECT i // 183 AS y, i % 183 AS x FROM range(33489) t(i))"
+GRID_SQL = ", px1 AS (SELECT y, x FROM grid)"
 CELL = "(y * 600 + 300) // 5000 AS r, (x * 600 + 300) // 5000 AS c, ((y * 600 + 300) % 5000)::DOUBLE / 5000 AS wy, ((x * 600 + 300) % 5000)::DOUBLE / 5000 AS wx"
 MIX = "(1 - wy) * (1 - wx) * {0} + (1 - wy) * wx * {1} + wy * (1 - wx) * {2} + wy * wx * {3}"
 
 
-@query("SELECT i // 100 AS y, i % 100 AS x FROM range(15000) t(i)")
+@query(sql(" SELECT i // 150 AS y, i % 150 AS x, coalesce(code, 0) AS code FROM range((SELECT (max(y) + 1) * 150 FROM grid)) t(i) LEFT JOIN grid ON grid.y = i // 150 AND grid.x = i % 150", "grid"))
 def grid_generate(spark, d):
-    return I.pixel_grid(spark, 150, 100)
+    """The whole image of an extent, 0 where the table has no pixel."""
+    known = V.grid(spark, d)
+    rows = known.agg(F.coalesce(F.max("y") + 1, F.lit(0))).first()[0]
+    return I.pixel_grid(spark, rows, 150).join(known.select("y", "x", "code"), ["y", "x"], "left").na.fill({"code": 0})
 
 
-@query(sql(GRID_SQL + f", k AS (SELECT y, x, {CELL} FROM px1) SELECT k.y, k.x, round({MIX.format('a.zenith', 'b.zenith', 'e.zenith', 'f.zenith')}, 6) AS zenith FROM k JOIN tp a ON a.r = k.r AND a.c = k.c JOIN tp b ON b.r = k.r AND b.c = k.c + 1 JOIN tp e ON e.r = k.r + 1 AND e.c = k.c JOIN tp f ON f.r = k.r + 1 AND f.c = k.c + 1", "tp"))
+@query(sql(GRID_SQL + f", k AS (SELECT y, x, {CELL} FROM px1) SELECT k.y, k.x, round({MIX.format('a.zenith', 'b.zenith', 'e.zenith', 'f.zenith')}, 6) AS zenith FROM k JOIN tp a ON a.r = k.r AND a.c = k.c JOIN tp b ON b.r = k.r AND b.c = k.c + 1 JOIN tp e ON e.r = k.r + 1 AND e.c = k.c JOIN tp f ON f.r = k.r + 1 AND f.c = k.c + 1", "grid", "tp"))
 def tp_interpolate(spark, d):
-    return rounded(I.tie_points(I.pixel_grid(spark, 183, 183), V.tp(spark), "zenith", res=600), "zenith")
+    return rounded(I.tie_points(V.grid(spark, d).select("y", "x"), V.tp(spark), "zenith", res=600), "zenith")
 
 
 DET = "5 + ((x + y // 8) // 24) % 8"
@@ -416,18 +420,18 @@ def _by_detector(value: str) -> str:
     out = MIX.format("a.v", "b.v", "e.v", "f.v")
     out = f"(({out} + a.ref + 360) % 360 + 360) % 360" if value == "va" else out
     join = " ".join(f"LEFT JOIN g {n} ON {n}.det = k.det AND {n}.r = k.r + {i} AND {n}.c = k.c + {j}" for n, i, j in (("a", 0, 0), ("b", 0, 1), ("e", 1, 0), ("f", 1, 1)))
-    return sql(f"{GRID_SQL}{rf}{g}, k AS (SELECT y, x, {DET} AS det, {CELL} FROM px1) SELECT k.y, k.x, k.det, round({out}, 6) AS {value} FROM k {join}", "tpd")
+    return sql(f"{GRID_SQL}{rf}{g}, k AS (SELECT y, x, {DET} AS det, {CELL} FROM px1) SELECT k.y, k.x, k.det, round({out}, 6) AS {value} FROM k {join}", "grid", "tpd")
 
 
 @query(_by_detector("vz"))
 def angle_by_detector(spark, d):
-    pixels = I.pixel_grid(spark, 183, 183).withColumn("det", F.expr(DET.replace("//", "div")))
+    pixels = V.grid(spark, d).select("y", "x").withColumn("det", F.expr(DET.replace("//", "div")))
     return rounded(I.angles_by_detector(pixels, V.tpd(spark), "vz", res=600), "vz")
 
 
 @query(_by_detector("va"))
 def azimuth_by_detector(spark, d):
-    pixels = I.pixel_grid(spark, 183, 183).withColumn("det", F.expr(DET.replace("//", "div")))
+    pixels = V.grid(spark, d).select("y", "x").withColumn("det", F.expr(DET.replace("//", "div")))
     return rounded(I.angles_by_detector(pixels, V.tpd(spark), "va", res=600, azimuth=True), "va")
 
 
@@ -443,16 +447,16 @@ FILLED = """  SELECT t.det, t.r, t.c, CASE WHEN t.vz IS NOT NULL THEN t.vz WHEN
 @query(sql(PLANE + """
   SELECT t.det, t.r, t.c, round(CASE WHEN t.vz IS NOT NULL THEN t.vz WHEN n.near THEN degrees(atan(sqrt(pow(uc * t.c + ur * t.r + u0, 2) + pow(vc * t.c + vr * t.r + v0, 2)))) END, 6) AS vz,
     round(CASE WHEN t.va IS NOT NULL THEN t.va WHEN n.near THEN degrees(atan2(vc * t.c + vr * t.r + v0, uc * t.c + ur * t.r + u0)) END, 6) AS va
-  FROM tpd t JOIN pl USING (det) LEFT JOIN (SELECT DISTINCT t.det, t.r, t.c, TRUE AS near FROM tpd t JOIN k ON k.det = t.det AND abs(k.r - t.r) <= 1 AND abs(k.c - t.c) <= 1) n ON n.det = t.det AND n.r = t.r AND n.c = t.c""", "tpd"))
+  FROM tpd t JOIN pl USING (det) LEFT JOIN (SELECT DISTINCT t.det, t.r, t.c, TRUE AS near FROM tpd t JOIN k ON k.det = t.det AND abs(k.r - t.r) <= 1 AND abs(k.c - t.c) <= 1) n ON n.det = t.det AND n.r = t.r AND n.c = t.c""", "tpd=tpe"))
 def angle_plane_fill(spark, d):
-    return rounded(I.fill_by_plane(V.tpd(spark)), "vz", "va")
+    return rounded(I.fill_by_plane(V.tpe(spark, d)), "vz", "va")
 
 
-@query(sql(", f AS (SELECT det, arg_min(va, r * 100 + c) AS ref FROM tpd WHERE va IS NOT NULL GROUP BY 1) SELECT det, r, c, round(((va - ref + 540) % 360 + 360) % 360 - 180, 6) AS rel, round(((((va - ref + 540) % 360 + 360) % 360 - 180 + ref + 360) % 360 + 360) % 360, 6) AS back FROM tpd JOIN f USING (det) WHERE va IS NOT NULL", "tpd"))
+@query(sql(", f AS (SELECT det, arg_min(va, r * 100 + c) AS ref FROM tpd WHERE va IS NOT NULL GROUP BY 1) SELECT det, r, c, round(((va - ref + 540) % 360 + 360) % 360 - 180, 6) AS rel, round(((((va - ref + 540) % 360 + 360) % 360 - 180 + ref + 360) % 360 + 360) % 360, 6) AS back FROM tpd JOIN f USING (det) WHERE va IS NOT NULL", "tpd=tpe"))
 def angle_normalise(spark, d):
-    t = V.tpd(spark).where("va is not null")
+    t = V.tpe(spark, d).where("va is not null")
     first = t.groupBy("det").agg(F.min_by("va", F.struct("r", "c")).alias("ref"))
-    out = t.join(F.broadcast(first), "det").withColumn("rel", C.about(F.col("va"), F.col("ref")))  # a row for each of 12 detectors
+    out = t.join(first, "det").withColumn("rel", C.about(F.col("va"), F.col("ref")))
     return rounded(out.select("det", "r", "c", "rel", C.around(F.col("rel"), F.col("ref")).alias("back")), "rel", "back")
 
 
@@ -466,42 +470,41 @@ def mean_angles(spark, d):
 
 def _anc_sql(lon0: str, lonp: str, shift: bool) -> str:
     turn = lambda c: f"((({c} + 360) % 360) + 360) % 360 - 180" if shift else c
-    return sql(f""", g AS (SELECT i, j, lat, {turn(lon0)} AS glon, value FROM anc), p AS (SELECT n // 60 AS y, n % 60 AS x, 54.05::DOUBLE - 0.0153::DOUBLE * (n // 60) AS la, {turn(lonp)} AS lo FROM range(3600) t(n)),
+    return sql(f""", g AS (SELECT i, j, lat, {turn(lon0)} AS glon, value FROM anc), p AS (SELECT y, x, 54.05::DOUBLE - 0.0153::DOUBLE * y AS la, {turn(lonp)} AS lo FROM grid),
   e AS (SELECT 54::DOUBLE AS t0, max(CASE WHEN i = 8 THEN lat END) AS t1, max(CASE WHEN j = 0 THEN glon END) AS n0, max(CASE WHEN j = 8 THEN glon END) AS n1 FROM g),
   q AS (SELECT y, x, (CASE WHEN la > t0 THEN t0 WHEN la <= t1 THEN t1 - 0.0001::DOUBLE * ((t1 - t0) / 8) ELSE la END - t0) / ((t1 - t0) / 8) AS py, (CASE WHEN lo < n0 THEN n0 WHEN lo >= n1 THEN n1 - 0.0001::DOUBLE * ((n1 - n0) / 8) ELSE lo END - n0) / ((n1 - n0) / 8) AS px FROM p, e),
   k AS (SELECT y, x, CAST(trunc(py) AS INT) AS r, CAST(trunc(px) AS INT) AS c, py - trunc(py) AS wy, px - trunc(px) AS wx FROM q)
-  SELECT k.y, k.x, round({MIX.format('a.value', 'b.value', 'e.value', 'f.value')}, 6) AS value FROM k JOIN anc a ON a.i = k.r AND a.j = k.c JOIN anc b ON b.i = k.r AND b.j = k.c + 1 JOIN anc e ON e.i = k.r + 1 AND e.j = k.c JOIN anc f ON f.i = k.r + 1 AND f.j = k.c + 1""", "anc")
+  SELECT k.y, k.x, round({MIX.format('a.value', 'b.value', 'e.value', 'f.value')}, 6) AS value FROM k JOIN anc a ON a.i = k.r AND a.j = k.c JOIN anc b ON b.i = k.r AND b.j = k.c + 1 JOIN anc e ON e.i = k.r + 1 AND e.j = k.c JOIN anc f ON f.i = k.r + 1 AND f.j = k.c + 1""", "grid", "anc")
 
 
-def _points(spark, lon: float) -> DataFrame:
-    return I.pixel_grid(spark, 60, 60).select("y", "x", (F.lit(54.05) - F.lit(0.0153) * F.col("y")).alias("lat"), (F.lit(lon) + F.lit(0.0221) * F.col("x")).alias("lon"))
+def _points(spark, d, lon: float) -> DataFrame:
+    return V.grid(spark, d).select("y", "x", (F.lit(54.05) - F.lit(0.0153) * F.col("y")).alias("lat"), (F.lit(lon) + F.lit(0.0221) * F.col("x")).alias("lon"))
 
 
-@query(_anc_sql("lon", "8.95::DOUBLE + 0.0221::DOUBLE * (n % 60)", False))
+@query(_anc_sql("lon", "8.95::DOUBLE + 0.0221::DOUBLE * x", False))
 def ancillary_interpolate(spark, d):
-    return rounded(I.ancillary(_points(spark, 8.95), V.anc(spark), "value"), "value")
+    return rounded(I.ancillary(_points(spark, d, 8.95), V.anc(spark), "value"), "value")
 
 
-@query(_anc_sql("CASE WHEN lon + 170.5 >= 180 THEN lon + 170.5 - 360 ELSE lon + 170.5 END", "179.45::DOUBLE + 0.0221::DOUBLE * (n % 60)", True))
+@query(_anc_sql("CASE WHEN lon + 170.5 >= 180 THEN lon + 170.5 - 360 ELSE lon + 170.5 END", "179.45::DOUBLE + 0.0221::DOUBLE * x", True))
 def ancillary_antimeridian(spark, d):
     grid = V.anc(spark).withColumn("lon", F.expr("case when lon + 170.5 >= 180 then lon + 170.5 - 360 else lon + 170.5 end"))
-    return rounded(I.ancillary(_points(spark, 179.45), grid, "value"), "value")
+    return rounded(I.ancillary(_points(spark, d, 179.45), grid, "value"), "value")
 
 
-@query(sql("SELECT string_agg(printf('%.6f', sqrt(value * value + (value / 2) * (value / 2))), ',' ORDER BY i, j) AS wind, count(*) AS n FROM anc", "anc"))
+@query(sql("SELECT granule, string_agg(printf('%.6f', sqrt(value * value + (value / 2) * (value / 2))), ',' ORDER BY i, j) AS wind, count(*) AS n FROM ane GROUP BY granule", "ane"))
 def wind_speed_grid(spark, d):
-    one = V.anc(spark).select("i", "j", F.sqrt(F.col("value") ** 2 + (F.col("value") / 2) ** 2).alias("w"))
-    return one.agg(F.array_sort(F.collect_list(F.struct("i", "j", "w"))).alias("a"), F.count("*").alias("n")).select(
-        F.expr("array_join(transform(a, v -> format_string('%.6f', v.w)), ',')").alias("wind"), "n"
+    one = V.ane(spark, d).select("granule", "i", "j", F.sqrt(F.col("value") ** 2 + (F.col("value") / 2) ** 2).alias("w"))
+    return one.groupBy("granule").agg(F.array_sort(F.collect_list(F.struct("i", "j", "w"))).alias("a"), F.count("*").alias("n")).select(
+        "granule", F.expr("array_join(transform(a, v -> format_string('%.6f', v.w)), ',')").alias("wind"), "n"
     )
 
 
-@query(sql(", l AS (SELECT DISTINCT j, ((CASE WHEN lon + 170.5 >= 180 THEN lon + 170.5 - 360 ELSE lon + 170.5 END) % 360 + 360) % 360 AS m FROM anc), o AS (SELECT row_number() OVER (ORDER BY m) - 1 AS pos, m FROM l) SELECT pos, round(CASE WHEN m >= 180 THEN m - 360 ELSE m END, 6) AS lon FROM o", "anc"))
+@query(sql(", l AS (SELECT DISTINCT granule, j, ((CASE WHEN lon + 170.5 >= 180 THEN lon + 170.5 - 360 ELSE lon + 170.5 END) % 360 + 360) % 360 AS m FROM ane), o AS (SELECT granule, row_number() OVER (PARTITION BY granule ORDER BY m) - 1 AS pos, m FROM l) SELECT granule, pos, round(CASE WHEN m >= 180 THEN m - 360 ELSE m END, 6) AS lon FROM o", "ane"))
 def antimeridian_sort(spark, d):
-    lon = F.expr("case when lon + 170.5 >= 180 then lon + 170.5 - 360 else lon + 170.5 end")
-    one = V.anc(spark).where("i = 0").agg(F.collect_list(lon).alias("lons"))
-    out = one.select(F.posexplode(S.sorted_longitudes(F.col("lons"))).alias("pos", "lon"))
-    return rounded(out.select(F.col("pos").cast("long").alias("pos"), "lon"), "lon")
+    lons = V.ane(spark, d).select("granule", F.expr("case when lon + 170.5 >= 180 then lon + 170.5 - 360 else lon + 170.5 end").alias("lon"))
+    one = lons.groupBy("granule").agg(F.collect_set("lon").alias("l"))
+    return rounded(one.select("granule", F.posexplode(S.sorted_longitudes(F.col("l"))).alias("pos", "lon")), "lon")
 
 
 def _series(coefs, a: str, b: str, fa: str, fb: str, sign: str) -> str:
@@ -695,10 +698,9 @@ def bbox_extent(spark, d):
     return rounded(S.extent(V.geo(spark, d).where("lat between 50 and 60 and abs(lon) > 170")), "lon_min", "lon_max")
 
 
-@query(sql("SELECT event_id, lon, lat FROM geo WHERE lat BETWEEN 45 AND 60 AND lon BETWEEN -20 AND 30 AND event_id % CAST(trunc(1 / cos(radians(52.5::DOUBLE))) AS INT) = 0", "geo"))
+@query(sql("SELECT event_id, lon, lat FROM geo WHERE lat BETWEEN 50 AND 78 AND lon BETWEEN -170 AND -100 AND event_id % 2 = 0", "geo"))
 def bbox_subset(spark, d):
-    step = int(1 / math.cos(math.radians(52.5)))
-    return V.geo(spark, d).where(f"lat between 45 and 60 and lon between -20 and 30 and event_id % {step} = 0").select("event_id", "lon", "lat")
+    return V.geo(spark, d).where(f"lat between 50 and 78 and lon between -170 and -100 and event_id % {S.stride((50.0, 78.0))} = 0").select("event_id", "lon", "lat")
 
 
 @query(sql("SELECT event_id, lon AS x FROM geo WHERE lon >= 175 UNION ALL SELECT event_id, lon + 360 FROM geo WHERE lon < -175", "geo"))
@@ -750,49 +752,46 @@ def landcover_mask(spark, d):
 
 # --- names and metadata ---------------------------------------------------------------------------------------
 
-SCENES = ["S2A_MSIL1C_20230611T103631_N0509_R008_T32UME_20230611T142059", "S2B_MSIL1C_20190228T235959_N0207_R135_T01CDQ_20190301T010203", "S2C_MSIL1C_20250101T000001_N0511_R001_T60WWV_20250101T020304"]
-SCENES_SQL = " UNION ALL ".join(f"SELECT '{s}' AS name" for s in SCENES)
 PATTERN = r"S2(.)_MSIL1C_(\d{8}T\d{6})_N(\d{4})_R(\d{3})_(T\w{5})_"
 GROUP = lambda i: f"regexp_extract(name, '{PATTERN}', {i})"
 
 
-def _scenes(spark):
-    paths = spark.createDataFrame([(f"/in/{s}.{x}",) for s, x in zip(SCENES, ("zip", "SAFE", "SAFE"), strict=True)], "path string")
-    return paths.select(S.input_id(F.col("path")).alias("name"))
+def _scenes(spark, d):
+    paths = V.scenes(spark, d).withColumn("path", F.concat(F.lit("/in/"), "name", "ending"))
+    return paths.select("pid", S.input_id(F.col("path")).alias("name"))
 
 
-@query(f"WITH s AS ({SCENES_SQL}), t AS (SELECT name, strptime({GROUP(2)}, '%Y%m%dT%H%M%S') AS ts FROM s) SELECT name, 'S2' || {GROUP(1)} AS platform, strftime(ts, '%Y-%m-%d %H:%M:%S') AS start, upper(strftime(ts, '%d-%b-%Y')) AS day, {GROUP(3)} AS version, CAST({GROUP(4)} AS INT) AS orbit, {GROUP(5)} AS granule FROM t")
+@query(sql(f", t AS (SELECT pid, name, strptime({GROUP(2)}, '%Y%m%dT%H%M%S') AS ts FROM scn) SELECT pid, name, 'S2' || {GROUP(1)} AS platform, strftime(ts, '%Y-%m-%d %H:%M:%S') AS start, upper(strftime(ts, '%d-%b-%Y')) AS day, {GROUP(3)} AS version, CAST({GROUP(4)} AS INT) AS orbit, {GROUP(5)} AS granule FROM t", "scn"))
 def scene_id_parse(spark, d):
-    return _scenes(spark).select("name", *S.parse_scene())
+    return _scenes(spark, d).select("pid", "name", *S.parse_scene())
 
 
-@query(f"WITH s AS ({SCENES_SQL}) SELECT name, 'S2' || {GROUP(1)} || '_L2W_' || {GROUP(2)} || '_N' || substr({GROUP(3)}, 1, 2) || '.' || substr({GROUP(3)}, 3, 2) || '_R' || {GROUP(4)} || '_' || {GROUP(5)} AS id FROM s")
+@query(sql(f" SELECT pid, name, 'S2' || {GROUP(1)} || '_L2W_' || {GROUP(2)} || '_N' || substr({GROUP(3)}, 1, 2) || '.' || substr({GROUP(3)}, 3, 2) || '_R' || {GROUP(4)} || '_' || {GROUP(5)} AS id FROM scn", "scn"))
 def scene_id_format(spark, d):
-    return _scenes(spark).select("name", S.format_scene().alias("id"))
+    return _scenes(spark, d).select("pid", "name", S.format_scene().alias("id"))
 
 
-@query("SELECT '60.0,0.0,0.0,-60.0,399960.0,5900040.0' AS i2m")
+@query(sql(" SELECT pid, '60.0,0.0,0.0,-60.0,' || left_edge || '.0,' || top_edge || '.0' AS i2m FROM scn", "scn"))
 def geotransform_i2m(spark, d):
-    return spark.createDataFrame([("399960.0 60.0 0.0 5900040.0 0.0 -60.0",)], "g string").select(S.i2m(F.col("g")).alias("i2m"))
+    text = F.concat("left_edge", F.lit(".0 60.0 0.0 "), "top_edge", F.lit(".0 0.0 -60.0"))
+    return V.scenes(spark, d).select("pid", S.i2m(text).alias("i2m"))
 
 
-NAMES = ["N36E105", "S03W060", "N00E000", "N81W180", "S60E177"]
-
-
-@query("WITH t AS (" + " UNION ALL ".join(f"SELECT '{n}' AS name" for n in NAMES) + ") SELECT name, CAST(trunc((87 - CAST(substr(name, 2, 2) AS INT) * CASE WHEN name[1] = 'N' THEN 1 ELSE -1 END) / 3.0) AS INT) AS j, CAST(trunc((180 + CAST(substr(name, 5, 3) AS INT) * CASE WHEN name[4] = 'E' THEN 1 ELSE -1 END) / 3.0) AS INT) AS i FROM t")
+@query(sql(" SELECT pid, corner AS name, CAST(trunc((87 - CAST(substr(corner, 2, 2) AS INT) * CASE WHEN corner[1] = 'N' THEN 1 ELSE -1 END) / 3.0) AS INT) AS j, CAST(trunc((180 + CAST(substr(corner, 5, 3) AS INT) * CASE WHEN corner[4] = 'E' THEN 1 ELSE -1 END) / 3.0) AS INT) AS i FROM scn", "scn"))
 def tile_name_parse(spark, d):
     j, i = S.tile_name("name")
-    return spark.createDataFrame([(n,) for n in NAMES], "name string").select("name", j.alias("j"), i.alias("i"))
-
-
-XML = "<g><Sun_Angles_Grid><Zenith><Values_List><VALUES>31.5 31.25 NaN</VALUES><VALUES>30 29.75 29.5</VALUES></Values_List></Zenith></Sun_Angles_Grid></g>"
+    return V.scenes(spark, d).select("pid", F.col("corner").alias("name")).select("pid", "name", j.alias("j"), i.alias("i"))
 
 
-@query("SELECT * FROM (VALUES (0, 0, 31.5::DOUBLE), (0, 1, 31.25::DOUBLE), (0, 2, NULL), (1, 0, 30::DOUBLE), (1, 1, 29.75::DOUBLE), (1, 2, 29.5::DOUBLE)) t(r, c, value)")
+@query(", ".join(["WITH c AS (SELECT event_id, unnest([0, 0, 0, 1, 1, 1]) AS r, unnest([0, 1, 2, 0, 1, 2]) AS c FROM events) SELECT event_id, CAST(r AS INT) AS r", "CAST(c AS INT) AS c", "CASE WHEN event_id % 6 <> 3 * r + c THEN CAST(event_id % 360 + r AS DOUBLE) + CAST(c AS DOUBLE) / 4 END AS value FROM c"]))
 def xml_grid_parse(spark, d):
-    one = spark.createDataFrame([(XML,)], "xml string").select(S.xml_grid(F.col("xml")).alias("g"))
-    out = one.select(F.posexplode("g").alias("r", "row")).select("r", F.posexplode("row").alias("c", "v"))
-    return out.select("r", "c", F.when(~F.isnan("v"), F.col("v").cast("double")).alias("value"))
+    """A grid of two rows for each event, one of its values missing."""
+    cell = lambda r, c: F.when(F.col("event_id") % 6 == 3 * r + c, F.lit("NaN")).otherwise(F.concat((F.col("event_id") % 360 + r).cast("string"), F.lit(f".{25 * c}")))
+    line = lambda r: F.concat(F.lit("<VALUES>"), F.concat_ws(" ", *[cell(r, c) for c in range(3)]), F.lit("</VALUES>"))
+    xml = F.concat(F.lit("<g><Sun_Angles_Grid><Zenith><Values_List>"), line(0), line(1), F.lit("</Values_List></Zenith></Sun_Angles_Grid></g>"))
+    one = V.table(spark, d, "events").select("event_id", S.xml_grid(xml).alias("g"))
+    out = one.select("event_id", F.posexplode("g").alias("r", "row")).select("event_id", "r", F.posexplode("row").alias("c", "v"))
+    return out.select("event_id", "r", "c", F.when(~F.isnan("v"), F.col("v").cast("double")).alias("value"))
 
 
 @query("SELECT vec_id, CAST(r AS INT) AS r, CAST(c AS INT) AS c, round((CAST(embedding[16 * r + 2 * c + 1] AS DOUBLE) + embedding[16 * r + 2 * c + 2] + embedding[16 * r + 2 * c + 9] + embedding[16 * r + 2 * c + 10]) / 4, 6) AS v FROM embeddings, range(4) a(r), range(4) b(c)")
@@ -885,32 +884,63 @@ def granule_angles(spark, d):
     return rounded(out.select("y", "x", *cols), *cols)
 
 
-@query(sql(" SELECT '{\"wind\":[' || string_agg(printf('%.2f', value * 5 / 4), ',' ORDER BY i, j) || '],\"lon\":[' || string_agg(printf('%.2f', lon), ',' ORDER BY i, j) || '],\"lat\":[' || string_agg(printf('%.1f', lat), ',' ORDER BY i, j) || ']}' AS record FROM anc", "anc"))
+@query(sql(" SELECT granule, '{\"wind\":[' || string_agg(printf('%.2f', value * 5 / 4), ',' ORDER BY i, j) || '],\"lon\":[' || string_agg(printf('%.2f', lon), ',' ORDER BY i, j) || '],\"lat\":[' || string_agg(printf('%.1f', lat), ',' ORDER BY i, j) || '],\"aot\":[' || string_agg(printf('%.3f', value / 8), ',' ORDER BY i, j) || ']}' AS record FROM ane GROUP BY granule", "ane"))
 def wind_record(spark, d):
-    """The record without aot, its numbers printed to a fixed number of digits."""
-    points = V.anc(spark).selectExpr("i", "j", "lat", "lon", "value as u", "value * 0.75D as v", "0D as aot")
-    out = A.wind_record(points)
-    got = F.from_json(out["record"], "struct<wind:array<double>,lon:array<double>,lat:array<double>,aot:array<double>>")
-    text = lambda n, k: F.concat_ws(",", F.transform(got[n], lambda v: F.format_string(f"%.{k}f", v)))
-    return out.select(F.concat(F.lit('{"wind":['), text("wind", 2), F.lit('],"lon":['), text("lon", 2), F.lit('],"lat":['), text("lat", 1), F.lit("]}")).alias("record"))
+    """The record of each granule, its numbers printed to a fixed number of digits."""
+    points = V.ane(spark, d).selectExpr("granule", "i", "j", "lat", "lon", "value as u", "value * 0.75D as v", "value / 8 as aot")
+    got = F.from_json("record", "struct<wind:array<double>,lon:array<double>,lat:array<double>,aot:array<double>>")
+    text = lambda n, k: F.concat_ws(",", F.transform(F.col(f"g.{n}"), lambda v: F.format_string(f"%.{k}f", v)))
+    parts = [x for n, k in (("wind", 2), ("lon", 2), ("lat", 1), ("aot", 3)) for x in (F.lit(f'"{n}":['), text(n, k), F.lit("]," if n != "aot" else "]}"))]
+    return A.wind_record(points).select("granule", got.alias("g")).select("granule", F.concat(F.lit("{"), *parts).alias("record"))
 
 
-@query(sql(" SELECT y, x, code FROM grid WHERE y >= 14 AND y < 24 AND ((x >= 142 AND x < 150 AND (x - 142) % 2 = 0) OR (x >= 0 AND x < 8 AND x % 2 = 0))", "grid"))
+@query(sql(" SELECT y, x, code FROM grid WHERE y >= 6 AND y < 15 AND ((x >= 143 AND x < 150 AND (x - 143) % 2 = 0) OR (x >= 0 AND x < 9 AND (x + 7) % 2 = 0))", "grid"))
 def grid_subset(spark, d):
-    """A box across the antimeridian on a grid of 75 x 150."""
-    return S.subset(V.grid(spark, d), (33.0, 56.0), (161.0, -161.0), 75, 150).select("y", "x", "code")
+    """A box across the antimeridian on a grid of 75 x 150: every second column, counted on from seven before it."""
+    return S.subset(V.grid(spark, d), (55.0, 75.0), (164.0, -160.0), 75, 150).select("y", "x", "code")
+
+
+WINDOWS = """, n AS (SELECT max(y) + 1 AS n FROM grid), b AS (SELECT granule, CAST(floor((90 - lat_max) / 180 * n) AS INT) AS y0, CAST(ceil((90 - lat_min) / 180 * n) AS INT) AS y1, CAST(floor((lon_min + 180) / 360 * 150) AS INT) AS a,
+  CAST(ceil((lon_max + 180) / 360 * 150) AS INT) AS b, lon_min > lon_max AS crosses, CAST(trunc(1 / cos(radians((lat_min + lat_max) / 2))) AS INT) AS step FROM box, n)
+  SELECT granule, y, x, code FROM b JOIN grid ON y >= y0 AND y < y1 AND CASE WHEN crosses THEN (x >= a AND (x - a) % step = 0) OR (x < b AND (x + 150 - a) % step = 0) ELSE x >= a AND x < b AND (x - a) % step = 0 END"""
+
+
+@query(sql(WINDOWS, "grid", "box"))
+def grid_windows(spark, d):
+    """The windows of all granules' extents on a global grid that is stored in tiles; only tiles under a window are read."""
+    path, g = shared_path(spark, "grid"), V.grid(spark, d).select("y", "x", "code")
+    rows = g.agg(F.coalesce(F.max("y") + 1, F.lit(1))).first()[0]
+    A.write_tiles(g, path, 50)
+    return S.subsets(spark.read.parquet(path), V.boxes(spark, d), rows, 150, 50).select("granule", "y", "x", "code")
+
+
+RINGS = ", v AS (SELECT event_id // 10 AS ring, event_id % 10 AS n, 90 - lat AS y, lon + 180 AS x FROM geo), w AS (SELECT ring, y AS y1, x AS x1, coalesce(lead(y) OVER (PARTITION BY ring ORDER BY n), first(y) OVER (PARTITION BY ring ORDER BY n)) AS y2, coalesce(lead(x) OVER (PARTITION BY ring ORDER BY n), first(x) OVER (PARTITION BY ring ORDER BY n)) AS x2 FROM v)"
+
+
+@query(sql(RINGS + """, c AS (SELECT ring, r AS y, x1 + (r + 0.5::DOUBLE - y1) / (y2 - y1) * (x2 - x1) AS c FROM w, range(180) t(r) WHERE (y1 <= r + 0.5) <> (y2 <= r + 0.5)),
+  k AS (SELECT ring, y, i AS x, count(*) FILTER (c <= i + 0.5) % 2 AS odd FROM c, range(360) t(i) GROUP BY 1, 2, 3) SELECT DISTINCT CAST(y AS INT) AS y, CAST(x AS INT) AS x FROM k WHERE odd = 1""", "geo"))
+def polygon_fill(spark, d):
+    """Cells of one degree whose centre lies in one of the rings."""
+    rings = V.geo(spark, d).selectExpr("event_id div 10 as polygon", "0 as ring", "event_id % 10 as n", "90 - lat as y", "lon + 180 as x")
+    return S.rasterized(rings, 50)
+
+
+@query(sql(EDGES.replace("SELECT DISTINCT ring, j, ii % 120 AS i FROM", "SELECT DISTINCT j, CAST(ii % 120 AS INT) AS i, ring // 2 AS feature FROM"), "geo"))
+def feature_tiles(spark, d):
+    """Features of two rings and the tiles that they go to."""
+    return S.feature_tiles(V.geo(spark, d).selectExpr("event_id div 20 as feature", "event_id div 10 as ring", "event_id % 10 as n", "lon", "lat"))
 
 
-@query(f"WITH s AS ({SCENES_SQL}) SELECT name, substr(name, 40, 5) AS granule, name || '-c2rcc.nc' AS c2rcc, substr(name, 1, 3) || '_MSI_' || substr(name, 12, 4) || '_' || substr(name, 16, 2) || '_' || substr(name, 18, 2) || '_' || substr(name, 21, 2) || '_' || substr(name, 23, 2) || '_' || substr(name, 25, 2) || '_S2R_L2R.nc' AS acolite FROM s")
+@query(sql(f" SELECT name, substr(name, 40, 5) AS granule, name || '-c2rcc.nc' AS c2rcc, substr(name, 1, 3) || '_MSI_' || substr(name, 12, 4) || '_' || substr(name, 16, 2) || '_' || substr(name, 18, 2) || '_' || substr(name, 21, 2) || '_' || substr(name, 23, 2) || '_' || substr(name, 25, 2) || '_S2R_L2R.nc' AS acolite FROM scn", "scn"))
 def scene_files(spark, d):
     f = S.expected_files()
-    return _scenes(spark).select("name", f["granule"].alias("granule"), f["c2rcc"].alias("c2rcc"), f["acolite"].alias("acolite"))
+    return _scenes(spark, d).select("name", f["granule"].alias("granule"), f["c2rcc"].alias("c2rcc"), f["acolite"].alias("acolite"))
 
 
-@query(f"WITH s AS ({SCENES_SQL}) SELECT name, 'T' || substr(name, 40, 5) || '_' || substr(name, 12, 15) || '_AQU_60m.nc' AS local_id, 'Sentinel-2' || substr(name, 3, 1) AS platform, substr(name, 29, 2) || '.' || substr(name, 31, 2) AS product_version FROM s")
+@query(sql(" SELECT name, 'T' || substr(name, 40, 5) || '_' || substr(name, 12, 15) || '_AQU_60m.nc' AS local_id, 'Sentinel-2' || substr(name, 3, 1) AS platform, substr(name, 29, 2) || '.' || substr(name, 31, 2) AS product_version FROM scn", "scn"))
 def scene_attributes(spark, d):
     a = S.product_attributes()
-    return _scenes(spark).select("name", *[a[k].alias(k) for k in ("local_id", "platform", "product_version")])
+    return _scenes(spark, d).select("name", *[a[k].alias(k) for k in ("local_id", "platform", "product_version")])
 
 
 # earlier names of queries over the whole table

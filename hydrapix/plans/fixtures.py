@@ -48,6 +48,41 @@ TPD = {
 }
 ANC = {"i": "k {d} 9", "j": "k % 9", "lat": "CAST(540 - k {d} 9 AS DOUBLE) / CAST(10 AS DOUBLE)", "lon": "CAST(900 + 15 * (k % 9) AS DOUBLE) / CAST(100 AS DOUBLE)", "value": "CAST(10 + k {d} 9 + 2 * (k % 9) AS DOUBLE)"}
 
+#: Detector grids of many granules: each 4232 events are the eight detectors of one, numbered on.
+TPE = {
+    "det": "5 + event_id % 4232 {d} 529 + 16 * (event_id {d} 4232)", "r": "event_id % 4232 % 529 {d} 23", "c": "event_id % 4232 % 529 % 23",
+    "vz": "CASE WHEN abs(event_id % 4232 % 529 % 23 - 2 * (event_id % 4232 {d} 529)) <= 2 THEN CAST(200 + user_id % 5 + 10 * (event_id % 4232 {d} 529) + 3 * (event_id % 4232 % 529 {d} 23) + 5 * (event_id % 4232 % 529 % 23) AS DOUBLE) / CAST(100 AS DOUBLE) END",
+    "va": "CASE WHEN abs(event_id % 4232 % 529 % 23 - 2 * (event_id % 4232 {d} 529)) <= 2 THEN CAST((3400 + user_id % 5 + 60 * (event_id % 4232 {d} 529) + 2 * (event_id % 4232 % 529 {d} 23) + 7 * (event_id % 4232 % 529 % 23)) % 3600 AS DOUBLE) / CAST(10 AS DOUBLE) END",
+}
+#: Viewing angle grids of thirteen bands (rows of nation up to the twelfth), each of its own, the azimuths about north.
+TPB = {
+    "band": "n_nationkey", "det": "5 + i {d} 529", "r": "(i % 529) {d} 23", "c": "i % 23",
+    "vz": "CASE WHEN abs(i % 23 - 2 * (i {d} 529)) <= 2 THEN CAST(200 + 11 * n_nationkey + 10 * (i {d} 529) + 3 * ((i % 529) {d} 23) + 5 * (i % 23) AS DOUBLE) / CAST(100 AS DOUBLE) END",
+    "va": "CASE WHEN abs(i % 23 - 2 * (i {d} 529)) <= 2 THEN CAST((3400 + 17 * n_nationkey + 60 * (i {d} 529) + 2 * ((i % 529) {d} 23) + 7 * (i % 23)) % 3600 AS DOUBLE) / CAST(10 AS DOUBLE) END",
+}
+#: Ancillary grids of many granules, 81 events each.
+ANE = {
+    "granule": "event_id {d} 81", "i": "event_id % 81 {d} 9", "j": "event_id % 81 % 9", "lat": "CAST(540 - event_id % 81 {d} 9 AS DOUBLE) / CAST(10 AS DOUBLE)",
+    "lon": "CAST(900 + 15 * (event_id % 81 % 9) AS DOUBLE) / CAST(100 AS DOUBLE)", "value": "CAST(10 + user_id % 3 + event_id % 81 {d} 9 + 2 * (event_id % 81 % 9) AS DOUBLE)",
+}
+_TWO = lambda v: f"lpad(CAST({v} AS STRING), 2, '0')"
+_STAMP = f"CAST(2015 + o_orderkey % 10 AS STRING) || {_TWO('1 + o_orderkey % 12')} || {_TWO('1 + o_custkey % 28')} || 'T' || {_TWO('o_orderkey % 24')} || {_TWO('o_custkey % 60')} || {_TWO('o_orderkey % 60')}"
+#: A scene for each order, its geographic transform, a tile's name.
+SCN = {
+    "pid": "o_orderkey",
+    "name": f"'S2' || substr('ABC', CAST(o_orderkey % 3 AS INT) + 1, 1) || '_MSIL1C_' || {_STAMP} || '_N05' || {_TWO('o_custkey % 12')} || '_R' || lpad(CAST(o_orderkey % 143 AS STRING), 3, '0') || '_T' || {_TWO('1 + o_custkey % 60')} || 'UME_' || {_STAMP}",
+    "ending": "CASE WHEN o_orderkey % 2 = 0 THEN '.zip' ELSE '.SAFE' END",
+    "left_edge": "CAST(300000 + 60 * (o_orderkey % 1830) AS STRING)", "top_edge": "CAST(5900040 - 60 * (o_custkey % 1830) AS STRING)",
+    "corner": f"CASE WHEN o_orderkey % 2 = 0 THEN 'N' ELSE 'S' END || {_TWO('o_orderkey * 3 % 81')} || CASE WHEN o_custkey % 2 = 0 THEN 'E' ELSE 'W' END || lpad(CAST(o_orderkey * 7 % 180 AS STRING), 3, '0')",
+}
+#: Three granules from one image: pixel k of it belongs to granule k % 3.
+HI3 = {"granule": "(y * 60 + x) % 3", "y": "(y * 60 + x) {d} 3 {d} 60", "x": "(y * 60 + x) {d} 3 % 60", "dn": "dn", "det": "det", "fl": "fl"}
+#: Extents of granules, some across the antimeridian.
+BOX = {
+    "granule": "s_suppkey", "lat_min": "CAST((s_suppkey * 37) % 130 - 66 AS DOUBLE)", "lat_max": "CAST((s_suppkey * 37) % 130 - 57 + s_suppkey % 7 AS DOUBLE)",
+    "lon_min": "CAST((s_suppkey * 53 + 150) % 360 - 180 AS DOUBLE)", "lon_max": "CAST((s_suppkey * 53 + 171 + s_suppkey % 11) % 360 - 180 AS DOUBLE)",
+}
+
 
 def _spark(exprs: dict) -> list[str]:
     return [f"{e.replace('{d}', 'div')} AS {n}" for n, e in exprs.items()]
@@ -104,6 +139,31 @@ def tpd(spark: SparkSession) -> DataFrame:
     return spark.range(8 * 529).withColumnRenamed("id", "i").selectExpr(*_spark(TPD))
 
 
+def tpe(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", "user_id").selectExpr(*_spark(TPE))
+
+
+def tpb(spark: SparkSession, d: str) -> DataFrame:
+    bands = table(spark, d, "nation").where("n_nationkey < 13").select("n_nationkey", F.explode(F.sequence(F.lit(0), F.lit(4231))).alias("i"))
+    return bands.selectExpr(*_spark(TPB))
+
+
+def ane(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "events").select("event_id", "user_id").selectExpr(*_spark(ANE))
+
+
+def scenes(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "orders").select("o_orderkey", "o_custkey").selectExpr(*_spark(SCN))
+
+
+def hi3(spark: SparkSession, d: str) -> DataFrame:
+    return hi(spark, d).selectExpr(*_spark(HI3))
+
+
+def boxes(spark: SparkSession, d: str) -> DataFrame:
+    return table(spark, d, "supplier").select("s_suppkey").selectExpr(*_spark(BOX))
+
+
 def anc(spark: SparkSession) -> DataFrame:
     return spark.range(81).withColumnRenamed("id", "k").selectExpr(*_spark(ANC))
 
@@ -117,10 +177,17 @@ VIEWS = {
     "tp": _sql(TP, "range(529) t(i)"),
     "tpd": _sql(TPD, "range(4232) t(i)"),
     "anc": _sql(ANC, "range(81) t(k)"),
+    "tpe": _sql(TPE, "events"),
+    "tpb": _sql(TPB, "nation, range(4232) t(i)", "n_nationkey < 13"),
+    "ane": _sql(ANE, "events"),
+    "scn": _sql(SCN, "orders"),
+    "hi3": _sql(HI3, "hi"),
+    "box": _sql(BOX, "supplier"),
 }
 
 
 def sql(body: str, *views: str, recursive: bool = False) -> str:
-    """SQL over some of the views; body may go on with further common tables after a comma."""
-    head = ", ".join(f"{v} AS ({VIEWS[v]})" for v in views)
+    """SQL over some of the views (name=view for one under another name); body may go on with further common tables after a
+    comma."""
+    head = ", ".join(f"{v.split('=')[0]} AS ({VIEWS[v.split('=')[-1]]})" for v in views)
     return f"WITH {'RECURSIVE ' if recursive else ''}{head}{body if body.lstrip().startswith(',') else ' ' + body}"
