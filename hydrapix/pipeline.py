@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .operators import granule, interpolate, resample, switching
-from .sources.rasters import append_statistics, write_tiles
+from .sources.rasters import append_statistics, save_layers, write_tiles, zipped
 
 
 def resample_band(df: DataFrame, value: str, source_res: int, target_res: int, rows: int, cols: int, downsampling: str = "mean", upsampling: str = "bilinear", reflectance: bool = True) -> DataFrame:
@@ -25,8 +25,9 @@ def resample_band(df: DataFrame, value: str, source_res: int, target_res: int, r
 
 def switch(stack: DataFrame, path: str, product: str, copy_inputs: bool = False, acolite_index: str = "reference", tile: int = 610) -> DataFrame:
     """Writes the water product as tiles, appends its statistics, and returns the product. The pixel frame is
-    computed once, for the table; the statistics are counted from what was written."""
-    out = switching.l2w(stack, acolite_index, copy_inputs, keep=("s2wmask",))
+    computed once, for the table; the statistics, of all its granules, are counted from what was written."""
+    many = [c for c in ("granule",) if c in stack.columns]
+    out = switching.l2w(stack, acolite_index, copy_inputs, keep=("s2wmask", *many))
     write_tiles(out, f"{path}/pixels", tile)
     done = out.sparkSession.read.parquet(f"{path}/pixels")
     append_statistics(switching.scene_statistics(done), f"{path}/statistics", product)
@@ -34,10 +35,15 @@ def switch(stack: DataFrame, path: str, product: str, copy_inputs: bool = False,
 
 
 def static_mask(regional: DataFrame | None, everywhere: DataFrame | None, pixels: DataFrame) -> DataFrame:
-    """Mask code of each pixel: the regional mask, else the global one, else ocean."""
+    """Mask code of each pixel: the regional mask, else the global one, else ocean. Masks of several granules have a column
+    granule."""
     out = pixels
     for n, m in (("m1", regional), ("m2", everywhere)):
-        out = out.join(m.select("y", "x", F.col("code").alias(n)), ["y", "x"], "left") if m is not None else out.withColumn(n, F.lit(None).cast("int"))
+        if m is None:
+            out = out.withColumn(n, F.lit(None).cast("int"))
+        else:
+            key = resample.place(m)
+            out = out.join(m.select(*key, F.col("code").alias(n)), key, "left")
     return out.withColumn("s2wmask", F.coalesce("m1", "m2", F.lit(64))).drop("m1", "m2")
 
 
@@ -47,22 +53,32 @@ def process(
     corrections: list[DataFrame],
     path: str,
     product: str,
-    angles: dict[str, DataFrame] | None = None,
-    sun: dict[str, DataFrame] | None = None,
+    angles: DataFrame | dict[str, DataFrame] | None = None,
+    sun: DataFrame | dict[str, DataFrame] | None = None,
     masks: tuple[DataFrame | None, DataFrame | None] = (None, None),
     resolution: int = 60,
+    tile: int = 610,
     **options,
 ) -> DataFrame:
-    """The whole chain of a granule: bands to one resolution, with sun and viewing angles, then the results of the
-    external corrections (tables by y and x) and the static mask, then switching, the product's tiles and statistics.
-    Numbers B2, B4 and B11 and the quality flags of all bands serve classification."""
+    """The whole chain: bands to one resolution, with sun and viewing angles, then the results of the external corrections
+    (tables by y and x) and the static mask, then switching, the product's tiles and statistics. Numbers B2, B4 and B11 and
+    the quality flags of all bands serve classification. sun is a tie-point grid (r, c, and its layers).
+
+    With a column granule in all tables one job does many granules. The resampled image, the corrections and the masks are
+    then stored bucketed by granule and tile and meet without a shuffle; the product has that column too."""
+    many = "granule" in images[resolution].columns
     out = granule.resample_granule(images, resolution, shape, **options)
-    if angles:
+    if angles is not None:
         out = granule.viewing_angles(out, angles, resolution, "master_detfoo" if options.get("detector_filter", True) else None)
-    for name, grid in (sun or {}).items():
-        out = out.join(interpolate.tie_points(out.select("y", "x"), grid, name, resolution), ["y", "x"])
-    for table in corrections:
-        out = out.join(table, ["y", "x"])
+    for grid in sun.values() if isinstance(sun, dict) else [sun] if sun is not None else []:
+        layers = [c for c in grid.columns if c not in ("granule", "r", "c")]
+        out = interpolate.with_tie_points(out, grid, layers, resolution)
+    if many:
+        layers = {"resampled": out} | {f"correction{i}": t for i, t in enumerate(corrections)}
+        out = zipped(save_layers(layers, f"{path}/layers", tile)).drop("tile_y", "tile_x")
+    else:
+        for table in corrections:
+            out = out.join(table, resample.place(out))
     out = static_mask(*masks, out)
     out = out.withColumnsRenamed({"B2": "b2", "B4": "b4", "B11": "b11"}).withColumn("pid", F.col("y").cast("long") * (shape[1] * 60 // resolution) + F.col("x"))
-    return switch(out, path, product)
+    return switch(out, path, product, tile=tile)

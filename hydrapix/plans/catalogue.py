@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import pipeline as P
 from ..functions import columns as C
 from ..operators import granule as G
 from ..operators import interpolate as I
@@ -868,22 +869,122 @@ def granule_masks(spark, d):
     return out.select("y", "x", sum((F.col(n).cast("int") for n in names), F.lit(0)).alias("masks"), "detector_footprint_7", "msi_lost_B5")
 
 
-VIEWS_SQL = PLANE + f", fl AS ({FILLED}), rf AS (SELECT det, arg_min(va, r * 100 + c) AS ref FROM fl WHERE vz IS NOT NULL AND va IS NOT NULL GROUP BY 1)" + f""",
-  g AS (SELECT fl.det, r, c, vz, ((va - ref + 540) % 360 + 360) % 360 - 180 AS va, ref FROM fl JOIN rf ON rf.det = fl.det WHERE vz IS NOT NULL AND va IS NOT NULL), w AS (SELECT y, x, det, {CELL} FROM hi),
-  o AS (SELECT w.y, w.x, {MIX.format(*(f'{n}.vz' for n in 'abef'))} AS z, (({MIX.format(*(f'{n}.va' for n in 'abef'))} + a.ref + 360) % 360 + 360) % 360 AS q
-    FROM w {" ".join(f"LEFT JOIN g {n} ON {n}.det = w.det AND {n}.r = w.r + {i} AND {n}.c = w.c + {j}" for n, i, j in (("a", 0, 0), ("b", 0, 1), ("e", 1, 0), ("f", 1, 1)))})
-  SELECT y, x, round(z, 6) AS view_zenith_B2, round(q, 6) AS view_azimuth_B2, round(z, 6) AS view_zenith_mean, round(q, 6) AS view_azimuth_mean FROM o"""
+ANGLE_BANDS = list(G.RESOLUTIONS)
+BAND_PLANES = PLANE.replace("tpd", "tpk") + f", fl AS ({FILLED.replace('tpd', 'tpk')}), rf AS (SELECT det, arg_min(va, r * 100 + c) AS ref FROM fl WHERE vz IS NOT NULL AND va IS NOT NULL GROUP BY 1)"
 
 
-@query(sql(VIEWS_SQL, "hi", "tpd"))
+def _views_sql() -> str:
+    """Each band's angles from its own grid (a detector of a band has the number 100 * band + detector), then their means."""
+    bands = range(len(ANGLE_BANDS))
+    turn = "q > 270"
+    return f""", tpk AS (SELECT band * 100 + det AS det, r, c, vz, va FROM tpb){BAND_PLANES},
+  g AS (SELECT fl.det, r, c, vz, ((va - ref + 540) % 360 + 360) % 360 - 180 AS va, ref FROM fl JOIN rf ON rf.det = fl.det WHERE vz IS NOT NULL AND va IS NOT NULL),
+  w AS (SELECT y, x, band, band * 100 + hi.det AS det, {CELL} FROM hi, range(13) t(band)),
+  o AS (SELECT w.y, w.x, w.band, {MIX.format(*(f'{n}.vz' for n in 'abef'))} AS z, (({MIX.format(*(f'{n}.va' for n in 'abef'))} + a.ref + 360) % 360 + 360) % 360 AS q
+    FROM w {" ".join(f"LEFT JOIN g {n} ON {n}.det = w.det AND {n}.r = w.r + {i} AND {n}.c = w.c + {j}" for n, i, j in (("a", 0, 0), ("b", 0, 1), ("e", 1, 0), ("f", 1, 1)))}),
+  m AS (SELECT y, x, avg(z) AS z, max(q) > 270 AS turn, avg(q) AS plain, avg((q + 180) % 360) AS turned FROM o GROUP BY y, x)
+  SELECT m.y, m.x, {", ".join(f"round(max(CASE WHEN o.band = {i} THEN o.{k} END), 6) AS view_{n}_{ANGLE_BANDS[i]}" for i in bands for k, n in (("z", "zenith"), ("q", "azimuth")))},
+    round(any_value(m.z), 6) AS view_zenith_mean, round(CASE WHEN any_value(turn) THEN (any_value(turned) + 180) % 360 ELSE any_value(plain) END, 6) AS view_azimuth_mean
+  FROM m JOIN o ON o.y = m.y AND o.x = m.x GROUP BY m.y, m.x"""
+
+
+@query(sql(_views_sql(), "hi", "tpb"))
 def granule_angles(spark, d):
-    """Angles of two bands with one grid, so that their means are the angles themselves."""
+    """Zenith and azimuth of thirteen bands, each by a grid of its own, and their means."""
     px = V.hi(spark, d).selectExpr("y", "x", "det as master_detfoo")
-    out = G.viewing_angles(px, {"B2": V.tpd(spark), "B3": V.tpd(spark)}, 600)
-    cols = ["view_zenith_B2", "view_azimuth_B2", "view_zenith_mean", "view_azimuth_mean"]
+    names = F.array(*[F.lit(b) for b in ANGLE_BANDS])
+    grids = V.tpb(spark, d).withColumn("band", names[F.col("band").cast("int")])
+    out = G.viewing_angles(px, grids, 600)
+    cols = [f"view_{k}_{b}" for b in (*ANGLE_BANDS, "mean") for k in ("zenith", "azimuth")]
     return rounded(out.select("y", "x", *cols), *cols)
 
 
+BAND_AT = {b: i for i, b in enumerate(ANGLE_BANDS)}
+DN = "CASE WHEN dn = 0 THEN 0 ELSE dn + {0} END"
+DETECTOR = "CASE WHEN fl = 5 AND {0} = 12 THEN det % 12 + 1 ELSE det END"
+
+
+def _many_images(spark, d) -> dict[int, DataFrame]:
+    """Three granules of thirteen bands."""
+    hi, out = V.hi3(spark, d), {}
+    for res, f in ((10, 1), (20, 2), (60, 6)):
+        cols = [c for b, i in BAND_AT.items() if G.RESOLUTIONS[b] == res for c in (f"cast({DN.format(7 * i)} as int) as {b}", f"cast({DETECTOR.format(i)} as int) as det_{b}", f"cast(fl * {i + 1} % 256 as int) as q_{b}")]
+        px = hi.where(f"y % {f} = 0 and x % {f} = 0")
+        out[res] = px.selectExpr("granule", f"y div {f} as y", f"x div {f} as x", *cols, *(["cast(fl as int) as cloud_ice"] if res == 60 else []))
+    return out
+
+
+def _many_sql() -> str:
+    own = [b for b in ANGLE_BANDS if G.RESOLUTIONS[b] == 60]
+    out = ", m AS (SELECT granule, y // 6 AS y, x // 6 AS x, det AS d1, CAST(fl AS INT) AS cloud_ice, " + ", ".join(f"CAST({DN.format(7 * BAND_AT[b])} AS INT) AS {b}, CAST(fl * {BAND_AT[b] + 1} % 256 AS INT) AS q_{b}" for b in own) + " FROM hi3 WHERE y % 6 = 0 AND x % 6 = 0)"
+    for name, res, f, k in (("a", 10, 1, 6), ("b", 20, 2, 3)):
+        bands = [b for b in ANGLE_BANDS if G.RESOLUTIONS[b] == res]
+        mid = f"p.y % {k} = {(k - 1) // 2} AND p.x % {k} = {(k - 1) // 2}"
+        cols = ", ".join(f"coalesce(CAST(trunc(avg(nullif({DN.format(7 * BAND_AT[b])}, 0))) AS INT), 0) AS {b}, max(CASE WHEN {mid} THEN CAST(fl * {BAND_AT[b] + 1} % 256 AS INT) END) AS q_{b}, max(CAST({DETECTOR.format(BAND_AT[b])} = d1 AS INT)) AS seen_{b}" for b in bands)
+        out += f", {name}0 AS (SELECT granule, y // {f} AS y, x // {f} AS x, dn, det, fl FROM hi3 WHERE y % {f} = 0 AND x % {f} = 0), {name} AS (SELECT p.granule, p.y // {k} AS y, p.x // {k} AS x, {cols} FROM {name}0 p JOIN m ON m.granule = p.granule AND m.y = p.y // {k} AND m.x = p.x // {k} GROUP BY 1, 2, 3)"
+    return out
+
+
+MANY_MASTER = "CASE WHEN " + " AND ".join(f"seen_{b} = 1" for b in ANGLE_BANDS if G.RESOLUTIONS[b] != 60) + " THEN d1 ELSE 0 END"
+MANY = _many_sql() + f", s AS (SELECT granule, y, x, {', '.join(f'{b}, q_{b}' for b in ANGLE_BANDS)}, cloud_ice, {MANY_MASTER} AS master_detfoo FROM m JOIN a USING (granule, y, x) JOIN b USING (granule, y, x))"
+
+
+@query("WITH hi AS (" + V.VIEWS["hi"] + "), hi3 AS (" + V.VIEWS["hi3"] + ")" + MANY + " SELECT * FROM s")
+def granules_stack(spark, d):
+    """Thirteen bands of several granules to 60 m in one job."""
+    return G.resample_granule(_many_images(spark, d), 60, (0, 10))
+
+
+@query("WITH hi AS (" + V.VIEWS["hi"] + "), hi3 AS (" + V.VIEWS["hi3"] + ")" + MANY + f" SELECT granule, y, x, CAST({' + '.join(f'bit_count(q_{b})' for b in ANGLE_BANDS)} + bit_count(cloud_ice & 7) + CASE WHEN master_detfoo BETWEEN 1 AND 12 THEN 1 ELSE 0 END AS INT) AS masks FROM s")
+def granules_masks(spark, d):
+    """All named masks of thirteen bands: 12 detectors, 8 flags of each band, 3 of clouds and ice."""
+    out = G.with_masks(granules_stack(spark, d))
+    names = [n for n in G.mask_expressions() if n in out.columns]
+    assert len(names) == 12 + 8 * 13 + 3
+    return out.select("granule", "y", "x", sum((F.col(n).cast("int") for n in names), F.lit(0)).alias("masks"))
+
+
+def _by_granule(df: DataFrame) -> DataFrame:
+    """Pixels of one image dealt to three granules."""
+    return df.withColumns({"granule": F.expr("pid % 3"), "y": F.expr("pid div 3 div 150"), "x": F.expr("pid div 3 % 150")})
+
+
+GRANULES_SQL = " SELECT pid % 3 AS granule, (pid // 3) // 150 AS y, (pid // 3) % 150 AS x, " + ", ".join(f"round(rw_{i}, 6) AS Rw{w}" for i, w in enumerate(W.WAVELENGTHS)) + ", pixel_class, flags AS water_flags, pcf AS pixel_classif_flags FROM fin"
+
+
+@query(sql(INLAND + GRANULES_SQL, "px", "ac"))
+def granules_l2w(spark, d):
+    """Switching of several granules: their layers are stored by granule and tile and meet without a shuffle."""
+    layers = {"pixels": _by_granule(V.px(spark, d)), "corrections": _by_granule(V.ac(spark, d)).drop("pid")}
+    stack = A.zipped(A.save_layers(layers, shared_path(spark, "layers"), 50))
+    return rounded(W.l2w(stack, keep=("granule",)).drop("pid"), *[f"Rw{w}" for w in W.WAVELENGTHS])
+
+
+CHAIN = INLAND.replace("FROM px JOIN ac", "FROM (SELECT * REPLACE (b2 + 17 AS b2, b4 + 35 AS b4, b11 + 4 AS b11) FROM px) px JOIN ac")
+
+
+@query(sql(CHAIN + GRANULES_SQL, "px", "ac"))
+def granules_chain(spark, d):
+    """The whole chain of three granules in one job: images of 10, 20 and 60 m, corrections, masks, angles, the product's
+    tiles. A pixel of 60 m is the mean of what its 36 or 9 finer ones add to the view's numbers."""
+    px = _by_granule(V.px(spark, d))
+
+    def finer(f: int, **bands: str) -> DataFrame:
+        at = px.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(f * f - 1))))
+        cols = [c for b, e in bands.items() for c in (f"cast({e} as int) as {b}", f"5 as det_{b}", f"0 as q_{b}")]
+        return at.selectExpr("granule", f"y * {f} + k div {f} as y", f"x * {f} + k % {f} as x", *cols)
+
+    images = {10: finer(6, B2="b2 + k", B4="b4 + 2 * k"), 20: finer(3, B11="b11 + k"), 60: px.selectExpr("granule", "y", "x", "1000 as B1", "5 as det_B1", "cast(q as int) as q_B1", "0 as cloud_ice")}
+    rows = px.agg(F.coalesce(F.max("y") + 1, F.lit(1))).first()[0]
+    corrections = [px.select("granule", "y", "x", "pcf", "c2f"), _by_granule(V.ac(spark, d)).drop("pid")]
+    names = F.array(*[F.lit(b) for b in ANGLE_BANDS])
+    angles = V.tpb(spark, d).withColumn("band", names[F.col("band").cast("int")]).withColumn("granule", F.explode(F.array(*[F.lit(g).cast("long") for g in range(3)])))
+    mask = px.select("granule", "y", "x", F.col("s2wmask").cast("int").alias("code"))
+    done = P.process(images, (rows, 150), corrections, shared_path(spark, "chain"), "granules", angles=angles, masks=(mask, None), tile=50)
+    out = rounded(done.drop("pid", "s2wmask", "tile_y", "tile_x"), *[f"Rw{w}" for w in W.WAVELENGTHS])
+    return out.withColumns({"granule": F.col("granule").cast("long"), "y": F.col("y").cast("long"), "x": F.col("x").cast("long")})
+
+
 @query(sql(" SELECT granule, '{\"wind\":[' || string_agg(printf('%.2f', value * 5 / 4), ',' ORDER BY i, j) || '],\"lon\":[' || string_agg(printf('%.2f', lon), ',' ORDER BY i, j) || '],\"lat\":[' || string_agg(printf('%.1f', lat), ',' ORDER BY i, j) || '],\"aot\":[' || string_agg(printf('%.3f', value / 8), ',' ORDER BY i, j) || ']}' AS record FROM ane GROUP BY granule", "ane"))
 def wind_record(spark, d):
     """The record of each granule, its numbers printed to a fixed number of digits."""
