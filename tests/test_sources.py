@@ -130,3 +130,91 @@ def test_static_mask_falls_back_to_ocean(spark):
     m2 = spark.createDataFrame([(0, 0, 96), (0, 1, 96)], "y int, x int, code int")
     assert [r["s2wmask"] for r in pipeline.static_mask(m1, m2, px).orderBy("x").collect()] == [192, 96, 64]
     assert pipeline.static_mask(None, None, px).where("s2wmask = 64").count() == 3
+
+
+def test_region_arrives_in_parts(spark, tmp_path):
+    """Two batches for one tile keep both; absent tiles read as zeros, and nothing is stored for them."""
+    path, shape = str(tmp_path / "r"), (10, 12)
+    tiles_of = spark.createDataFrame([(y, x) for y in range(2) for x in range(3)], "tile_y int, tile_x int")
+    read = lambda: {(r["y"], r["x"]): (r["v"], r["land"]) for r in rasters.read_region(spark, path, tiles_of, "v long, land boolean", 5, shape).collect()}
+    assert len(read()) == 120 and set(read().values()) == {(0, False)}
+    first = spark.createDataFrame([(0, 0, 5, True), (0, 1, 6, True), (9, 11, 7, True)], "y int, x int, v long, land boolean")
+    rasters.write_region(first, path, 5, shape)
+    rasters.write_region(spark.createDataFrame([(0, 1, 8, False), (4, 4, 9, True)], "y int, x int, v long, land boolean"), path, 5, shape)
+    got = read()
+    assert len(got) == 120 and {k: v for k, v in got.items() if v != (0, False)} == {(0, 0): (5, True), (0, 1): (8, False), (4, 4): (9, True), (9, 11): (7, True)}
+    spark.catalog.clearCache()
+    assert spark.read.parquet(path).count() == 25 + 5 * 2  # two tiles, one of them cut by the image's edge
+    rasters.write_region(first, path, 5, shape)
+    assert read()[0, 1] == (6, True) and read()[4, 4] == (9, True)
+
+
+def test_appends_that_are_repeated(spark, tmp_path):
+    stats = lambda n: spark.createDataFrame([(n, 2)], "a long, b int")
+    for product, n in (("P", 1), ("Q", 5), ("P", 3), ("P", 3)):
+        rasters.append_statistics(stats(n), str(tmp_path / "s"), product)
+        rasters.append_counts(stats(n).selectExpr("a as ocean", "b as inland", "0 as land"), str(tmp_path / "c"), product)
+    assert sorted(tuple(r) for r in spark.read.parquet(str(tmp_path / "s")).select("product", "name", "value").collect()) == [("P", "a", 3), ("P", "b", 2), ("Q", "a", 5), ("Q", "b", 2)]
+    assert sorted(x.value for x in spark.read.text(str(tmp_path / "c")).collect()) == ["P\t3\t2\t0", "Q\t5\t2\t0"]
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_windows_read_their_tiles_alone(spark, tmp_path):
+    path = str(tmp_path / "g")
+    rasters.write_tiles(spark.range(180 * 360).selectExpr("cast(id div 360 as int) y", "cast(id % 360 as int) x", "id % 7 as code"), path, 30)
+    boxes = spark.createDataFrame([("a", 60.0, 62.0, 10.0, 15.0), ("b", -3.5, 2.5, 177.0, -176.0), ("c", 64.0, 70.0, 179.0, -178.0)], "granule string, lat_min double, lat_max double, lon_min double, lon_max double")
+    mask = spark.read.parquet(path)
+    out = scenes.subsets(mask, boxes, 180, 360, 30)
+    assert "dynamicpruning" in plan_of(out)
+    got = {}
+    for r in out.collect():
+        got.setdefault(r["granule"], []).append((r["y"], r["x"]))
+    assert sorted(got["a"]) == [(y, x) for y in (28, 29) for x in range(190, 195, 2)]
+    assert sorted(got["b"]) == sorted((y, x % 360) for y in range(87, 94) for x in range(357, 364))
+    assert sorted(got["c"]) == sorted((y, x % 360) for y in range(20, 26) for x in range(359, 362, 2))
+    for name, lat, lon in (("a", (60.0, 62.0), (10.0, 15.0)), ("b", (-3.5, 2.5), (177.0, -176.0)), ("c", (64.0, 70.0), (179.0, -178.0))):
+        assert sorted((r["y"], r["x"]) for r in scenes.subset(mask, lat, lon, 180, 360).collect()) == sorted(got[name])
+
+
+def test_stored_layers_meet_without_a_shuffle(spark, tmp_path):
+    px = spark.range(3 * 400).selectExpr("id % 3 as granule", "cast(id div 3 div 20 as int) y", "cast(id div 3 % 20 as int) x", "id as v")
+    layers = {"one": px, "two": px.withColumnRenamed("v", "w"), "three": px.withColumnRenamed("v", "u")}
+    out = rasters.zipped(rasters.save_layers(layers, f"file://{tmp_path}/l", 7))
+    assert "Exchange" not in plan_of(out) and "SortMergeJoin" in plan_of(out)
+    assert out.where("v = w and w = u").count() == 1200
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") != "-1"
+
+
+def test_angles_of_all_bands_are_one_lookup(spark):
+    px = fixtures.hi(spark, "/root/testdata/sf0.001").selectExpr("y", "x", "det as master_detfoo")
+    names = F.array(*[F.lit(b) for b in granule.RESOLUTIONS])
+    grids = fixtures.tpb(spark, "/root/testdata/sf0.001").withColumn("band", names[F.col("band").cast("int")])
+    out = granule.viewing_angles(px, grids, 600)
+    assert plan_of(out).count("Exchange ") <= 4 and plan_of(out).count("Join") == 1
+    own = granule.viewing_angles(px.select("y", "x", *[F.col("master_detfoo").alias(f"det_{b}") for b in granule.RESOLUTIONS]), grids, 600, None)
+    cols = ["y", "x", "view_zenith_B12", "view_azimuth_mean"]
+    assert sorted(map(str, out.select(cols).collect())) == sorted(map(str, own.select(cols).collect()))
+
+
+def test_polygons_with_holes_and_overlaps(spark):
+    square = lambda p, ring, a, b: [(p, ring, n, y, x) for n, (y, x) in enumerate(((a, a), (a, b), (b, b), (b, a)))]
+    rows = square(1, 0, 2.0, 12.0) + square(1, 1, 5.0, 9.0) + square(2, 0, 8.0, 14.0) + square(3, 0, 30.0, 30.4) + [(4, 0, 0, 20.0, 1.0), (4, 0, 1, 25.0, 6.0), (4, 0, 2, 25.0, 1.0)]
+    df = spark.createDataFrame(rows, "polygon int, ring int, n int, y double, x double")
+    got = sorted(map(tuple, scenes.rasterized(df, 4).collect()))
+    inside = lambda y, x, a, b: a <= y < b and a <= x < b
+    want = {(y, x) for y in range(20) for x in range(20) if (inside(y, x, 2, 12) and not inside(y, x, 5, 9)) or inside(y, x, 8, 14)}
+    want |= {(y, x) for y in range(20, 25) for x in range(1, 6) if 1 <= x + 0.5 < 1 + (y + 0.5 - 20)}
+    assert got == sorted(want) and scenes.rasterized(df.limit(0), 4).count() == 0
+
+
+def test_features_are_written_to_their_tiles(spark, tmp_path):
+    rings = spark.createDataFrame([("f", 0, 0, 1.0, 1.0), ("f", 0, 1, 8.0, 1.0), ("f", 1, 0, 1.0, 1.0), ("f", 1, 1, 1.5, 1.0), ("g", 0, 0, 7.0, 2.0), ("g", 0, 1, 7.5, 2.0)], "feature string, ring int, n int, lon double, lat double")
+    at = scenes.feature_tiles(rings)
+    assert sorted(map(tuple, at.collect())) == [(29, 60, "f"), (29, 61, "f"), (29, 62, "f"), (29, 62, "g")]
+    features = spark.createDataFrame([("f", "a lake"), ("g", "an island")], "feature string, what string")
+    for _ in range(2):
+        scenes.write_feature_tiles(features, at, str(tmp_path / "t"))
+    assert sorted((r["i"], r["what"]) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [(60, "a lake"), (61, "a lake"), (62, "a lake"), (62, "an island")]
