@@ -182,7 +182,8 @@ def scan(versions: DataFrame, ledger: str, rules: dict | None = None, path: str
     dropped(blobs)
 
     found = entries(spark, ledger).select("blob", F.filter("findings", lambda f: F.array_contains(names, f["rule"])).alias("findings")).where(F.size("findings") > 0)
-    found = found.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings"))
+    # a table, so that the join shuffles both sides directly and Spark can split a blob that very many paths have
+    found = written(found.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list("findings"))).alias("findings")), "findings")
     return paths.join(found, "blob", "left").select("path", "blob", F.coalesce("findings", F.array().cast("array<struct<rule:string,start:long,end:long>>")).alias("findings"))
 
 
