@@ -11,7 +11,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settled
+from ..session import forgotten, settled
 from .blocks import TILE, Block, map_blocks
 from .resample import place
 
@@ -136,23 +136,24 @@ def connected(links: DataFrame, seeds: DataFrame, by: list[str]) -> DataFrame:
     """(area) of all areas that links (area, other) join to a seed. Every area points at the smallest neighbour that it knows
     of, pointers are doubled, and links move to where their ends point, until none is left between different ends: a
     number of rounds that grows with the logarithm of the graph, each settled."""
-    links = settled(links.where("area <> other"))
-    root = settled(links.select(*by, "area").unionByName(links.select(*by, F.col("other").alias("area"))).distinct().withColumn("root", F.col("area")))
-    rest = links
+    rest = settled(links.where("area <> other"))
+    ends = rest.select(*by, "area").unionByName(rest.select(*by, F.col("other").alias("area"))).distinct()
+    root = settled(ends.withColumn("root", F.col("area")))
     while not rest.isEmpty():
         low = rest.select(*by, F.greatest("area", "other").alias("u"), F.least("area", "other").alias("v"))
-        hook = settled(low.groupBy(*by, "u").agg(F.min("v").alias("v")))
-        while True:  # u points at v < u; chains of pointers are halved until each ends at what points nowhere
+        hook = settled(low.groupBy(*by, "u").agg(F.min("v").alias("v"), F.lit(True).alias("moved")))
+        while not hook.where("moved").isEmpty():  # u points at v < u; chains of pointers are halved until each ends at what points nowhere
             jump = hook.select(*by, F.col("u").alias("v"), F.col("v").alias("next"))
-            after = settled(hook.join(jump, [*by, "v"], "left").select(*by, "u", F.coalesce("next", "v").alias("v"), F.col("next").isNotNull().alias("moved")))
-            hook = after.select(*by, "u", "v")
-            if after.where("moved").isEmpty():
-                break
+            before, hook = hook, settled(hook.join(jump, [*by, "v"], "left").select(*by, "u", F.coalesce("next", "v").alias("v"), F.col("next").isNotNull().alias("moved")))
+            forgotten(before)
         to = hook.select(*by, F.col("u").alias("root"), "v")
-        root = settled(root.join(to, [*by, "root"], "left").select(*by, "area", F.coalesce("v", "root").alias("root")))
+        before, root = root, settled(root.join(to, [*by, "root"], "left").select(*by, "area", F.coalesce("v", "root").alias("root")))
+        forgotten(before)
+        now = rest
         for k in ("area", "other"):
-            rest = rest.join(hook.select(*by, F.col("u").alias(k), F.col("v").alias("to")), [*by, k], "left").withColumn(k, F.coalesce("to", k)).drop("to")
-        rest = settled(rest.where("area <> other").distinct())
+            now = now.join(hook.select(*by, F.col("u").alias(k), F.col("v").alias("to")), [*by, k], "left").withColumn(k, F.coalesce("to", k)).drop("to")
+        before, rest = rest, settled(now.where("area <> other").distinct())
+        forgotten(before, hook)
     roots = root.join(seeds, [*by, "area"]).select(*by, "root").distinct()
     return root.join(roots, [*by, "root"]).select(*by, "area").unionByName(seeds).distinct()
 

@@ -43,21 +43,33 @@ def expected_files(name: str = "name") -> Column:
     )
 
 
-def product_attributes(name: str = "name", version: str = "1.0", title: str = "Water-leaving reflectances in 60 m", copy_inputs: bool = False, **more: str) -> Column:
-    """Map of the product's global attributes, from the scene's name. date_created and tracking_id differ on each run."""
+#: The product's global attributes that a producer fills in.
+MAKER = ("institution", "references", "license", "creator_name", "creator_url", "creator_email", "contact", "project", "naming_authority", "summary")
+
+
+def product_attributes(
+    name: str = "name", version: str = "1.0", title: str = "Water-leaving reflectances in 60 m", copy_inputs: bool = False, processor: str = "hydrapix",
+    steps: tuple[str, ...] = ("switching", "resampling"), auxiliary: str = "elevation model, ocean and inland mask", **more: str,
+) -> Column:
+    """Map of the product's 36 global attributes, 37 with copied inputs, from the scene's name. Those of the producer (MAKER)
+    are "TBD" unless given; date_created and tracking_id differ on each run, and id holds the former."""
     part = lambda i: F.regexp_extract(name, SCENE, i)
     start = F.to_timestamp(part(2), "yyyyMMdd'T'HHmmss")
     made = F.date_format(F.current_timestamp(), "yyyyMMdd'T'HHmmss")
     day = F.concat(F.date_format(start, "yyyy-MMM-dd HH:mm:ss"), F.lit(".000000"))
+    # names and values of a product format (fixed values)
     known = {
         "id": F.concat(F.lit("S2"), part(1), F.lit("_MSIL2W_"), part(2), F.lit("_N"), part(3), F.lit("_R"), part(4), F.lit("_"), part(5), F.lit("_"), made, F.lit(".nc")),
         "local_id": F.concat(part(5), F.lit("_"), part(2), F.lit("_AQU_60m.nc")), "date_created": F.concat(made, F.lit("Z")), "tracking_id": F.expr("uuid()"),
-        "title": F.lit(title), "source": F.lit("Sentinel-2 MSI L1C"), "input": F.col(name), "parameters": F.lit("--copyinputs" if copy_inputs else ""),
-        "processor_version": F.lit(version), "product_version": F.concat(F.substring(part(3), 1, 2), F.lit("."), F.substring(part(3), 3, 2)),
-        "keywords": F.lit("reflectance, surface water, ocean optics"), "Conventions": F.lit("CF-1.11"), "standard_name_vocabulary": F.lit("NetCDF Climate and Forecast (CF) Metadata Convention"),
+        "title": F.lit(title), "source": F.lit("Sentinel-2 MSI L1C"), "auxiliary": F.lit(auxiliary), "input": F.col(name), "processor": F.lit(f"{processor} v{version}"),
+        "parameters": F.lit("--copyinputs" if copy_inputs else ""), "product_version": F.concat(F.substring(part(3), 1, 2), F.lit("."), F.substring(part(3), 3, 2)),
+        "history": F.lit("; ".join(f"{s} v{version}" for s in steps)),
+        "keywords": F.lit("reflectance, surface water, ocean optics, Copernicus"), "keywords_vocabulary": F.lit("NASA Global Change Master Directory (GCMD) Science keywords"),
+        "Conventions": F.lit("CF-1.11"), "standard_name_vocabulary": F.lit("NetCDF Climate and Forecast (CF) Metadata Convention"),
         "cmd_data_type": F.lit("Grid"), "spatial_resolution": F.lit("60m"), "time_coverage_start": F.concat(part(2), F.lit("Z")),
         "platform": F.concat(F.lit("Sentinel-2"), part(1)), "sensor": F.lit("MSI"), "start_date": day, "stop_date": day, "metadata_profile": F.lit("beam"),
     }
+    known |= {k: F.lit("TBD") for k in MAKER}
     if copy_inputs:
         known["auto_grouping"] = F.lit("rhow_B*_c:rhos_*_a:Rw*_p:Rw*:B*")
     known |= {k: F.lit(v) for k, v in more.items()}

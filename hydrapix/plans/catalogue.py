@@ -16,6 +16,7 @@ from ..operators import resample as R
 from ..operators import scenes as S
 from ..operators import switching as W
 from ..session import shared_path
+from ..sources import granules as N
 from ..sources import rasters as A
 from . import fixtures as V
 from .fixtures import sql
@@ -1038,10 +1039,38 @@ def scene_files(spark, d):
     return _scenes(spark, d).select("name", f["granule"].alias("granule"), f["c2rcc"].alias("c2rcc"), f["acolite"].alias("acolite"))
 
 
-@query(sql(" SELECT name, 'T' || substr(name, 40, 5) || '_' || substr(name, 12, 15) || '_AQU_60m.nc' AS local_id, 'Sentinel-2' || substr(name, 3, 1) AS platform, substr(name, 29, 2) || '.' || substr(name, 31, 2) AS product_version FROM scn", "scn"))
+ATTRIBUTES = {
+    "local_id": "'T' || substr(name, 40, 5) || '_' || substr(name, 12, 15) || '_AQU_60m.nc'", "title": "'Water-leaving reflectances in 60 m'", "source": "'Sentinel-2 MSI L1C'",
+    "auxiliary": "'elevation model, ocean and inland mask'", "input": "name", "processor": "'hydrapix v1.0'", "parameters": "'--copyinputs'", "product_version": "substr(name, 29, 2) || '.' || substr(name, 31, 2)",
+    "history": "'switching v1.0; resampling v1.0'", "keywords": "'reflectance, surface water, ocean optics, Copernicus'", "keywords_vocabulary": "'NASA Global Change Master Directory (GCMD) Science keywords'",
+    "Conventions": "'CF-1.11'", "standard_name_vocabulary": "'NetCDF Climate and Forecast (CF) Metadata Convention'", "cmd_data_type": "'Grid'", "spatial_resolution": "'60m'",
+    "time_coverage_start": "substr(name, 12, 15) || 'Z'", "platform": "'Sentinel-2' || substr(name, 3, 1)", "sensor": "'MSI'",
+    **{k: "strftime(strptime(substr(name, 12, 15), '%Y%m%dT%H%M%S'), '%Y-%b-%d %H:%M:%S') || '.000000'" for k in ("start_date", "stop_date")}, "metadata_profile": "'beam'",
+    **{k: "'TBD'" for k in S.MAKER if k != "project"}, "project": "'a project'", "auto_grouping": "'rhow_B*_c:rhos_*_a:Rw*_p:Rw*:B*'",
+}
+
+
+@query(sql(" SELECT name, " + ", ".join(f"{e} AS {'refs' if k == 'references' else k}" for k, e in ATTRIBUTES.items()) + " FROM scn", "scn"))
 def scene_attributes(spark, d):
-    a = S.product_attributes()
-    return _scenes(spark, d).select("name", *[a[k].alias(k) for k in ("local_id", "platform", "product_version")])
+    """All attributes but those that differ on each run."""
+    a = S.product_attributes(copy_inputs=True, project="a project")
+    return _scenes(spark, d).select("name", a.alias("a")).select("name", *[F.col("a")[k].alias("refs" if k == "references" else k) for k in ATTRIBUTES])
+
+
+AGES = ", one AS (SELECT y, x, code, code + 1 AS other FROM grid WHERE x % 5 <> 0), two AS (SELECT y, x, alt, code * 2 AS other FROM grid WHERE y % 4 <> 0)"
+
+
+@query(sql(AGES + " SELECT coalesce(one.y, two.y) AS y, coalesce(one.x, two.x) AS x, one.code, two.alt, two.other FROM one FULL JOIN two ON one.y = two.y AND one.x = two.x", "grid"))
+def merge_layers(spark, d):
+    """Two data sets of one granule, with different gaps: of a layer that both have the last one's counts."""
+    g = V.grid(spark, d)
+    return N.merged(g.where("x % 5 <> 0").selectExpr("y", "x", "code", "code + 1 as other"), g.where("y % 4 <> 0").selectExpr("y", "x", "alt", "code * 2 as other"))
+
+
+@query(sql(_bilinear(3, "az", "az").replace("(SELECT v FROM s0 WHERE y = 0 AND x = 0) AS ref FROM o", "(SELECT v FROM s0 WHERE s0.y = o.y // 60 * 20 AND s0.x = o.x // 60 * 20) AS ref FROM o"), "hi"))
+def up_bilinear_azimuth_blocks(spark, d):
+    """As the image is read in blocks of 20 pixels: azimuths are turned about the first pixel of each."""
+    return _upsampled(spark, d, 3, "az", azimuth=True, block=20)
 
 
 # earlier names of queries over the whole table

@@ -7,7 +7,7 @@ from hydrapix import pipeline
 from hydrapix.functions import columns
 from hydrapix.operators import granule, scenes
 from hydrapix.plans import fixtures
-from hydrapix.sources import rasters
+from hydrapix.sources import granules, rasters
 from hydrapix.streaming import tiles
 
 XML = """<t xmlns:n1="psd-14"><Sun_Angles_Grid><Zenith><Values_List><VALUES>1 2</VALUES></Values_List></Zenith></Sun_Angles_Grid>
@@ -218,3 +218,44 @@ def test_features_are_written_to_their_tiles(spark, tmp_path):
     for _ in range(2):
         scenes.write_feature_tiles(features, at, str(tmp_path / "t"))
     assert sorted((r["i"], r["what"]) for r in spark.read.parquet(str(tmp_path / "t")).collect()) == [(60, "a lake"), (61, "a lake"), (62, "a lake"), (62, "an island")]
+
+
+def product(folder, name, offset, bands=("B01", "B8A")):
+    at = folder / f"{name}.SAFE"
+    tile = at / "GRANULE" / "L1C_T"
+    for sub in ("IMG_DATA", "QI_DATA", "AUX_DATA"):
+        (tile / sub).mkdir(parents=True)
+    (at / "MTD_MSIL1C.xml").write_text(f"""<n1:P xmlns:n1="https://psd-14/x"><PRODUCT_START_TIME>2023-09-29T10:38:21.024Z</PRODUCT_START_TIME><SPACECRAFT_NAME>Sentinel-2A</SPACECRAFT_NAME>
+<QUANTIFICATION_VALUE>10000</QUANTIFICATION_VALUE>{f"<RADIO_ADD_OFFSET>{offset}</RADIO_ADD_OFFSET>" * 13}<S><SPECIAL_VALUE_TEXT>NODATA</SPECIAL_VALUE_TEXT><SPECIAL_VALUE_INDEX>0</SPECIAL_VALUE_INDEX></S></n1:P>""")
+    (tile / "MTD_TL.xml").write_text(XML)
+    for b in bands:
+        for f in (f"IMG_DATA/T32UME_{b}.jp2", f"QI_DATA/MSK_DETFOO_{b}.jp2", f"QI_DATA/MSK_QUALIT_{b}.jp2"):
+            (tile / f).write_bytes(b"")
+    (tile / "QI_DATA/MSK_CLASSI_B00.jp2").write_bytes(b"")
+    (tile / "AUX_DATA/AUX_ECMWFT").write_bytes(b"")
+
+
+def test_granule_source(spark, tmp_path):
+    """Two products; conditions decide which files are opened at all."""
+    product(tmp_path, "one", -1000)
+    product(tmp_path, "two", 0)
+    (tmp_path / "two.SAFE/GRANULE/L1C_T/MTD_TL.xml").write_text("no xml")
+    parts = granules.open_granules(spark, f"{tmp_path}/*.SAFE")
+    with pytest.raises(Exception, match="(?s).*syntax error"):
+        parts.collect()
+    pruned = parts.where("part = 'angles' and product = 'one'")
+    assert sorted((r["name"], r["band"], r["c"], r["value"]) for r in pruned.collect() if r["value"]) == [("sun_zenith", None, 0, 1.0), ("sun_zenith", None, 1, 2.0), ("view_azimuth", "B8A", 0, 3.0)]
+    own = parts.where("product in ('one', 'two') and part = 'product' and name = 'add_offset' and band = 'B1'").collect()
+    assert sorted((r["product"], r["value"]) for r in own) == [("one", pytest.approx(-0.1)), ("two", 0.0)]
+    files = parts.where("part in ('image', 'detectors', 'quality', 'classes', 'auxiliary')")
+    assert sorted((r["part"], r["band"], r["value"]) for r in files.where("product = 'two'").collect() if r["part"] in ("image", "classes")) == [("classes", None, 60.0), ("image", "B1", 60.0), ("image", "B8A", 20.0)]
+    assert files.count() == 2 * (3 * 2 + 2) and files.where("band = 'B8A'").count() == 6
+    assert files.where("band = 'B8A'").rdd.getNumPartitions() == 6 and pruned.rdd.getNumPartitions() == 1
+    (tmp_path / "two.SAFE/GRANULE/L1C_T/MTD_TL.xml").write_text(XML)
+    assert {(r["granule"], r["band"], r["det"], r["va"]) for r in granules.viewing_grids(parts).collect()} == {(p, "B8A", 5, v) for p in ("one", "two") for v in (3.0, None)}
+    assert {(r["granule"], r["c"], r["sun_zenith"]) for r in granules.sun_grid(parts).collect()} == {(p, c, c + 1.0) for p in ("one", "two") for c in (0, 1)}
+
+
+def test_unknown_product_version():
+    with pytest.raises(ValueError, match="unknown product version"):
+        list(granules.product_rows(b"<p/>"))
