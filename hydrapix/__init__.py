@@ -1,7 +1 @@
 """hydrapix: water-reflectance raster analytics as Spark plans."""
-
-import os
-
-# The networks trained on the driver multiply small matrices, where several BLAS threads only get in each other's way.
-os.environ.setdefault("OMP_NUM_THREADS", "1")
-os.environ.setdefault("OPENBLAS_NUM_THREADS", "1")
