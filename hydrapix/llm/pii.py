@@ -22,7 +22,9 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +45,7 @@ TAGS = 1 + 2 * len(KINDS)  # O, then B and I of each kind
 TAUGHT = 96  # characters of a window in training
 WINDOW, STRIDE, MARGIN = 256, 192, 32
 STRETCH, CONTEXT = 1024 * STRIDE, 4 * STRIDE
+LEAST = 7  # characters of an added span
 ALPHABET = {c: i for i, c in enumerate(map(chr, range(32, 127)), 2)}  # 0: beyond the text, 1: any other
 SIZE = len(ALPHABET) + 2
 CODE = np.ones(0x110000, np.int16)
@@ -200,7 +203,7 @@ class Tagger:
         return {k: v / n for k, v in g.items()}
 
     def train(self, x: np.ndarray, y: np.ndarray, epochs: int = 14, batch: int = 64, rate: float = 0.02, seed: int = 5, enough: float = 0.999) -> Tagger:
-        """Adam on seven of eight windows; of the second half of the rounds, the one that gets the spans of the other
+        """Adam on seven of eight windows; of the last three quarters of the rounds, the one that gets the spans of the other
         windows right most often is kept."""
         r = np.random.default_rng(seed)
         order = r.permutation(len(x))
@@ -220,7 +223,7 @@ class Tagger:
                     s[k] = 0.995 * s[k] + 0.005 * v * v
                     now = rate * min(1.0, t / 10) * (1 - t / (steps + 1))
                     self.p[k] = (self.p[k] - now * m[k] / (1 - 0.9**t) / (np.sqrt(s[k] / (1 - 0.995**t)) + 1e-8)).astype(self.p[k].dtype)
-            if e >= epochs // 2 and len(held):
+            if e >= epochs // 4 and len(held):
                 best = max(best, (self.f1(x[held], y[held]), dict(self.p)), key=lambda q: q[0])
                 if best[0] >= enough:
                     break
@@ -398,7 +401,8 @@ def scores(codes: list[np.ndarray], model: Tagger) -> list[np.ndarray]:
 
 
 def added_spans(texts: list[str], known: list, model: Tagger, sure: float = 0.8) -> list[list[tuple[int, int, int]]]:
-    """Spans that the network adds to each text: (kind, start, end)."""
+    """Spans that the network adds to each text: (kind, start, end), of LEAST characters or more, with a mean probability of
+    `sure` or more, a digit or an @, and no character of a base span or a refused candidate."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     waiting, held = [], 0
     for job in stretches(texts):
@@ -411,12 +415,14 @@ def added_spans(texts: list[str], known: list, model: Tagger, sure: float = 0.8)
     return out
 
 
-def _decoded(texts: list[str], jobs: list, model: Tagger, known: list, sure: float, out: list) -> None:
+def _decoded(texts: list[str], jobs: list, model: Tagger, known: list, sure: float, out: list, least: int = LEAST) -> None:
     p = model.p
     gain = float((p["T"] - p["T"][0, 0]).max())  # what transitions can add to another tag at most
+    taken = {i: Taken(known[i]) for i in {job[0] for job in jobs}}
     parts = []
     for job, em in zip(jobs, scores([coded(texts[i][a:b]) for i, a, b, _, _ in jobs], model), strict=True):
-        open_ = np.flatnonzero(em[:, 1:].max(1) - em[:, 0] + gain > 0)
+        # a span that is added has only characters that may get another tag and that no base span has
+        open_ = np.flatnonzero((em[:, 1:].max(1) - em[:, 0] + gain > 0) & ~taken[job[0]].mask(job[1], job[2]))
         if len(open_):
             new = np.flatnonzero(np.diff(open_, prepend=-3 * MARGIN) > 2 * MARGIN)
             for x, y in zip(open_[new], open_[[*(new[1:] - 1), len(open_) - 1]], strict=True):
@@ -430,20 +436,40 @@ def _decoded(texts: list[str], jobs: list, model: Tagger, known: list, sure: flo
         for row, (_, _, em) in zip(block, group, strict=True):
             row[: len(em)] = em
         for ((i, a, _, lo, hi), x, em), tags in zip(group, model.decode(block, size), strict=True):
-            if not tags.any():
-                continue
-            prob = model.posteriors(em[:, None, :])[0][:, 0]
-            for kind, s, e in spans_in(tags[: len(em)]):
+            prob = None
+            for kind, s, e in spans_in(tags[: len(em)]) if tags.any() else ():
                 start, end = a + x + s, a + x + e
-                found, refused = known[i]
-                free = all(end <= u or start >= v for spans in (*found, refused) for u, v in spans)
-                own = lo <= start < hi and end - start >= 7 and TRIGGER.search(texts[i], start, end)
-                if own and free and prob[np.arange(s, e), tags[s:e]].mean() >= sure:
-                    out[i].append((kind, start, end))
+                if lo <= start < hi and end - start >= least and TRIGGER.search(texts[i], start, end) and taken[i].free(start, end):
+                    prob = model.posteriors(em[:, None, :])[0][:, 0] if prob is None else prob
+                    if prob[np.arange(s, e), tags[s:e]].mean() >= sure:
+                        out[i].append((kind, start, end))
+
+
+class Taken:
+    """The places of a text that base spans and refused candidates have."""
+
+    def __init__(self, known: tuple):
+        found, refused = known
+        spans = sorted(x for own in (*found, refused) for x in own)
+        self.starts = [a for a, _ in spans]
+        self.reach = list(accumulate((b for _, b in spans), max))
+
+    def free(self, start: int, end: int) -> bool:
+        """Whether none of them meets [start, end): of those that start before its end none reaches beyond its start."""
+        k = bisect_left(self.starts, end)
+        return k == 0 or self.reach[k - 1] <= start
+
+    def mask(self, start: int, end: int) -> np.ndarray:
+        """Which characters of [start, end) some of them has."""
+        out = np.zeros(end - start, bool)
+        for k in range(bisect_right(self.reach, start), bisect_left(self.starts, end)):
+            out[max(self.starts[k] - start, 0) : self.reach[k] - start] = True  # up to where those before it reach, too
+        return out
 
 
-def personal_data(docs: DataFrame, **options) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added."""
+def personal_data(docs: DataFrame, sure: float = 0.8, **options) -> DataFrame:
+    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_added. The network's spans need a mean probability of
+    `sure`; options are those of fit()."""
     held = docs.sparkSession.sparkContext.broadcast(fit(docs, **options))
 
     def run(batches: Iterator) -> Iterator:
@@ -452,7 +478,7 @@ def personal_data(docs: DataFrame, **options) -> DataFrame:
             ids, texts = columns_of(batch, "doc_id", "text")
             texts = [t or "" for t in texts]
             known = [base_spans(t) for t in texts]
-            more = added_spans(texts, known, model)
+            more = added_spans(texts, known, model, sure)
             shas, spans = [], []
             for (found, _), extra in zip(known, more, strict=True):
                 base = [(k, a, b) for k, own in enumerate(found) for a, b in own]

@@ -222,6 +222,18 @@ def test_added_spans_do_not_depend_on_the_batch(tagger):
     assert sum(map(len, one)) >= 36
 
 
+def test_places_of_base_spans():
+    """Bisection against a plain look at all spans, nested and overlapping ones too."""
+    r = random.Random(6)
+    for _ in range(200):
+        spans = [(a, a + r.randrange(1, 20)) for a in (r.randrange(90) for _ in range(r.randrange(6)))]
+        taken = pii.Taken(([spans[::2], [], spans[1::2], []], []))
+        lo = r.randrange(60)
+        hi = lo + r.randrange(1, 50)
+        assert taken.mask(lo, hi).tolist() == [any(a <= i < b for a, b in spans) for i in range(lo, hi)]
+        assert taken.free(lo, hi) == all(hi <= a or lo >= b for a, b in spans)
+
+
 def test_gradients_of_the_network():
     x, y = pii.training([("some words stand here for the test of it all and more of them come along the way to the end", "0" * 91)], made=6)
     m = pii.Tagger()
