@@ -38,6 +38,19 @@ TABLE = str.maketrans(FOLD | FULLWIDTH)
 WORDS = re.compile(r"[^\W\d_]+")
 
 
+AFTER = re.compile(r" [^\W\d_]+")
+
+
+def word_before(s: str, at: int) -> str:
+    """The word that ends a space before `at`, whole; empty if there is none."""
+    end = at - 1
+    start = end
+    if end > 0 and s[end] == " ":
+        while start and WORDS.match(s, start - 1, start):
+            start -= 1
+    return s[start:end] if end > 0 else ""
+
+
 def folded(text: bytes | None) -> str:
     """The folded text. A '!' or '|' after a word is no letter, so those signs fold inside words only."""
     if not text:
@@ -101,10 +114,10 @@ def _doc_features(auto):
                 ys.append(y)
                 near = set()
                 for a, b, w, _ in found:
-                    if m := re.search(r"([^\W\d_]+ )$", s[max(0, a - 40) : a]):
-                        near.add(m[1] + w)
-                    if m := re.match(r"( [^\W\d_]+)", s[b : b + 40]):
-                        near.add(w + m[1])
+                    if before := word_before(s, a):
+                        near.add(f"{before} {w}")
+                    if m := AFTER.match(s, b):
+                        near.add(w + m[0])
                 pairs.append(sorted(near))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ws, pa.float64()), pa.array(ns, pa.int64()), pa.array(ys, pa.int32()), pa.array(pairs, pa.list_(pa.string()))], names=["w", "n", "y", "pairs"]

@@ -222,6 +222,26 @@ def test_added_spans_do_not_depend_on_the_batch(tagger):
     assert sum(map(len, one)) >= 36
 
 
+def test_words_beside_a_hit_are_whole():
+    long = "x" * 300
+    s = f"one {long} bad {long} two_bad 3 bad"
+    at = s.index("bad")
+    assert toxicity.word_before(s, at) == long and toxicity.AFTER.match(s, at + 3)[0] == " " + long
+    assert [toxicity.word_before(s, i) for i in (0, 1, s.rindex("bad"), s.rindex("_bad"))] == ["", "", "", ""]
+
+
+def test_a_huge_text_does_not_fill_the_samples(spark):
+    """A text of very many passages is no sample; the others are."""
+    r = random.Random(3)
+    rows = [(i, " ".join(r.choice(("good", "fine", "nice") if i % 2 else ("poor", "weak", "dull")) for _ in range(60)), i % 2, "ab"[i % 2]) for i in range(400)]
+    rows += [(1000 + i, "huge text " * 60_000, i % 2, "ab"[i % 2]) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, quality int, lang string")
+    got = {x["doc_id"]: x["score"] for x in quality.quality(df.select("doc_id", "text"), df.select("doc_id", "quality"), most=20_000).collect()}
+    assert sum((got[i] > 0.5) == (i % 2 == 1) for i in range(400)) > 380
+    model = language.fit(df, room=200_000)
+    assert set(model.langs) == {"a", "b"} and model.words.get("huge") is None and model.words.get("good") is not None
+
+
 def test_places_of_base_spans():
     """Bisection against a plain look at all spans, nested and overlapping ones too."""
     r = random.Random(6)
