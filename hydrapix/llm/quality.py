@@ -124,11 +124,11 @@ class GatedMil:
 
 def fit(docs: DataFrame, labels: DataFrame, rows: int = 6_000, most: int = 200_000):
     """A trained model, or a constant share if the labels are all alike. The sample's bags are whole documents, in the
-    order of a hash, as many as have `most` passages together (64 MB)."""
+    order of a hash, as many as have `most` passages together (64 MB); a document with over a twentieth of these is left out."""
     train = written(labelled_sample(docs, labels, "quality", 4, 2, rows), "train")
     bags = train.select("doc_id", F.xxhash64("doc_id", F.lit(13)).alias("h"), (F.regexp_count(F.decode("text", "UTF-8"), F.lit(r"[^\x20\x09-\x0D]+")) / PASSAGE + 1).alias("size"))
     upto = Window.orderBy("h", "doc_id").rowsBetween(Window.unboundedPreceding, 0)  # over the bounded sample
-    train = train.join(bags.withColumn("all", F.sum("size").over(upto)).where(F.col("all") <= most).select("doc_id"), "doc_id", "left_semi")
+    train = train.join(bags.where(F.col("size") <= most // 20).withColumn("all", F.sum("size").over(upto)).where(F.col("all") <= most).select("doc_id"), "doc_id", "left_semi")
 
     def run(batches: Iterator) -> Iterator:
         words = WordIds()
