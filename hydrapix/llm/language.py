@@ -2,8 +2,8 @@
 
 Known words score by their log frequency in each language. A word that the table lacks is scored by its longest
 known character n-grams: five letters first, then progressively shorter ones. The model is fitted on a bounded
-sample of labelled training rows (`rows`); its tables hold all words and n-grams of these, so that bound is the only
-one. Every whole text is scored. A word is a run of letters (Unicode category L).
+sample of labelled training rows (about `rows` rows, `room` characters together, no text of over a twentieth of these);
+its tables hold all words and n-grams of these, so those bounds are the only ones. Every whole text is scored. A word is a run of letters (Unicode category L).
 
 Cases: null texts and texts without a letter are `und` with score 0; rows whose lang or doc_id is null teach
 nothing and are predicted like others; ties go to the language first by code point; repeated rows are returned
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import columns_of, dropped, pieces, split_rule, written
@@ -130,7 +130,7 @@ class Rows(dict):
         return out
 
 
-def fit(docs: DataFrame, rows: int = 8_000) -> Model | None:
+def fit(docs: DataFrame, rows: int = 8_000, room: int = 64_000_000) -> Model | None:
     train = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & ~split_rule("doc_id", 3, 1))
     per = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # a row for each language
     if not per:
@@ -139,6 +139,13 @@ def fit(docs: DataFrame, rows: int = 8_000) -> Model | None:
     share = {x: min(1.0, max(rows / sum(per.values()), rows / (4 * len(per) * n))) for x, n in per.items()}
     bound = F.element_at(F.create_map(*[F.lit(v) for x, s in share.items() for v in (x, int(s * (1 << 30)))]), F.col("lang"))
     train = train.where(F.pmod(F.xxhash64("doc_id", F.lit(23)), F.lit(1 << 30)) < bound)
+    sample = written(train.select("lang", "text", F.xxhash64("doc_id", F.lit(37)).alias("h"), F.length("text").alias("size")), "sample")
+    upto = Window.orderBy("h", "size").rowsBetween(Window.unboundedPreceding, 0)  # over the hashes and sizes of the bounded sample
+    fits = sample.where(F.col("size") <= room // 20).select("h", "size").withColumn("all", F.sum("size").over(upto))
+    last = fits.where(F.col("all") <= room).agg(F.max(F.struct("h", "size")).alias("m")).first()["m"]
+    if last is None:
+        return None
+    train = sample.where((F.col("size") <= room // 20) & (F.struct("h", "size") <= F.struct(F.lit(last["h"]), F.lit(last["size"]))))
     counts = train.select("lang", "text").mapInArrow(_counted, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
     counts = written(counts, "counts")
 
@@ -156,6 +163,7 @@ def fit(docs: DataFrame, rows: int = 8_000) -> Model | None:
     prior = np.log(np.array([per[x] for x in langs], float) / sum(per.values()))
     model = Model(langs, known, table(small), totals, prior)
     dropped(counts)
+    dropped(sample)
     return model
 
 
