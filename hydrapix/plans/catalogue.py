@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import pipeline as P
 from ..functions import columns as C
+from ..operators import blocks as K
 from ..operators import granule as G
 from ..operators import interpolate as I
 from ..operators import masks as M
@@ -18,6 +20,7 @@ from ..operators import switching as W
 from ..session import shared_path
 from ..sources import granules as N
 from ..sources import rasters as A
+from ..streaming import tiles as T
 from . import fixtures as V
 from .fixtures import sql
 
@@ -1073,6 +1076,116 @@ def up_bilinear_azimuth_blocks(spark, d):
     return _upsampled(spark, d, 3, "az", azimuth=True, block=20)
 
 
+# --- sources and sinks ----------------------------------------------------------------------------------------
+
+
+@query(sql(" SELECT pid, name || '/T32UME_' || b.code || '.jp2' AS path, CASE WHEN b.code NOT IN ('TCI', 'XYZ') THEN replace(b.code, 'B0', 'B') END AS band FROM scn, (VALUES ('B01'), ('B08'), ('B8A'), ('B10'), ('B12'), ('TCI'), ('XYZ')) b(code) WHERE pid % 7 = ascii(b.code[3]) % 7", "scn"))
+def band_names(spark, d):
+    """Image files and the variables that they hold."""
+    codes = F.explode(F.array(*[F.lit(c) for c in ("B01", "B08", "B8A", "B10", "B12", "TCI", "XYZ")]))
+    files = V.scenes(spark, d).select("pid", "name", codes.alias("code")).where("pid % 7 = ascii(substr(code, 3, 1)) % 7")
+    return files.select("pid", F.concat("name", F.lit("/T32UME_"), "code", F.lit(".jp2")).alias("path")).withColumn("band", A.band_of(F.col("path")))
+
+
+@query(sql(" SELECT pid, 14 + pid % 2 AS version, round(1 / (10000::DOUBLE + pid % 3), 9) AS scale, round(-1000 / (10000::DOUBLE + pid % 3), 6) AS first_offset, CAST(pid % 5 AS INT) AS fill, 'Sentinel-2' || substr('ABC', CAST(pid % 3 AS INT) + 1, 1) AS spacecraft FROM scn", "scn"))
+def product_metadata(spark, d):
+    """The metadata file of each order's product: version, scaling, fill value, spacecraft."""
+    text = lambda *parts: F.concat(*[p if not isinstance(p, str) else F.lit(p) for p in parts])
+    number = lambda e: F.expr(e).cast("string")
+    xml = text(
+        '<n1:P xmlns:n1="https://psd-', number("14 + pid % 2"), '/x"><I><PRODUCT_START_TIME>2023-09-29T10:38:21.024Z</PRODUCT_START_TIME><PRODUCT_STOP_TIME>2023-09-29T10:38:22.024Z</PRODUCT_STOP_TIME><SPACECRAFT_NAME>Sentinel-2',
+        F.expr("substr('ABC', cast(pid % 3 as int) + 1, 1)"), "</SPACECRAFT_NAME><QUANTIFICATION_VALUE>", number("10000 + pid % 3"), "</QUANTIFICATION_VALUE><RADIO_ADD_OFFSET>-1000</RADIO_ADD_OFFSET><RADIO_ADD_OFFSET>0</RADIO_ADD_OFFSET>",
+        "<Special_Values><SPECIAL_VALUE_TEXT>SATURATED</SPECIAL_VALUE_TEXT><SPECIAL_VALUE_INDEX>65535</SPECIAL_VALUE_INDEX></Special_Values><Special_Values><SPECIAL_VALUE_TEXT>NODATA</SPECIAL_VALUE_TEXT><SPECIAL_VALUE_INDEX>",
+        number("pid % 5"), "</SPECIAL_VALUE_INDEX></Special_Values></I></n1:P>",
+    )
+    one = V.scenes(spark, d).select("pid", A.product_metadata(xml).alias("p"))
+    return one.select("pid", F.col("p.version").cast("long").alias("version"), F.round("p.scale", 9).alias("scale"), (F.round(F.get("p.offsets", F.lit(0)), 6) + F.lit(0.0)).alias("first_offset"), F.col("p.fill").alias("fill"), "p.spacecraft")
+
+
+GRID_FILE = 92  # values of one file
+
+
+@query(f"SELECT event_id // {GRID_FILE} AS granule, 'view_zenith' AS kind, 'B8A' AS band, CAST(5 AS INT) AS detector, CAST(event_id % {GRID_FILE} // 23 AS INT) AS r, CAST(event_id % 23 AS INT) AS c, CASE WHEN user_id % 4 <> 0 THEN CAST(event_id % 360 AS DOUBLE) + 0.5 END AS value FROM events WHERE event_id // {GRID_FILE} < (SELECT (max(event_id) + 1) // {GRID_FILE} FROM events)".replace("event_id % 23", f"event_id % {GRID_FILE} % 23"))
+def angle_files(spark, d):
+    """A metadata file for each 92 events, with a grid of four rows, written and read as tasks open them."""
+    e = V.table(spark, d, "events").selectExpr(f"event_id div {GRID_FILE} as granule", f"event_id % {GRID_FILE} as k", "if(user_id % 4 <> 0, concat(event_id % 360, '.5'), 'NaN') as v")
+    lines = e.groupBy("granule").agg(F.transform(F.array_sort(F.collect_list(F.struct("k", "v"))), lambda x: x["v"]).alias("v")).where(f"size(v) = {GRID_FILE}")
+    rows = F.transform(F.sequence(F.lit(0), F.lit(3)), lambda r: F.concat(F.lit("<VALUES>"), F.array_join(F.slice("v", r * 23 + 1, 23), " "), F.lit("</VALUES>")))
+    xml = F.concat(F.lit('<t><Viewing_Incidence_Angles_Grids bandId="8" detectorId="5"><Zenith><Values_List>'), F.array_join(rows, ""), F.lit("</Values_List></Zenith></Viewing_Incidence_Angles_Grids></t>"))
+    path = shared_path(spark, "angles")
+    lines.select("granule", xml.alias("value")).repartition("granule").write.partitionBy("granule").text(path)
+    got = A.read_angles(spark, path)
+    return got.select(F.regexp_extract("path", r"granule=(\d+)", 1).cast("long").alias("granule"), "kind", "band", "detector", "r", "c", "value")
+
+
+@query(sql(" SELECT event_id % 10 AS n, lon, lat, count(*) AS features FROM geo GROUP BY 1, 2, 3", "geo"))
+def polygon_lines(spark, d):
+    """Rings as features of a file with one in each line, written and read again."""
+    geo = V.geo(spark, d).selectExpr("event_id div 10 as ring", "event_id % 10 as n", "concat('[', lon, ',', lat, ']') as p")
+    rings = geo.groupBy("ring").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "p"))), lambda x: x["p"]), ",").alias("p"))
+    line = F.concat(F.lit('{ "type": "Feature", "id": '), F.col("ring").cast("string"), F.lit(', "geometry": {"type": "Polygon", "coordinates": [['), "p", F.lit("]]} },"))
+    path = shared_path(spark, "polygons")
+    rings.select(line.alias("value")).write.text(path)
+    return A.read_polygons(spark, path).groupBy(F.col("n").cast("long").alias("n"), "lon", "lat").agg(F.count("*").alias("features"))
+
+
+@query(sql(" SELECT y, x, code FROM grid WHERE y BETWEEN 3 AND 61 AND x BETWEEN 20 AND 77", "grid"))
+def tile_window(spark, d):
+    """A window of a mask that is stored in tiles."""
+    path = shared_path(spark, "tiles")
+    A.write_tiles(V.grid(spark, d).select("y", "x", "code"), path, 25)
+    return A.read_window(spark, path, (3, 61), (20, 77), 25).select("y", "x", "code")
+
+
+REGION = """, s AS (SELECT (max(y) + 1) // 20 + 2 AS n FROM grid), p AS (SELECT y, x, CASE WHEN y % 3 = 0 THEN code + 1000 ELSE code END AS v FROM grid WHERE y % 3 = 0 OR x % 40 < 20)
+  SELECT y, x, coalesce(p.v, 0) AS v FROM (SELECT unnest(range(n * 20)) AS y FROM s) LEFT JOIN (SELECT unnest(range(160)) AS x) ON TRUE LEFT JOIN p USING (y, x)"""
+
+
+@query(sql(REGION, "grid"))
+def region_table(spark, d):
+    """Two batches that share tiles, the second one with other numbers for some pixels; tiles that never came are zeros."""
+    path, g = shared_path(spark, "region"), V.grid(spark, d).selectExpr("y", "x", "code as v")
+    n = g.agg(F.coalesce(F.max("y") + 1, F.lit(0))).first()[0] // 20 + 2
+    A.write_region(g.where("x % 40 < 20"), path, 20)
+    A.write_region(g.where("y % 3 = 0").withColumn("v", F.col("v") + 1000), path, 20)
+    expected = spark.range(n * 8).selectExpr("cast(id div 8 as int) as tile_y", "cast(id % 8 as int) as tile_x")
+    return A.read_region(spark, path, expected, "v int", 20).select("y", "x", "v")
+
+
+@query(sql(REGION.replace("CASE WHEN y % 3 = 0 THEN code + 1000 ELSE code END", "code"), "grid"))
+def region_stream(spark, d):
+    """The same by a stream: pixels that arrive go into their tiles."""
+    path, arriving, g = shared_path(spark, "region"), shared_path(spark, "arriving"), V.grid(spark, d).selectExpr("y", "x", "code as v")
+    n = g.agg(F.coalesce(F.max("y") + 1, F.lit(0))).first()[0] // 20 + 2
+    log = shared_path(spark, "log")
+    for batch in ("x % 40 < 20", "y % 3 = 0"):
+        g.where(batch).coalesce(2).write.mode("append").parquet(arriving)
+        T.keep_region_table(spark, arriving, "y bigint, x bigint, v int", path, log, 20).awaitTermination()
+    expected = spark.range(n * 8).selectExpr("cast(id div 8 as int) as tile_y", "cast(id % 8 as int) as tile_x")
+    return A.read_region(spark, path, expected, "v int", 20).select("y", "x", "v")
+
+
+@query(sql(", c AS (SELECT count(*) FILTER (s2wmask <= 64) AS ocean, count(*) FILTER (s2wmask BETWEEN 65 AND 127) AS inland, count(*) FILTER (s2wmask >= 128) AS land FROM px) SELECT p.p AS product, k.k AS name, CASE k.k WHEN 'ocean' THEN ocean WHEN 'inland' THEN inland ELSE land END AS value FROM c, (VALUES ('A'), ('B')) p(p), (VALUES ('ocean'), ('inland'), ('land')) k(k)", "px"))
+def statistics_table(spark, d):
+    """Counts of two products, one of which is run twice: each name is there once."""
+    path, counts = shared_path(spark, "statistics"), W.mask_zone_counts(V.px(spark, d))
+    for product in ("A", "B", "A"):
+        A.append_statistics(counts, path, product)
+    return spark.read.parquet(path).select("product", "name", "value")
+
+
+@query(sql(", s AS (SELECT a.y, a.x, sum(b.code) AS total FROM grid a JOIN grid b ON abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND b.y BETWEEN a.y - 1 AND a.y + 1 GROUP BY 1, 2) SELECT y, x, CAST(total AS BIGINT) AS total FROM s".replace("grid a JOIN grid b ON abs(a.y - b.y) <= 1 AND abs(a.x - b.x) <= 1 AND b.y BETWEEN a.y - 1 AND a.y + 1", "(SELECT g.y, g.x, g.y + dy AS ny, g.x + dx AS nx FROM grid g, (VALUES (-1), (0), (1)) u(dy), (VALUES (-1), (0), (1)) v(dx)) a JOIN grid b ON b.y = a.ny AND b.x = a.nx"), "grid"))
+def block_sums(spark, d):
+    """Sums over 3 x 3 cells by blocks with a halo of one."""
+
+    def change(arrays: dict, block) -> dict:
+        wide = np.pad(arrays["code"].astype(np.int64), 1)
+        rows, cols = arrays["code"].shape
+        return {"total": sum(wide[a : a + rows, c : c + cols] for a in range(3) for c in range(3))}
+
+    return K.map_blocks(V.grid(spark, d).select("y", "x", "code"), ["code"], change, "total long", depth=1, tile=40)
+
+
 # earlier names of queries over the whole table
 for _name in ("up_bilinear", "up_bilinear_refl", "up_bilinear_azimuth", "edge_tiles"):
     QUERIES[f"{_name}_all"], ORACLE_SQL[f"{_name}_all"] = QUERIES[_name], ORACLE_SQL[_name]
