@@ -97,29 +97,36 @@ def _computed(df: DataFrame, keep: list[str], **columns: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
-def to_geographic(df: DataFrame, x: Column, y: Column, zone: int, north: bool = True) -> DataFrame:
-    """Adds lat and lon in degrees of a UTM easting and northing."""
+def _equator(north: bool | Column) -> Column:
+    """The northing of the equator."""
+    return F.when(north, 0.0).otherwise(10000000.0) if isinstance(north, Column) else F.lit(0.0 if north else 10000000.0)
+
+
+def to_geographic(df: DataFrame, x: Column, y: Column, zone: int | Column, north: bool | Column = True) -> DataFrame:
+    """Adds lat and lon in degrees of a UTM easting and northing; zone and hemisphere may be columns."""
     keep = df.columns
-    df = df.withColumns({"_xi": (y - F.lit(0.0 if north else 10000000.0)) / F.lit(_K0 * _RADIUS), "_eta": (x - F.lit(_EAST)) / F.lit(_K0 * _RADIUS)})
+    meridian = zone * 6 - 183.0 if isinstance(zone, Column) else F.lit(zone * 6 - 183.0)
+    df = df.withColumns({"_m": meridian, "_xi": (y - _equator(north)) / F.lit(_K0 * _RADIUS), "_eta": (x - F.lit(_EAST)) / F.lit(_K0 * _RADIUS)})
     df = _series(df, INVERSE, -1).withColumn("_chi", F.asin(F.sin("_x") / F.cosh("_e")))
     df = df.withColumns({"_t": F.sin(2 * F.col("_chi")), "_u": F.cos(2 * F.col("_chi"))})
     t, u = F.col("_t"), F.col("_u")
     # sin 4 chi = 2 t u, sin 6 chi = t (4 u^2 - 1)
     lat = F.col("_chi") + t * (F.lit(LATITUDE[0]) + F.lit(2 * LATITUDE[1]) * u + F.lit(LATITUDE[2]) * (4 * u * u - 1))
-    lon = F.lit(zone * 6 - 183.0) + F.degrees(F.atan2(F.sinh("_e"), F.cos("_x")))
+    lon = F.col("_m") + F.degrees(F.atan2(F.sinh("_e"), F.cos("_x")))
     return _computed(df, keep, lat=F.degrees(lat), lon=lon)
 
 
-def to_utm(df: DataFrame, lat: Column, lon: Column, zone: int, north: bool = True) -> DataFrame:
-    """Adds easting and northing of a latitude and longitude in degrees."""
+def to_utm(df: DataFrame, lat: Column, lon: Column, zone: int | Column, north: bool | Column = True) -> DataFrame:
+    """Adds easting and northing of a latitude and longitude in degrees; zone and hemisphere may be columns."""
     keep = df.columns
     e = 2 * math.sqrt(_N) / (1 + _N)
-    df = df.withColumns({"_p": F.sin(F.radians(lat)), "_l": F.radians(lon - F.lit(zone * 6 - 183.0))})
+    df = df.withColumns({"_p": F.sin(F.radians(lat)), "_l": F.radians(lon - (zone * 6 - 183.0 if isinstance(zone, Column) else F.lit(zone * 6 - 183.0)))})
+    df = df.withColumn("_q", _equator(north))
     df = df.withColumns({"_t": F.sinh(F.atanh("_p") - F.lit(e) * F.atanh(F.lit(e) * F.col("_p"))), "_k": F.cos("_l")})
     t, k = F.col("_t"), F.col("_k")
     df = df.withColumns({"_xi": F.atan2(t, k), "_eta": F.asinh(F.sin("_l") / F.sqrt(t * t + k * k))})
     df = _series(df, FORWARD, 1)
-    return _computed(df, keep, easting=F.lit(_EAST) + F.lit(_K0 * _RADIUS) * F.col("_e"), northing=F.lit(0.0 if north else 10000000.0) + F.lit(_K0 * _RADIUS) * F.col("_x"))
+    return _computed(df, keep, easting=F.lit(_EAST) + F.lit(_K0 * _RADIUS) * F.col("_e"), northing=F.col("_q") + F.lit(_K0 * _RADIUS) * F.col("_x"))
 
 
 def scaling(metadata: dict, floating: bool) -> tuple[float, float, float | None] | None:

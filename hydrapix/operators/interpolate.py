@@ -141,22 +141,33 @@ def mean_angle(*angles: Column, azimuth: bool = False) -> Column:
 
 
 def ancillary(pixels: DataFrame, grid: DataFrame, value: str) -> DataFrame:
-    """Pixels (y, x, lat, lon) with a geographic grid (i, j, lat, lon, value) interpolated, clamped to its extent
-    and turned by 180 degrees where the grid may cross the antimeridian."""
-    ends = grid.agg(
-        *[F.max_by(k, F.col(n)).alias(f"{k}1") for k, n in (("lat", "i"), ("lon", "j"))],
-        *[F.min_by(k, F.col(n)).alias(f"{k}0") for k, n in (("lat", "i"), ("lon", "j"))],
-        F.max("i").alias("ni"), F.max("j").alias("nj"),
+    """Pixels (y, x, lat, lon) with a geographic grid (i, j, lat, lon, value) interpolated."""
+    return with_ancillary(pixels, grid, [value]).select(*place(pixels), value)
+
+
+def with_ancillary(pixels: DataFrame, grid: DataFrame, values: list[str]) -> DataFrame:
+    """Adds values of a geographic grid (i, j, lat, lon, values) to pixels with lat and lon, all by one lookup: clamped to the
+    grid's extent, and turned by 180 degrees where it may cross the antimeridian. One grid (9 x 9 points) is broadcast;
+    those of many granules are joined by the column granule."""
+    by = place(grid)[:-2]
+    ends = grid.groupBy(*by).agg(
+        *[F.max_by(k, F.col(n)).alias(f"_{k}1") for k, n in (("lat", "i"), ("lon", "j"))],
+        *[F.min_by(k, F.col(n)).alias(f"_{k}0") for k, n in (("lat", "i"), ("lon", "j"))],
+        F.max("i").alias("_ni"), F.max("j").alias("_nj"),
     )
-    out = pixels.join(F.broadcast(ends))  # one row
+    out = pixels.join(ends, by) if by else pixels.join(F.broadcast(ends))  # one row
     half = lambda c: F.pmod(c + 360.0, F.lit(360.0)) - 180.0
-    cross = F.col("lon0") > 90
-    out = out.withColumns({"plon": F.when(cross, half(F.col("lon"))).otherwise(F.col("lon")), "a0": F.when(cross, half(F.col("lon0"))).otherwise(F.col("lon0")), "a1": F.when(cross, half(F.col("lon1"))).otherwise(F.col("lon1"))})
-    lat_step = (F.col("lat1") - F.col("lat0")) / F.col("ni")
-    lon_step = (F.col("a1") - F.col("a0")) / F.col("nj")
-    lat = F.when(F.col("lat") > F.col("lat0"), F.col("lat0")).when(F.col("lat") <= F.col("lat1"), F.col("lat1") - 0.0001 * lat_step).otherwise(F.col("lat"))
-    lon = F.when(F.col("plon") < F.col("a0"), F.col("a0")).when(F.col("plon") >= F.col("a1"), F.col("a1") - 0.0001 * lon_step).otherwise(F.col("plon"))
-    out = out.withColumns({"py": (lat - F.col("lat0")) / lat_step, "px": (lon - F.col("a0")) / lon_step})
-    out = out.withColumns({"r": F.col("py").cast("int"), "c": F.col("px").cast("int")})
-    cells = F.broadcast(corners(grid.select(F.col("i").cast("int").alias("r"), F.col("j").cast("int").alias("c"), value), value))
-    return out.join(cells, ["r", "c"]).select("y", "x", _mixed(F.col("py") - F.col("r"), F.col("px") - F.col("c")).alias(value))
+    cross = F.col("_lon0") > 90
+    turned = lambda c: F.when(cross, half(F.col(c))).otherwise(F.col(c))
+    out = out.withColumns({"_plon": turned("lon"), "_a0": turned("_lon0"), "_a1": turned("_lon1")})
+    lat_step = (F.col("_lat1") - F.col("_lat0")) / F.col("_ni")
+    lon_step = (F.col("_a1") - F.col("_a0")) / F.col("_nj")
+    lat = F.when(F.col("lat") > F.col("_lat0"), F.col("_lat0")).when(F.col("lat") <= F.col("_lat1"), F.col("_lat1") - 0.0001 * lat_step).otherwise(F.col("lat"))
+    lon = F.when(F.col("_plon") < F.col("_a0"), F.col("_a0")).when(F.col("_plon") >= F.col("_a1"), F.col("_a1") - 0.0001 * lon_step).otherwise(F.col("_plon"))
+    out = out.withColumns({"_py": (lat - F.col("_lat0")) / lat_step, "_px": (lon - F.col("_a0")) / lon_step})
+    out = out.withColumns({"_r": F.col("_py").cast("int"), "_c": F.col("_px").cast("int")})
+    points = grid.select(*by, F.col("i").cast("int").alias("r"), F.col("j").cast("int").alias("c"), F.struct(*values).alias("v"))
+    cells = corners(points, "v", *by).withColumnsRenamed({"r": "_r", "c": "_c"})
+    out = out.join(cells if by else F.broadcast(cells), [*by, "_r", "_c"])
+    out = out.withColumns({v: _mixed(F.col("_py") - F.col("_r"), F.col("_px") - F.col("_c"), v) for v in values})
+    return out.select(*[c for c in pixels.columns if c not in values], *values)

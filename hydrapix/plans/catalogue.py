@@ -989,6 +989,29 @@ def granules_chain(spark, d):
     return out.withColumns({"granule": F.col("granule").cast("long"), "y": F.col("y").cast("long"), "x": F.col("x").cast("long")})
 
 
+PLACED = f""", q AS (SELECT pid % 3 AS granule, (pid // 3) // 150 AS y, (pid // 3) % 150 AS x FROM px),
+  a AS (SELECT *, (5980000 - (y + 0.5::DOUBLE) * 600) / {SCALE}::DOUBLE AS xi, (500000 + granule * 1000 + (x + 0.5::DOUBLE) * 600 - 500000) / {SCALE}::DOUBLE AS eta FROM q),
+  b AS (SELECT *, xi{_series(C.INVERSE, 'xi', 'eta', 'sin', 'cosh', '-')} AS x1, eta{_series(C.INVERSE, 'xi', 'eta', 'cos', 'sinh', '-')} AS e1 FROM a),
+  c AS (SELECT *, asin(sin(x1) / cosh(e1)) AS chi FROM b),
+  p AS (SELECT granule, y, x, degrees(chi{''.join(f' + {k!r}::DOUBLE * sin({2 * j}::DOUBLE * chi)' for j, k in enumerate(C.LATITUDE, 1))}) AS la, (31 + granule) * 6 - 183 + degrees(atan2(sinh(e1), cos(x1))) AS lo FROM c),
+  g AS (SELECT granule, i, j, lat, lon + 6 * (granule - 1) AS lon, value, value * value AS other FROM ane WHERE granule < 3),
+  e AS (SELECT granule, max(lat) AS t0, min(lat) AS t1, min(lon) AS n0, max(lon) AS n1 FROM g GROUP BY 1),
+  r AS (SELECT p.*, (CASE WHEN la > t0 THEN t0 WHEN la <= t1 THEN t1 - 0.0001::DOUBLE * ((t1 - t0) / 8) ELSE la END - t0) / ((t1 - t0) / 8) AS py, (CASE WHEN lo < n0 THEN n0 WHEN lo >= n1 THEN n1 - 0.0001::DOUBLE * ((n1 - n0) / 8) ELSE lo END - n0) / ((n1 - n0) / 8) AS px FROM p JOIN e USING (granule)),
+  k AS (SELECT granule, y, x, la, lo, CAST(trunc(py) AS INT) AS i, CAST(trunc(px) AS INT) AS j, py - trunc(py) AS wy, px - trunc(px) AS wx FROM r)
+  SELECT k.granule, k.y, k.x, round(la, 6) AS lat, round(lo, 6) AS lon, {", ".join(f"round({MIX.format(*(f'{t}.{v}' for t in ('s', 't', 'u', 'w')))}, 5) AS {v}" for v in ("value", "other"))}
+  FROM k {" ".join(f"JOIN g {n} ON {n}.granule = k.granule AND {n}.i = k.i + {di} AND {n}.j = k.j + {dj}" for n, di, dj in (("s", 0, 0), ("t", 0, 1), ("u", 1, 0), ("w", 1, 1)))}"""
+
+
+@query(sql(PLACED, "px", "ane"))
+def granules_ancillary(spark, d):
+    """Granules of three UTM zones, each with an ancillary grid of its own: places, and two layers interpolated there."""
+    px = _by_granule(V.px(spark, d)).select("granule", "y", "x")
+    at = px.select("granule").distinct().selectExpr("granule", "31 + granule as zone", "true as north", "500000D + granule * 1000 as left", "5980000D as top")
+    grid = V.ane(spark, d).where("granule < 3").selectExpr("granule", "i", "j", "lat", "lon + 6 * (granule - 1) as lon", "value", "value * value as other")
+    out = I.with_ancillary(P.georeferenced(px, at, 600), grid, ["value", "other"])
+    return rounded(rounded(out, "lat", "lon"), "value", "other", digits=5)
+
+
 @query(sql(" SELECT granule, '{\"wind\":[' || string_agg(printf('%.2f', value * 5 / 4), ',' ORDER BY i, j) || '],\"lon\":[' || string_agg(printf('%.2f', lon), ',' ORDER BY i, j) || '],\"lat\":[' || string_agg(printf('%.1f', lat), ',' ORDER BY i, j) || '],\"aot\":[' || string_agg(printf('%.3f', value / 8), ',' ORDER BY i, j) || ']}' AS record FROM ane GROUP BY granule", "ane"))
 def wind_record(spark, d):
     """The record of each granule, its numbers printed to a fixed number of digits."""
