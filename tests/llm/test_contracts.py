@@ -506,6 +506,18 @@ def shared(perm):
     return one & one.T
 
 
+@pytest.mark.parametrize("pivots", [4096, 8192, 16_384])
+def test_recall_with_very_many_pivots(pivots):
+    """Pairs just above the threshold among evenly spread vectors, the hardest ones."""
+    r = np.random.default_rng(5)
+    table = pivot_index.unit(r.normal(size=(pivots, 64)))
+    x, way = (pivot_index.unit(r.normal(size=(1500, 64))) for _ in range(2))
+    way = pivot_index.unit(way - (way * x).sum(1, keepdims=True) * x)
+    c = 0.93 + 0.005 * r.random((1500, 1))
+    a, b = (pivot_index.described(v, table, pivot_index.nearest_of(pivots), 0.93)[0] for v in (x, c * x + np.sqrt(1 - c * c) * way))
+    assert ((a == b[:, :1]).any(1) & (b == a[:, :1]).any(1)).mean() >= 0.9
+
+
 def test_recall_at_the_largest_pivot_count():
     x = one_dense_group(9000)
     pivots = pivot_index.spread(x[:4096], 2048, 0.93)
