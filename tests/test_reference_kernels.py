@@ -109,11 +109,11 @@ def test_later_class_rules_overrule_earlier_ones(spark):
 
 
 def test_dilation_until_stable(spark, monkeypatch):
-    """A way longer than one round, over several tiles."""
+    """A way over several tiles."""
     way = [(0, x) for x in range(30)] + [(1, 29), (2, 29)] + [(2, x) for x in range(29)]
     grid = spark.createDataFrame([(y, x, 64 if (y, x) == (0, 0) else 96 if (y, x) in way else 192) for y in range(4) for x in range(31)], "y long, x long, code int")
-    monkeypatch.setattr(masks, "TILE", 8)
-    monkeypatch.setattr(masks, "ROUND", 5)
+    whole = masks.map_blocks
+    monkeypatch.setattr(masks, "map_blocks", lambda *a, **k: whole(*a, **k, tile=8))
     got = masks.dilate(grid, (64, 64), 96, 160, 0)
     assert got.where("code = 160").count() == len(way) - 1 and got.where("code = 96").count() == 0
     none = masks.dilate(grid, (7, 7), 96, 160, 0, insert_grows=False)
