@@ -124,23 +124,27 @@ def viewing_angles(pixels: DataFrame, grids: DataFrame | dict[str, DataFrame], r
     bands = bands or list(RESOLUTIONS)
     by = resample.place(grids)[:-2]
     at = F.expr(f"array_position(array({', '.join(repr(b) for b in bands)}), band)").cast("int") - 1
-    cells = interpolate.angle_cells(grids.where(F.col("band").isin(bands))).withColumn("k", at * DETECTORS + F.col("det").cast("int"))
-    cells = cells.groupBy(*by, F.col("r").alias("_r"), F.col("c").alias("_c")).agg(F.map_from_entries(F.collect_list(F.struct("k", "corners"))).alias("m"))
-    cells = cells.select(*by, "_r", "_c", F.transform(F.sequence(F.lit(0), F.lit(len(bands) * DETECTORS - 1)), lambda k: F.element_at("m", k)).alias("_cells"))
+    cells = interpolate.angle_cells(grids.where(F.col("band").isin(bands))).withColumns({"_r": F.col("r"), "_c": F.col("c"), "_d": F.col("det").cast("int")})
+    # with one detector for all bands a pixel looks up these bands alone, else all detectors at its place
+    key, each = (["_r", "_c", "_d"], 1) if detector else (["_r", "_c"], DETECTORS)
+    cells = cells.withColumn("k", at if detector else at * DETECTORS + F.col("_d")).groupBy(*by, *key).agg(F.map_from_entries(F.collect_list(F.struct("k", "corners"))).alias("m"))
+    cells = cells.select(*by, *key, F.transform(F.sequence(F.lit(0), F.lit(len(bands) * each - 1)), lambda k: F.element_at("m", k)).alias("_cells"))
     side = lambda k: f"(cast({k} as long) * {resolution} + {resolution // 2})"
     out = pixels.withColumns({
         "_r": F.expr(f"cast({side('y')} div {tp_res} as int)"), "_c": F.expr(f"cast({side('x')} div {tp_res} as int)"),
         "_wy": F.expr(f"({side('y')} % {tp_res}) / {tp_res}D"), "_wx": F.expr(f"({side('x')} % {tp_res}) / {tp_res}D"),
     })
-    out = out.join(cells if by else F.broadcast(cells), [*by, "_r", "_c"], "left")
+    if detector:
+        out = out.withColumn("_d", F.col(detector).cast("int"))
+    out = out.join(cells if by else F.broadcast(cells), [*by, *key], "left")
     found = {}
     for i, band in enumerate(bands):
-        det = F.col(detector or f"det_{band}").cast("int")
-        found[f"_{band}"] = F.when(det.between(0, DETECTORS - 1), F.get("_cells", F.lit(i * DETECTORS) + det))
+        det = None if detector else F.col(f"det_{band}").cast("int")
+        found[f"_{band}"] = F.get("_cells", F.lit(i)) if detector else F.when(det.between(0, DETECTORS - 1), F.get("_cells", F.lit(i * DETECTORS) + det))
     out = out.withColumns(found).drop("_cells")
     mix = lambda b, q: (1 - F.col("_wy")) * ((1 - F.col("_wx")) * F.col(f"_{b}.{q}00") + F.col("_wx") * F.col(f"_{b}.{q}01")) + F.col("_wy") * ((1 - F.col("_wx")) * F.col(f"_{b}.{q}10") + F.col("_wx") * F.col(f"_{b}.{q}11"))
     angles = {f"view_zenith_{b}": mix(b, "z") for b in bands} | {f"view_azimuth_{b}": interpolate.around(mix(b, "a"), F.col(f"_{b}.ref")) for b in bands}
-    out = out.withColumns(angles).drop("_r", "_c", "_wy", "_wx", *found)
+    out = out.withColumns(angles).drop("_r", "_c", "_d", "_wy", "_wx", *found)
     return out.withColumns({f"view_{k}_mean": interpolate.mean_angle(*[F.col(f"view_{k}_{b}") for b in bands], azimuth=k == "azimuth") for k in ("zenith", "azimuth")})
 
 
