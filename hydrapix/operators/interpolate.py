@@ -30,19 +30,20 @@ def _placed(pixels: DataFrame, res: int, tp_res: int) -> DataFrame:
 
 
 def tie_points(pixels: DataFrame, grid: DataFrame, value: str, res: int = 60, tp_res: int = 5000) -> DataFrame:
-    """(y, x, value): tie points (r, c, value) interpolated to pixel centres; by granule if grid has several."""
-    return with_tie_points(pixels, grid, [value], res, tp_res).select(*place(pixels), value)
+    """(y, x, value): tie points (r, c, value) interpolated to pixel centres, those beyond the grid left out; by granule if
+    grid has several."""
+    return with_tie_points(pixels, grid, [value], res, tp_res, "inner").select(*place(pixels), value)
 
 
-def with_tie_points(pixels: DataFrame, grid: DataFrame, values: list[str], res: int = 60, tp_res: int = 5000) -> DataFrame:
-    """Adds values of a tie-point grid (r, c, values) to the pixels, all by one lookup. One grid has 23 x 23 cells at most
-    and is broadcast; grids of many granules are joined as Spark sees fit."""
+def with_tie_points(pixels: DataFrame, grid: DataFrame, values: list[str], res: int = 60, tp_res: int = 5000, how: str = "left") -> DataFrame:
+    """Adds values of a tie-point grid (r, c, values) to the pixels, all by one lookup; null beyond the grid. One grid has
+    23 x 23 cells at most and is broadcast; grids of many granules are joined as Spark sees fit."""
     by = place(grid)[:-2]
     cells = grid.select(*by, F.col("r").cast("int").alias("r"), F.col("c").cast("int").alias("c"), F.struct(*values).alias("v"))
-    cells = corners(cells, "v", *by)
+    cells = corners(cells, "v", *by).dropna(subset=list(CORNERS))  # a cell at the grid's edge lacks corners
     cells = cells if by else F.broadcast(cells)
     mixed = lambda v: _mixed(F.col("wy"), F.col("wx"), v)
-    out = _placed(pixels, res, tp_res).join(cells, [*by, "r", "c"])
+    out = _placed(pixels, res, tp_res).join(cells, [*by, "r", "c"], how)
     return out.withColumns({v: mixed(v) for v in values}).drop("r", "c", "wy", "wx", "v00", "v01", "v10", "v11")
 
 
