@@ -113,17 +113,20 @@ def bordered_cells(df: DataFrame, values: list[str], rows: int, cols: int) -> Da
     return out.groupBy(*by, "r", "c").agg(*[four(v).alias(v) for v in values])
 
 
-def upsample_bilinear(df: DataFrame, f: int, value: str | list[str], rows: int, cols: int, reflectance: bool = False, azimuth: bool = False, block: int = 610) -> DataFrame:
+def upsample_bilinear(df: DataFrame, f: int, value: str | list[str], rows: int, cols: int, reflectance: bool = False, azimuth: bool = False, block: int | None = 610) -> DataFrame:
     """Bilinear interpolation of images of rows x cols, of one value or several in one shuffle. Reflectances of 0 count as
     missing and are left out of the sum (weights are not renormalised); azimuths are turned about the first pixel of the
-    block of `block` x `block` pixels that a pixel lies in, to +-180."""
+    block of `block` x `block` pixels that a pixel lies in, of the image if block is None, to +-180."""
     off = int(f / 2 + 0.5)
     values, by = [value] if isinstance(value, str) else value, place(df)[:-2]
     cells = bordered_cells(df, values, rows, cols)
     span = lambda k, n: F.explode(F.sequence(F.greatest(F.lit(0), F.col(k) * f - off), F.least(F.lit(n * f - 1), F.col(k) * f - off + f - 1)))
     inside = cells.where(f"r * {f} - {off} <= {rows * f - 1} and c * {f} - {off} <= {cols * f - 1} and r * {f} - {off} + {f - 1} >= 0 and c * {f} - {off} + {f - 1} >= 0")
     out = inside.withColumn("y", span("r", rows)).withColumn("x", span("c", cols))
-    if azimuth:  # a row for each block of an image
+    if azimuth and block is None:  # a row for each image
+        ref = df.where("y = 0 and x = 0").select(*by, *[F.col(v).cast("double").alias(f"ref_{v}") for v in values])
+        out = out.join(ref, by) if by else out.crossJoin(F.broadcast(ref))
+    elif azimuth:  # a row for each block of an image
         ref = df.where(f"y % {block} = 0 and x % {block} = 0").select(*by, F.expr(f"cast(y div {block} as int)").alias("_by"), F.expr(f"cast(x div {block} as int)").alias("_bx"), *[F.col(v).cast("double").alias(f"ref_{v}") for v in values])
         out = out.withColumns({f"_b{k}": F.expr(f"cast({k} div {f * block} as int)") for k in "yx"}).join(ref, [*by, "_by", "_bx"])
     wy = (F.col("y") - F.col("r") * f + (f / 2 + 0.5)) / f
