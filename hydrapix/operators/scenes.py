@@ -102,14 +102,19 @@ def tile_name(name: str) -> tuple[Column, Column]:
 
 def edge_tiles(rings: DataFrame) -> DataFrame:
     """Tiles (ring, j, i) touched by the edges of rings (ring, n, lon, lat): the bounding rows and columns of each
-    edge; edges of more than 60 columns go the other way around the globe."""
+    edge; edges of more than 60 columns go the other way around the globe. A ring's tiles of one row are the bits of two
+    numbers, so what a task holds grows with rings and not with tiles."""
     w = Window.partitionBy("ring").orderBy("n")
     at = rings.select("ring", "n", ((90 - F.col("lat")) / 3).cast("int").alias("j"), ((180 + F.col("lon")) / 3).cast("int").alias("i"))
     edges = at.select("ring", "j", "i", F.lag("j").over(w).alias("j0"), F.lag("i").over(w).alias("i0")).where("j0 is not null")
     lo, hi = F.least("i0", "i"), F.greatest("i0", "i")
     cols = F.when(hi - lo <= 60, F.sequence(lo, hi)).otherwise(F.sequence(hi, lo + 120))
     out = edges.withColumn("jj", F.explode(F.sequence(F.least("j0", "j"), F.greatest("j0", "j")))).withColumn("ii", F.explode(cols))
-    return out.select("ring", F.col("jj").alias("j"), F.pmod(F.col("ii"), F.lit(120)).alias("i")).distinct()
+    out = out.select("ring", F.col("jj").alias("j"), F.pmod(F.col("ii"), F.lit(120)).alias("i"))
+    half = lambda k: F.expr(f"bit_or(if(i div 60 = {k}, shiftleft(1L, i % 60), 0L))")
+    rows = out.groupBy("ring", "j").agg(half(0).alias("west"), half(1).alias("east"))
+    touched = F.expr("filter(sequence(0, 119), k -> getbit(if(k < 60, west, east), k % 60) = 1)")
+    return rows.select("ring", "j", F.explode(touched).alias("i"))
 
 
 def extent(points: DataFrame) -> DataFrame:
