@@ -15,9 +15,9 @@ Cells are range-partitioned and sorted by column and row, so one shuffle finds t
 hot column lies in as many tasks as it needs.
 
 Column blocks of groups of near copies would give all pairs of the group. Instead rounds pair each block's rows
-with one hub row only, verify these pairs and merge what links, as long as that halves the pairs that are left (eight
-rounds at most); afterwards only rows of one block
-that still belong to different components are multiplied, all of them. No link between components is lost.
+with one hub row only, verify these pairs and merge what links, once at any table and then as long as that halves the
+pairs that are left (eight rounds at most); blocks whose rows are one component are left out of later rounds. Afterwards
+only rows of one block that still belong to different components are multiplied, all of them. No link between components is lost.
 Every product is a join of two shuffled sides, which Spark splits if a column is hot.
 
 Cases: null or empty texts have n_shingles 0 and are their own component; a text of fewer than `gram` words is one
@@ -237,15 +237,20 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     degree = shared.groupBy("node").agg(F.expr(f"-count(*) / (first(n) - ceil({percent} * first(n) / 100) + {COMMON})").alias("pri"))
     blocks = written(shared.join(degree, "node").select("token", "node", "n", "at", "pri"), "blocks")
     dropped(shared)
-    links, labels, before = None, None, float("inf")
+    # each round goes over the cells of columns that were still open in the round before, each with its row's component
+    kept, links, labels, before = blocks, None, None, float("inf")
     for r in range(ROUNDS + 1):
-        now = blocks.withColumn("label", F.col("node"))
-        if labels is not None:
-            now = blocks.join(labels, "node", "left").withColumn("label", F.coalesce("root", "node")).drop("root")
+        if labels is None:  # every row is a component of its own
+            now = kept.withColumn("label", F.col("node"))
+        else:
+            cells = kept.select("token", "node", "n", "at").join(labels, "node", "left")
+            now = written(cells.withColumn("label", F.coalesce("root", "node")).drop("root"), "labelled")
+            dropped(kept)
+            kept = now
         rank = F.xxhash64("node", F.lit(r)).cast("double") if r else F.col("pri")
         order = F.struct(rank.alias("rank"), F.col("node")).alias("order")
         short = f"at < n - ceil({2 * percent} * n / {100 + percent}) + {COMMON}"
-        if labels is None:  # every row is a component of its own
+        if labels is None:
             per = now.withColumns({"m": F.lit(1), "s": F.expr(f"int({short})"), "hub": F.struct(order, "n", "label")})
         else:
             per = now.groupBy("token", "label").agg(F.count("*").alias("m"), F.count_if(F.expr(short)).alias("s"), F.min(F.struct(order, "n", "label")).alias("hub"))
@@ -257,19 +262,24 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         if not total["m"]:
             dropped(open_lists)
             break
-        last = r == ROUNDS or total["p"] <= SLACK * total["m"] or total["p"] > before / 2
+        # hubs come first at any number of pairs, so that small and large tables take the same way
+        last = r == ROUNDS or r > 0 and (total["p"] <= SLACK * total["m"] or total["p"] > before / 2)
         before = total["p"]
         if last:
             rows = now.join(open_lists.select("token"), "token").select("token", "node", "n", "label", "at")
             other = rows.where(short).select("token", F.col("node").alias("v"), F.col("n").alias("o"), F.col("label").alias("other"), F.col("at").alias("place"))
-            # a pair's own sizes bound the columns that it needs on either side more tightly
+            # a pair's own sizes bound the columns that it needs on either side more tightly, and no more than the columns
+            # before the common one and the shorter rest behind it can be common too
             needed = f"ceil({percent} * (n + o) / {100 + percent})"
-            within = f"at < n - {needed} + {COMMON} and place < o - {needed} + {COMMON}"
+            within = f"at < n - {needed} + {COMMON} and place < o - {needed} + {COMMON} and least(at, place) + least(n - at, o - place) >= {needed}"
             pairs = rows.join(other, "token").where(f"label <> other and (o < n or o = n and node < v) and {_fits('n', 'o', percent)} and {within}")
             pairs = pairs.withColumnRenamed("node", "u")
         else:
             one = open_lists.select("token", F.col("hub.order.node").alias("v"), F.col("hub.n").alias("o"), F.col("hub.label").alias("other"))
-            pairs = now.join(one, "token").where(f"label <> other and {_fits('n', 'o', percent)}").withColumnRenamed("node", "u")
+            still = written(now.join(one, "token"), "open")
+            dropped(kept)
+            kept = still
+            pairs = kept.where(f"label <> other and {_fits('n', 'o', percent)}").withColumnRenamed("node", "u")
             pairs = pairs.withColumn("place", F.lit(0))
         # common columns lie in the same order in both rows, so after the last one counted no more than the shorter rest
         # can follow (hub rounds see only some of a pair's columns, so there the count alone decides)
@@ -286,7 +296,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         labels = components(links)
         if last:
             break
-    dropped(blocks)
+    dropped(kept)
     # classes by node, by way of tables, so that the joins shuffle both sides directly and Spark can split a class or a node
     # that very many rows have
     nodes = digests.where("n > 0 and doc_id is not null").groupBy("node").agg(F.min("doc_id").alias("first_id"))

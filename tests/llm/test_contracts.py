@@ -590,6 +590,31 @@ def test_six_shingles_link_with_seven(spark):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got.collect()} == want
 
 
+def test_rounds_go_over_open_columns_only(spark, monkeypatch):
+    """Few pairs too take the hub round, and what comes after it reads no column whose rows are one component."""
+    r, texts, seen = random.Random(3), [], []
+    word = lambda: f"w{r.randrange(99999)}"
+    for i in range(0, 120, 2):
+        own = [word() for _ in range(60)]
+        texts += [(i, " ".join(own)), (i + 1, " ".join([*own, word()]))]
+    passage = [word() for _ in range(30)]
+    texts += [(i, " ".join([*passage, *(word() for _ in range(9))])) for i in range(200, 212)]
+    keep = ngram_join.written
+
+    def noted(df, name):
+        out = keep(df, name)
+        seen.append((name, out.count(), out.select("token").distinct().count() if "token" in out.columns else 0))
+        return out
+
+    monkeypatch.setattr(ngram_join, "written", noted)
+    got = ngram_join.jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got.collect()} == links_of(texts)
+    rows = {name: n for name, n, _ in reversed(seen)}  # the first of each name
+    assert 0 < rows["open"] < rows["blocks"] and rows["labelled"] == rows["open"]
+    columns = [n for name, _, n in seen if name == "lists"]
+    assert columns[0] - columns[1] > 60  # the pairs' columns; the passage's ones stay
+
+
 def test_a_passage_in_very_many_texts(spark):
     """Texts that share a long passage, in short ones nearly all they have; groups of near copies among them."""
     r = random.Random(9)
