@@ -179,6 +179,24 @@ def test_windows_read_their_tiles_alone(spark, tmp_path):
         assert sorted((r["y"], r["x"]) for r in scenes.subset(mask, lat, lon, 180, 360).collect()) == sorted(got[name])
 
 
+def test_windows_meet_columns_of_tiles_and_not_their_pixels(spark, tmp_path):
+    path = str(tmp_path / "g")
+    rasters.write_tiles(spark.range(180 * 360).selectExpr("cast(id div 360 as int) y", "cast(id % 360 as int) x", "id % 7 as code"), path, 30)
+    boxes = spark.range(6).selectExpr("id as granule", "-60D + id % 7 as lat_min", "60D as lat_max", "170D as lon_min", "-170D + 9 * id as lon_max")
+    out = scenes.subsets(spark.read.parquet(path), boxes, 180, 360, 30)
+    rows = sum(scenes.subset(spark.read.parquet(path), (r["lat_min"], r["lat_max"]), (r["lon_min"], r["lon_max"]), 180, 360).count() for r in boxes.collect())
+    plan = out._jdf.queryExecution().executedPlan()
+    assert out.count() == rows == len(plan.executeCollect())
+    nodes, joined = [plan.executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        node = node.plan() if "QueryStage" in node.nodeName() else node
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+        if "Join" in node.nodeName() and "LeftSemi" not in node.toString().split("\n")[0]:
+            joined.append(node.metrics().apply("numOutputRows").value())
+    assert joined and max(joined) < rows / 5
+
+
 def test_stored_layers_meet_without_a_shuffle(spark, tmp_path):
     px = spark.range(3 * 400).selectExpr("id % 3 as granule", "cast(id div 3 div 20 as int) y", "cast(id div 3 % 20 as int) x", "id as v")
     layers = {"one": px, "two": px.withColumnRenamed("v", "w"), "three": px.withColumnRenamed("v", "u")}
