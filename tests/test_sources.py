@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,6 +199,16 @@ def test_windows_meet_columns_of_tiles_and_not_their_pixels(spark, tmp_path):
     assert joined and max(joined) < rows / 5
 
 
+def test_angle_files_lie_in_folders_of_one_task(spark):
+    from hydrapix.plans import catalogue
+
+    out = catalogue.QUERIES["angle_files"](spark, "/root/testdata/sf0.01")
+    found = [re.search(r"/part=(\d+)/granule=(\d+)/(part-\d+)-", f) for f in out.inputFiles()]
+    assert len(found) == out.select("granule").distinct().count() and all(found)
+    assert all(int(m[1]) == int(m[2]) // 128 for m in found)
+    assert len({m[1] for m in found}) == len({(m[1], m[3]) for m in found})
+
+
 def test_stored_layers_meet_without_a_shuffle(spark, tmp_path):
     px = spark.range(3 * 400).selectExpr("id % 3 as granule", "cast(id div 3 div 20 as int) y", "cast(id div 3 % 20 as int) x", "id as v")
     layers = {"one": px, "two": px.withColumnRenamed("v", "w"), "three": px.withColumnRenamed("v", "u")}
