@@ -2,8 +2,8 @@
 
 Texts are written the way the model writes them (a space before the text, spaces as U+2581) and cut where no
 piece of the table can reach across, so each word is segmented on its own and only distinct words need a lattice:
-their bounded-length substrings are exploded, equi-joined to the piece table (fixed size), grouped by word, and
-folded by Viterbi with Spark's higher-order aggregate. The segmentation has the largest sum of piece scores
+their bounded-length substrings are exploded, equi-joined to the pieces that can be on a best way (fixed size), grouped
+by word, and folded by Viterbi with Spark's higher-order aggregate. The segmentation has the largest sum of piece scores
 (ties: the shorter last piece). Characters without a piece become their UTF-8 byte pieces.
 
 A word of more than 256 characters (a run of letters without a space) goes in chunks of 128: a chunk has one lattice for
@@ -24,6 +24,7 @@ gives an empty result; extra columns are not read.
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from itertools import accumulate, chain
@@ -34,13 +35,33 @@ import pyarrow.compute as pc
 import sentencepiece
 import xxhash
 import zstandard
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import columns_of, dropped, mixed, pieces, written
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
+SHORT = 3
+
+
+def useful(rows: list[tuple[str, int, float]]) -> list[tuple[str, int, float]]:
+    """Rows (piece, id, score) without the pieces whose own text other pieces spell with a larger sum of scores: a way through
+    such a piece is beaten by the same way with these in its place, so no best way has it. Ties keep the piece. Scores that
+    are whole numbers add up exactly; of others all pieces are kept."""
+    score = {p: s for p, _, s in rows}
+    if not all(s.is_integer() for s in score.values()):
+        return rows
+    longest = max(map(len, score))
+
+    def best_of_parts(p: str) -> float:
+        best = [0.0]
+        for e in range(1, len(p) + 1):
+            ways = (best[b] + score.get(p[b:e], -math.inf) for b in range(max(0, e - longest), e) if e - b < len(p))
+            best.append(max(ways, default=-math.inf))
+        return best[-1]
+
+    return [r for r in rows if best_of_parts(r[0]) <= r[2]]
 
 
 class Pieces:
@@ -52,14 +73,21 @@ class Pieces:
         plain = [i for i in ids if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i) or sp.is_unused(i))]
         self.rows = [(sp.id_to_piece(i), i, float(sp.get_score(i))) for i in plain]
         self.bytes_at = {int(sp.id_to_piece(i)[3:5], 16): i for i in ids if sp.is_byte(i)}
-        self.longest = max(len(p) for p, _, _ in self.rows)
+        self.useful = useful(self.rows)
+        self.longest = max(len(p) for p, _, _ in self.useful)
         self.unknown_score = min(s for _, _, s in self.rows) - 10.0
         self.pairs = frozenset(p[i : i + 2] for p, _, _ in self.rows for i in range(len(p) - 1))
         assert not any(re.search(f"[^{SPACE}]{SPACE}|\n.|.\n", p) for p, _, _ in self.rows), "a piece spans words"
         self.surface = {i: p.replace(SPACE, " ").encode() for p, i, _ in self.rows} | {i: bytes([b]) for b, i in self.bytes_at.items()}
 
     def table(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(self.rows, "piece string, pid int, score double")
+        """The pieces that can be on a best way."""
+        return spark.createDataFrame(self.useful, "piece string, pid int, score double")
+
+    def reach(self, start: Column) -> Column:
+        """The longest piece that may start with these SHORT + 1 characters: few pieces are longer than SHORT."""
+        heads = sorted({p[: SHORT + 1] for p, _, _ in self.useful if len(p) > SHORT})
+        return F.when(start.isin(heads), self.longest).otherwise(SHORT)
 
     def expand(self, ids: list[int]) -> list[int]:
         """-1 - c stands for the character c without a piece: its bytes."""
@@ -184,7 +212,8 @@ def lattices(units: DataFrame, table: Pieces) -> DataFrame:
     known = F.broadcast(table.table(units.sparkSession))  # as many rows as the model has pieces
     parts = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), units.count() // 20_000)
     starts = units.repartition(parts, "text").withColumn("len", F.length("text")).withColumn("i", F.expr("explode(sequence(1, len))"))
-    spans = starts.withColumn("l", F.expr(f"explode(sequence(1, if(i > body, 1, least({table.longest}, len - i + 1))))"))
+    starts = starts.withColumn("reach", table.reach(F.expr(f"substring(text, i, {SHORT + 1})")))
+    spans = starts.withColumn("l", F.expr("explode(sequence(1, if(i > body, 1, least(reach, len - i + 1))))"))
     spans = spans.withColumn("piece", F.expr("substring(text, i, l)"))
     edges = spans.join(known, "piece", "left").where("pid is not null or l = 1")
     # ids travel as text, which grows at less cost than an array

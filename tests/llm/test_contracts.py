@@ -784,3 +784,22 @@ def test_words_with_one_hash_are_told_apart():
     assert [w for w, i in zip(words, d.number(h, check), strict=True) if i == 0] == ["▁the"] * 3
     d.check = d.check + np.uint64(1)  # another word with this hash
     assert (d.number(h, check) == -1).all()
+
+
+def test_pieces_that_never_win_stay_out_of_the_lattice():
+    rows = [("a", 1, -5.0), ("b", 2, -5.0), ("c", 3, -9.0), ("ab", 4, -1.0), ("abc", 5, -11.0), ("bc", 6, -14.0), ("cc", 7, -17.0)]
+    assert [p for p, _, _ in sentencepieces.useful(rows)] == ["a", "b", "c", "ab", "bc", "cc"]  # bc: a tie stays
+    assert sentencepieces.useful([("a", 1, -0.5), ("aa", 2, -9.0)]) == [("a", 1, -0.5), ("aa", 2, -9.0)]
+    table, r = sentencepieces.Pieces(), random.Random(3)
+    every, some = ({p: s for p, _, s in rows} for rows in (table.rows, table.useful))
+    assert len(some) < len(every) / 2
+    for _ in range(300):
+        text = "".join(r.choice(table.rows)[0] for _ in range(r.randint(1, 6)))
+        ways = []
+        for score in (every, some):
+            best = [(0.0, ())]
+            for e in range(1, len(text) + 1):  # of equal sums the shorter last piece
+                best.append(max(((best[e - n][0] + score[text[e - n : e]], -n, best[e - n][-1]) for n in range(1, e + 1) if text[e - n : e] in score), key=lambda w: w[:2]))
+                best[-1] = (best[-1][0], (*best[-1][2], -best[-1][1]))
+            ways.append(best[-1])
+        assert ways[0] == ways[1]
