@@ -2,8 +2,9 @@
 
 Texts are written the way the model writes them (a space before the text, spaces as U+2581) and cut where no
 piece of the table can reach across, so each word is segmented on its own and only distinct words need a lattice:
-their bounded-length substrings are exploded, equi-joined to the pieces that can be on a best way (fixed size), grouped
-by word, and folded by Viterbi with Spark's higher-order aggregate. The segmentation has the largest sum of piece scores
+their places are exploded, the substrings that end at a place are equi-joined to the pieces that can be on a best way (fixed
+size; those of more than three characters are found by their last four), and the places are grouped by word and folded by
+Viterbi with Spark's higher-order aggregate. The segmentation has the largest sum of piece scores
 (ties: the shorter last piece). Characters without a piece become their UTF-8 byte pieces.
 
 A word of more than 256 characters (a run of letters without a space) goes in chunks of 128: a chunk has one lattice for
@@ -80,14 +81,17 @@ class Pieces:
         assert not any(re.search(f"[^{SPACE}]{SPACE}|\n.|.\n", p) for p, _, _ in self.rows), "a piece spans words"
         self.surface = {i: p.replace(SPACE, " ").encode() for p, i, _ in self.rows} | {i: bytes([b]) for b, i in self.bytes_at.items()}
 
-    def table(self, spark: SparkSession) -> DataFrame:
-        """The pieces that can be on a best way."""
-        return spark.createDataFrame(self.useful, "piece string, pid int, score double")
-
-    def reach(self, start: Column) -> Column:
-        """The longest piece that may start with these SHORT + 1 characters: few pieces are longer than SHORT."""
-        heads = sorted({p[: SHORT + 1] for p, _, _ in self.useful if len(p) > SHORT})
-        return F.when(start.isin(heads), self.longest).otherwise(SHORT)
+    def ends(self, spark: SparkSession) -> list[DataFrame]:
+        """The pieces that can be on a best way by the characters they end with: tables k = 1 to SHORT (end<k>, id<k>, s<k>)
+        of the pieces of k characters, then the longer ones (end<SHORT + 1>, longer) listed by their last characters."""
+        out, rows = [], sorted((len(p), p, f"{i},", x) for p, i, x in self.useful)
+        for k in range(1, SHORT + 1):
+            out.append(spark.createDataFrame([r[1:] for r in rows if r[0] == k], f"end{k} string, id{k} string, s{k} double"))
+        longer: dict[str, list] = {}
+        for r in rows:
+            if r[0] > SHORT:
+                longer.setdefault(r[1][-SHORT - 1 :], []).append(r)
+        return [*out, spark.createDataFrame(list(longer.items()), f"end{SHORT + 1} string, longer array<struct<l int, piece string, id string, s double>>")]
 
     def expand(self, ids: list[int]) -> list[int]:
         """-1 - c stands for the character c without a piece: its bytes."""
@@ -150,21 +154,28 @@ def sliced(whole: str, start: np.ndarray, size: np.ndarray) -> list[str]:
 
 
 class Dictionary:
-    """Words and their ids, in order of frequency; looked up by hash and check."""
+    """Words and their ids, in order of frequency; looked up by hash and check. The hashes are sorted; `begin` has where those
+    with the same first bits begin, about one for each two entries, so that a lookup takes a step or two."""
 
     def __init__(self, words: list[str], ids: list[list[int]], pairs: frozenset):
         h, check = Cutter(pairs).of(words)
-        self.h, self.rank = np.unique(h, return_index=True)
-        self.check = check[self.rank]
+        h, rank = np.unique(h, return_index=True)
+        self.h = np.append(h, np.uint64(0xFFFFFFFFFFFFFFFF))  # an entry without a word ends each search
+        self.check, self.rank = np.append(check[rank], np.uint64(0)), np.append(rank, -1)
+        bits = len(h).bit_length() + 1
+        self.shift = np.uint64(64 - bits)
+        self.begin = np.searchsorted(self.h, np.arange(1 << bits, dtype=np.uint64) << self.shift).astype(np.int32)
         self.size = np.fromiter(map(len, ids), np.int64, len(ids))
         self.flat = np.fromiter(chain.from_iterable(ids), np.int32)
         self.pairs = pairs
 
     def number(self, h: np.ndarray, check: np.ndarray) -> np.ndarray:
         """The words' numbers, -1 for those that the dictionary lacks."""
-        if not len(self.h):
-            return np.full(len(h), -1, np.int64)
-        at = np.minimum(np.searchsorted(self.h, h), len(self.h) - 1)
+        at = self.begin[h >> self.shift]
+        left = np.flatnonzero(self.h[at] < h)
+        while len(left):
+            at[left] += 1
+            left = left[self.h[at[left]] < h[left]]
         return np.where((self.h[at] == h) & (self.check[at] == check), self.rank[at], -1)
 
 
@@ -209,27 +220,30 @@ def lattices(units: DataFrame, table: Pieces) -> DataFrame:
     """Units (text, body, n) to (text, body, n, exits): the best way from the start of the text to each place from
     character `body` on, as struct (s, t) of score and ids. Pieces start before `body`; a place that none of them
     reaches has a score below -1e17."""
-    known = F.broadcast(table.table(units.sparkSession))  # as many rows as the model has pieces
     parts = max(int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")), units.count() // 20_000)
-    starts = units.repartition(parts, "text").withColumn("len", F.length("text")).withColumn("i", F.expr("explode(sequence(1, len))"))
-    starts = starts.withColumn("reach", table.reach(F.expr(f"substring(text, i, {SHORT + 1})")))
-    spans = starts.withColumn("l", F.expr("explode(sequence(1, if(i > body, 1, least(reach, len - i + 1))))"))
-    spans = spans.withColumn("piece", F.expr("substring(text, i, l)"))
-    edges = spans.join(known, "piece", "left").where("pid is not null or l = 1")
-    # ids travel as text, which grows at less cost than an array
-    edge = F.expr(
-        "struct(cast(i + l - 1 as int) as e, cast(l as int) as l, concat(cast(coalesce(pid, -1 - ascii(piece)) as string), ',') as id, "
-        f"if(i > body, -1e18D, coalesce(score, double({table.unknown_score!r}))) as s)"
+    places = units.repartition(parts, "text").withColumn("e", F.expr("explode(sequence(1, length(text)))"))
+    for k, known in enumerate(table.ends(units.sparkSession), 1):  # as many rows as the model has pieces
+        end = F.when(F.expr(f"e >= {k} and ({k} > {SHORT} or e - {k} < body)"), F.expr(f"substring(text, e - {k} + 1, {k})"))
+        places = places.withColumn(f"end{k}", end).join(F.broadcast(known), f"end{k}", "left")
+    # the edges that end at a place, one of each length up to SHORT; ids travel as text, which grows at less cost than an array
+    place = F.expr(f"""struct(e,
+      coalesce(id1, concat(-1 - ascii(substring(text, e, 1)), ',')) as id1, if(e > body, -1e18D, coalesce(s1, double({table.unknown_score!r}))) as s1,
+      coalesce(id2, '') as id2, coalesce(s2, double('-Infinity')) as s2, coalesce(id3, '') as id3, coalesce(s3, double('-Infinity')) as s3,
+      filter(longer, x -> e >= x.l and e - x.l < body and substring(text, e - x.l + 1, x.l) = x.piece) as longer)""")
+    lattice = places.groupBy("text", "body").agg(
+        F.max("n").alias("n"), F.expr("max(longer is not null) or body < length(text)").alias("far"), F.sort_array(F.collect_list(place)).alias("es")
     )
-    lattice = edges.groupBy("text", "body").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(edge)).alias("es"))
-    # w holds the best way to each place so far, the last place first
-    fold = """aggregate(es, named_struct('e', 0, 'w', array(named_struct('s', 0D, 't', ''))),
-      (a, x) -> if(x.e > a.e,
-        named_struct('e', x.e, 'w', array_prepend(a.w, named_struct('s', a.w[x.l - 1].s + x.s, 't', concat(a.w[x.l - 1].t, x.id)))),
-        if(a.w[x.l].s + x.s > a.w[0].s,
-          named_struct('e', a.e, 'w', concat(array(named_struct('s', a.w[x.l].s + x.s, 't', concat(a.w[x.l].t, x.id))), slice(a.w, 2, size(a.w)))),
-          a)),
-      a -> transform(reverse(slice(a.w, 1, length(text) - body + 1)), y -> named_struct('s', y.s, 't', transform(split(substring(y.t, 1, length(y.t) - 1), ','), p -> cast(p as int)))))"""
+    # w1 to w3 hold the best ways to the last three places, the last one first; rest those to the places before where one can be asked for
+    way = "named_struct('s', a.w{0}.s + x.s{0}, 't', concat(a.w{0}.t, x.id{0}))".format
+    sums = "a.w{0}.s + x.s{0}".format
+    short = f"if({sums(2)} > {sums(1)}, if({sums(3)} > {sums(2)}, {way(3)}, {way(2)}), if({sums(3)} > {sums(1)}, {way(3)}, {way(1)}))"
+    none, far = "named_struct('s', double('-Infinity'), 't', '')", f"a.rest[y.l - {SHORT + 1}]"
+    fold = f"""aggregate(es, named_struct('w1', named_struct('s', 0D, 't', ''), 'w2', {none}, 'w3', {none}, 'rest', cast(array() as array<struct<s: double, t: string>>)),
+      (a, x) -> named_struct(
+        'w1', if(x.longer is null, {short}, aggregate(x.longer, {short}, (b, y) -> if({far}.s + y.s > b.s, named_struct('s', {far}.s + y.s, 't', concat({far}.t, y.id)), b))),
+        'w2', a.w1, 'w3', a.w2, 'rest', if(far, array_prepend(a.rest, a.w3), a.rest)),
+      a -> transform(reverse(slice(concat(array(a.w1, a.w2, a.w3), a.rest), 1, length(text) - body + 1)),
+        y -> named_struct('s', y.s, 't', transform(split(substring(y.t, 1, length(y.t) - 1), ','), p -> cast(p as int)))))"""
     return lattice.select("text", "body", "n", F.expr(fold).alias("exits"))
 
 

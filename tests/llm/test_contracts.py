@@ -803,3 +803,41 @@ def test_pieces_that_never_win_stay_out_of_the_lattice():
                 best[-1] = (best[-1][0], (*best[-1][2], -best[-1][1]))
             ways.append(best[-1])
         assert ways[0] == ways[1]
+
+
+def test_a_lattice_has_a_row_for_each_place(spark):
+    """Not one for each substring; pieces of all lengths, also where the pieces have to start before the text's end."""
+    table, r = sentencepieces.Pieces(), random.Random(5)
+    score = {p: (i, x) for p, i, x in table.useful}
+    many, few = [p for p, _, _ in table.useful if len(p) > 3], [p for p, _, _ in table.useful if len(p) < 4]
+    texts = {"".join(r.choice(many if r.random() < 0.5 else few) for _ in range(r.randint(1, 7))) for _ in range(300)} | {p for p in many if len(p) > 12} | {"ጀ", "aጀb"}
+    units = [(t, len(t) - (i % 4 and r.randrange(min(len(t), table.longest))), i) for i, t in enumerate(sorted(texts))]
+    got = sentencepieces.lattices(spark.createDataFrame(units, "text string, body int, n long"), table)
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("Generate ") == 1
+    got = {x["text"]: x for x in got.collect()}
+    assert len(got) == len(units)
+    for text, body, n in units:
+        best = [(0.0, [])]
+        for e in range(1, len(text) + 1):
+            ways = []
+            for size in range(1, min(table.longest, e) + 1):
+                i, x = score.get(text[e - size : e], (-1 - ord(text[e - 1]), table.unknown_score) if size == 1 else (0, None))
+                if x is not None and e - size < body and best[e - size]:
+                    ways.append((best[e - size][0] + x, -size, best[e - size][1] + [i]))
+            best.append(max(ways, key=lambda w: w[:2])[::2] if ways else None)
+        assert got[text]["n"] == n and len(got[text]["exits"]) == len(text) - body + 1
+        for way, have in zip(best[body:], got[text]["exits"], strict=True):
+            assert (have["s"], list(have["t"])) == way if way else have["s"] < -1e17
+
+
+def test_a_dictionary_finds_its_words_in_a_few_steps():
+    table = sentencepieces.Pieces()
+    words = [f"w{i}" for i in range(5000)]
+    d = sentencepieces.Dictionary(words[:3000], [[i] for i in range(3000)], table.pairs)
+    h, check = sentencepieces.Cutter(table.pairs).of(words)
+    assert d.number(h, check).tolist() == [*range(3000), *[-1] * 2000]
+    assert np.bincount(d.begin).max() < 40 and np.diff(d.begin).max() < 12
+    ends = np.array([0, 2**64 - 1], np.uint64)
+    for x in (d, sentencepieces.Dictionary([], [], table.pairs)):
+        assert x.number(ends, np.zeros(2, np.uint64)).tolist() == [-1, -1]
+        assert len(x.number(h[:0], check[:0])) == 0
