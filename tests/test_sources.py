@@ -209,6 +209,30 @@ def test_angle_files_lie_in_folders_of_one_task(spark):
     assert len({m[1] for m in found}) == len({(m[1], m[3]) for m in found})
 
 
+def test_windows_are_not_broadcast_with_a_row_for_each_tile(spark, tmp_path):
+    path = str(tmp_path / "g")
+    rasters.write_tiles(spark.range(400 * 20).selectExpr("cast(id div 20 as int) y", "cast(id % 20 as int) x", "id % 7 as code"), path, 10)
+    mask = spark.read.parquet(path)
+    lon = "cast(id * 37 % 340 - 170 as double) as lon_min", "cast((id * 37 + 30 + id % 90) % 340 - 170 as double) as lon_max"
+    boxes = spark.range(200).selectExpr("id as granule", "-85D + id % 60 as lat_min", "-84D + id % 60 + id * 7 % 110 as lat_max", *lon)
+    out = scenes.subsets(mask, boxes, 400, 20, 10)
+    at = scenes.windows(boxes, 400, 20)
+    met = mask.join(at, F.expr("y >= y0 and y < y1 and x >= x0 and x < x1 and (x - x0 + base) % step = 0"))
+    tall = at.selectExpr("y1 - y0 as h", "step").agg(F.min("h"), F.max("h"), F.max("step")).first()
+    assert tall[0] < 10 and tall[1] > 200 and tall[2] > 2  # windows of many heights, some of them thinned
+    plan = out._jdf.queryExecution().executedPlan()
+    assert len(plan.executeCollect()) == met.count() > 0
+    assert sorted(out.collect()) == sorted(met.select("granule", "y", "x", "code").collect())
+    nodes, sent = [plan.executedPlan()], []
+    while nodes:
+        node = nodes.pop()
+        node = node.plan() if "QueryStage" in node.nodeName() else node
+        nodes += [node.children().apply(k) for k in range(node.children().size())]
+        if node.nodeName() == "BroadcastExchange":
+            sent.append(node.metrics().apply("numOutputRows").value())
+    assert sent and max(sent) <= 40 * 2  # keys of tiles, and not windows times the tiles under them
+
+
 def test_stored_layers_meet_without_a_shuffle(spark, tmp_path):
     px = spark.range(3 * 400).selectExpr("id % 3 as granule", "cast(id div 3 div 20 as int) y", "cast(id div 3 % 20 as int) x", "id as v")
     layers = {"one": px, "two": px.withColumnRenamed("v", "w"), "three": px.withColumnRenamed("v", "u")}
